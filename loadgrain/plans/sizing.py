@@ -1,0 +1,16 @@
+"""What the planner knows about the size of an input."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def plan_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate for ``df``, or None where it cannot be asked.
+
+    For a file scan this is the size of the files read, after partition pruning.
+    """
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except AttributeError:
+        return None
