@@ -26,11 +26,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadgrain.plans.sizing import plan_bytes
+from loadgrain.plans.sizing import input_bytes
 from loadgrain.session import settle
 
-# Up to this much estimated input, a single group may hold all of it.
-SMALL_INPUT_BYTES = 128 << 20
+# Up to this much input, a single group may hold all of it: files of this size
+# hold some 16 million distinct doubles at most, about 1 GB as aggregation state.
+SMALL_INPUT_BYTES = 64 << 20
 # A group with no more rows than this is handed to the built-in aggregate.
 GROUP_ROWS = 2_000_000
 # A value range with no more distinct values than this is ranked by a window.
@@ -61,7 +62,7 @@ def grouped_percentiles(
     ``weight`` names a column saying how many times a row's value occurred.
     """
     if method == "auto":
-        size = plan_bytes(df)
+        size = input_bytes(df)
         method = "builtin" if size is not None and size <= SMALL_INPUT_BYTES else "refine"
     if method == "builtin":
         return _builtin(df, by, percentiles, value, weight, aggs)

@@ -59,6 +59,8 @@ def time_bucket(width: str | int | float, nanos: str | Column = "ts_unix_nano")
         raise ValueError("bucket width must be > 0")
     offset = WEEK_ORIGIN_SECONDS * 1_000_000_000 % step
     start = col - F.pmod(col - F.lit(offset), F.lit(step))
+    if step % 1000 == 0:
+        return F.timestamp_micros(F.call_function("div", start, F.lit(1000)))
     return sample_time(start)
 
 

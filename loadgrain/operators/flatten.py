@@ -33,17 +33,24 @@ def parse_boolean(text: Column) -> Column:
     return F.when(text.isin(*TRUE_WORDS), True).when(text.isin(*FALSE_WORDS), False)
 
 
-def _spill(entries: Column, promoted: list[str], parsed: dict[str, Column]) -> Column:
-    """The entries that got no column of their own; NULL when there are none."""
+def _spill(entries: Column, texts: dict[str, Column], parsed: dict[str, Column]) -> Column:
+    """The entries that got no column of their own; NULL when there are none.
+
+    Most samples have none, which their number of entries tells; only the others
+    go through the map entry by entry.
+    """
+    taken = F.lit(0)
+    for value in (*texts.values(), *parsed.values()):
+        taken = taken + value.isNotNull().cast("int")
 
     def left_over(key: Column, _: Column) -> Column:
-        keep = ~key.isin(*promoted, *parsed)
+        keep = ~key.isin(*texts, *parsed)
         for name, value in parsed.items():
             keep = keep | ((key == name) & value.isNull())
         return keep
 
     rest = F.map_filter(entries, left_over)
-    return F.when(F.size(rest) > 0, rest)
+    return F.when((F.size(entries) > taken) & (F.size(rest) > 0), rest)
 
 
 def flatten_samples(raw: DataFrame) -> DataFrame:
@@ -53,6 +60,7 @@ def flatten_samples(raw: DataFrame) -> DataFrame:
     so no tag and no metadata entry is lost.
     """
     tags, metadata = F.col("tags"), F.col("metadata")
+    text_tags = {name: tags[name] for name in STRING_TAGS}
     typed_tags = {name: parse_integer(tags[name], "int") for name in INT_TAGS}
     typed_tags |= {name: parse_boolean(tags[name]) for name in BOOL_TAGS}
     typed_metadata = {name: parse_integer(metadata[name], "bigint") for name in LONG_METADATA}
@@ -66,11 +74,11 @@ def flatten_samples(raw: DataFrame) -> DataFrame:
         "value": F.col("value"),
         "submetric_parent": parent,
         "submetric_suffix": F.when(parent.isNotNull(), F.col("metric.sub.suffix")),
-        **{name: tags[name] for name in STRING_TAGS},
+        **text_tags,
         **typed_tags,
         **typed_metadata,
-        "extra_tags": _spill(tags, list(STRING_TAGS), typed_tags),
-        "extra_metadata": _spill(metadata, [], typed_metadata),
+        "extra_tags": _spill(tags, text_tags, typed_tags),
+        "extra_metadata": _spill(metadata, {}, typed_metadata),
     }
     consumed = {"ts_unix_nano", "value", "metric", "tags", "metadata"}
     passing = [c for c in raw.columns if c not in consumed]

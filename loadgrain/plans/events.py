@@ -13,16 +13,27 @@ from loadgrain.schema import SAMPLES
 
 N_SECTIONS = 13
 
-# Request phases and their share of the event's value.
-_PHASES = (
-    ("http_req_duration", 1.0),
-    ("http_req_blocked", 0.05),
-    ("http_req_connecting", 0.10),
-    ("http_req_tls_handshaking", 0.15),
-    ("http_req_sending", 0.02),
-    ("http_req_waiting", 0.60),
-    ("http_req_receiving", 0.08),
+# The samples of one event. Measured: how the value comes about, with a factor
+# for shares of the event's own value. Coverage: `http` samples carry name,
+# group, method and status; `group` samples only the group; `none` no such tag.
+MEASUREMENTS = (
+    # metric, type, value type, measured, factor, coverage, check
+    ("http_reqs", "counter", "default", "one", 0.0, "http", None),
+    ("http_req_duration", "trend", "time", "share", 1.0, "http", None),
+    ("http_req_blocked", "trend", "time", "share", 0.05, "http", None),
+    ("http_req_connecting", "trend", "time", "share", 0.10, "http", None),
+    ("http_req_tls_handshaking", "trend", "time", "share", 0.15, "http", None),
+    ("http_req_sending", "trend", "time", "share", 0.02, "http", None),
+    ("http_req_waiting", "trend", "time", "share", 0.60, "http", None),
+    ("http_req_receiving", "trend", "time", "share", 0.08, "http", None),
+    ("http_req_failed", "rate", "default", "failed", 0.0, "http", None),
+    ("checks", "rate", "default", "status", 0.0, "group", "status is 200"),
+    ("checks", "rate", "default", "body", 0.0, "group", "body is non-empty"),
+    ("group_duration", "trend", "time", "group", 0.0, "group", None),
+    ("vus", "gauge", "default", "users", 0.0, "none", None),
+    ("data_received", "counter", "data", "bytes", 0.0, "none", None),
 )
+_FIELDS = "metric_name metric_type value_type measured factor coverage check".split()
 
 
 def _requests(events: DataFrame, run_by: str) -> DataFrame:
@@ -53,68 +64,56 @@ def _requests(events: DataFrame, run_by: str) -> DataFrame:
     )
 
 
-def _measurements() -> list[tuple[str, str, str, Column, str, str | None]]:
-    """Per sample: metric, type, value type, value, tag coverage, check name.
-
-    Coverage: ``http`` samples carry name, group, method and status; ``group``
-    samples only the group; ``none`` no request tags at all.
-    """
+def _measured(events: DataFrame, run_by: str) -> DataFrame:
+    """One row per sample: the request's attributes, the labels and the value."""
+    literal = lambda v: "null" if v is None else repr(v) + "d" * isinstance(v, float)
+    structs = [f"struct({', '.join(map(literal, row))})" for row in MEASUREMENTS]
+    labels = F.inline(F.expr(f"array({', '.join(structs)})")).alias(*_FIELDS)
+    rows = _requests(events, run_by).select("*", labels)
     flag = lambda cond: F.when(cond, 1.0).otherwise(0.0)
-    event_id = F.col("event_id")
-    rows = [("http_reqs", "counter", "default", F.lit(1.0), "http", None)]
-    for metric, share in _PHASES:
-        rows.append((metric, "trend", "time", F.col("ms") * F.lit(share), "http", None))
-    rows += [
-        ("http_req_failed", "rate", "default", flag(F.col("failed")), "http", None),
-        ("checks", "rate", "default", flag(~F.col("failed")), "group", "status is 200"),
-        ("checks", "rate", "default", flag(event_id % 50 != 0), "group", "body is non-empty"),
-        ("group_duration", "trend", "time", F.col("ms") + 100 + event_id % 7, "group", None),
-        ("vus", "gauge", "default", 1.0 + event_id % 12, "none", None),
-        ("data_received", "counter", "data", 100.0 + event_id % 900, "none", None),
-    ]
-    return rows
-
-
-# A gauge is reported less often than requests are made.
-_EMITTED = "(metric_name <> 'vus' OR event_id % 10 = 0)"
+    event_id, measured = F.col("event_id"), F.col("measured")
+    value = (
+        F.when(measured == "share", F.col("ms") * F.col("factor"))
+        .when(measured == "one", F.lit(1.0))
+        .when(measured == "failed", flag(F.col("failed")))
+        .when(measured == "status", flag(~F.col("failed")))
+        .when(measured == "body", flag(event_id % 50 != 0))
+        .when(measured == "group", F.col("ms") + 100 + event_id % 7)
+        .when(measured == "users", 1.0 + event_id % 12)
+        .when(measured == "bytes", 100.0 + event_id % 900)
+    )
+    coverage = F.col("coverage")
+    http = coverage == "http"
+    # The users gauge is reported less often than requests are made.
+    emitted = (measured != "users") | (event_id % 10 == 0)
+    return rows.where(emitted).withColumns(
+        {
+            "value": value,
+            "name": F.when(http, F.col("section")),
+            "group": F.when(coverage != "none", F.concat(F.lit("::"), F.col("section"))),
+            "method": F.when(http, F.col("method")),
+            "status": F.when(http, F.col("status")),
+        }
+    )
 
 
 def samples_from_events(events: DataFrame, run_by: str = "parity") -> DataFrame:
     """Wide samples (the 26 columns) plus ``run_id`` and ``event_id``."""
-    structs = []
-    for metric, kind, unit, value, coverage, check in _measurements():
-        http, grouped = coverage == "http", coverage != "none"
-        group = F.concat(F.lit("::"), F.col("section"))
-        present = {
-            "metric_name": F.lit(metric),
-            "metric_type": F.lit(kind),
-            "value_type": F.lit(unit),
-            "value": value.cast("double"),
-            "group": group if grouped else F.lit(None),
-            "name": F.col("section") if http else F.lit(None),
-            "method": F.col("method") if http else F.lit(None),
-            "status": F.col("status") if http else F.lit(None),
-            "check": F.lit(check),
+    rows = _measured(events, run_by).withColumns(
+        {
+            "scenario": F.lit("default"),
+            "expected_response": ~F.col("failed"),
+            "vu": F.col("user_id"),
+            "iter": F.col("event_id"),
         }
-        structs.append(
-            F.struct(*[c.cast(SAMPLES[n].dataType).alias(n) for n, c in present.items()])
-        )
-    fields = {
-        "scenario": F.lit("default"),
-        "expected_response": ~F.col("failed"),
-        "vu": F.col("user_id"),
-        "iter": F.col("event_id"),
-    }
-    rows = _requests(events, run_by).select(
-        "event_id", "user_id", "failed", "ts_unix_nano", "run_id", F.inline(F.array(*structs))
     )
     columns = [
-        F.col(f"`{f.name}`")
-        if f.name in rows.columns
-        else fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+        (F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None))
+        .cast(f.dataType)
+        .alias(f.name)
         for f in SAMPLES
     ]
-    return rows.where(_EMITTED).select(*columns, "run_id", "event_id")
+    return rows.select(*columns, "run_id", "event_id")
 
 
 def raw_from_events(events: DataFrame, run_by: str = "parity", dirty: bool = False) -> DataFrame:
@@ -123,52 +122,39 @@ def raw_from_events(events: DataFrame, run_by: str = "parity", dirty: bool = Fal
     ``dirty`` adds a custom tag, metadata of its own, and tag and metadata texts
     that do not parse, so that they must spill.
     """
-    rows = _requests(events, run_by)
+    rows = _measured(events, run_by)
     event_id = F.col("event_id")
     text = lambda c: c.cast("string")
     status = text(F.col("status"))
     expected = text(~F.col("failed"))
     vu = text(F.col("user_id"))
-    trace = F.lit(None).cast("string")
-    team = F.lit(None).cast("string")
+    tags = {"scenario": F.lit("default")}
+    metadata = {}
     if dirty:
-        status = F.when(event_id % 97 == 0, "abrupt-disconnect").otherwise(status)
+        broken = F.col("status").isNotNull() & (event_id % 97 == 0)
+        status = F.when(broken, "abrupt-disconnect").otherwise(status)
         expected = F.when(event_id % 89 == 0, "yes").otherwise(expected)
         vu = F.when(event_id % 101 == 0, "n/a").otherwise(vu)
-        trace = F.when(event_id % 20 == 0, F.concat(F.lit("trace-"), text(event_id)))
-        team = F.concat(F.lit("team-"), text(F.col("user_id") % 4))
-
-    def tags(coverage: str, check: str | None) -> Column:
-        entries = {"scenario": F.lit("default"), "expected_response": expected, "team": team}
-        if coverage != "none":
-            entries["group"] = F.concat(F.lit("::"), F.col("section"))
-        if coverage == "http":
-            entries |= {"name": F.col("section"), "method": F.col("method"), "status": status}
-        if check is not None:
-            entries["check"] = F.lit(check)
-        return _present(entries)
-
-    structs = [
-        F.struct(
-            value.cast("double").alias("value"),
-            F.struct(
-                F.lit(metric).alias("name"),
-                F.lit(kind).alias("type"),
-                F.lit(unit).alias("contains"),
-                F.lit(None).cast("struct<parent:string,suffix:string>").alias("sub"),
-            ).alias("metric"),
-            tags(coverage, check).alias("tags"),
-        )
-        for metric, kind, unit, value, coverage, check in _measurements()
-    ]
-    metadata = _present({"vu": vu, "iter": text(event_id), "trace_id": trace})
-    return (
-        rows.select(
-            "event_id", "ts_unix_nano", "run_id", metadata.alias("metadata"),
-            F.inline(F.array(*structs)),
-        )
-        .where(_EMITTED.replace("metric_name", "metric.name"))
-        .select("ts_unix_nano", "value", "metric", "tags", "metadata", "run_id", "event_id")
+        trace = F.concat(F.lit("trace-"), text(event_id))
+        metadata["trace_id"] = F.when(event_id % 20 == 0, trace)
+        tags["team"] = F.concat(F.lit("team-"), text(F.col("user_id") % 4))
+    tags |= {"expected_response": expected, "status": status}
+    tags |= {name: F.col(name) for name in ("group", "name", "method", "check")}
+    metadata |= {"vu": vu, "iter": text(event_id)}
+    metric = F.struct(
+        F.col("metric_name").alias("name"),
+        F.col("metric_type").alias("type"),
+        F.col("value_type").alias("contains"),
+        F.lit(None).cast("struct<parent:string,suffix:string>").alias("sub"),
+    )
+    return rows.select(
+        "ts_unix_nano",
+        "value",
+        metric.alias("metric"),
+        _present(tags).alias("tags"),
+        _present(metadata).alias("metadata"),
+        "run_id",
+        "event_id",
     )
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate for ``df``, or None where it cannot be asked.
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of all the inputs ``df`` reads, or None where the plan is out of reach.
 
-    For a file scan this is the size of the files read, after partition pruning.
+    For files this is the size of the whole table, also where only some of its
+    folders are read, so it errs on the large side. Estimates further up a plan
+    are scaled by assumed column widths and say less.
     """
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:
+    if not hasattr(df, "_jdf"):
         return None
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))

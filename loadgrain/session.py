@@ -31,6 +31,7 @@ def local_session(cores: int | str = 8, name: str = "loadgrain") -> SparkSession
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
     )
@@ -49,10 +50,12 @@ def scratch_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="loadgrain-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="loadgrain-"))
+        root = context.getCheckpointDir().removeprefix("file:")
     return root.rstrip("/")
 
 

@@ -80,7 +80,9 @@ def read_samples(
 
     The schema is given, so nothing is inferred; columns an older file lacks
     are NULL. Adds ``ts`` (the sample clock in microseconds), ``run_id`` from
-    the table's folders (or as given), and ``source_file`` if asked for.
+    the table's folders (or as given), and ``source_file`` if asked for. Several
+    tables, each with run folders of its own, are read one by one and joined
+    with :func:`concatenate`.
     """
     configure(spark)
     # Folder values are text: a run called 0815 must not turn into a number.
