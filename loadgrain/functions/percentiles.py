@@ -30,12 +30,13 @@ from loadgrain.plans.sizing import input_bytes
 from loadgrain.session import settle
 
 # Up to this much input, a single group may hold all of it: files of this size
-# hold some 16 million distinct doubles at most, about 1 GB as aggregation state.
-SMALL_INPUT_BYTES = 64 << 20
+# hold a few million distinct doubles, some hundred MB as aggregation state. From
+# about here on, counting is also the faster route.
+SMALL_INPUT_BYTES = 32 << 20
 # A group with no more rows than this is handed to the built-in aggregate.
-GROUP_ROWS = 2_000_000
+GROUP_ROWS = 100_000
 # A value range with no more distinct values than this is ranked by a window.
-RANGE_VALUES = 500_000
+RANGE_VALUES = 100_000
 # Slots per power of e in the first histogram, and per range in later ones.
 LOG_SLOTS = 256
 LINEAR_SLOTS = 4096
@@ -73,18 +74,34 @@ def grouped_percentiles(
     if method != "refine":
         raise ValueError(f"unknown percentile method {method!r}")
 
-    keyed = df.withColumn(_KEY, _key(by))
-    rows = keyed.select(
-        _KEY,
-        F.col(value).cast("double").alias(_VALUE),
-        (F.lit(1) if weight is None else F.col(weight)).cast("bigint").alias(_N),
-    ).where(F.col(_VALUE).isNotNull() & (F.col(_N) > 0))
-    exact = _refine(rows, percentiles, group_rows, range_values)
-    if exact is None:
+    # One pass finds the size of every group and the other aggregates with it.
+    keyed = df.withColumns(
+        {
+            _KEY: _key(by),
+            _VALUE: F.col(value).cast("double"),
+            _N: (F.lit(1) if weight is None else F.col(weight)).cast("bigint"),
+        }
+    )
+    counts = F.col(_VALUE).isNotNull() & (F.col(_N) > 0)
+    groups = settle(
+        keyed.groupBy(_KEY).agg(
+            F.count_if(counts).alias("__rows"),
+            F.sum(F.when(counts, F.col(_N))).alias("__total"),
+            *aggs,
+        ),
+        "groups",
+    )
+    large = settle(
+        groups.where(F.col("__rows") > group_rows).select(_KEY, F.col("__total").alias("total")),
+        "large",
+    )
+    if large.isEmpty():
         return _builtin(df, by, percentiles, value, weight, aggs)
-    base = keyed.groupBy(_KEY).agg(*(aggs or [F.count("*").alias("__rows")]))
-    names = [c for c in base.columns if c not in (_KEY, "__rows")]
-    return base.join(exact, _KEY, "left").select(
+    rows = keyed.where(counts).select(_KEY, _VALUE, _N)
+    small = _builtin(rows.join(large, _KEY, "left_anti"), [_KEY], percentiles, _VALUE, _N, ())
+    exact = small.unionByName(_refine(rows, large, percentiles, range_values))
+    names = [c for c in groups.columns if c not in (_KEY, "__rows", "__total")]
+    return groups.join(exact, _KEY, "left").select(
         *[F.col(_KEY)[f"k{i}"].alias(name) for i, name in enumerate(by)], *names, *percentiles
     )
 
@@ -117,36 +134,30 @@ def _sketch(df, by, percentiles, value, aggs) -> DataFrame:
     return grouped.select(*[c for c in grouped.columns if c not in ("__s", "__c")], *picked)
 
 
-def _refine(rows, percentiles, group_rows, range_values) -> DataFrame | None:
-    """Percentiles of all groups by counting, or None if every group is small."""
-    sizes = rows.groupBy(_KEY).agg(F.count("*").alias("rows"), F.sum(_N).alias("total"))
-    large = settle(sizes.where(F.col("rows") > group_rows), "large")
-    if large.isEmpty():
-        return None
-
-    small_rows = rows.join(large.select(_KEY), _KEY, "left_anti")
-    small = _builtin(small_rows, [_KEY], percentiles, _VALUE, _N, ())
-
+def _refine(rows, large, percentiles, range_values) -> DataFrame:
+    """Percentiles of the large groups by counting."""
     positions = [F.lit(float(p)) * (F.col("total") - 1) for p in percentiles.values()]
     ranks = [edge for at in positions for edge in (F.floor(at), F.ceil(at))]
     wanted = large.select(_KEY, "total", F.array_distinct(F.array(*ranks)).alias("ranks"))
 
     # First split: fixed slots of equal relative width, the same for all groups.
+    # A slot follows from the value alone, so a group's rows join on it as well
+    # and are never brought together by the group alone.
+    slotted = rows.withColumn("slot", _log_slot(F.col(_VALUE)))
     histogram = (
-        rows.join(large.select(_KEY), _KEY, "left_semi")
-        .withColumn("slot", _log_slot(F.col(_VALUE)))
+        slotted.join(large.select(_KEY), _KEY, "left_semi")
         .groupBy(_KEY, "slot")
         .agg(*_slot_stats())
         .join(wanted.select(_KEY, "ranks", F.lit(0).cast("bigint").alias("below")), _KEY)
     )
     ranges = settle(_holding_ranks(histogram, [_KEY]), "ranges")
     inside = settle(
-        rows.join(ranges.select(_KEY, "lo", "hi"), _KEY)
-        .where(F.col(_VALUE).between(F.col("lo"), F.col("hi")))
+        slotted.join(ranges.select(_KEY, "slot", "lo"), [_KEY, "slot"])
         .groupBy(_KEY, "lo", _VALUE)
         .agg(F.sum(_N).alias(_N)),
         "inside",
     )
+    ranges = ranges.drop("slot")
 
     # Each further split divides a range by LINEAR_SLOTS. A split range always
     # loses at least one of its two ends, so this stops; mostly after one turn.
@@ -167,9 +178,9 @@ def _refine(rows, percentiles, group_rows, range_values) -> DataFrame | None:
             .select(_KEY, "lo", _VALUE, _N),
             "inside",
         )
-        ranges = ranges.drop("outer")
+        ranges = ranges.drop("outer", "slot")
 
-    return small.unionByName(_interpolate(_rank(inside, ranges), wanted, percentiles))
+    return _interpolate(_rank(inside, ranges), wanted, percentiles)
 
 
 def _log_slot(value: Column) -> Column:
@@ -208,7 +219,7 @@ def _holding_ranks(histogram: DataFrame, parts: list[str]) -> DataFrame:
         counted.withColumn("ranks", held)
         .withColumn("below", start)
         .where(F.size("ranks") > 0)
-        .select(*parts, "lo", "hi", "below", "ranks")
+        .select(*parts, "slot", "lo", "hi", "below", "ranks")
     )
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from loadgrain.functions.numbers import round_half_up
 from loadgrain.functions.percentiles import grouped_percentiles
 from loadgrain.operators.latency import BY_NAME, durations
+from loadgrain.operators.runs import attach_runs
+from loadgrain.session import settle
 
 
 def compare_runs(
@@ -65,14 +67,16 @@ def metric_history(
 ) -> DataFrame:
     """p95 per run in order of start, with the change from the run before; unrounded.
 
-    ``runs`` has ``run_id`` and ``start_time``. Runs are chained inside calendar
-    days, and days by their last run, so no window holds a whole history.
+    ``runs`` has ``run_id`` and ``start_time``. The samples are gone through once,
+    to one settled row per run. Runs are chained inside calendar days, and days
+    by their last run, so no window holds a whole history.
     """
-    from loadgrain.operators.runs import attach_runs
-
     keys = {**by, "run_id": "run_id"}
-    per_run = grouped_percentiles(
-        durations(samples, keys, metric), list(keys), {"p95": 0.95}, method=method
+    per_run = settle(
+        grouped_percentiles(
+            durations(samples, keys, metric), list(keys), {"p95": 0.95}, method=method
+        ),
+        "per-run",
     )
     dated = attach_runs(per_run, runs.select("run_id", "start_time")).withColumn(
         "day", F.to_date("start_time")

@@ -145,6 +145,13 @@ ORACLES: dict[str, str] = {
     "latency_sketch_rank_error": f"""{REQUESTS}
 SELECT section, count(*) AS samples, true AS p50_ms_ok, true AS p95_ms_ok, true AS p99_ms_ok
 FROM req GROUP BY section""",
+    "merged_sketch_rank_error": f"""{REQUESTS}
+SELECT section, count(*) AS samples, true AS p50_ms_ok, true AS p95_ms_ok
+FROM req GROUP BY section""",
+    "sql_over_samples": f"""{REQUESTS}
+SELECT time_bucket(INTERVAL 6 HOUR, ts) AS bucket, method, count(*) AS failures,
+  round(avg(ms), 2) AS avg_ms, CAST(count(*) / 4.0::DOUBLE AS INTEGER) AS quarter
+FROM req WHERE failed GROUP BY ALL""",
     "p95_quick_start": f"""{REQUESTS}
 SELECT section AS name, count(*) AS samples, round(quantile_cont(ms, 0.95), 6) AS p95
 FROM req GROUP BY section""",

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from loadgrain.functions.numbers import round_half_up
+from loadgrain.functions.percentiles import grouped_percentiles
+from loadgrain.functions.sql import register_sql
 from loadgrain.functions.timebuckets import month_bucket, sample_time
-from loadgrain.operators import comparison, flatten, latency, requests, runs, timeline
+from loadgrain.operators import comparison, flatten, latency, requests, runs, sketches, timeline
 from loadgrain.plans.events import raw_from_events, runs_from_events, samples_from_events
-from loadgrain.session import configure, scratch_path
+from loadgrain.session import configure, scratch_path, settle
 from loadgrain.sources import provenance
 from loadgrain.sources.raw import read_raw, stream_raw
 from loadgrain.sources.samples import (
@@ -90,26 +92,57 @@ def latency_percentiles_by_endpoint(spark, sf_dir):
     return latency.latency_percentiles(samples_of(spark, sf_dir), by)
 
 
+def _rank_ok(name: str, fraction: float):
+    """Whether a value lies within 1 % of the wanted rank of its group.
+
+    Percentiles are reported to 0.1 ms: the rank may lie anywhere between.
+    """
+    low = F.avg((F.col("value") < F.col(name) - 0.05).cast("int"))
+    high = F.avg((F.col("value") <= F.col(name) + 0.05).cast("int"))
+    return ((low <= fraction + 0.01) & (high >= fraction - 0.01)).alias(name + "_ok")
+
+
 @query
 def latency_sketch_rank_error(spark, sf_dir):
-    """Whether sketched percentiles stay within 1 % of the wanted rank."""
     samples = samples_of(spark, sf_dir)
-    sketched = latency.latency_percentiles(samples, method="sketch")
-    requests_ = latency.durations(samples, latency.BY_NAME, "http_req_duration")
+    # Settled, because a sketch computed twice may differ.
+    sketched = settle(latency.latency_percentiles(samples, method="sketch"), "sketched")
+    return (
+        latency.durations(samples, latency.BY_NAME, "http_req_duration")
+        .join(sketched, "section")
+        .groupBy("section", "samples")
+        .agg(_rank_ok("p50_ms", 0.50), _rank_ok("p95_ms", 0.95), _rank_ok("p99_ms", 0.99))
+    )
 
-    def rank_ok(name, fraction):
-        # Percentiles are reported to 0.1 ms: the rank may lie anywhere between.
-        low = F.avg((F.col("value") < F.col(name) - 0.05).cast("int"))
-        high = F.avg((F.col("value") <= F.col(name) + 0.05).cast("int"))
-        return ((low <= fraction + 0.01) & (high >= fraction - 0.01)).alias(name + "_ok")
 
+@query
+def merged_sketch_rank_error(spark, sf_dir):
+    """Sketches kept per day, merged to the whole month."""
+    samples = samples_of(spark, sf_dir, run_by="day")
+    kept = settle(sketches.latency_sketches(samples), "sketches")
+    merged = sketches.merged_percentiles(kept, ["section"], {"p50_ms": 0.50, "p95_ms": 0.95})
     return (
-        requests_.join(sketched, "section")
+        latency.durations(samples, latency.BY_NAME, "http_req_duration")
+        .join(settle(merged, "merged"), "section")
         .groupBy("section", "samples")
-        .agg(rank_ok("p50_ms", 0.50), rank_ok("p95_ms", 0.95), rank_ok("p99_ms", 0.99))
+        .agg(_rank_ok("p50_ms", 0.50), _rank_ok("p95_ms", 0.95))
     )
 
 
+@query
+def sql_over_samples(spark, sf_dir):
+    """A question nobody prepared, asked in SQL."""
+    samples = samples_of(spark, sf_dir).withColumn("ts", sample_time())
+    register_sql(spark, samples)
+    return spark.sql("""
+        SELECT time_bucket(INTERVAL 6 HOUR, ts) AS bucket, method,
+               count(*) AS failures, round_half_up(avg(value), 2) AS avg_ms,
+               int_half_even(count(*) / 4) AS quarter
+        FROM samples
+        WHERE metric_name = 'http_req_duration' AND NOT expected_response
+        GROUP BY ALL""")
+
+
 @query
 def p95_quick_start(spark, sf_dir):
     by = {"name": "name"}
@@ -219,8 +252,6 @@ def compare_runs_refined(spark, sf_dir):
     keys = latency.BY_NAME
     samples = samples_of(spark, sf_dir)
     rows = latency.durations(samples, {**keys, "run_id": "run_id"}, "http_req_duration")
-    from loadgrain.functions.percentiles import grouped_percentiles
-
     return rounded(
         grouped_percentiles(rows, ["section", "run_id"], {"p95": 0.95}, **SMALL_LIMITS), "p95"
     )

@@ -140,6 +140,8 @@ class RunFileWriter(DataSourceArrowWriter):
 
     A task streams its batches and holds at most one row group in memory. The
     footer counts the file's own rows; the run's total is in the runs table.
+    Hidden names carry the write's id, so that what lost or repeated tasks left
+    behind is found and removed when the write ends.
     """
 
     def __init__(self, options, overwrite: bool) -> None:
@@ -150,6 +152,7 @@ class RunFileWriter(DataSourceArrowWriter):
         self.row_group_size = int(options.get("row_group_size", 100_000))
         self.page_size = int(options.get("page_size", 1 << 20))
         self.overwrite = overwrite
+        self.write_id = uuid.uuid4().hex
 
     def write(self, iterator: Iterator) -> WrittenFile:
         import pyarrow as pa
@@ -157,8 +160,8 @@ class RunFileWriter(DataSourceArrowWriter):
 
         system, folder = _filesystem(self.path)
         system.create_dir(folder, recursive=True)
-        name = f"part-{uuid.uuid4().hex}.parquet"
-        hidden = f"{folder}/.{name}.tmp"
+        name = f"part-{self.write_id[:8]}-{uuid.uuid4().hex}.parquet"
+        hidden = f"{folder}/.{self.write_id}-{name}"
         writer, rows, held, held_rows = None, 0, [], 0
 
         def flush(upto: int) -> None:
@@ -209,19 +212,24 @@ class RunFileWriter(DataSourceArrowWriter):
             older = [
                 entry.path
                 for entry in system.get_file_info(fs.FileSelector(folder))
-                if entry.type == fs.FileType.File and entry.path.endswith(".parquet")
+                if entry.base_name.endswith(".parquet") and not entry.base_name.startswith(".")
             ]
         for message in messages:
             if message is not None and message.hidden is not None:
                 system.move(message.hidden, message.final)
         for path in older:
             system.delete_file(path)
+        self._sweep(system, folder)
 
     def abort(self, messages: list[WrittenFile | None]) -> None:
-        system, _ = _filesystem(self.path)
-        for message in messages:
-            if message is not None and message.hidden is not None:
-                system.delete_file(message.hidden)
+        self._sweep(*_filesystem(self.path))
+
+    def _sweep(self, system, folder: str) -> None:
+        from pyarrow import fs
+
+        for entry in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+            if entry.base_name.startswith(f".{self.write_id}-"):
+                system.delete_file(entry.path)
 
 
 def _with_nanos(batch):

@@ -126,13 +126,13 @@ def test_sketch_is_close(spark):
 
 def test_auto_goes_by_input_size(spark, sf_dir, monkeypatch):
     frame = spark.read.parquet(f"{sf_dir}/events.parquet")
-    taken = []
-    monkeypatch.setattr(module, "_refine", lambda *a: taken.append("refine"))
-    grouped_percentiles(frame, ["event_type"], {"p": 0.5})
-    assert taken == []
+    settled = []
+    monkeypatch.setattr(module, "settle", lambda df, label: settled.append(label) or df)
+    small = grouped_percentiles(frame, ["event_type"], {"p": 0.5}).collect()
+    assert settled == []
     monkeypatch.setattr(module, "SMALL_INPUT_BYTES", 10)
-    grouped_percentiles(frame, ["event_type"], {"p": 0.5})
-    assert taken == ["refine"]
+    large = grouped_percentiles(frame, ["event_type"], {"p": 0.5}).collect()
+    assert settled == ["groups", "large"] and sorted(large) == sorted(small)
 
 
 def test_unknown_method(spark):

@@ -231,7 +231,7 @@ def test_schema_version_guard(spark, portable, tmp_path):
 
 def test_overwrite_and_many_tasks(spark, samples, tmp_path):
     path, rows = str(tmp_path / "run"), samples.where("run_id = 'A'")
-    options = SinkOptions(path, row_group_size=100, compression="gzip")
+    options = SinkOptions(f"file://{path}", row_group_size=100, compression="gzip")
     for _ in range(2):
         provenance.write_portable_run(rows.repartition(3), RunInfo(run_id="A"), options)
     files = sorted((tmp_path / "run").iterdir())
@@ -257,10 +257,12 @@ def test_writer_commits_and_aborts(tmp_path):
     batch = pa.record_batch({"ts_unix_nano": [1, 2], "value": [1.0, 2.0]})
     options = {"path": str(tmp_path), "footer": '{"a": "b"}', "row_group_size": "1"}
     writer = footers.RunFileWriter(options, overwrite=False)
-    kept, dropped = writer.write(iter([batch])), writer.write(iter([batch, batch]))
-    assert writer.write(iter([])).final is None
-    assert not list(tmp_path.glob("*.parquet"))
-    writer.abort([dropped, None])
+    kept, lost = writer.write(iter([batch])), writer.write(iter([batch, batch]))
+    assert writer.write(iter([])).final is None and lost.rows == 4
+    assert all(f.name.startswith(".") for f in tmp_path.iterdir())
+    other = footers.RunFileWriter(options, overwrite=True)
+    other.write(iter([batch]))
+    other.abort([])
     writer.commit([kept, None])
     (file,) = tmp_path.iterdir()
     assert pq.read_metadata(file).num_row_groups == 2
@@ -273,6 +275,10 @@ def test_writer_commits_and_aborts(tmp_path):
         writer.write(broken())
     assert list(tmp_path.iterdir()) == [file]
 
+    renewed = footers.RunFileWriter(options, overwrite=True)
+    renewed.commit([renewed.write(iter([batch]))])
+    assert [f.name == file.name for f in tmp_path.iterdir()] == [False]
+
 
 def test_nanosecond_file(spark, tmp_path):
     stamps = pa.array([1, 1_700_000_000_123_456_789], pa.timestamp("ns", tz="UTC"))
