@@ -95,7 +95,7 @@ def main() -> None:
     samples = read_samples(spark, table)
     samples.groupBy("metric_name").count().collect()
     spark_times = {
-        name: median_time(lambda report=report: report(samples).collect())
+        name: median_time(lambda report=report: report(samples).toArrow())
         for name, report in REPORTS.items()
     }
 
@@ -105,7 +105,7 @@ def main() -> None:
         "CREATE VIEW s AS SELECT * FROM read_parquet("
         f"'{table}/*/*.parquet', hive_partitioning = true)"
     )
-    duck_times = {n: median_time(lambda q=q: con.sql(q).fetchall()) for n, q in DUCK.items()}
+    duck_times = {n: median_time(lambda q=q: con.sql(q).to_arrow_table()) for n, q in DUCK.items()}
 
     rows = samples.count()
     print(

@@ -1,5 +1,8 @@
 """Edge rows of flattening."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +126,19 @@ def test_unknown_labels(spark):
     rows = [raw(), raw(metric=("m", "summary", "time", None)), raw(metric=None)]
     wide = flatten_samples(spark.createDataFrame(rows, RAW))
     assert sorted(r.metric_type for r in unknown_labels(wide).collect()) == ["", "summary"]
+
+
+def test_random_texts_parse_or_spill(spark):
+    """Any text either becomes the number it spells or is kept as it is."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("0123456789+- .\n_ex", k=rng.randint(0, 12))) for _ in range(1500)]
+    texts += [str(rng.randint(-(2**33), 2**33)) for _ in range(500)]
+    rows = [raw(float(i), tags={"status": t}, metadata={"iter": t}) for i, t in enumerate(texts)]
+    for row in flat(spark, *rows):
+        text = texts[int(row.value)]
+        number = int(text) if re.fullmatch(r"[+-]?[0-9]+", text) else None
+        small = number is not None and -(2**31) <= number < 2**31
+        assert row.status == (number if small else None), repr(text)
+        assert row.iter == number, repr(text)
+        assert row.extra_tags == (None if small else {"status": text})
+        assert row.extra_metadata == ({"iter": text} if number is None else None)

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from loadgrain.operators import comparison, latency, requests, runs, timeline
 from loadgrain.plans.events import runs_from_events, samples_from_events
@@ -83,6 +84,27 @@ def test_metric_folders_serve_patterns(spark, tables):
     assert a == requests.request_phases(read_samples(spark, f"{tables}/runs")).collect()
 
 
+def test_a_dominant_run_is_split_again(spark, tables, tmp_path):
+    """Rows of two runs scattered over tasks: a file each, but several for the large one."""
+    samples = read_samples(spark, f"{tables}/runs")
+    hot = F.when(F.col("iter") % 20 == 0, "cold").otherwise("hot")
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.05",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        scattered = samples.repartition(8).withColumn("run_id", hot)
+        write_samples(scattered, SinkOptions(str(tmp_path)), rebalance=True)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    files = {run: len(list(tmp_path.glob(f"run_id={run}/*.parquet"))) for run in ("hot", "cold")}
+    assert files["hot"] > 1 and files["cold"] <= 2
+    assert read_samples(spark, str(tmp_path)).count() == samples.count()
+
+
 def test_top_k_is_not_a_full_sort(table):
     physical = latency.slowest_requests(table)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in physical and "Exchange" not in physical

@@ -214,6 +214,18 @@ def test_footer_paths(spark, portable):
     assert provenance.read_footers(spark, str(file), str(file)).count() == 2 * whole
 
 
+def test_many_files_share_tasks(spark, portable, tmp_path, monkeypatch):
+    (file,) = portable.glob("*.parquet")
+    for i in range(5):
+        (tmp_path / f"f{i}.parquet").write_bytes(file.read_bytes())
+    monkeypatch.setattr(footers, "FILES_PER_TASK", 2)
+    batches = footers.RunFooterReader({"path": str(tmp_path)}).partitions()
+    assert [len(b.files) for b in batches] == [2, 2, 1]
+    assert provenance.schema_versions(spark, str(tmp_path)).count() == 5
+    with pytest.raises(FileNotFoundError):
+        footers.RunFooterReader({"path": str(tmp_path / "none")}).partitions()
+
+
 def test_runs_from_footers(spark, portable):
     (run,) = provenance.runs_from_footers(provenance.read_footers(spark, str(portable))).collect()
     assert (run.run_id, run.sample_count, run.tool_version) == ("r1", 2, "unknown")
