@@ -87,7 +87,12 @@ def read_samples(
     configure(spark)
     # Folder values are text: a run called 0815 must not turn into a number.
     schema = StructType([*SAMPLES.fields, RUN_ID])
-    files = spark.read.schema(schema).parquet(*paths)
+    reader = spark.read.schema(schema)
+    roots = {path.split("/run_id=")[0] for path in paths}
+    if len(roots) == 1 and all("/run_id=" in path for path in paths):
+        # Single run folders of a table: their names still tell the run.
+        reader = reader.option("basePath", roots.pop())
+    files = reader.parquet(*paths)
     extra = [sample_time().alias("ts")]
     extra.append(F.col("run_id") if run_id is None else F.lit(run_id).alias("run_id"))
     if source_file:

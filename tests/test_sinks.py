@@ -114,6 +114,16 @@ def test_run_ids_stay_text(spark, samples, tmp_path):
     assert read_samples(spark, options.path).select("run_id").distinct().collect() == [("0815",)]
 
 
+def test_single_run_folders(spark, samples, tmp_path):
+    options = SinkOptions(str(tmp_path / "t"))
+    write_samples(samples, options)
+    whole = dict(read_samples(spark, options.path).groupBy("run_id").count().collect())
+    both = read_samples(spark, f"{options.path}/run_id=A", f"{options.path}/run_id=B")
+    assert dict(both.groupBy("run_id").count().collect()) == whole
+    only = read_samples(spark, f"{options.path}/run_id=B")
+    assert dict(only.groupBy("run_id").count().collect()) == {"B": whole["B"]}
+
+
 def test_rows_are_clustered_by_metric(samples, tmp_path):
     options = SinkOptions(str(tmp_path / "t"), row_group_size=500)
     write_samples(samples.coalesce(1), options)
