@@ -99,12 +99,10 @@ def test_group_without_values_and_aggregates(spark):
 def test_infinite_and_nan(spark):
     values = [float("-inf"), -1.0, 0.0, 2.0, 5.0, float("inf"), float("nan")] * 50
     frame = spark.createDataFrame([("a", v) for v in values], "k string, value double")
-    wanted = {f"p{i}": i / 6 for i in range(7)}
     found = grouped_percentiles(
         frame, ["k"], {"lo": 0.0, "mid": 0.5, "hi": 1.0}, method="refine", group_rows=5
     ).first()
     assert found.lo == float("-inf") and found.mid == 2.0 and math.isnan(found.hi)
-    assert len(wanted) == 7
 
 
 def test_no_keys(spark):

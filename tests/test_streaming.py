@@ -4,8 +4,9 @@ import json
 from datetime import UTC, datetime
 
 import pytest
-from pyspark.sql import functions as F
 
+from loadgrain.functions.timebuckets import sample_time
+from loadgrain.operators.flatten import flatten_samples
 from loadgrain.operators.runs import RunInfo
 from loadgrain.operators.timeline import throughput_over_time
 from loadgrain.sources.raw import read_raw, stream_raw
@@ -92,13 +93,10 @@ def test_live_equals_batch_on_closed_buckets(spark, tmp_path, exact):
     land(tmp_path / "in", "b", lines[700:])
     landing = str(tmp_path / "in")
 
-    raw_schema_options = SinkOptions(str(tmp_path / "table"))
-    start_ingest(stream_raw(spark, landing), raw_schema_options, str(tmp_path / "cp1"), "r",
+    table = SinkOptions(str(tmp_path / "table"))
+    start_ingest(stream_raw(spark, landing), table, str(tmp_path / "cp1"), "r",
                  drain=True).awaitTermination()
-    batch = throughput_over_time(read_samples(spark, raw_schema_options.path)).collect()
-
-    from loadgrain.functions.timebuckets import sample_time
-    from loadgrain.operators.flatten import flatten_samples
+    batch = throughput_over_time(read_samples(spark, table.path)).collect()
 
     stream = flatten_samples(stream_raw(spark, landing, maxFilesPerTrigger="1")).withColumn(
         "ts", sample_time()
@@ -126,16 +124,3 @@ def test_live_equals_batch_on_closed_buckets(spark, tmp_path, exact):
             (r.bucket, r.reqs, r.vus) for r in closed
         ]
         assert all(abs(a.p95_ms - b.p95_ms) <= 2 for a, b in zip(live, closed, strict=True))
-
-
-def test_live_state_is_keyed_by_value(spark, tmp_path):
-    land(tmp_path / "in", "a", [line(1)])
-    from loadgrain.functions.timebuckets import sample_time
-    from loadgrain.operators.flatten import flatten_samples
-
-    stream = flatten_samples(stream_raw(spark, str(tmp_path / "in"))).withColumn(
-        "ts", sample_time()
-    )
-    counts = live_value_counts(stream)
-    assert counts.isStreaming and counts.columns == ["bucket", "role", "value", "n"]
-    assert F is not None
