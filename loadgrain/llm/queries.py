@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from loadgrain.llm import simhash
-from loadgrain.llm.common import table
+from pyspark.sql import functions as F
+
+from loadgrain.llm import chats, langid, licenses, quality, simhash, sketches
+from loadgrain.llm.common import held_out, table
 
 QUERIES = {}
 ORACLES = {}
@@ -14,6 +16,48 @@ def query(function):
     return function
 
 
+@query
+def op1_chat_formatting(spark, sf_dir):
+    return chats.render(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op1_chat_formatting"] = chats.RENDERED_SQL
+
+
 @query
 def op3_simhash_near_dedup(spark, sf_dir):
     return simhash.fingerprint_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~held_out()))
+    found = langid.predicted(model, F.col("text"))
+    return docs.select("doc_id", held_out().alias("held_out"), found.alias("p")).select(
+        "doc_id", "held_out", "p.lang_pred", "p.score"
+    )
+
+
+@query
+def op7_document_fingerprints(spark, sf_dir):
+    return sketches.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_license_scans(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    model = quality.fit(docs.where(~held_out()), labels)
+    scored = docs.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        quality.score(model, F.col("text")).alias("score"),
+    )
+    good = F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0)
+    return scored.withColumn("predicted", good)
