@@ -4,13 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loadgrain.llm import chats, langid, licenses, quality, simhash, sketches
+from loadgrain.llm import (
+    chats,
+    langid,
+    licenses,
+    mixing,
+    neighbours,
+    pieces,
+    quality,
+    records,
+    simhash,
+    sketches,
+)
 from loadgrain.llm.common import held_out, table
+from loadgrain.session import scratch_path
 
 QUERIES = {}
 ORACLES = {}
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(function):
     QUERIES[function.__name__] = function
     return function
@@ -24,11 +42,30 @@ def op1_chat_formatting(spark, sf_dir):
 ORACLES["op1_chat_formatting"] = chats.RENDERED_SQL
 
 
+@query
+def op2_mixing_to_target_weights(spark, sf_dir):
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_mixing_to_target_weights"] = mixing.mixed_sql()
+
+
 @query
 def op3_simhash_near_dedup(spark, sf_dir):
     return simhash.fingerprint_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_sentencepiece(spark, sf_dir, model=None):
+    model = model or tokenizer_path("piece_bpe_32k.model")
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), model, with_ids=False)
+
+
+@query
+def op5_nearest_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op6_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -44,6 +81,15 @@ def op7_document_fingerprints(spark, sf_dir):
     return sketches.edit_likeness(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_token_records(spark, sf_dir, tokenizer=None):
+    tokenizer = tokenizer or tokenizer_path("byte_bpe_50k.json")
+    folder = scratch_path(spark, "token-records")
+    records.write_records(table(spark, sf_dir, "documents"), tokenizer, folder)
+    index = records.build_index(spark, folder)
+    return index.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @query
 def op9_license_scans(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))

@@ -158,3 +158,201 @@ def fingerprint_components(docs: DataFrame) -> DataFrame:
     return fps.join(by_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+# --- near-duplicates by resemblance, with wide fingerprints as the search ---
+
+LINK_WORDS = 5
+RESEMBLANCE = 0.8
+#: Wide fingerprints: this many blocks of 32 bits. Texts whose distinct words
+#: differ by 2 % agree on a block with probability 0.12, so on one of 48 with 0.998.
+BLOCKS = 48
+#: Blocks shared by more texts than this are compared with a pivot.
+PAIRED_TEXTS = 32
+_LANES = BLOCKS // 2
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def wide_blocks(words: list[bytes]) -> np.ndarray:
+    """SimHash over distinct words: ``BLOCKS`` blocks of 32 bits."""
+    if not words:
+        return np.zeros(BLOCKS, dtype=np.int32)
+    base = np.array([xxhash.xxh64_intdigest(w, SEED) for w in set(words)], dtype=np.uint64)
+    odd = np.arange(1, _LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    lanes = [majority(_mix(base[:, None] + odd[at : at + 8])) for at in range(0, _LANES, 8)]
+    return np.concatenate(lanes).view(np.int32)
+
+
+def _text_classes(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``h1``, ``h2`` (128 bits naming the sequence of words), ``blocks``."""
+
+    def run(batches):
+        for batch in batches:
+            split = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in batch.column(1).to_pylist()]
+            names = [xxhash.xxh3_128_digest(b" ".join(w)) for w in split]
+            pair = np.frombuffer(b"".join(names), dtype="<i8").reshape(-1, 2)
+            blocks = [wide_blocks(w) for w in split]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(pair[:, 0]),
+                    pa.array(pair[:, 1]),
+                    pa.array(blocks, pa.list_(pa.int32())),
+                ],
+                ["doc_id", "h1", "h2", "blocks"],
+            )
+
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id bigint, h1 bigint, h2 bigint, blocks array<int>"
+    )
+
+
+def _shingle_hashes(text: Column) -> Column:
+    """Distinct hashes of five-word shingles (of all words, if fewer)."""
+    # A-Z only, as in the classes; other letters keep their case.
+    lowered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.array_remove(F.split(lowered, r"[\x20\x09-\x0D]+"), "")
+
+    def hashes(w: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (LINK_WORDS - 1), F.lit(1)))
+        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, LINK_WORDS))))
+
+    return F.transform(F.array(words), hashes)[0]
+
+
+def _resemblance(a: Column, b: Column) -> Column:
+    common = F.size(F.array_intersect(a, b))
+    return common / (F.size(a) + F.size(b) - common)
+
+
+def _compared(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """``a``, ``b`` and both shingle arrays ``sa``, ``sb``."""
+    left = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    return pairs.join(left, "a").join(right, "b")
+
+
+def _within_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct pairs ``a < b`` of ``node`` in groups of ``keys``; of large groups, stars."""
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("node").alias("first"))
+    sized = rows.join(sizes.where("n > 1"), keys)
+    small = sized.where(F.col("n") <= PAIRED_TEXTS)
+    pairs = (
+        small.select(*keys, F.col("node").alias("a"))
+        .join(small.select(*keys, F.col("node").alias("b")), keys)
+        .where("a < b")
+        .select("a", "b")
+    )
+    stars = sized.where((F.col("n") > PAIRED_TEXTS) & (F.col("node") != F.col("first")))
+    return pairs.unionByName(stars.select(F.col("first").alias("a"), F.col("node").alias("b"))).distinct()
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``h1``, ``h2``, ``component_id``, ``is_first`` for every row of ``docs``.
+
+    Links are texts with the same words, and texts whose sets of five-word
+    shingles resemble each other by 0.8 or more. SimHash over distinct words finds
+    the candidates: those that share one of 48 blocks of 32 bits.
+
+    Blocks shared by many texts have a pivot, the text that most such blocks
+    share: in a family of copies, its origin. All others are compared with it.
+    Two texts that are not like their pivot can be alike only through shingles
+    the pivot lacks, so those are paired by such shingles. NULL texts count as
+    empty; empty texts are one class. The smallest id names a component.
+    """
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
+    rows = settle(_text_classes(source), "text-classes")
+    # A class of equal texts is named by one of its hashes; both must agree.
+    classes = settle(
+        rows.groupBy("h1", "h2").agg(
+            F.min("doc_id").alias("least"), F.first("blocks").alias("blocks")
+        ).withColumn("node", F.xxhash64("h1", "h2")),
+        "classes",
+    )
+    key = lambda p, v: F.shiftleft(p.cast("bigint"), 32).bitwiseOR(v.cast("bigint").bitwiseAND(0xFFFFFFFF))
+    keyed = classes.select("node", F.posexplode("blocks").alias("p", "v")).select(
+        "node", key(F.col("p"), F.col("v")).alias("key")
+    )
+    sizes = settle(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "block-sizes")
+    shared = settle(keyed.join(sizes, "key"), "shared-blocks")
+    small = shared.where(F.col("n") <= PAIRED_TEXTS)
+    pairs = _within_groups(small.select("key", "node"), ["key"])
+
+    large = shared.where(F.col("n") > PAIRED_TEXTS).select("key", "node")
+    degree = large.groupBy("node").agg(F.count("*").alias("degree"))
+    ranked = large.join(degree, "node")
+    pivots = ranked.groupBy("key").agg(F.max_by("node", F.struct("degree", "node")).alias("pivot"))
+    starred = (
+        large.join(pivots, "key")
+        .where("node <> pivot")
+        .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+        .distinct()
+    )
+    pairs = settle(
+        pairs.withColumn("star", F.lit(False)).unionByName(starred.withColumn("star", F.lit(True))),
+        "pairs",
+    )
+    involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    # One document speaks for a class; its text gives the shingles.
+    chosen = classes.join(involved.distinct(), "node", "left_semi").select("node", "h1", "h2", "least")
+    named = rows.join(
+        chosen.select("node", F.col("least").alias("doc_id"), "h1", "h2"), ["doc_id", "h1", "h2"]
+    ).select("doc_id", "node").distinct()
+    shingles = settle(
+        source.join(named, "doc_id")
+        .select("node", _shingle_hashes(F.coalesce("text", F.lit(""))).alias("shingles"))
+        .groupBy("node")
+        .agg(F.first("shingles").alias("shingles")),
+        "shingles",
+    )
+    compared = settle(
+        _compared(pairs, shingles).select(
+            "a",
+            "b",
+            (_resemblance(F.col("sa"), F.col("sb")) >= RESEMBLANCE).alias("alike"),
+            F.when(F.col("star"), F.array_except("sb", "sa")).alias("extra"),
+        ),
+        "compared",
+    )
+    # What its pivot lacks, of every text that has one; pairs of texts both like it are linked already.
+    extra = compared.where("extra IS NOT NULL").select(
+        F.col("a").alias("pivot"), F.col("b").alias("node"), "alike", F.explode("extra").alias("shingle")
+    )
+    unlike = extra.groupBy("pivot", "shingle").agg(F.bool_or(~F.col("alike")).alias("open"))
+    loose = extra.join(unlike.where("open").drop("open"), ["pivot", "shingle"])
+    second = _compared(_within_groups(loose.select("pivot", "shingle", "node"), ["pivot", "shingle"]), shingles)
+    links = settle(
+        compared.where("alike")
+        .select("a", "b")
+        .unionByName(
+            second.where(_resemblance(F.col("sa"), F.col("sb")) >= RESEMBLANCE).select("a", "b")
+        ),
+        "links",
+    )
+    labels = settle(connected_components(links), "labels")
+    rooted = classes.select("h1", "h2", "node", "least").join(labels, "node", "left").select(
+        "h1", "h2", "least", F.coalesce("root", "node").alias("root")
+    )
+    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_class = settle(rooted.join(names, "root").select("h1", "h2", "component_id"), "components")
+    return rows.select("doc_id", "h1", "h2").join(by_class, ["h1", "h2"])
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each component of :func:`near_duplicates`, all columns as they are.
+
+    The one with the smallest ``doc_id`` stays; of rows that repeat that id, one.
+    Of rows with NULL id, those alone in their component with NULL ids: one.
+    """
+    found = near_duplicates(docs)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("__kept")
+    )
+    kept = settle(kept.distinct(), "kept")
+    matched = docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(kept["__kept"]), "left_semi")
+    return matched.dropDuplicates(["doc_id"])
