@@ -61,11 +61,11 @@ def gram_slots(text: str):
         piece = text[at : at + BATCH_CHARS].lower().encode("utf-32-le", "surrogatepass")
         codes = table[np.frombuffer(piece, dtype="<u4")]
         blank = codes == 32
-        twice = np.flatnonzero(blank[1:] & blank[:-1]) + 1
-        kept = np.delete(codes, twice) if len(twice) else codes
-        run = np.concatenate((tail, kept, np.full(1, 32, dtype=np.uint32)))
-        if at + BATCH_CHARS < len(text):
-            run = run[:-1]
+        # Of blanks in a row, also across stretches, the first counts.
+        again = blank & np.concatenate(([tail[-1] == 32], blank[:-1]))
+        run = np.concatenate((tail, codes[~again]))
+        if at + BATCH_CHARS >= len(text) and run[-1] != 32:
+            run = np.append(run, np.uint32(32))
         hashes = run
         for n in range(1, MAX_GRAM + 1):
             if n > 1:

@@ -37,8 +37,8 @@ class Search:
     k: int = 5
     tables: int = 8
     directions: int = 4
-    width: float = 1.0
-    probes: int = 40
+    width: float = 1.1
+    probes: int = 48
     seed: int = 5
 
     def projections(self, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -22,7 +22,7 @@ from loadgrain.llm.common import share_of
 #: Bounds of the sample to fit on: expected rows of either kind.
 FIT_POSITIVES, FIT_UNLABELLED = 4000, 8000
 THRESHOLD = 0.7
-STEPS, RATE, DECAY = 300, 0.05, 1e-4
+STEPS, RATE, DECAY = 300, 0.05, 2e-3
 BATCH_CHARS = 1 << 18
 SEED = 10
 
@@ -121,7 +121,7 @@ def fit_rows(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Qual
     p, u = x[: len(positive)], x[len(positive) :]
     w = np.zeros(width)
     w[-1] = np.log(prior / (1 - prior))
-    first, second = np.zeros(width), np.zeros(width)
+    first, second, averaged = np.zeros(width), np.zeros(width), np.zeros(width)
     softplus = lambda v: np.logaddexp(0, v)
     for step in range(1, STEPS + 1):
         narrow = w.astype(np.float32)
@@ -136,6 +136,8 @@ def fit_rows(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Qual
         second = 0.999 * second + 0.001 * slope**2
         rate = RATE * (1 - step / (STEPS + 1))
         w -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        averaged += w * (step > STEPS // 2) / (STEPS - STEPS // 2)
+    w = averaged
     folded = np.append(w[:-1] / scale, w[-1] - (w[:-1] / scale) @ mean)
     return QualityModel(prior, folded)
 

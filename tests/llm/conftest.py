@@ -2,12 +2,17 @@ from __future__ import annotations
 
 import pytest
 
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
 
 @pytest.fixture
-def rows_of(spark):
-    """Builds a frame from rows; ``None`` in any place is NULL."""
+def docs_of(spark):
+    """A ``documents`` frame from (doc_id, text, lang, source); further places are NULL."""
 
-    def build(rows, schema="doc_id bigint, text string, lang string, source string, n_chars bigint"):
-        return spark.createDataFrame(rows, schema)
+    def build(rows, more=()):
+        names = [n for n, _ in more]
+        schema = DOCS + "".join(f", {n} {t}" for n, t in more)
+        filled = [(*r, *[None] * (4 - len(r)), 7, *[1] * len(names)) for r in rows]
+        return spark.createDataFrame(filled, schema)
 
     return build

@@ -44,7 +44,7 @@ def brute(rows):
     return sorted((d, f"{x:016x}", roots[d]) for d, x in fps)
 
 
-def test_against_brute_force(spark, rows_of):
+def test_against_brute_force(docs_of):
     rng = random.Random(7)
     words = [f"w{i}" for i in range(40)] + ["Émile", "ÀB", "X"]
     texts = [None, "", " \t\n", "One", "one", "a b", "A B c", " "]
@@ -57,7 +57,7 @@ def test_against_brute_force(spark, rows_of):
     texts += [" ".join(rng.choices(words, k=rng.randrange(1, 9))) for _ in range(60)]
     rows = list(enumerate(texts))
     rng.shuffle(rows)
-    docs = rows_of([(d, t, None, None, 0) for d, t in rows])
+    docs = docs_of(rows)
     got = simhash.fingerprint_components(docs).collect()
     assert sorted(tuple(r) for r in got) == brute(rows)
 
@@ -80,8 +80,9 @@ def test_links_join_what_is_close(spark, paired_block):
     assert plain_components(links, fps) == plain_components(near, fps)
 
 
-def test_empty_table(spark, rows_of):
-    assert simhash.fingerprint_components(rows_of([])).collect() == []
+def test_empty_table(docs_of):
+    assert simhash.fingerprint_components(docs_of([])).collect() == []
+    assert simhash.keep_one(docs_of([])).collect() == []
 
 
 def test_repeated_rows_and_clashing_columns(spark):
@@ -91,3 +92,60 @@ def test_repeated_rows_and_clashing_columns(spark):
     )
     got = simhash.fingerprint_components(docs).collect()
     assert sorted(((r.doc_id or -1), r.component_id) for r in got) == [(-1, 1), (1, 1), (1, 1), (2, 2)]
+
+
+def plain_groups(rows):
+    """Components of texts whose five-word shingles resemble each other by 0.8."""
+    sets = {}
+    for d, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[d] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    links = [
+        (a, b)
+        for a, b in combinations(sets, 2)
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    ]
+    return plain_components(links, sets)
+
+
+def family(rng, base, n, rate):
+    for _ in range(n):
+        yield " ".join(f"e{rng.random()}" if rng.random() < rate else w for w in base)
+
+
+def test_near_duplicates_against_brute_force(docs_of):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randrange(2, 7)))
+    texts = [None, "", " ", "one two", "One  two\n", "a b c d e f"]
+    # A large family round one origin (pivots), with copies too far from it that are like each other.
+    origin = [word() for _ in range(140)]
+    texts += [" ".join(origin), *family(rng, origin, 150, 0.012)]
+    astray = next(family(rng, origin, 1, 0.035)).split()
+    texts += [" ".join(astray), *family(rng, astray, 3, 0.004)]
+    for _ in range(15):
+        base = [word() for _ in range(rng.randrange(12, 200))]
+        texts += [" ".join(base), *family(rng, base, 3, 0.01)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    expected = plain_groups(rows)
+    got = simhash.near_duplicates(docs_of(rows)).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.component_id for r in got} == expected
+    kept = simhash.keep_one(docs_of(rows, more=[("h1", "int"), ("node", "int")]))
+    assert kept.columns[-2:] == ["h1", "node"]
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(expected.values()))
+
+
+def test_keep_one_of_repeated_rows(docs_of):
+    rows = [(1, "p q r"), (1, "p q r"), (2, "P Q R"), (None, "x y"), (None, "x y"), (5, None), (6, "")]
+    kept = simhash.keep_one(docs_of(rows)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept) == [(False, 1), (False, 5), (True, 0)]
+
+
+def test_links_through_a_long_chain(spark):
+    from loadgrain.llm.common import connected_components
+
+    chain = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (7, 7)]
+    random.Random(1).shuffle(chain)
+    got = connected_components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()
+    assert {r.node: r.root for r in got} == {**{i: 0 for i in range(61)}, 100: 100, 200: 100}
