@@ -202,16 +202,21 @@ def nearest(vectors: DataFrame, is_query: Column, search: Search = Search()) ->
     (from 1), ``vec_id``, ``score`` (cosine), nearest first, ties to the smaller
     id. Vectors that are NULL, zero, or hold NULL or non-finite components take
     no part, nor do rows without id; vectors of different lengths are never
-    compared. Rows that repeat an id with the same vector count once.
+    compared. Rows that repeat an id are one, with the smallest of their vectors.
     """
     k = search.k
-    rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
-        F.col("vec_id").cast("bigint").alias("vec_id"),
-        F.col("embedding").cast("array<float>").alias("vector"),
-        is_query.alias("asks"),
+    rows = (
+        vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
+        .select(
+            F.col("vec_id").cast("bigint").alias("vec_id"),
+            F.col("embedding").cast("array<float>").alias("vector"),
+            is_query.alias("asks"),
+        )
+        .groupBy("vec_id")
+        .agg(F.min("vector").alias("vector"), F.bool_or("asks").alias("asks"))
     )
     classes = settle(_classes(rows, k), "vector-classes")
-    asking = rows.where("asks").select("vec_id", "vector").distinct()
+    asking = rows.where("asks").select("vec_id", "vector")
     asking = settle(
         asking.join(classes.select("vector", "id"), "vector").select("vec_id", "id"), "asking"
     )
