@@ -114,10 +114,17 @@ def fit_rows(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Qual
         weights = np.zeros(width)
         weights[-1] = np.log(prior / (1 - prior))
         return QualityModel(prior, weights)
-    both = np.vstack((positive, unlabelled)).astype(np.float64)
-    mean, scale = both.mean(axis=0), both.std(axis=0)
+    # One copy, scaled in place: the driver has little memory to spare.
+    x = np.ones((len(positive) + len(unlabelled), width), dtype=np.float32)
+    x[: len(positive), :-1] = positive
+    x[len(positive) :, :-1] = unlabelled
+    own = x[:, :-1]
+    mean = own.mean(axis=0, dtype=np.float64)
+    own -= mean.astype(np.float32)
+    parts = (own[at : at + 512] for at in range(0, len(own), 512))
+    scale = np.sqrt(sum((part**2).sum(axis=0, dtype=np.float64) for part in parts) / len(own))
     scale[scale < 1e-3] = 1.0
-    x = np.column_stack(((both - mean) / scale, np.ones(len(both)))).astype(np.float32)
+    own /= scale.astype(np.float32)
     p, u = x[: len(positive)], x[len(positive) :]
     w = np.zeros(width)
     w[-1] = np.log(prior / (1 - prior))
@@ -144,9 +151,7 @@ def fit_rows(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Qual
 
 def _sampled(docs: DataFrame, rows: int, seed: int) -> np.ndarray:
     """Features of about ``rows`` rows of ``docs``, chosen by a hash of the id."""
-    n = docs.count()
-    if n == 0:
-        return np.zeros((0, WIDTH), dtype=np.float32)
+    n = max(1, docs.count())
 
     def run(batches):
         for frame in batches:
@@ -155,8 +160,11 @@ def _sampled(docs: DataFrame, rows: int, seed: int) -> np.ndarray:
 
     picked = docs.where(share_of(F.col("doc_id"), rows / n, seed))
     got = picked.mapInPandas(run, "doc_id bigint, row binary").collect()
-    got = sorted((r["doc_id"] or 0, bytes(r["row"])) for r in got)
-    return np.array([np.frombuffer(x, dtype=np.float32) for _, x in got]).reshape(-1, WIDTH)
+    got = sorted((r["doc_id"] or 0, r["row"]) for r in got)
+    found = np.empty((len(got), WIDTH), dtype=np.float32)
+    for i, (_, row) in enumerate(got):
+        found[i] = np.frombuffer(row, dtype=np.float32)
+    return found
 
 
 def class_prior(labels: DataFrame) -> float:
