@@ -55,6 +55,13 @@ from loadgrain.sources.samples import (
     write_samples,
 )
 from loadgrain.streaming.ingest import finalise_run, start_ingest
-from loadgrain.streaming.live import live_throughput, live_value_counts, throughput_from_counts
+from loadgrain.streaming.live import (
+    read_bucket_sketches,
+    read_value_counts,
+    start_bucket_sketches,
+    start_value_counts,
+    throughput_from_counts,
+    throughput_from_sketches,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

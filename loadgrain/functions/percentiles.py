@@ -1,22 +1,14 @@
 """Percentiles per group, with linear interpolation.
 
 Spark's ``percentile`` is exact but keeps every distinct value of a group in one
-task. Raw timings are nearly all distinct, so that is only safe where a group
-is known to be small. Three routes give one result:
-
-``builtin``
-    one aggregation with ``percentile``.
-``refine``
-    groups above ``group_rows`` rows are resolved by counting: a histogram per
-    group finds the narrow value ranges that hold the wanted ranks, only the
-    rows inside those ranges are kept, and the ranges are split again until few
-    enough distinct values remain to be ranked. No task ever holds a group, and
-    all counts are combined map-side. Smaller groups still use ``percentile``.
-``sketch``
-    a KLL sketch per group: one pass, bounded state, approximate.
-
-``auto`` (the default) takes ``builtin`` when the whole input is provably small
-and ``refine`` otherwise. Only ``sketch`` is approximate.
+task. Raw timings are nearly all distinct, so one large group is too much for
+it. Here groups of any size are resolved by counting, in two passes: a histogram
+per group finds the slots that hold the wanted ranks, then only the rows in
+those slots are ranked; slots with many values are split again first. No task
+ever holds a group, and all counts are combined map-side. The result is that of
+``percentile``, to the last bit. There is one route for all sizes.
+
+The method ``sketch`` is approximate: a KLL sketch per group, one pass.
 """
 
 from __future__ import annotations
@@ -26,15 +18,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadgrain.plans.sizing import input_bytes
 from loadgrain.session import settle
 
-# Up to this much input, a single group may hold all of it: files of this size
-# hold a few million distinct doubles, some hundred MB as aggregation state. From
-# about here on, counting is also the faster route.
-SMALL_INPUT_BYTES = 32 << 20
-# A group with no more rows than this is handed to the built-in aggregate.
-GROUP_ROWS = 100_000
 # A value range with no more distinct values than this is ranked by a window.
 RANGE_VALUES = 100_000
 # Slots per power of e in the first histogram, and per range in later ones.
@@ -45,6 +30,15 @@ SKETCH_K = 2048
 
 _KEY, _VALUE, _N = "__key", "__value", "__n"
 
+# Aggregates that can be had from the histogram's rows: how a column is gathered
+# there, and how a group's rows are put together.
+_PARTS = {
+    "count": (F.count, F.sum),
+    "sum": (F.sum, F.sum),
+    "max": (F.max, F.max),
+    "min": (F.min, F.min),
+}
+
 
 def grouped_percentiles(
     df: DataFrame,
@@ -52,77 +46,75 @@ def grouped_percentiles(
     percentiles: Mapping[str, float],
     value: str = "value",
     weight: str | None = None,
-    aggs: Sequence[Column] = (),
-    method: str = "auto",
-    group_rows: int = GROUP_ROWS,
+    aggs: Mapping[str, tuple[str, str]] | None = None,
+    method: str = "exact",
     range_values: int = RANGE_VALUES,
 ) -> DataFrame:
     """One row per group of ``by``: the keys, ``aggs``, and each percentile.
 
     ``percentiles`` maps output names to fractions. NULL values do not count.
-    ``weight`` names a column saying how many times a row's value occurred.
+    ``weight`` names a column saying how many times a row's value occurred; it
+    must not be negative. ``aggs`` maps output names to a kind (count, sum, max,
+    min or avg) and a column, ``*`` for all rows.
     """
-    if method == "auto":
-        size = input_bytes(df)
-        method = "builtin" if size is not None and size <= SMALL_INPUT_BYTES else "refine"
-    if method == "builtin":
-        return _builtin(df, by, percentiles, value, weight, aggs)
+    aggs = dict(aggs or {})
     if method == "sketch":
         if weight is not None:
-            raise ValueError("the sketch route takes unweighted values")
+            raise ValueError("the sketch method takes unweighted values")
         return _sketch(df, by, percentiles, value, aggs)
-    if method != "refine":
+    if method != "exact":
         raise ValueError(f"unknown percentile method {method!r}")
 
-    # One pass finds the size of every group and the other aggregates with it.
-    keyed = df.withColumns(
+    times = F.lit(1) if weight is None else F.col(weight)
+    if weight is not None:
+        wrong = F.raise_error(F.lit("a percentile weight must not be negative"))
+        times = F.when(times < 0, wrong.cast("bigint")).otherwise(times)
+    number = F.col(value).cast("double")
+    counts = number.isNotNull() & (times > 0)
+    rows = df.withColumns(
         {
             _KEY: _key(by),
-            _VALUE: F.col(value).cast("double"),
-            _N: (F.lit(1) if weight is None else F.col(weight)).cast("bigint"),
+            _VALUE: F.when(counts, number),
+            _N: F.when(counts, times.cast("bigint")),
+            "slot": F.when(counts, _log_slot(number)),
         }
     )
-    counts = F.col(_VALUE).isNotNull() & (F.col(_N) > 0)
-    groups = settle(
-        keyed.groupBy(_KEY).agg(
-            F.count_if(counts).alias("__rows"),
-            F.sum(F.when(counts, F.col(_N))).alias("__total"),
-            *aggs,
-        ),
-        "groups",
-    )
-    large = settle(
-        groups.where(F.col("__rows") > group_rows).select(_KEY, F.col("__total").alias("total")),
-        "large",
-    )
-    if large.isEmpty():
-        return _builtin(df, by, percentiles, value, weight, aggs)
-    rows = keyed.where(counts).select(_KEY, _VALUE, _N)
-    small = _builtin(rows.join(large, _KEY, "left_anti"), [_KEY], percentiles, _VALUE, _N, ())
-    exact = small.unionByName(_refine(rows, large, percentiles, range_values))
-    names = [c for c in groups.columns if c not in (_KEY, "__rows", "__total")]
+    histogram = settle(rows.groupBy(_KEY, "slot").agg(*_slot_stats(), *_gathered(aggs)), "histogram")
+    groups = histogram.groupBy(_KEY).agg(F.sum("n").alias("__total"), *_put_together(aggs))
+    exact = _refine(rows, histogram, percentiles, range_values)
     return groups.join(exact, _KEY, "left").select(
-        *[F.col(_KEY)[f"k{i}"].alias(name) for i, name in enumerate(by)], *names, *percentiles
+        *[F.col(_KEY)[f"k{i}"].alias(name) for i, name in enumerate(by)], *aggs, *percentiles
     )
 
 
+def _gathered(aggs: Mapping[str, tuple[str, str]]) -> list[Column]:
+    columns = []
+    for name, (kind, column) in aggs.items():
+        kinds = ("sum", "count") if kind == "avg" else (kind,)
+        columns += [_PARTS[k][0](column).alias(f"__{k}_{name}") for k in kinds]
+    return columns
+
+
+def _put_together(aggs: Mapping[str, tuple[str, str]]) -> list[Column]:
+    part = lambda kind, name: _PARTS[kind][1](f"__{kind}_{name}")
+    return [
+        (part("sum", name) / part("count", name) if kind == "avg" else part(kind, name)).alias(name)
+        for name, (kind, _) in aggs.items()
+    ]
+
+
 def _key(by: Sequence[str]) -> Column:
     """All keys in one struct: equal structs match even where a field is NULL."""
     fields = [F.col(name).alias(f"k{i}") for i, name in enumerate(by)]
     return F.struct(*fields) if fields else F.struct(F.lit(0).alias("k"))
 
 
-def _builtin(df, by, percentiles, value, weight, aggs) -> DataFrame:
-    fractions = F.array(*[F.lit(float(p)) for p in percentiles.values()])
-    args = [F.col(value), fractions] + ([] if weight is None else [F.col(weight)])
-    grouped = df.groupBy(*by).agg(*aggs, F.percentile(*args).alias("__p"))
-    picked = [F.col("__p")[i].alias(name) for i, name in enumerate(percentiles)]
-    return grouped.select(*[c for c in grouped.columns if c != "__p"], *picked)
-
-
 def _sketch(df, by, percentiles, value, aggs) -> DataFrame:
+    plain = {k: v[0] for k, v in _PARTS.items()} | {"avg": F.avg}
     grouped = df.groupBy(*by).agg(
-        *aggs, F.kll_sketch_agg_double(value, SKETCH_K).alias("__s"), F.count(value).alias("__c")
+        *[plain[kind](column).alias(name) for name, (kind, column) in aggs.items()],
+        F.kll_sketch_agg_double(value, SKETCH_K).alias("__s"),
+        F.count(value).alias("__c"),
     )
     # An empty sketch has no quantiles to ask for.
     picked = [
@@ -134,34 +126,35 @@ def _sketch(df, by, percentiles, value, aggs) -> DataFrame:
     return grouped.select(*[c for c in grouped.columns if c not in ("__s", "__c")], *picked)
 
 
-def _refine(rows, large, percentiles, range_values) -> DataFrame:
-    """Percentiles of the large groups by counting."""
+def _refine(rows, histogram, percentiles, range_values) -> DataFrame:
+    """Percentiles of all groups by counting."""
+    totals = histogram.groupBy(_KEY).agg(F.sum("n").alias("total")).where("total > 0")
     positions = [F.lit(float(p)) * (F.col("total") - 1) for p in percentiles.values()]
     ranks = [edge for at in positions for edge in (F.floor(at), F.ceil(at))]
-    wanted = large.select(_KEY, "total", F.array_distinct(F.array(*ranks)).alias("ranks"))
+    wanted = totals.select(_KEY, "total", F.array_distinct(F.array(*ranks)).alias("ranks"))
 
-    # First split: fixed slots of equal relative width, the same for all groups.
-    # A slot follows from the value alone, so a group's rows join on it as well
+    # The first slots are of equal relative width, the same for all groups. A
+    # slot follows from the value alone, so a group's rows join on it as well
     # and are never brought together by the group alone.
-    slotted = rows.withColumn("slot", _log_slot(F.col(_VALUE)))
-    histogram = (
-        slotted.join(large.select(_KEY), _KEY, "left_semi")
-        .groupBy(_KEY, "slot")
-        .agg(*_slot_stats())
-        .join(wanted.select(_KEY, "ranks", F.lit(0).cast("bigint").alias("below")), _KEY)
+    counted = histogram.where("slot IS NOT NULL").join(
+        wanted.select(_KEY, "ranks", F.lit(0).cast("bigint").alias("below")), _KEY
     )
-    ranges = settle(_holding_ranks(histogram, [_KEY]), "ranges")
-    inside = settle(
-        slotted.join(ranges.select(_KEY, "slot", "lo"), [_KEY, "slot"])
+    ranges = settle(_holding_ranks(counted, [_KEY]), "ranges")
+    inside = (
+        rows.where("slot IS NOT NULL")
+        .select(_KEY, "slot", _VALUE, _N)
+        .join(ranges.select(_KEY, "slot", "lo"), [_KEY, "slot"])
         .groupBy(_KEY, "lo", _VALUE)
-        .agg(F.sum(_N).alias(_N)),
-        "inside",
+        .agg(F.sum(_N).alias(_N))
     )
+    crowded = (ranges.agg(F.max("n")).first()[0] or 0) > range_values
     ranges = ranges.drop("slot")
+    if crowded:
+        inside = settle(inside, "inside")
 
     # Each further split divides a range by LINEAR_SLOTS. A split range always
     # loses at least one of its two ends, so this stops; mostly after one turn.
-    while _most_values(inside) > range_values:
+    while crowded and _most_values(inside) > range_values:
         inside = inside.withColumnRenamed("lo", "outer")
         outer = ranges.withColumnsRenamed({"lo": "outer", "hi": "outer_hi"})
         histogram = (
@@ -219,7 +212,7 @@ def _holding_ranks(histogram: DataFrame, parts: list[str]) -> DataFrame:
         counted.withColumn("ranks", held)
         .withColumn("below", start)
         .where(F.size("ranks") > 0)
-        .select(*parts, "slot", "lo", "hi", "below", "ranks")
+        .select(*parts, "slot", "n", "lo", "hi", "below", "ranks")
     )
 
 

@@ -64,12 +64,6 @@ def time_bucket(width: str | int | float, nanos: str | Column = "ts_unix_nano")
     return sample_time(start)
 
 
-def window_offset(width: str | int | float) -> str:
-    """``startTime`` that makes ``F.window`` agree with :func:`time_bucket`."""
-    micros = round(seconds(width) * 1_000_000)
-    return f"{WEEK_ORIGIN_SECONDS * 1_000_000 % micros} microseconds"
-
-
 def month_bucket(months: int, nanos: str | Column = "ts_unix_nano") -> Column:
     """Start of the ``months``-wide calendar bucket holding a nanosecond time."""
     ts = sample_time(nanos)

@@ -21,26 +21,28 @@ def compare_runs(
     by: Mapping[str, str | Column] = BY_NAME,
     run: str | Column = "run_id",
     fraction: float = 0.95,
-    method: str = "auto",
+    method: str = "exact",
+    threshold_ms: float | None = None,
 ) -> DataFrame:
-    """p95 of two runs side by side, largest slowdown first; no join.
+    """p95 of two runs side by side, largest slowdown first.
 
     ``run`` names each sample's run; a section absent from one has NULL there.
+    ``threshold_ms`` keeps slowdowns above it; they are compared before rounding.
     """
     keys = {**by, "__run": run}
     rows = durations(samples, keys, "http_req_duration").where(F.col("__run").isin(run_a, run_b))
     per_run = grouped_percentiles(rows, list(keys), {"p": fraction}, method=method)
     a = F.max(F.when(F.col("__run") == run_a, F.col("p")))
     b = F.max(F.when(F.col("__run") == run_b, F.col("p")))
-    return (
-        per_run.groupBy(*by)
-        .agg(
-            round_half_up(a, 1).alias("a_p95_ms"),
-            round_half_up(b, 1).alias("b_p95_ms"),
-            round_half_up(b - a, 1).alias("delta_ms"),
-        )
-        .orderBy(F.desc_nulls_last("delta_ms"), *[F.asc_nulls_last(k) for k in by])
-    )
+    table = per_run.groupBy(*by).agg(a.alias("a"), b.alias("b")).withColumn("delta", F.expr("b - a"))
+    if threshold_ms is not None:
+        table = table.where(F.col("delta") > threshold_ms)
+    return table.select(
+        *by,
+        round_half_up(F.col("a"), 1).alias("a_p95_ms"),
+        round_half_up(F.col("b"), 1).alias("b_p95_ms"),
+        round_half_up(F.col("delta"), 1).alias("delta_ms"),
+    ).orderBy(F.desc_nulls_last("delta_ms"), *[F.asc_nulls_last(k) for k in by])
 
 
 def regressions(
@@ -49,12 +51,12 @@ def regressions(
     run_b: str,
     threshold_ms: float,
     run: str | Column = "run_id",
-    method: str = "auto",
+    method: str = "exact",
 ) -> DataFrame:
     """Endpoints (name and method) whose p95 grew by more than the threshold."""
     by = {"section": "name", "method": "method"}
-    return compare_runs(samples, run_a, run_b, by, run, method=method).where(
-        F.col("delta_ms") > threshold_ms
+    return compare_runs(
+        samples, run_a, run_b, by, run, method=method, threshold_ms=threshold_ms
     )
 
 
@@ -63,13 +65,14 @@ def metric_history(
     runs: DataFrame,
     metric: str = "http_req_duration",
     by: Mapping[str, str | Column] = BY_NAME,
-    method: str = "auto",
+    method: str = "exact",
 ) -> DataFrame:
     """p95 per run in order of start, with the change from the run before; unrounded.
 
-    ``runs`` has ``run_id`` and ``start_time``. The samples are gone through once,
-    to one settled row per run. Runs are chained inside calendar days, and days
-    by their last run, so no window holds a whole history.
+    ``runs`` has ``run_id`` and ``start_time``. The samples are brought down to
+    one settled row per run first. Runs are chained inside calendar days, and days
+    by their last run, so no window holds a whole history. A run without start
+    time has no run before it, nor is it the one before another.
     """
     keys = {**by, "run_id": "run_id"}
     per_run = settle(
@@ -78,9 +81,9 @@ def metric_history(
         ),
         "per-run",
     )
-    dated = attach_runs(per_run, runs.select("run_id", "start_time")).withColumn(
-        "day", F.to_date("start_time")
-    )
+    attached = attach_runs(per_run, runs.select("run_id", "start_time"))
+    undated = attached.where("start_time IS NULL")
+    dated = attached.where("start_time IS NOT NULL").withColumn("day", F.to_date("start_time"))
     in_day = Window.partitionBy(*by, "day").orderBy("start_time", "run_id")
     position = F.row_number().over(in_day)
     dated = dated.withColumn("in_day", F.lag("p95").over(in_day)).withColumn("nth", position)
@@ -105,5 +108,14 @@ def metric_history(
             F.col("p95").alias("p95_ms"),
             (F.col("p95") - before).alias("change_ms"),
         )
+        .unionByName(
+            undated.select(
+                *by,
+                "run_id",
+                "start_time",
+                F.col("p95").alias("p95_ms"),
+                F.lit(None).cast("double").alias("change_ms"),
+            )
+        )
         .orderBy(*[F.asc_nulls_last(k) for k in by], "start_time", "run_id")
     )

@@ -25,7 +25,7 @@ def latency_percentiles(
     samples: DataFrame,
     by: Mapping[str, str | Column] = BY_NAME,
     metric: str = "http_req_duration",
-    method: str = "auto",
+    method: str = "exact",
     **limits: int,
 ) -> DataFrame:
     """Samples, p50, p95, p99 and maximum per section, slowest p95 first."""
@@ -33,7 +33,7 @@ def latency_percentiles(
         durations(samples, by, metric),
         list(by),
         {"p50_ms": 0.50, "p95_ms": 0.95, "p99_ms": 0.99},
-        aggs=[F.count("*").alias("samples"), F.max("value").alias("max_ms")],
+        aggs={"samples": ("count", "*"), "max_ms": ("max", "value")},
         method=method,
         **limits,
     )
@@ -49,10 +49,10 @@ def p95_by(
     alias: str = "p95_ms",
     count_as: str | None = None,
     metric: str = "http_req_duration",
-    method: str = "auto",
+    method: str = "exact",
 ) -> DataFrame:
     """Unrounded p95 per group, with the number of samples if asked for."""
-    aggs = [F.count("*").alias(count_as)] if count_as else []
+    aggs = {count_as: ("count", "*")} if count_as else {}
     return grouped_percentiles(
         durations(samples, by, metric), list(by), {alias: 0.95}, aggs=aggs, method=method
     ).orderBy(F.desc_nulls_last(alias), *[F.asc_nulls_last(k) for k in by])
@@ -75,7 +75,7 @@ def slowest_requests(samples: DataFrame, k: int = 20) -> DataFrame:
 
 
 def tail_outliers(
-    samples: DataFrame, fraction: float = 0.99, by: str = "name", method: str = "auto"
+    samples: DataFrame, fraction: float = 0.99, by: str = "name", method: str = "exact"
 ) -> DataFrame:
     """Every request slower than its section's ``fraction`` percentile.
 
@@ -105,13 +105,13 @@ def tail_outliers(
     )
 
 
-def status_timing(samples: DataFrame, method: str = "auto") -> DataFrame:
+def status_timing(samples: DataFrame, method: str = "exact") -> DataFrame:
     """How request duration depends on the response status."""
     table = grouped_percentiles(
         durations(samples, {"status": "status"}, "http_req_duration"),
         ["status"],
         {"p50_ms": 0.50, "p95_ms": 0.95},
-        aggs=[F.count("*").alias("requests"), F.avg("value").alias("avg_ms")],
+        aggs={"requests": ("count", "*"), "avg_ms": ("avg", "value")},
         method=method,
     )
     rounded = [round_half_up(F.col(c), 1).alias(c) for c in ("avg_ms", "p50_ms", "p95_ms")]
@@ -129,6 +129,6 @@ def status_correlation(samples: DataFrame, by: str = "name") -> DataFrame:
     )
 
 
-def tag_percentiles(samples: DataFrame, tag: str, method: str = "auto") -> DataFrame:
+def tag_percentiles(samples: DataFrame, tag: str, method: str = "exact") -> DataFrame:
     """Requests and p95 per value of a custom tag; NULL for requests without it."""
     return p95_by(samples, {"tag": F.col("extra_tags")[tag]}, count_as="samples", method=method)

@@ -149,15 +149,26 @@ def bytes_received(samples: DataFrame, by: str = "group") -> DataFrame:
     )
 
 
-def latency_histogram(samples: DataFrame, width: int = 50, per_mark: int = 50) -> DataFrame:
-    """Request durations in ``width`` ms steps, with a text bar per step."""
-    if width <= 0 or per_mark <= 0:
-        raise ValueError("width and per_mark must be > 0")
-    step = F.floor(F.col("value") / width).cast("int") * F.lit(width)
+def latency_histogram(samples: DataFrame, width: int = 50) -> DataFrame:
+    """Number of request durations in each step of ``width`` ms."""
+    if width <= 0:
+        raise ValueError("width must be > 0")
+    step = F.floor(F.col("value") / width) * F.lit(width)
     return (
         samples.where(metric_name() == "http_req_duration")
-        .groupBy(step.alias("ms_bucket_lower"))
+        .groupBy(step.cast("bigint").alias("ms_bucket_lower"))
         .agg(F.count("*").alias("n"))
-        .withColumn("bar", F.repeat(F.lit("▇"), int_half_even(F.col("n") / per_mark)))
         .orderBy(F.asc_nulls_last("ms_bucket_lower"))
     )
+
+
+def with_bars(histogram: DataFrame, per_mark: int) -> DataFrame:
+    """A histogram with a text bar: a mark for every ``per_mark`` of a step's number.
+
+    Choose it by the largest number, as bars are as long as that takes.
+    """
+    if per_mark <= 0:
+        raise ValueError("per_mark must be > 0")
+    return histogram.withColumn(
+        "bar", F.repeat(F.lit("▇"), int_half_even(F.col("n") / per_mark))
+    )

@@ -18,46 +18,43 @@ def throughput_over_time(
     samples: DataFrame,
     width: str | int = "5 seconds",
     bucket: Column | None = None,
-    method: str = "auto",
+    method: str = "exact",
     **limits: int,
 ) -> DataFrame:
     """Requests, p95 and virtual users per time bucket.
 
     Every sample opens its bucket, whatever its metric.
     """
-    if bucket is None:
-        bucket = time_bucket(width)
-    rows = samples.select(
-        bucket.alias("bucket"),
-        F.when(F.col("metric_name") == "http_reqs", 1).alias("req"),
-        value_of("http_req_duration").alias("ms"),
-        value_of("vus").alias("vu"),
+    table = _throughput(samples, width, bucket, method, **limits)
+    return table.withColumn("p95_ms", round_half_up(F.col("p95_ms"), 1)).orderBy("bucket")
+
+
+def _throughput(samples, width, bucket=None, method="exact", **limits) -> DataFrame:
+    """The series with its p95 unrounded.
+
+    Counts need all samples; the percentiles read the one metric they are of.
+    """
+    bucket = (time_bucket(width) if bucket is None else bucket).alias("bucket")
+    counts = samples.groupBy(bucket).agg(
+        F.count_if(F.col("metric_name") == "http_reqs").alias("reqs"),
+        F.max(value_of("vus")).alias("vus"),
     )
-    table = grouped_percentiles(
-        rows,
-        ["bucket"],
-        {"p95_ms": 0.95},
-        value="ms",
-        aggs=[F.count("req").alias("reqs"), F.max("vu").alias("vus")],
-        method=method,
-        **limits,
+    timed = samples.where(F.col("metric_name") == "http_req_duration").select(bucket, "value")
+    p95 = grouped_percentiles(timed, ["bucket"], {"p95_ms": 0.95}, method=method, **limits)
+    p95 = p95.withColumnRenamed("bucket", "timed")
+    return counts.join(p95, F.col("bucket").eqNullSafe(F.col("timed")), "left").select(
+        "bucket", "reqs", "p95_ms", int_half_even(F.col("vus")).alias("vus")
     )
-    return table.select(
-        "bucket",
-        "reqs",
-        round_half_up(F.col("p95_ms"), 1).alias("p95_ms"),
-        int_half_even(F.col("vus")).alias("vus"),
-    ).orderBy("bucket")
 
 
 def first_breach(
-    samples: DataFrame, limit_ms: float, width: str | int = "5 seconds", method: str = "auto"
+    samples: DataFrame, limit_ms: float, width: str | int = "5 seconds", method: str = "exact"
 ) -> DataFrame:
-    """The first bucket whose p95 lies above ``limit_ms``; no row if none does."""
+    """The first bucket whose p95 lies above ``limit_ms``, compared before rounding."""
     return (
-        throughput_over_time(samples, width, method=method)
+        _throughput(samples, width, method=method)
         .where(F.col("p95_ms") > limit_ms)
         .orderBy("bucket")
         .limit(1)
-        .select("bucket", "reqs", "p95_ms")
+        .select("bucket", "reqs", round_half_up(F.col("p95_ms"), 1).alias("p95_ms"))
     )

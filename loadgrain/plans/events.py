@@ -27,8 +27,8 @@ MEASUREMENTS = (
     ("http_req_waiting", "trend", "time", "share", 0.60, "http", None),
     ("http_req_receiving", "trend", "time", "share", 0.08, "http", None),
     ("http_req_failed", "rate", "default", "failed", 0.0, "http", None),
-    ("checks", "rate", "default", "status", 0.0, "group", "status is 200"),
-    ("checks", "rate", "default", "body", 0.0, "group", "body is non-empty"),
+    ("checks", "rate", "default", "status", 0.0, "group", "answered in full"),
+    ("checks", "rate", "default", "body", 0.0, "group", "has a page"),
     ("group_duration", "trend", "time", "group", 0.0, "group", None),
     ("vus", "gauge", "default", "users", 0.0, "none", None),
     ("data_received", "counter", "data", "bytes", 0.0, "none", None),
@@ -132,7 +132,7 @@ def raw_from_events(events: DataFrame, run_by: str = "parity", dirty: bool = Fal
     metadata = {}
     if dirty:
         broken = F.col("status").isNotNull() & (event_id % 97 == 0)
-        status = F.when(broken, "abrupt-disconnect").otherwise(status)
+        status = F.when(broken, "cut-off").otherwise(status)
         expected = F.when(event_id % 89 == 0, "yes").otherwise(expected)
         vu = F.when(event_id % 101 == 0, "n/a").otherwise(vu)
         trace = F.concat(F.lit("trace-"), text(event_id))

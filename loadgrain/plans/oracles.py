@@ -42,8 +42,8 @@ SAMPLES = (
     ('http_req_waiting', 'trend', 'time', 'share', 0.60::DOUBLE, NULL, true, true),
     ('http_req_receiving', 'trend', 'time', 'share', 0.08::DOUBLE, NULL, true, true),
     ('http_req_failed', 'rate', 'default', 'failed', 0::DOUBLE, NULL, true, true),
-    ('checks', 'rate', 'default', 'ok', 0::DOUBLE, 'status is 200', false, true),
-    ('checks', 'rate', 'default', 'body', 0::DOUBLE, 'body is non-empty', false, true),
+    ('checks', 'rate', 'default', 'ok', 0::DOUBLE, 'answered in full', false, true),
+    ('checks', 'rate', 'default', 'body', 0::DOUBLE, 'has a page', false, true),
     ('group_duration', 'trend', 'time', 'group', 0::DOUBLE, NULL, false, true),
     ('vus', 'gauge', 'default', 'users', 0::DOUBLE, NULL, false, false),
     ('data_received', 'counter', 'data', 'bytes', 0::DOUBLE, NULL, false, false)
@@ -65,20 +65,22 @@ FROM (SELECT section, quantile_cont(ms, 0.95) AS p FROM req WHERE run = 'A' GROU
 FULL JOIN (SELECT section, quantile_cont(ms, 0.95) AS p FROM req WHERE {b} GROUP BY section) b
 USING (section)"""
 
+_ORDERED_DELTAS = """
+SELECT section, row_number() OVER (ORDER BY round(b - a, 1) DESC NULLS LAST, section) AS place
+FROM (SELECT section, quantile_cont(ms, 0.95) FILTER (run = 'A') AS a,
+             quantile_cont(ms, 0.95) FILTER (run = 'B' AND section <> 'section-12') AS b
+      FROM req GROUP BY section)"""
+
 _TOTALS = """count(*) AS n, round(sum(v), 4) AS total, min(ts) AS first, max(ts) AS last
 FROM smp"""
 
 
-def _throughput(bucket: str, having: str = "") -> str:
+def _throughput(bucket: str) -> str:
     return f"""{REQUESTS}
 SELECT {bucket} AS bucket, count(*) AS reqs, round(quantile_cont(ms, 0.95), 1) AS p95_ms,
        max(users) AS vus
-FROM req GROUP BY 1 {having}"""
-
+FROM req GROUP BY 1"""
 
-# Appended results leave out windows the watermark has not passed.
-_CLOSED = """HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR
-  <= (SELECT max(ts) - INTERVAL 10 SECOND FROM events)"""
 
 _DIRTY = """
 SELECT event_id, ts, metric_name, metric_type, value_type, round(v, 6) AS value,
@@ -92,7 +94,7 @@ SELECT event_id, ts, metric_name, metric_type, value_type, round(v, 6) AS value,
   CASE WHEN event_id % 101 <> 0 THEN user_id END AS vu,
   event_id AS iter,
   'team-' || (user_id % 4) AS team,
-  CASE WHEN http AND event_id % 97 = 0 THEN 'abrupt-disconnect' END AS spilled_status,
+  CASE WHEN http AND event_id % 97 = 0 THEN 'cut-off' END AS spilled_status,
   CASE WHEN event_id % 89 = 0 THEN 'yes' END AS spilled_expected,
   CAST(1 + CAST(http AND event_id % 97 = 0 AS INTEGER)
          + CAST(event_id % 89 = 0 AS INTEGER) AS INTEGER) AS n_extra_tags,
@@ -192,11 +194,10 @@ FROM req GROUP BY section""",
     "bytes_received": """
 SELECT NULL::VARCHAR AS "group", sum(100 + event_id % 900)::DOUBLE AS bytes FROM events""",
     "latency_histogram": """
-SELECT CAST(50 * floor(value / 50) AS INTEGER) AS ms_bucket_lower, count(*) AS n,
-  repeat('▇', CAST(count(*) / 50.0::DOUBLE AS INTEGER)) AS bar
+SELECT CAST(50 * floor(value / 50) AS BIGINT) AS ms_bucket_lower, count(*) AS n
 FROM events GROUP BY 1""",
     "latency_histogram_fine": """
-SELECT CAST(5 * floor(value / 5) AS INTEGER) AS ms_bucket_lower, count(*) AS n,
+SELECT CAST(5 * floor(value / 5) AS BIGINT) AS ms_bucket_lower, count(*) AS n,
   repeat('▇', CAST(count(*) / 4.0::DOUBLE AS INTEGER)) AS bar
 FROM events GROUP BY 1""",
     "slowest_requests": f"""{REQUESTS}
@@ -219,7 +220,7 @@ SELECT section, method, round(a, 1) AS a_p95_ms, round(b, 1) AS b_p95_ms,
   round(b - a, 1) AS delta_ms
 FROM (SELECT section, method, quantile_cont(ms, 0.95) FILTER (run = 'A') AS a,
              quantile_cont(ms, 0.95) FILTER (run = 'B') AS b FROM req GROUP BY section, method)
-WHERE round(b - a, 1) > 2.0""",
+WHERE b - a > 2.0""",
     "status_timing": f"""{REQUESTS}
 SELECT status, count(*) AS requests, round(avg(ms), 1) AS avg_ms,
   round(quantile_cont(ms, 0.5), 1) AS p50_ms, round(quantile_cont(ms, 0.95), 1) AS p95_ms
@@ -228,32 +229,44 @@ FROM req GROUP BY status""",
 SELECT section, count(*) AS requests, round(corr(status, ms), 6) AS status_corr
 FROM req GROUP BY section""",
     "first_breach": f"""{REQUESTS}
-SELECT bucket, reqs, p95_ms FROM (
+SELECT bucket, reqs, round(p95, 1) AS p95_ms FROM (
   SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket, count(*) AS reqs,
-         round(quantile_cont(ms, 0.95), 1) AS p95_ms FROM req GROUP BY 1)
-WHERE p95_ms > 200 ORDER BY bucket LIMIT 1""",
+         quantile_cont(ms, 0.95) AS p95 FROM req GROUP BY 1)
+WHERE p95 > 200 ORDER BY bucket LIMIT 1""",
     "metric_history": f"""{REQUESTS}
 , per_run AS (SELECT section, day_run AS run_id, quantile_cont(ms, 0.95) AS p
               FROM req GROUP BY section, day_run),
-starts AS (SELECT day_run AS run_id, min(ts) AS start_time FROM req GROUP BY day_run)
+starts AS (SELECT day_run AS run_id, min(ts) AS start_time FROM req
+           GROUP BY day_run
+           HAVING day_run NOT IN ('day-2024-01-05', 'day-2024-01-06'))
 SELECT section, run_id, start_time, round(p, 6) AS p95_ms,
-  round(p - lag(p) OVER (PARTITION BY section ORDER BY start_time), 6) AS change_ms
-FROM per_run JOIN starts USING (run_id)""",
+  CASE WHEN start_time IS NOT NULL THEN
+    round(p - lag(p) OVER (PARTITION BY section, start_time IS NULL ORDER BY start_time), 6)
+  END AS change_ms
+FROM per_run LEFT JOIN starts USING (run_id)""",
     "flatten_rows": SAMPLES + _DIRTY,
     "flatten_edge_texts": _EDGE_TEXTS,
-    "submetric_split": f"""{REQUESTS}
-SELECT CASE WHEN failed THEN 'http_req_duration{{status:500}}' ELSE 'http_req_duration' END
+    "submetric_split": f"""{SAMPLES}
+SELECT CASE WHEN failed AND http THEN metric_name || '{{status:500}}' ELSE metric_name END
     AS metric_name,
-  CASE WHEN failed THEN 'http_req_duration' END AS submetric_parent,
-  CASE WHEN failed THEN 'status:500' END AS submetric_suffix, count(*) AS n
-FROM req GROUP BY ALL""",
+  CASE WHEN failed AND http THEN metric_name END AS submetric_parent,
+  CASE WHEN failed AND http THEN 'status:500' END AS submetric_suffix, count(*) AS n
+FROM smp GROUP BY ALL""",
     "containers_exploded": f"""{SAMPLES}
 SELECT metric_name, count(*) AS n, round(sum(v), 4) AS total FROM smp GROUP BY metric_name""",
     "unknown_labels": f"""{SAMPLES}
 SELECT metric_name, 'summary' AS metric_type, count(*) AS n
 FROM smp WHERE event_id % 40 = 0 GROUP BY metric_name""",
-    "empty_batch": """
-SELECT event_type AS metric_name, count(*) AS n FROM events WHERE event_id < 0 GROUP BY 1""",
+    "empty_batch": f"""{SAMPLES}
+SELECT metric_name, count(*) AS n FROM smp WHERE event_id % 2 = 0 GROUP BY 1""",
+    "order_by_p95": f"""{REQUESTS}
+SELECT section, row_number() OVER (ORDER BY round(quantile_cont(ms, 0.95), 1) DESC, section) AS place
+FROM req GROUP BY section""",
+    "order_of_deltas": REQUESTS + _ORDERED_DELTAS,
+    "order_by_three_keys": f"""{SAMPLES}
+SELECT section, check_name,
+  row_number() OVER (ORDER BY round(100 * avg(v), 2), section, check_name) AS place
+FROM smp WHERE check_name IS NOT NULL GROUP BY section, check_name""",
     "custom_tag_percentiles": f"""{REQUESTS}
 SELECT 'team-' || (user_id % 4) AS tag, count(*) AS samples,
   round(quantile_cont(ms, 0.95), 6) AS p95_ms FROM req GROUP BY 1""",
@@ -265,22 +278,31 @@ FROM req WHERE user_id % 4 = 1 GROUP BY section""",
 WHERE http GROUP BY 1, 2""",
     "run_replaced": f"""{SAMPLES} SELECT run AS run_id, metric_name, {_TOTALS}
 WHERE run = 'A' OR metric_name = 'http_reqs' GROUP BY 1, 2""",
+    "run_replaced_by_metric": f"""{SAMPLES} SELECT run AS run_id,
+  CASE WHEN metric_name = 'vus' THEN '' ELSE metric_name END AS metric_name, {_TOTALS}
+WHERE metric_name IN ('vus', 'http_reqs') GROUP BY 1, 2""",
+    "run_replaced_empty": f"""{SAMPLES}
+SELECT run AS run_id, CAST(sum(CAST(run = 'A' AND event_id % 5 > 0 AS INTEGER)) AS BIGINT) AS sample_count,
+  CAST(sum(CAST(run = 'A' AND event_id % 5 > 0 AS INTEGER)) AS BIGINT) AS n
+FROM smp GROUP BY 1""",
     "run_files_compared": REQUESTS + _COMPARED.format(b="run = 'B'"),
     "runs_concatenated": f"""{SAMPLES}
 SELECT run AS run_id, CASE WHEN run = 'B' THEN check_name END AS check_name, count(*) AS n
 FROM smp GROUP BY 1, 2""",
     "run_footer_pairs": SAMPLES + _FOOTER,
     "run_script_options": """
-SELECT '{"iterations":5000,"vus":12}' AS value, 12::INTEGER AS vus""",
+SELECT printf('{"iterations":%d,"vus":12}', count(*)) AS value, 12::INTEGER AS vus,
+  count(*) AS iterations FROM events""",
     "runs_from_footers": f"""{SAMPLES}
 SELECT 'nightly-1' AS run_id, 'nightly' AS run_name, '1.2.3' AS tool_version,
   count(*) AS sample_count, 1000::BIGINT AS row_group_size,
   TIMESTAMP '2024-01-01 00:00:00' AS start_time,
   TIMESTAMP '2024-01-31 01:02:03.5' AS end_time, 30::INTEGER AS days
 FROM smp""",
-    "schema_version_check": "SELECT '1' AS schema_version",
-    "nanosecond_files": """
-SELECT epoch_us(ts) * 1000 + event_id % 1000 AS ts_unix_nano, ts, event_id FROM events""",
+    "schema_version_check": f"{SAMPLES} SELECT '1' AS schema_version, count(*) AS samples FROM smp",
+    "nanosecond_files": f"""{SAMPLES}
+SELECT epoch_us(ts) * 1000 + event_id % 1000 AS ts_unix_nano, ts, event_id, metric_name,
+  check_name AS "check" FROM smp""",
     "run_records": f"""{SAMPLES}
 SELECT run AS run_id, '1' AS schema_version, count(*) AS sample_count, 'zstd' AS compression,
   100000::BIGINT AS row_group_size, TIMESTAMP '2024-01-01 00:00:00' AS start_time,
@@ -294,10 +316,10 @@ SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN
   printf('{"duration":null,"stages":[{"duration":"1m","target":%d}],"vus":%d}',
          event_id % 9, user_id) END AS script_options
 FROM events""",
-    "runs_attached": f"""{REQUESTS}
+    "runs_attached": f"""{SAMPLES}
 SELECT CASE WHEN day_run < 'day-2024-01-25' THEN 'host-' || right(day_run, 1) END AS hostname,
   count(*) AS n, count(DISTINCT day_run) AS runs
-FROM req GROUP BY 1""",
+FROM smp GROUP BY 1""",
     "runs_joined_external": f"""{SAMPLES}
 SELECT day_run AS run_id, count(*) AS sample_count, any_value(n_name) AS annotation
 FROM smp LEFT JOIN nation ON day_run = printf('day-2024-01-%02d', n_nationkey + 1)
@@ -309,8 +331,11 @@ SELECT metric_name, CASE WHEN http AND event_id % 97 <> 0 THEN status END AS sta
     "stream_finalised": f"""{SAMPLES}
 SELECT 'live' AS run_id, count(*) AS sample_count,
   TIMESTAMP '2024-01-01 00:00:00' AS start_time, max(ts) AS end_time FROM smp""",
-    "stream_throughput": _throughput("time_bucket(INTERVAL 1 HOUR, ts)", _CLOSED),
+    "stream_two_runs": f"{SAMPLES} SELECT run AS run_id, metric_name, {_TOTALS} GROUP BY 1, 2",
+    "stream_then_batch": f"{SAMPLES} SELECT run AS run_id, metric_name, {_TOTALS} GROUP BY 1, 2",
+    "stream_throughput": _throughput("time_bucket(INTERVAL 1 HOUR, ts)"),
     "stream_throughput_sketch": f"""{REQUESTS}
-SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket, count(*) AS reqs, max(users) AS vus
-FROM req GROUP BY 1 {_CLOSED}""",
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket, count(*) AS reqs, max(users) AS vus,
+  true AS p95_ok
+FROM req GROUP BY 1""",
 }

@@ -10,14 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from loadgrain.functions.numbers import round_half_up
 from loadgrain.functions.percentiles import grouped_percentiles
 from loadgrain.functions.sql import register_sql
-from loadgrain.functions.timebuckets import month_bucket, sample_time
+from loadgrain.functions.timebuckets import month_bucket, sample_time, time_bucket
 from loadgrain.operators import comparison, flatten, latency, requests, runs, sketches, timeline
 from loadgrain.plans.events import raw_from_events, runs_from_events, samples_from_events
 from loadgrain.session import configure, scratch_path, settle
@@ -25,6 +25,7 @@ from loadgrain.sources import provenance
 from loadgrain.sources.raw import read_raw, stream_raw
 from loadgrain.sources.samples import (
     SinkOptions,
+    compact_run,
     concatenate,
     label_by_source,
     read_runs,
@@ -38,8 +39,8 @@ from loadgrain.streaming import ingest, live
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Small limits, so that the counting route really runs on small test data.
-SMALL_LIMITS = {"method": "refine", "group_rows": 200, "range_values": 20}
+# A small limit, so that slots are split further also on small test data.
+SMALL_LIMITS = {"range_values": 20}
 START = datetime(2024, 1, 1, tzinfo=UTC)
 END = datetime(2024, 1, 31, 1, 2, 3, 500000, tzinfo=UTC)
 
@@ -212,7 +213,8 @@ def latency_histogram(spark, sf_dir):
 
 @query
 def latency_histogram_fine(spark, sf_dir):
-    return requests.latency_histogram(samples_of(spark, sf_dir), width=5, per_mark=4)
+    """Narrow steps, with a bar of one mark for every four requests."""
+    return requests.with_bars(requests.latency_histogram(samples_of(spark, sf_dir), width=5), 4)
 
 
 @query
@@ -247,6 +249,30 @@ def compare_runs(spark, sf_dir):
     return comparison.compare_runs(both, "A", "B")
 
 
+def _placed(report: DataFrame, *columns: str) -> DataFrame:
+    """The place of each row in a report's order; reports are small."""
+    numbered = report.select(*columns, F.monotonically_increasing_id().alias("__at"))
+    return numbered.select(*columns, F.row_number().over(Window.orderBy("__at")).cast("bigint").alias("place"))
+
+
+@query
+def order_by_p95(spark, sf_dir):
+    """Descending order."""
+    return _placed(latency.latency_percentiles(samples_of(spark, sf_dir)), "section")
+
+
+@query
+def order_of_deltas(spark, sf_dir):
+    """Descending order, NULL last."""
+    both = samples_of(spark, sf_dir).where("NOT (run_id = 'B' AND name = 'section-12')")
+    return _placed(comparison.compare_runs(both, "A", "B"), "section")
+
+
+@query
+def order_by_three_keys(spark, sf_dir):
+    return _placed(requests.check_pass_rate(samples_of(spark, sf_dir)), "section", "check_name")
+
+
 @query
 def compare_runs_refined(spark, sf_dir):
     keys = latency.BY_NAME
@@ -287,9 +313,11 @@ def first_breach(spark, sf_dir):
 
 @query
 def metric_history(spark, sf_dir):
+    """p95 per day's run; two runs have no known start."""
     events = events_of(spark, sf_dir)
     samples = samples_from_events(events, run_by="day")
-    history = comparison.metric_history(samples, runs_from_events(events))
+    known = runs_from_events(events).where("run_id NOT IN ('day-2024-01-05', 'day-2024-01-06')")
+    history = comparison.metric_history(samples, known)
     return rounded(history, "p95_ms", "change_ms")
 
 
@@ -377,14 +405,14 @@ def flatten_edge_texts(spark, sf_dir):
 
 @query
 def submetric_split(spark, sf_dir):
-    raw = raw_of(spark, sf_dir).where(F.col("metric.name") == "http_req_duration")
+    raw, parent = raw_of(spark, sf_dir), F.col("metric.name")
     suffix = F.concat(F.lit("status:"), F.col("tags")["status"])
-    named = F.concat(F.lit("http_req_duration{"), suffix, F.lit("}"))
-    sub = F.struct(F.lit("http_req_duration").alias("parent"), suffix.alias("suffix"))
+    named = F.concat(parent, F.lit("{"), suffix, F.lit("}"))
+    sub = F.struct(parent.alias("parent"), suffix.alias("suffix"))
     failed = F.col("tags")["status"] == "500"
     metric = F.when(
-        failed, F.struct(named.alias("name"), F.lit("trend").alias("type"),
-                         F.lit("time").alias("contains"), sub.alias("sub"))
+        failed, F.struct(named.alias("name"), F.col("metric.type").alias("type"),
+                         F.col("metric.contains").alias("contains"), sub.alias("sub"))
     ).otherwise(F.col("metric"))
     wide = flatten.flatten_samples(raw.withColumn("metric", metric))
     return wide.groupBy("metric_name", "submetric_parent", "submetric_suffix").agg(
@@ -420,9 +448,12 @@ def unknown_labels(spark, sf_dir):
 
 @query
 def empty_batch(spark, sf_dir):
-    """No raw samples give no rows, and no error."""
+    """A batch without samples next to one with some gives no rows, and no error."""
+    raw = raw_of(spark, sf_dir)
+    none, some = raw.where("event_id < 0"), raw.where("event_id % 2 = 0")
     return (
-        flatten.flatten_samples(raw_of(spark, sf_dir).where("event_id < 0"))
+        flatten.flatten_samples(none)
+        .unionByName(flatten.flatten_samples(some))
         .groupBy("metric_name")
         .agg(F.count("*").alias("n"))
     )
@@ -480,6 +511,38 @@ def run_replaced(spark, sf_dir):
     return _table_totals(read_samples(spark, options.path), "run_id", "metric_name")
 
 
+@query
+def run_replaced_by_metric(spark, sf_dir):
+    """Rewriting both runs with one metric leaves nothing of the others, nor of an empty name."""
+    options = SinkOptions(scratch_path(spark, "table"))
+    samples = samples_of(spark, sf_dir)
+    unnamed = F.when(F.col("metric_name") != "vus", F.col("metric_name")).otherwise("")
+    write_samples(samples.withColumn("metric_name", unnamed), options, by_metric=True)
+    before = read_samples(spark, options.path).where("metric_name = ''")
+    before = settle(_table_totals(before, "run_id", "metric_name"), "before")
+    write_samples(samples.where("metric_name = 'http_reqs'"), options, by_metric=True)
+    after = _table_totals(read_samples(spark, options.path), "run_id", "metric_name")
+    return before.unionByName(after)
+
+
+@query
+def run_replaced_empty(spark, sf_dir):
+    """A run written again without samples is empty; its record agrees, the other run stays."""
+    options, runs_path = SinkOptions(scratch_path(spark, "table")), scratch_path(spark, "runs")
+    samples = samples_of(spark, sf_dir)
+    write_samples(samples, options)
+    for label, limit in (("A", 0), ("B", -1)):
+        mine = samples.where((F.col("run_id") == label) & (F.col("event_id") % 5 > limit))
+        if label == "B":
+            mine = mine.where("value IS NULL AND value IS NOT NULL")
+        write_run(mine, runs.RunInfo(run_id=label), options, runs_path)
+    kept = read_samples(spark, options.path).groupBy("run_id").agg(F.count("*").alias("n"))
+    recorded = read_runs(spark, runs_path).select("run_id", "sample_count")
+    return recorded.join(kept, "run_id", "left").select(
+        "run_id", "sample_count", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")
+    )
+
+
 @query
 def run_files_compared(spark, sf_dir):
     """Two portable runs read in one go and told apart by their files."""
@@ -509,6 +572,7 @@ def runs_concatenated(spark, sf_dir):
 
 def _portable(spark, sf_dir) -> str:
     path = scratch_path(spark, "portable")
+    iterations = events_of(spark, sf_dir).count()
     run = runs.RunInfo(
         run_id="nightly-1",
         run_name="nightly",
@@ -520,7 +584,7 @@ def _portable(spark, sf_dir) -> str:
         script_path="checkout.js",
         start_time=START,
         end_time=END,
-        script_options='{"vus": 12, "tlsAuth": [{"key": "secret"}], "iterations": 5000}',
+        script_options=f'{{"vus": 12, "tlsAuth": [{{"key": "secret"}}], "iterations": {iterations}}}',
     )
     provenance.write_portable_run(
         samples_of(spark, sf_dir), run, SinkOptions(path, row_group_size=1000), single_file=False
@@ -542,7 +606,8 @@ def run_footer_pairs(spark, sf_dir):
 def run_script_options(spark, sf_dir):
     found = provenance.footer_value(spark, "script_options", _portable(spark, sf_dir))
     vus = F.get_json_object("value", "$.vus").cast("int").alias("vus")
-    return found.select("value", vus).distinct()
+    iterations = F.get_json_object("value", "$.iterations").cast("bigint").alias("iterations")
+    return found.select("value", vus, iterations).distinct()
 
 
 @query
@@ -564,7 +629,11 @@ def runs_from_footers(spark, sf_dir):
 def schema_version_check(spark, sf_dir):
     path = _portable(spark, sf_dir)
     provenance.require_schema_version(spark, path)
-    return provenance.schema_versions(spark, path).select("schema_version").distinct()
+    counted = provenance.runs_from_footers(provenance.read_footers(spark, path))
+    versions = provenance.schema_versions(spark, path).select("schema_version").distinct()
+    return versions.join(
+        counted.select("schema_version", F.col("sample_count").alias("samples")), "schema_version"
+    )
 
 
 @query
@@ -576,8 +645,7 @@ def nanosecond_files(spark, sf_dir):
     provenance.write_portable_run(samples, runs.RunInfo(), SinkOptions(path))
     return (
         read_samples(spark, path)
-        .where("metric_name = 'http_reqs'")
-        .select("ts_unix_nano", "ts", F.col("iter").alias("event_id"))
+        .select("ts_unix_nano", "ts", F.col("iter").alias("event_id"), "metric_name", "check")
     )
 
 
@@ -624,7 +692,7 @@ def runs_attached(spark, sf_dir):
     known = runs_from_events(events).where("run_id < 'day-2024-01-25'")
     samples = samples_from_events(events, run_by="day")
     return (
-        runs.attach_runs(samples.where("metric_name = 'http_reqs'"), known)
+        runs.attach_runs(samples, known)
         .groupBy("hostname")
         .agg(F.count("*").alias("n"), F.countDistinct("run_id").alias("runs"))
     )
@@ -632,7 +700,7 @@ def runs_attached(spark, sf_dir):
 
 @query
 def runs_joined_external(spark, sf_dir):
-    """Runs with an outside table: each day's orders stand for its builds."""
+    """Runs with an outside table: nations stand for the builds of the days."""
     summaries = runs.summarise_runs(samples_of(spark, sf_dir, run_by="day"))
     nations = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
         F.format_string("day-2024-01-%02d", F.col("n_nationkey") + 1).alias("build"),
@@ -648,15 +716,18 @@ def runs_joined_external(spark, sf_dir):
 
 def _ingested(spark, sf_dir) -> SinkOptions:
     """The raw samples of all events, taken in as a stream of files."""
-    landing = scratch_path(spark, "landing")
-    raw = raw_of(spark, sf_dir).drop("run_id", "event_id")
-    raw.repartition(4).write.json(landing)
     options = SinkOptions(scratch_path(spark, "streamed"))
+    _stream_into(spark, raw_of(spark, sf_dir), options, "live")
+    return options
+
+
+def _stream_into(spark, raw: DataFrame, options: SinkOptions, run_id: str) -> None:
+    landing = scratch_path(spark, "landing")
+    raw.drop("run_id", "event_id").repartition(4).write.json(landing)
     stream = stream_raw(spark, landing, maxFilesPerTrigger="2")
     ingest.start_ingest(
-        stream, options, scratch_path(spark, "checkpoint"), run_id="live", drain=True
+        stream, options, scratch_path(spark, "checkpoint"), run_id=run_id, drain=True
     ).awaitTermination()
-    return options
 
 
 @query
@@ -681,37 +752,68 @@ def stream_finalised(spark, sf_dir):
     return read_runs(spark, runs_path).select("run_id", "sample_count", "start_time", "end_time")
 
 
-def _sample_stream(spark, sf_dir) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
-    return samples_from_events(events).withColumn("ts", sample_time())
-
-
-def _drained(spark, frame: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(spark, label)
-    (
-        frame.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", scratch_path(spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
+@query
+def stream_two_runs(spark, sf_dir):
+    """Two streams, each with its own checkpoint, fill one table."""
+    options = SinkOptions(scratch_path(spark, "streamed"))
+    raw = raw_of(spark, sf_dir)
+    for label in ("A", "B"):
+        _stream_into(spark, raw.where(F.col("run_id") == label), options, label)
+    return _table_totals(read_samples(spark, options.path), "run_id", "metric_name")
+
+
+@query
+def stream_then_batch(spark, sf_dir):
+    """A streamed run, a second one written as a batch, and the first one compacted."""
+    options = SinkOptions(scratch_path(spark, "streamed"))
+    _stream_into(spark, raw_of(spark, sf_dir).where("run_id = 'A'"), options, "A")
+    write_run(
+        samples_of(spark, sf_dir).where("run_id = 'B'"), runs.RunInfo(run_id="B"), options
     )
-    return spark.read.schema(frame.schema).parquet(path)
+    compact_run(spark, options, "A")
+    return _table_totals(read_samples(spark, options.path), "run_id", "metric_name")
+
+
+def _sample_stream(spark, sf_dir) -> DataFrame:
+    """Derived samples as a stream of three files, the newest events first."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    landing = scratch_path(spark, "event-files")
+    for days in ("> 20", "BETWEEN 11 AND 20", "< 11"):
+        part = events.where(f"day(ts) {days}")
+        part.coalesce(1).write.mode("append").parquet(landing)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1")
+    return samples_from_events(stream.parquet(landing)).withColumn("ts", sample_time())
 
 
 @query
 def stream_throughput(spark, sf_dir):
-    """The closed hours of a streamed run, exact."""
-    counts = live.live_value_counts(_sample_stream(spark, sf_dir), "1 hour")
-    return live.throughput_from_counts(_drained(spark, counts, "counts"))
+    """All hours of a streamed run, exact, though its files come newest first."""
+    path, checkpoint = scratch_path(spark, "counts"), scratch_path(spark, "checkpoint")
+    stream = _sample_stream(spark, sf_dir)
+    live.start_value_counts(stream, path, checkpoint, "1 hour", drain=True).awaitTermination()
+    return live.throughput_from_counts(live.read_value_counts(spark, path))
 
 
 @query
 def stream_throughput_sketch(spark, sf_dir):
-    """The closed hours of a streamed run; p95 is sketched, exact while hours are small."""
-    table = live.live_throughput(_sample_stream(spark, sf_dir), "1 hour")
-    return _drained(spark, table, "live").select("bucket", "reqs", "vus")
+    """All hours of a streamed run; whether the sketched p95 has the rank it should."""
+    path, checkpoint = scratch_path(spark, "sketches"), scratch_path(spark, "checkpoint")
+    stream = _sample_stream(spark, sf_dir)
+    live.start_bucket_sketches(stream, path, checkpoint, "1 hour", drain=True).awaitTermination()
+    table = live.throughput_from_sketches(live.read_bucket_sketches(spark, path))
+    table = settle(table, "sketched")
+    ranks = (
+        latency.durations(samples_of(spark, sf_dir), {"bucket": time_bucket("1 hour")}, "http_req_duration")
+        .join(table.select("bucket", "p95_ms"), "bucket")
+        .groupBy("bucket")
+        .agg(
+            F.sum((F.col("value") < F.col("p95_ms") - 0.05).cast("int")).alias("below"),
+            F.sum((F.col("value") <= F.col("p95_ms") + 0.05).cast("int")).alias("upto"),
+            F.count("*").alias("n"),
+        )
+    )
+    # A sketched quantile is a value of the data: its rank is the next one up or down.
+    wanted = 0.95 * F.col("n")
+    slack = 1 + 0.001 * F.col("n")
+    right = (F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)
+    return table.drop("p95_ms").join(ranks.select("bucket", right.alias("p95_ok")), "bucket")

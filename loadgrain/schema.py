@@ -93,8 +93,10 @@ SAMPLES = T.StructType(
 )
 SAMPLE_COLUMNS = tuple(SAMPLES.fieldNames())
 
-# A sample table keeps one directory per run.
+# A sample table keeps one folder per run, and in it one per load: a batch write,
+# or a batch of a stream.
 RUN_ID = T.StructField("run_id", _STR)
+LOAD = T.StructField("load", _STR)
 
 RUNS = T.StructType(
     [

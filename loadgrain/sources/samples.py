@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, fields, replace
 from urllib.parse import unquote, urlparse
@@ -12,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from loadgrain.functions.timebuckets import sample_time, seconds
 from loadgrain.operators.runs import RunInfo, run_record
-from loadgrain.schema import RUN_ID, SAMPLE_COLUMNS, SAMPLES
+from loadgrain.schema import LOAD, RUN_ID, SAMPLE_COLUMNS, SAMPLES
 from loadgrain.session import configure
 
 # The accepted codecs and the defaults of the sink.
@@ -36,25 +37,25 @@ class SinkOptions:
     def __post_init__(self) -> None:
         object.__setattr__(self, "compression", str(self.compression).lower())
         if not self.path:
-            raise ValueError("path is required")
+            raise ValueError("no path given to write samples to")
         for name in ("row_group_size", "page_size"):
             try:
                 size = int(getattr(self, name))
             except ValueError:
-                raise ValueError(f"{name} must be a whole number") from None
+                raise ValueError(f"{name}: not a whole number") from None
             if size <= 0:
-                raise ValueError(f"{name} must be > 0, got {size}")
+                raise ValueError(f"{name}: at least 1 is needed, {size} was given")
             object.__setattr__(self, name, size)
         if self.compression not in CODECS:
             raise ValueError(
-                f"compression must be one of {', '.join(CODECS)}; got {self.compression!r}"
+                f"{self.compression!r} is no known codec; there are {', '.join(CODECS)}"
             )
         try:
             interval = seconds(self.push_interval)
         except ValueError as error:
             raise ValueError(f"push_interval: {error}") from None
         if interval <= 0:
-            raise ValueError(f"push_interval must be > 0, got {self.push_interval}")
+            raise ValueError(f"push_interval: {self.push_interval} is no time span")
 
     @classmethod
     def layered(cls, *layers: Mapping[str, object], path: str | None = None) -> SinkOptions:
@@ -86,7 +87,7 @@ def read_samples(
     """
     configure(spark)
     # Folder values are text: a run called 0815 must not turn into a number.
-    schema = StructType([*SAMPLES.fields, RUN_ID])
+    schema = StructType([*SAMPLES.fields, RUN_ID, LOAD])
     reader = spark.read.schema(schema)
     roots = {path.split("/run_id=")[0] for path in paths}
     if len(roots) == 1 and all("/run_id=" in path for path in paths):
@@ -139,28 +140,70 @@ def write_samples(
 ) -> None:
     """Write wide samples as a table with one folder per run.
 
-    Runs present in ``samples`` replace their earlier folder, others stay.
+    Runs present in ``samples`` replace all that was there of them, others stay.
     Inside a task rows are sorted by metric and time, so that row groups hold
-    few metrics and scans skip the rest. ``by_metric`` adds a folder level per
-    metric, which serves large runs best: pattern filters on the metric then
-    prune folders. ``rebalance`` shuffles towards even files first; use it when
-    the rows of a run are scattered over many tasks. Adaptive execution splits
-    the rows of a dominant run again.
+    few metrics and scans skip the rest. ``rebalance`` shuffles towards even
+    files of few runs first; use it when the rows of a run are scattered over
+    many tasks. ``by_metric`` does so by run and metric, which serves large runs
+    best: files then hold few metrics. Adaptive execution splits the rows of a
+    dominant run or metric again.
+    """
+    load = f"w-{uuid.uuid4().hex}"
+    keys = ["run_id", "metric_name"] if by_metric else ["run_id"]
+    if rebalance or by_metric:
+        samples = samples.hint("rebalance", *keys)
+    write_load(samples, options, load)
+    _drop_other_loads(samples.sparkSession, options.path, load)
+
+
+def write_load(samples: DataFrame, options: SinkOptions, load: str) -> None:
+    """Add ``samples`` to their runs as one load.
+
+    A load is a folder inside each run's. Written again under the same name, it
+    replaces itself, so a batch that is repeated adds nothing.
     """
-    folders = ["run_id", "metric_name"] if by_metric else ["run_id"]
     rows = samples.select(*[F.col(f"`{c}`") for c in SAMPLE_COLUMNS], "run_id")
-    if rebalance:
-        rows = rows.hint("rebalance", *folders)
     (
-        rows.sortWithinPartitions("run_id", "metric_name", "ts_unix_nano")
+        rows.withColumn(LOAD.name, F.lit(load))
+        .sortWithinPartitions("run_id", "metric_name", "ts_unix_nano")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**parquet_options(options))
-        .partitionBy(*folders)
+        .partitionBy("run_id", LOAD.name)
         .parquet(options.path)
     )
 
 
+def _drop_other_loads(
+    spark: SparkSession, path: str, load: str, run_id: str | None = None
+) -> None:
+    """Remove all loads but ``load`` of the runs that have it, and of ``run_id``.
+
+    A few folders per run; files are not gone through.
+    """
+    hadoop, catalyst = spark._jvm.org.apache.hadoop.fs, spark._jvm.org.apache.spark.sql.catalyst
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    runs = [f.getPath().getParent() for f in fs.globStatus(hadoop.Path(root, f"run_id=*/load={load}"))]
+    if run_id is not None:
+        folder = catalyst.catalog.ExternalCatalogUtils.getPartitionPathString("run_id", run_id)
+        runs.append(hadoop.Path(root, folder))
+    for run in runs:
+        if fs.exists(run):
+            for found in fs.listStatus(run):
+                if found.getPath().getName() != f"load={load}":
+                    fs.delete(found.getPath(), True)
+
+
+def compact_run(spark: SparkSession, options: SinkOptions, run_id: str) -> None:
+    """Rewrite a run that came in many loads as one, sorted by metric and time.
+
+    Files then hold few metrics and row groups are filled up to their cap.
+    """
+    mine = read_samples(spark, options.path).where(F.col("run_id") == run_id)
+    write_samples(mine, options, by_metric=True)
+
+
 def parquet_options(options: SinkOptions) -> dict[str, str]:
     return {
         "compression": options.compression,
@@ -180,7 +223,10 @@ def write_run(
     observed = samples.withColumn("run_id", F.lit(run.run_id)).observe(
         seen, F.count("*").alias("n"), F.max(sample_time()).alias("last")
     )
-    write_samples(observed, options)
+    load = f"w-{uuid.uuid4().hex}"
+    write_load(observed, options, load)
+    # Also of a run that has no rows any more.
+    _drop_other_loads(samples.sparkSession, options.path, load, run.run_id)
     count = seen.get["n"]
     if runs_path is not None:
         record = run_record(

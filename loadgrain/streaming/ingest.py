@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,7 +13,13 @@ from loadgrain.operators.flatten import flatten_samples
 from loadgrain.operators.runs import RunInfo, run_record, summarise_runs
 from loadgrain.schema import SAMPLE_COLUMNS
 from loadgrain.session import configure
-from loadgrain.sources.samples import SinkOptions, parquet_options, read_samples, write_runs
+from loadgrain.sources.samples import (
+    SinkOptions,
+    compact_run,
+    read_samples,
+    write_load,
+    write_runs,
+)
 
 
 def start_ingest(
@@ -26,7 +34,9 @@ def start_ingest(
     Stateless and without a watermark, so samples are kept however late they
     are. Runs every ``push_interval``; with ``drain`` it takes in all that has
     arrived and stops, which is also how the last samples of a run get written.
-    Batches that fail are retried from the checkpoint, never dropped.
+    Batches that fail are retried from the checkpoint, never dropped, and replace
+    what they had written. Any number of streams, each with a checkpoint of its
+    own, and batch jobs may write to one table.
     """
     configure(raw.sparkSession)
     wide = flatten_samples(raw)
@@ -37,13 +47,16 @@ def start_ingest(
         if drain
         else {"processingTime": f"{round(seconds(options.push_interval) * 1000)} milliseconds"}
     )
+    # A checkpoint stands for one stream, so its loads are named after it.
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def write(batch: DataFrame, number: int) -> None:
+        write_load(batch, options, f"s-{stream}-{number:010d}")
+
     return (
         wide.select(*[F.col(f"`{c}`") for c in SAMPLE_COLUMNS], "run_id")
-        .writeStream.format("parquet")
-        .options(**parquet_options(options))
-        .option("path", options.path)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("run_id")
         .trigger(**trigger)
         .start()
     )
@@ -52,7 +65,9 @@ def start_ingest(
 def finalise_run(
     spark: SparkSession, run: RunInfo, options: SinkOptions, runs_path: str
 ) -> DataFrame:
-    """Record a drained run: its sample count and end, from its own folder."""
+    """Compact a drained run and record it: its sample count and end, from its own folder."""
+    if not read_samples(spark, options.path).where(F.col("run_id") == run.run_id).isEmpty():
+        compact_run(spark, options, run.run_id)
     mine = read_samples(spark, options.path).where(F.col("run_id") == run.run_id)
     found = summarise_runs(mine).first()
     count, last = (found["sample_count"], found["end_time"]) if found else (0, None)

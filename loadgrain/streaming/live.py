@@ -1,52 +1,30 @@
-"""Throughput, p95 and concurrency of a run while it goes on."""
+"""Throughput, p95 and concurrency of a run while it goes on.
+
+Streams add increments: what each batch holds of each bucket. Nothing is kept as
+state and there is no watermark, so late samples count as any others, and
+reading gives every bucket, also those still open. A batch that is repeated
+replaces its increments.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from loadgrain.functions.numbers import int_half_even, round_half_up
 from loadgrain.functions.percentiles import SKETCH_K, grouped_percentiles
-from loadgrain.functions.timebuckets import window_offset
+from loadgrain.functions.timebuckets import time_bucket
 from loadgrain.operators.timeline import value_of
 
+COUNTS = "bucket timestamp, role string, value double, n bigint, batch bigint"
+SKETCHES = (
+    "bucket timestamp, reqs bigint, sketch binary, timed bigint, vus double, batch bigint"
+)
 
-def _window(width: str) -> Column:
-    return F.window("ts", width, startTime=window_offset(width))
-
-
-def live_throughput(samples: DataFrame, width: str = "5 seconds", lateness: str = "10 seconds"):
-    """Per bucket: requests, p95 and virtual users, for dashboards.
-
-    The p95 comes from a KLL sketch, so a bucket's state stays small however
-    busy the run is. For exact values use :func:`live_value_counts`.
-    """
-    ms = value_of("http_req_duration")
-    grouped = (
-        samples.withWatermark("ts", lateness)
-        .groupBy(_window(width).alias("w"))
-        .agg(
-            F.count(value_of("http_reqs")).alias("reqs"),
-            F.kll_sketch_agg_double(ms, F.lit(SKETCH_K)).alias("sketch"),
-            F.count(ms).alias("timed"),
-            F.max(value_of("vus")).alias("vus"),
-        )
-    )
-    p95 = F.kll_sketch_get_quantile_double("sketch", F.lit(0.95))
-    return grouped.select(
-        F.col("w.start").alias("bucket"),
-        "reqs",
-        round_half_up(F.when(F.col("timed") > 0, p95), 1).alias("p95_ms"),
-        int_half_even(F.col("vus")).alias("vus"),
-    )
-
-
-def live_value_counts(samples: DataFrame, width: str = "5 seconds", lateness: str = "10 seconds"):
-    """How often each value occurred per bucket, for exact results later.
 
-    State is keyed by bucket and value, hence spread over all tasks even when
-    one bucket holds much of a run; closed buckets leave it.
-    """
+def value_counts(samples: DataFrame, width: str = "5 seconds") -> DataFrame:
+    """How often each value occurred per bucket and role; keeps results exact."""
     metric = F.col("metric_name")
     role = (
         F.when(metric == "http_reqs", "request")
@@ -55,39 +33,90 @@ def live_value_counts(samples: DataFrame, width: str = "5 seconds", lateness: st
         .otherwise("other")
     )
     kept = F.when(metric.isin("http_req_duration", "vus"), F.col("value"))
-    return (
-        samples.withWatermark("ts", lateness)
-        .groupBy(_window(width).alias("w"), role.alias("role"), kept.alias("value"))
-        .agg(F.count("*").alias("n"))
-        .select(F.col("w.start").alias("bucket"), "role", "value", "n")
+    return samples.groupBy(
+        time_bucket(width).cast("timestamp").alias("bucket"), role.alias("role"), kept.alias("value")
+    ).agg(F.count("*").alias("n"))
+
+
+def bucket_sketches(samples: DataFrame, width: str = "5 seconds") -> DataFrame:
+    """Per bucket: requests, a KLL sketch of durations, and users, for dashboards."""
+    ms = value_of("http_req_duration")
+    return samples.groupBy(time_bucket(width).cast("timestamp").alias("bucket")).agg(
+        F.count(value_of("http_reqs")).alias("reqs"),
+        F.kll_sketch_agg_double(ms, F.lit(SKETCH_K)).alias("sketch"),
+        F.count(ms).alias("timed"),
+        F.max(value_of("vus")).alias("vus"),
     )
 
 
-def throughput_from_counts(counts: DataFrame, method: str = "auto") -> DataFrame:
+def _start(samples, gather, width, path, checkpoint, drain) -> StreamingQuery:
+    def write(batch: DataFrame, number: int) -> None:
+        (
+            gather(batch, width)
+            .withColumn("batch", F.lit(number))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch")
+            .parquet(path)
+        )
+
+    trigger = {"availableNow": True} if drain else {"processingTime": "1 second"}
+    stream = samples.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return stream.trigger(**trigger).start()
+
+
+def start_value_counts(
+    samples: DataFrame, path: str, checkpoint: str, width: str = "5 seconds", drain: bool = False
+) -> StreamingQuery:
+    """Keep value counts of a stream of samples (with ``ts``) at ``path``; exact.
+
+    One path belongs to one checkpoint. ``drain`` takes in what there is and stops.
+    """
+    return _start(samples, value_counts, width, path, checkpoint, drain)
+
+
+def start_bucket_sketches(
+    samples: DataFrame, path: str, checkpoint: str, width: str = "5 seconds", drain: bool = False
+) -> StreamingQuery:
+    """The same with sketches in place of counts: small, p95 approximate."""
+    return _start(samples, bucket_sketches, width, path, checkpoint, drain)
+
+
+def read_value_counts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(COUNTS).parquet(path).drop("batch")
+
+
+def read_bucket_sketches(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SKETCHES).parquet(path).drop("batch")
+
+
+def throughput_from_counts(counts: DataFrame, method: str = "exact") -> DataFrame:
     """The time series of a run from its value counts; exact."""
-    role = F.col("role")
-    rows = counts.select(
-        "bucket",
-        "n",
-        F.when(role == "request", F.col("n")).alias("req"),
-        F.when(role == "duration", F.col("value")).alias("ms"),
-        F.when(role == "users", F.col("value")).alias("vu"),
+    role, n = F.col("role"), F.col("n")
+    series = counts.groupBy("bucket").agg(
+        F.coalesce(F.sum(F.when(role == "request", n)), F.lit(0).cast("bigint")).alias("reqs"),
+        F.max(F.when(role == "users", F.col("value"))).alias("vus"),
     )
-    table = grouped_percentiles(
-        rows,
-        ["bucket"],
-        {"p95_ms": 0.95},
-        value="ms",
-        weight="n",
-        aggs=[
-            F.coalesce(F.sum("req"), F.lit(0).cast("bigint")).alias("reqs"),
-            F.max("vu").alias("vus"),
-        ],
-        method=method,
+    p95 = grouped_percentiles(
+        counts.where(role == "duration"), ["bucket"], {"p95_ms": 0.95}, weight="n", method=method
     )
+    return _series(series.join(p95, "bucket", "left"))
+
+
+def throughput_from_sketches(sketches: DataFrame) -> DataFrame:
+    """The time series of a run from its sketches; p95 approximate."""
+    merged = sketches.groupBy("bucket").agg(
+        F.sum("reqs").alias("reqs"),
+        F.kll_merge_agg_double("sketch").alias("sketch"),
+        F.sum("timed").alias("timed"),
+        F.max("vus").alias("vus"),
+    )
+    p95 = F.kll_sketch_get_quantile_double("sketch", F.lit(0.95))
+    return _series(merged.withColumn("p95_ms", F.when(F.col("timed") > 0, p95)))
+
+
+def _series(table: DataFrame) -> DataFrame:
+    vus: Column = int_half_even(F.col("vus"))
     return table.select(
-        "bucket",
-        "reqs",
-        round_half_up(F.col("p95_ms"), 1).alias("p95_ms"),
-        int_half_even(F.col("vus")).alias("vus"),
+        "bucket", "reqs", round_half_up(F.col("p95_ms"), 1).alias("p95_ms"), vus.alias("vus")
     ).orderBy("bucket")

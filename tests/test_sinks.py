@@ -17,16 +17,18 @@ from loadgrain.sources import footers, provenance
 from loadgrain.sources.provenance import duration_text, instant_text
 from loadgrain.sources.samples import (
     SinkOptions,
+    compact_run,
     concatenate,
     label_by_source,
     read_runs,
     read_samples,
+    write_load,
     write_run,
     write_runs,
     write_samples,
 )
 
-START = datetime(2026, 5, 11, 12, 0, 0, tzinfo=UTC)
+START = datetime(2025, 2, 3, 4, 5, 6, tzinfo=UTC)
 
 
 @pytest.fixture(scope="module")
@@ -37,13 +39,13 @@ def samples(spark, sf_dir):
 def two_rows(spark):
     base = dict.fromkeys(SAMPLE_COLUMNS)
     trend = base | {
-        "ts_unix_nano": 1_778_500_800_000_000_007, "metric_name": "http_req_duration",
-        "metric_type": "trend", "value_type": "time", "value": 42.5, "group": "", "status": 200,
-        "vu": 3, "iter": 17, "extra_tags": {"custom_tag": "user-supplied"},
+        "ts_unix_nano": 1_738_555_506_000_000_013, "metric_name": "http_req_duration",
+        "metric_type": "trend", "value_type": "time", "value": 87.25, "group": "", "status": 418,
+        "vu": 11, "iter": 204, "extra_tags": {"region": "north"},
     }
     counter = base | {
-        "ts_unix_nano": 1, "metric_name": "iterations", "metric_type": "counter",
-        "value_type": "default", "value": 1.0,
+        "ts_unix_nano": 1, "metric_name": "data_sent", "metric_type": "counter",
+        "value_type": "data", "value": 512.0,
     }
     rows = [tuple(r[c] for c in SAMPLE_COLUMNS) for r in (trend, counter)]
     return spark.createDataFrame(rows, SAMPLES)
@@ -61,13 +63,13 @@ def test_defaults():
 @pytest.mark.parametrize(
     ("bad", "message"),
     [
-        ({}, "path is required"),
-        ({"path": "/x", "push_interval": "0s"}, "push_interval must be > 0"),
-        ({"path": "/x", "push_interval": "not-a-duration"}, "push_interval"),
-        ({"path": "/x", "row_group_size": 0}, "row_group_size must be > 0"),
-        ({"path": "/x", "row_group_size": "not-an-int"}, "row_group_size"),
-        ({"path": "/x", "page_size": -1}, "page_size must be > 0"),
-        ({"path": "/x", "compression": "lzma"}, "compression must be one of"),
+        ({"compression": "zstd"}, "no path given"),
+        ({"path": "/x", "push_interval": "-3ms"}, "push_interval"),
+        ({"path": "/x", "push_interval": "soon"}, "push_interval"),
+        ({"path": "/x", "row_group_size": -7}, "row_group_size: at least 1"),
+        ({"path": "/x", "row_group_size": "many"}, "row_group_size"),
+        ({"path": "/x", "page_size": 0}, "page_size: at least 1"),
+        ({"path": "/x", "compression": "brotli"}, "no known codec"),
         ({"path": "/x", "colour": "red"}, "unknown sink options: colour"),
     ],
 )
@@ -77,10 +79,10 @@ def test_bad_options(bad, message):
 
 
 def test_later_layers_win():
-    first = {"path": "/first", "push_interval": "5s", "compression": "snappy"}
+    first = {"path": "/first", "push_interval": "7s", "compression": "snappy"}
     second = {"path": "/second", "compression": "GZIP"}
     options = SinkOptions.layered(first, second)
-    assert (options.path, options.push_interval, options.compression) == ("/second", "5s", "gzip")
+    assert (options.path, options.push_interval, options.compression) == ("/second", "7s", "gzip")
     assert SinkOptions.layered(first, second, path="/third").path == "/third"
 
 
@@ -91,7 +93,7 @@ def test_later_layers_win():
 def test_codec_and_row_groups(samples, tmp_path, codec):
     options = SinkOptions(f"file://{tmp_path}/t", compression=codec, row_group_size=1000)
     write_samples(samples.where("run_id = 'A'").coalesce(1), options)
-    (file,) = (tmp_path / "t").glob("run_id=A/*.parquet")
+    (file,) = (tmp_path / "t").glob("run_id=A/load=*/*.parquet")
     meta = pq.read_metadata(file)
     assert meta.row_group(0).column(0).compression == codec.upper()
     assert max(meta.row_group(i).num_rows for i in range(meta.num_row_groups)) <= 1000
@@ -108,6 +110,48 @@ def test_rerun_replaces_only_its_run(spark, samples, tmp_path):
     assert after["B"] == before["B"] and 0 < after["A"] < before["A"]
 
 
+def test_rewriting_leaves_nothing_in_either_layout(spark, samples, tmp_path):
+    options = SinkOptions(str(tmp_path / "t"))
+    write_samples(samples, options, by_metric=True)
+    write_samples(samples.where("metric_name = 'http_reqs'"), options)
+    kept = read_samples(spark, options.path).select("metric_name").distinct().collect()
+    assert kept == [("http_reqs",)]
+    assert write_run(samples.where("false"), RunInfo(run_id="A"), options) == 0
+    assert {r[0] for r in read_samples(spark, options.path).select("run_id").collect()} == {"B"}
+
+
+def test_empty_metric_names_are_kept(spark, samples, tmp_path):
+    options = SinkOptions(str(tmp_path / "t"))
+    write_samples(samples.limit(5).withColumn("metric_name", F.lit("")), options, by_metric=True)
+    assert read_samples(spark, options.path).where("metric_name = ''").count() == 5
+
+
+def test_a_repeated_load_replaces_itself(spark, samples, tmp_path):
+    options = SinkOptions(str(tmp_path / "t"))
+    for load in ("one", "two", "one"):
+        write_load(samples.where("metric_name = 'vus'"), options, load)
+    assert read_samples(spark, options.path).count() == 2 * samples.where("metric_name = 'vus'").count()
+
+
+def test_compacted_run(spark, samples, tmp_path):
+    """Many loads become few files, sorted, with row groups filled to their cap."""
+    options = SinkOptions(str(tmp_path / "t"), row_group_size=400)
+    mine = samples.where("run_id = 'A'")
+    for third in range(3):
+        write_load(mine.where(F.col("event_id") % 3 == third).repartition(4), options, f"s-{third}")
+    before = sorted(map(tuple, read_samples(spark, options.path).select("iter", "metric_name", "value").collect()))
+    compact_run(spark, options, "A")
+    assert before == sorted(
+        map(tuple, read_samples(spark, options.path).select("iter", "metric_name", "value").collect())
+    )
+    files = list((tmp_path / "t").glob("run_id=A/*/*.parquet"))
+    assert len({f.parent for f in files}) == 1 and len(files) < 12
+    for file in files:
+        meta = pq.read_metadata(file)
+        sizes = [meta.row_group(i).num_rows for i in range(meta.num_row_groups)]
+        assert set(sizes[:-1]) <= {400} and sizes[-1] <= 400
+
+
 def test_run_ids_stay_text(spark, samples, tmp_path):
     options = SinkOptions(str(tmp_path / "t"))
     write_samples(samples.where("run_id = 'A'").withColumn("run_id", F.lit("0815")), options)
@@ -127,7 +171,7 @@ def test_single_run_folders(spark, samples, tmp_path):
 def test_rows_are_clustered_by_metric(samples, tmp_path):
     options = SinkOptions(str(tmp_path / "t"), row_group_size=500)
     write_samples(samples.coalesce(1), options)
-    for file in (tmp_path / "t").glob("*/*.parquet"):
+    for file in (tmp_path / "t").glob("*/*/*.parquet"):
         meta = pq.read_metadata(file)
         column = meta.schema.names.index("metric_name")
         bounds = [
@@ -169,7 +213,7 @@ def portable(spark, tmp_path_factory):
         run_id="r1",
         start_time=START,
         end_time=START + timedelta(seconds=61.5),
-        script_options='{"vus": 5, "tlsAuth": [{"key": "DO_NOT_LEAK"}]}',
+        script_options='{"vus": 5, "tlsAuth": [{"key": "pw-7731"}]}',
     )
     provenance.write_portable_run(
         two_rows(spark), run, SinkOptions(str(path)), namespace="other", generator="loader",
@@ -180,12 +224,12 @@ def portable(spark, tmp_path_factory):
 
 def test_round_trip(spark, portable):
     rows = {r.metric_name: r for r in read_samples(spark, str(portable)).collect()}
-    assert set(rows) == {"http_req_duration", "iterations"}
+    assert set(rows) == {"http_req_duration", "data_sent"}
     trend = rows["http_req_duration"]
-    assert (trend.value, trend.group, trend.status, trend.vu, trend.iter) == (42.5, "", 200, 3, 17)
-    assert trend.ts_unix_nano == 1_778_500_800_000_000_007
-    assert trend.extra_tags == {"custom_tag": "user-supplied"} and trend.extra_metadata is None
-    assert rows["iterations"].scenario is None and rows["iterations"].ts_unix_nano == 1
+    assert (trend.value, trend.group, trend.status, trend.vu, trend.iter) == (87.25, "", 418, 11, 204)
+    assert trend.ts_unix_nano == 1_738_555_506_000_000_013
+    assert trend.extra_tags == {"region": "north"} and trend.extra_metadata is None
+    assert rows["data_sent"].scenario is None and rows["data_sent"].ts_unix_nano == 1
 
 
 def test_footer(spark, portable):
@@ -193,8 +237,8 @@ def test_footer(spark, portable):
     assert pairs["other.schema_version"] == "1" and pairs["other.compression"] == "zstd"
     assert pairs["other.sample_count"] == "2" and pairs["other.test_run_id"] == "r1"
     assert pairs["other.loader_version"] == "unknown"
-    assert pairs["other.start_time"] == "2026-05-11T12:00:00Z"
-    assert pairs["other.end_time"] == "2026-05-11T12:01:01.5Z"
+    assert pairs["other.start_time"] == "2025-02-03T04:05:06Z"
+    assert pairs["other.end_time"] == "2025-02-03T04:06:07.5Z"
     assert pairs["other.duration"] == "1m1.5s"
     assert list(pairs) == sorted(pairs) and "other.script_options" not in pairs
     assert dict(provenance.run_metadata(spark, str(portable), namespace="other").collect()) == pairs
@@ -203,7 +247,7 @@ def test_footer(spark, portable):
 
 def test_footer_leaks_nothing(spark, portable):
     pairs = provenance.read_footers(spark, str(portable)).where("key NOT LIKE 'ARROW%'").collect()
-    assert not any("DO_NOT_LEAK" in r.value or "tlsAuth" in r.value for r in pairs)
+    assert not any("pw-7731" in r.value or "tlsAuth" in r.value for r in pairs)
     (options,) = provenance.footer_value(spark, "script_options", str(portable)).collect()
     assert json.loads(options.value) == {"vus": 5}
 
@@ -212,8 +256,8 @@ def test_others_can_read_it(portable):
     (file,) = portable.glob("*.parquet")
     assert pq.read_schema(file).field("ts_unix_nano").type == pa.timestamp("ns", tz="UTC")
     assert pq.read_schema(file).names == list(SAMPLE_COLUMNS)
-    sql = f"SELECT count(*), max(extra_tags['custom_tag']) FROM read_parquet('{file}')"
-    assert duckdb.sql(sql).fetchall() == [(2, "user-supplied")]
+    sql = f"SELECT count(*), max(extra_tags['region']) FROM read_parquet('{file}')"
+    assert duckdb.sql(sql).fetchall() == [(2, "north")]
 
 
 def test_footer_paths(spark, portable):
@@ -341,8 +385,8 @@ def test_tables_are_concatenated(spark, samples, tmp_path):
 @pytest.mark.parametrize(
     ("given", "kept"),
     [
-        ('{"vus": 5, "tlsAuth": [{"cert": "C", "key": "K", "password": "hunter2"}]}', '{"vus":5}'),
-        ('{"cloud": {"token": "T"}, "ext": {"x": {"apiKey": "A"}}}', "{}"),
+        ('{"vus": 5, "tlsAuth": [{"domains": ["a.example"], "key": "-----"}], "hosts": {"h": "::1"}}', '{"vus":5}'),
+        ('{"collectors": {"c": {"login": "me"}}, "env": {"TOKEN": "abc"}}', "{}"),
         ('{"vus": null, "VUS": 3}', '{"vus":null}'),
         ('{"thresholds": {"a": ["p(95)<5"]}, "tags": {"x": "y"}, "duration": "1m"}',
          '{"duration":"1m","tags":{"x":"y"},"thresholds":{"a":["p(95)<5"]}}'),
@@ -357,10 +401,10 @@ def test_redaction(spark, given, kept):
 def test_runs_table_keeps_no_secrets(spark, tmp_path):
     from loadgrain.operators.runs import run_record
 
-    run = RunInfo(script_options='{"ext": {"apiKey": "DO_NOT_LEAK"}, "iterations": 3}')
+    run = RunInfo(script_options='{"ext": {"apiKey": "pw-7731"}, "iterations": 3}')
     write_runs(run_record(spark, run, 0, "zstd", 1), str(tmp_path / "runs"))
     files = list((tmp_path / "runs").rglob("*.parquet"))
-    assert files and not any(b"DO_NOT_LEAK" in f.read_bytes() for f in files)
+    assert files and not any(b"pw-7731" in f.read_bytes() for f in files)
 
 
 def test_unknown_runs_are_kept(spark, samples):
@@ -368,6 +412,8 @@ def test_unknown_runs_are_kept(spark, samples):
     joined = attach_runs(samples, runs)
     assert joined.count() == samples.count()
     assert {r[0] for r in joined.select("hostname").distinct().collect()} == {"host", None}
+    twice = attach_runs(samples, runs.union(runs).unionByName(runs))
+    assert twice.count() == samples.count()
 
 
 # ---- texts -------------------------------------------------------------------------
@@ -386,5 +432,5 @@ def test_duration_text(micros, text):
 
 
 def test_instant_text():
-    assert instant_text(START.replace(microsecond=120)) == "2026-05-11T12:00:00.00012Z"
+    assert instant_text(START.replace(microsecond=120)) == "2025-02-03T04:05:06.00012Z"
     assert re.fullmatch(r"[0-9T:.-]+Z", instant_text(datetime.now()))
