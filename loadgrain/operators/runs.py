@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import platform
+import socket
 import uuid
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
@@ -73,7 +74,7 @@ def run_record(
         "runtime_version": run.runtime_version,
         "os": run.os,
         "arch": run.arch,
-        "hostname": run.hostname,
+        "hostname": run.hostname or socket.gethostname(),
         "script_path": run.script_path,
         "start_time": run.start_time or datetime.now(UTC),
         "end_time": run.end_time or end_time,

@@ -42,6 +42,12 @@ def local_session(cores: int | str = 8, name: str = "loadgrain") -> SparkSession
     return spark
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme; a bare one belongs to Spark's default file system."""
+    plain = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return plain.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(plain).toString()
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 

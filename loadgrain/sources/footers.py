@@ -12,6 +12,7 @@ import json
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
@@ -119,6 +120,42 @@ class RunFooterReader(DataSourceReader):
                 yield file, key.decode("utf-8"), value.decode("utf-8", "replace")
 
 
+def instant_text(at: datetime) -> str:
+    """A UTC time as RFC 3339 text, without trailing zeros in the fraction."""
+    at = at.astimezone(UTC) if at.tzinfo else at.replace(tzinfo=UTC)
+    fraction = f".{at.microsecond:06d}".rstrip("0").rstrip(".")
+    return f"{at:%Y-%m-%dT%H:%M:%S}{fraction}Z"
+
+
+def duration_text(start: datetime, end: datetime) -> str:
+    """A duration as hours, minutes and seconds, e.g. ``1h2m3.5s``; or ``12ms``."""
+    micros = round((end - start).total_seconds() * 1_000_000)
+    if micros == 0:
+        return "0s"
+    sign, micros = ("-" if micros < 0 else ""), abs(micros)
+    number = lambda value, unit: f"{value:.9f}".rstrip("0").rstrip(".") + unit
+    if micros < 1000:
+        return f"{sign}{micros}µs"
+    if micros < 1_000_000:
+        return sign + number(micros / 1000, "ms")
+    hours, rest = divmod(micros, 3_600_000_000)
+    minutes, rest = divmod(rest, 60_000_000)
+    text = number(rest / 1_000_000, "s")
+    if hours:
+        return f"{sign}{hours}h{minutes}m{text}"
+    return f"{sign}{minutes}m{text}" if minutes else sign + text
+
+
+def closing_stamp(namespace: str, start: str) -> dict[str, str]:
+    """End and duration of a run that ends now."""
+    end = datetime.now(UTC)
+    began = datetime.fromisoformat(start)
+    return {
+        f"{namespace}.end_time": instant_text(end),
+        f"{namespace}.duration": duration_text(began, end),
+    }
+
+
 class RunFileSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -151,6 +188,7 @@ class RunFileWriter(DataSourceArrowWriter):
         self.codec = options.get("compression", "zstd")
         self.row_group_size = int(options.get("row_group_size", 100_000))
         self.page_size = int(options.get("page_size", 1 << 20))
+        self.closing = json.loads(options.get("closing", "{}"))
         self.overwrite = overwrite
         self.write_id = uuid.uuid4().hex
 
@@ -193,7 +231,10 @@ class RunFileWriter(DataSourceArrowWriter):
                 return WrittenFile(None, None, 0)
             if held_rows:
                 flush(0)
-            writer.add_key_value_metadata({**self.footer, self.count_key: str(rows)})
+            stamp = {}
+            if self.closing:
+                stamp = closing_stamp(**self.closing)
+            writer.add_key_value_metadata({**self.footer, **stamp, self.count_key: str(rows)})
             writer.close()
         except BaseException:
             if writer is not None:

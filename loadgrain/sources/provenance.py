@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import socket
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 
 from loadgrain.operators.runs import RunInfo, redact_options
 from loadgrain.schema import SAMPLE_COLUMNS, SCHEMA_VERSION
-from loadgrain.session import configure
+from loadgrain.session import configure, qualified
 from loadgrain.sources import footers
+from loadgrain.sources.footers import duration_text, instant_text
 from loadgrain.sources.samples import SinkOptions
 
 NAMESPACE = "loadgrain"
@@ -38,32 +40,6 @@ RUN_KEYS = (
 OPTIONS_KEY = "script_options"
 
 
-def instant_text(at: datetime) -> str:
-    """A UTC time as RFC 3339 text, without trailing zeros in the fraction."""
-    at = at.astimezone(UTC) if at.tzinfo else at.replace(tzinfo=UTC)
-    fraction = f".{at.microsecond:06d}".rstrip("0").rstrip(".")
-    return f"{at:%Y-%m-%dT%H:%M:%S}{fraction}Z"
-
-
-def duration_text(start: datetime, end: datetime) -> str:
-    """A duration as hours, minutes and seconds, e.g. ``1h2m3.5s``; or ``12ms``."""
-    micros = round((end - start).total_seconds() * 1_000_000)
-    if micros == 0:
-        return "0s"
-    sign, micros = ("-" if micros < 0 else ""), abs(micros)
-    number = lambda value, unit: f"{value:.9f}".rstrip("0").rstrip(".") + unit
-    if micros < 1000:
-        return f"{sign}{micros}µs"
-    if micros < 1_000_000:
-        return sign + number(micros / 1000, "ms")
-    hours, rest = divmod(micros, 3_600_000_000)
-    minutes, rest = divmod(rest, 60_000_000)
-    text = number(rest / 1_000_000, "s")
-    if hours:
-        return f"{sign}{hours}h{minutes}m{text}"
-    return f"{sign}{minutes}m{text}" if minutes else sign + text
-
-
 def footer_pairs(
     spark: SparkSession,
     run: RunInfo,
@@ -85,7 +61,7 @@ def footer_pairs(
         "compression": options.compression,
         "row_group_size": str(options.row_group_size),
         "test_run_name": run.run_name,
-        "hostname": run.hostname,
+        "hostname": run.hostname or socket.gethostname(),
         "script_path": run.script_path,
     }
     if run.end_time is not None:
@@ -97,6 +73,13 @@ def footer_pairs(
     return {f"{namespace}.{key}": value for key, value in pairs.items() if value}
 
 
+def _closing(run: RunInfo, pairs: dict[str, str], namespace: str) -> dict[str, str]:
+    """What a file needs to state its end and duration itself, where no end is given."""
+    if run.end_time is not None:
+        return {}
+    return {"namespace": namespace, "start": pairs[f"{namespace}.start_time"]}
+
+
 def write_portable_run(
     samples: DataFrame,
     run: RunInfo,
@@ -107,6 +90,7 @@ def write_portable_run(
 ) -> None:
     """Write one run as self-describing files in a folder, replacing it.
 
+    Without an end in ``run``, each file states when it was closed.
     Every task writes one file; ``single_file`` gathers a small run in one.
     """
     spark = configure(samples.sparkSession)
@@ -124,14 +108,15 @@ def write_portable_run(
         .option("compression", options.compression)
         .option("row_group_size", str(options.row_group_size))
         .option("page_size", str(options.page_size))
-        .save(options.path)
+        .option("closing", json.dumps(_closing(run, pairs, namespace)))
+        .save(qualified(spark, options.path))
     )
 
 
 def read_footers(spark: SparkSession, *paths: str) -> DataFrame:
     """``(file, key, value)`` for every footer pair; no row data is read."""
     footers.register(spark)
-    reader = spark.read.format("run_footer")
+    reader, paths = spark.read.format("run_footer"), [qualified(spark, p) for p in paths]
     return reader.load(paths[0]) if len(paths) == 1 else reader.load(list(paths))
 
 

@@ -434,3 +434,13 @@ def test_duration_text(micros, text):
 def test_instant_text():
     assert instant_text(START.replace(microsecond=120)) == "2025-02-03T04:05:06.00012Z"
     assert re.fullmatch(r"[0-9T:.-]+Z", instant_text(datetime.now()))
+
+
+def test_files_state_their_own_end(spark, tmp_path):
+    run = RunInfo(run_id="open", start_time=START)
+    provenance.write_portable_run(two_rows(spark), run, SinkOptions(str(tmp_path / "run")))
+    pairs = dict(provenance.run_metadata(spark, str(tmp_path / "run")).collect())
+    end = datetime.fromisoformat(pairs["loadgrain.end_time"])
+    assert timedelta(0) <= datetime.now(UTC) - end < timedelta(minutes=5)
+    assert pairs["loadgrain.duration"] == duration_text(START, end)
+    assert pairs["loadgrain.hostname"]
