@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from loadgrain.session import settle
@@ -128,18 +128,17 @@ def _sketch(df, by, percentiles, value, aggs) -> DataFrame:
 
 def _refine(rows, histogram, percentiles, range_values) -> DataFrame:
     """Percentiles of all groups by counting."""
-    totals = histogram.groupBy(_KEY).agg(F.sum("n").alias("total")).where("total > 0")
-    positions = [F.lit(float(p)) * (F.col("total") - 1) for p in percentiles.values()]
-    ranks = [edge for at in positions for edge in (F.floor(at), F.ceil(at))]
-    wanted = totals.select(_KEY, "total", F.array_distinct(F.array(*ranks)).alias("ranks"))
-
     # The first slots are of equal relative width, the same for all groups. A
     # slot follows from the value alone, so a group's rows join on it as well
     # and are never brought together by the group alone.
-    counted = histogram.where("slot IS NOT NULL").join(
-        wanted.select(_KEY, "ranks", F.lit(0).cast("bigint").alias("below")), _KEY
-    )
-    ranges = settle(_holding_ranks(counted, [_KEY]), "ranges")
+    total = F.sum("n").over(Window.partitionBy(_KEY))
+    positions = [F.lit(float(p)) * (F.col("total") - 1) for p in percentiles.values()]
+    ranks = F.array_distinct(F.array(*[e for at in positions for e in (F.floor(at), F.ceil(at))]))
+    counted = histogram.where("slot IS NOT NULL").withColumn("total", total)
+    counted = counted.withColumns({"ranks": ranks, "below": F.lit(0).cast("bigint")})
+    seen = Observation()
+    held = _holding_ranks(counted, [_KEY]).observe(seen, F.max("n").alias("most"))
+    ranges = settle(held, "ranges")
     inside = (
         rows.where("slot IS NOT NULL")
         .select(_KEY, "slot", _VALUE, _N)
@@ -147,7 +146,7 @@ def _refine(rows, histogram, percentiles, range_values) -> DataFrame:
         .groupBy(_KEY, "lo", _VALUE)
         .agg(F.sum(_N).alias(_N))
     )
-    crowded = (ranges.agg(F.max("n")).first()[0] or 0) > range_values
+    crowded = (seen.get["most"] or 0) > range_values
     ranges = ranges.drop("slot")
     if crowded:
         inside = settle(inside, "inside")
@@ -162,7 +161,7 @@ def _refine(rows, histogram, percentiles, range_values) -> DataFrame:
             .withColumn("slot", _linear_slot(F.col(_VALUE), F.col("outer"), F.col("outer_hi")))
             .groupBy(_KEY, "outer", "slot")
             .agg(*_slot_stats())
-            .join(outer.select(_KEY, "outer", "below", "ranks"), [_KEY, "outer"])
+            .join(outer.select(_KEY, "outer", "below", "ranks", "total"), [_KEY, "outer"])
         )
         ranges = settle(_holding_ranks(histogram, [_KEY, "outer"]), "ranges")
         inside = settle(
@@ -173,7 +172,7 @@ def _refine(rows, histogram, percentiles, range_values) -> DataFrame:
         )
         ranges = ranges.drop("outer", "slot")
 
-    return _interpolate(_rank(inside, ranges), wanted, percentiles)
+    return _interpolate(_rank(inside, ranges), percentiles)
 
 
 def _log_slot(value: Column) -> Column:
@@ -212,7 +211,7 @@ def _holding_ranks(histogram: DataFrame, parts: list[str]) -> DataFrame:
         counted.withColumn("ranks", held)
         .withColumn("below", start)
         .where(F.size("ranks") > 0)
-        .select(*parts, "slot", "n", "lo", "hi", "below", "ranks")
+        .select(*parts, "slot", "n", "lo", "hi", "below", "ranks", "total")
     )
 
 
@@ -227,13 +226,14 @@ def _rank(inside: DataFrame, ranges: DataFrame) -> DataFrame:
     counted = inside.withColumn("upto", upto).join(ranges, [_KEY, "lo"])
     end = F.col("below") + F.col("upto")
     held = F.filter("ranks", lambda r: (r >= end - F.col(_N)) & (r < end))
-    return counted.select(_KEY, F.explode(held).alias("rank"), _VALUE)
+    return counted.select(_KEY, "total", F.explode(held).alias("rank"), _VALUE)
 
 
-def _interpolate(ranked: DataFrame, wanted: DataFrame, percentiles: Mapping[str, float]):
+def _interpolate(ranked: DataFrame, percentiles: Mapping[str, float]) -> DataFrame:
     """Blend the values at the ranks on both sides of each percentile."""
     found = ranked.groupBy(_KEY).agg(
-        F.map_from_entries(F.collect_list(F.struct("rank", _VALUE))).alias("at")
+        F.map_from_entries(F.collect_set(F.struct("rank", _VALUE))).alias("at"),
+        F.max("total").alias("total"),
     )
     columns = []
     for name, p in percentiles.items():
@@ -242,4 +242,4 @@ def _interpolate(ranked: DataFrame, wanted: DataFrame, percentiles: Mapping[str,
         x, y = F.col("at")[low], F.col("at")[high]
         blend = (high - position) * x + (position - low) * y
         columns.append(F.when((low == high) | (x == y), x).otherwise(blend).alias(name))
-    return found.join(wanted, _KEY).select(_KEY, *columns)
+    return found.select(_KEY, *columns)
