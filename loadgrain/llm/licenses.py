@@ -193,5 +193,64 @@ def scan(docs: DataFrame) -> DataFrame:
         "last_word",
         F.coalesce("base_labels", F.lit("")).alias("base_labels"),
         F.coalesce("labels", F.lit("")).alias("labels"),
-        F.coalesce("score", F.lit(0.0)).alias("score"),
+        F.round(F.coalesce("score", F.lit(0.0)), 6).alias("score"),
     )
+
+
+def scan_sql() -> str:
+    """SQL for :func:`scan`: every passage laid over every licence word of every text."""
+    posted, templates = [], []
+    for number, p in enumerate(PASSAGES):
+        text, key = p.text.split(), p.key.split()
+        at = next(i for i in range(len(text)) if text[i : i + len(key)] == key)
+        templates.append(f"({number}, '{p.label}', {p.base}, {len(key)})")
+        posted += [
+            f"('{w}', {number}, {i}, {at <= i < at + len(key)})" for i, w in enumerate(text)
+        ]
+    gates = " OR ".join(f"contains(lower(text), '{g}')" for g in GATED)
+    return f"""
+WITH posted(word, template, place, in_key) AS (VALUES {", ".join(posted)}),
+passages(template, label, base, key_words) AS (VALUES {", ".join(templates)}),
+texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+), split AS MATERIALIZED (
+  SELECT row, doc_id, {gates} AS gated,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '{WORD}') AS words,
+    regexp_extract_all(lower(text), '{WORD}') AS folded
+  FROM texts
+), frequency AS (
+  SELECT word, count(*) AS df FROM (SELECT row, unnest(list_distinct(folded)) AS word FROM split)
+  WHERE word IN (SELECT word FROM posted) GROUP BY word
+), rated AS MATERIALIZED (
+  SELECT posted.*, ln(((SELECT count(*) FROM split) + 1) / (coalesce(df, 0) + 0.5::DOUBLE)) AS idf
+  FROM posted LEFT JOIN frequency USING (word)
+), weights AS (SELECT template, sum(idf) AS total FROM rated GROUP BY template),
+hits AS (
+  SELECT row, words[i] AS word, i - 1 AS pos FROM split, unnest(range(1, len(words) + 1)) AS u(i)
+  WHERE gated AND words[i] IN (SELECT word FROM posted)
+), laid AS MATERIALIZED (
+  SELECT row, word, template, pos - place AS start, in_key, idf FROM hits JOIN rated USING (word)
+), rarest AS (
+  SELECT row, template, list_slice(list(DISTINCT {{'idf': idf, 'word': word}} ORDER BY {{'idf': idf, 'word': word}} DESC), 1, {RAREST}) AS top
+  FROM laid GROUP BY ALL
+), aligned AS (
+  SELECT row, template, start, sum(idf) AS found, count(*) FILTER (in_key) AS keyed,
+    bool_or(list_contains(list_transform(top, lambda t: t.word), word)) AS proposed
+  FROM laid JOIN rarest USING (row, template) GROUP BY row, template, start
+), kept AS (
+  SELECT row, label, base, start,
+    CASE WHEN base THEN 1.0::DOUBLE ELSE least(1.0, found / total) END AS share
+  FROM aligned JOIN passages USING (template) JOIN weights USING (template)
+  WHERE proposed AND keyed = key_words AND found >= total * {COVERAGE}
+), summed AS (
+  SELECT row, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+    max(start) FILTER (base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+    string_agg(DISTINCT CASE WHEN base THEN label END, ',' ORDER BY CASE WHEN base THEN label END) AS base_labels,
+    max(share) AS score
+  FROM kept GROUP BY row
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  round(coalesce(score, 0), 6)::DOUBLE AS score
+FROM split LEFT JOIN summed USING (row)"""

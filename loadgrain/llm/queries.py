@@ -95,6 +95,9 @@ def op9_license_scans(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op9_license_scans"] = licenses.scan_sql()
+
+
 @query
 def op10_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
