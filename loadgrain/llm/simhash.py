@@ -163,12 +163,14 @@ def fingerprint_components(docs: DataFrame) -> DataFrame:
 # --- near-duplicates by resemblance, with wide fingerprints as the search ---
 
 LINK_WORDS = 5
+#: Stands for a NULL id.
+NO_ID = (1 << 63) - 1
 RESEMBLANCE = 0.8
 #: Wide fingerprints: this many blocks of 32 bits. Texts whose distinct words
 #: differ by 2 % agree on a block with probability 0.12, so on one of 48 with 0.998.
 BLOCKS = 48
 #: Blocks shared by more texts than this are compared with a pivot.
-PAIRED_TEXTS = 32
+PAIRED_TEXTS = 8
 _LANES = BLOCKS // 2
 
 
@@ -213,14 +215,17 @@ def _text_classes(docs: DataFrame) -> DataFrame:
 
 
 def _shingle_hashes(text: Column) -> Column:
-    """Distinct hashes of five-word shingles (of all words, if fewer)."""
+    """Distinct 32-bit hashes of five-word shingles (of all words, if fewer).
+
+    Only sets of two texts are compared at a time, so 32 bits will do.
+    """
     # A-Z only, as in the classes; other letters keep their case.
     lowered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = F.array_remove(F.split(lowered, r"[\x20\x09-\x0D]+"), "")
 
     def hashes(w: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (LINK_WORDS - 1), F.lit(1)))
-        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, LINK_WORDS))))
+        return F.array_distinct(F.transform(starts, lambda i: F.hash(F.slice(w, i, LINK_WORDS))))
 
     return F.transform(F.array(words), hashes)[0]
 
@@ -238,22 +243,24 @@ def _compared(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
 
 
 def _within_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct pairs ``a < b`` of ``node`` in groups of ``keys``; of large groups, stars."""
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("node").alias("first"))
-    sized = rows.join(sizes.where("n > 1"), keys)
-    small = sized.where(F.col("n") <= PAIRED_TEXTS)
-    pairs = (
-        small.select(*keys, F.col("node").alias("a"))
-        .join(small.select(*keys, F.col("node").alias("b")), keys)
-        .where("a < b")
-        .select("a", "b")
+    """Distinct pairs ``a``, ``b`` of ``node`` in small groups of ``keys``.
+
+    Rows have ``n``, the size of their group. If they have ``open``, only pairs
+    with an open member are wanted.
+    """
+    wanted = F.col("a") < F.col("b")
+    more = ["open"] if "open" in rows.columns else []
+    if more:
+        wanted = wanted & (F.col("open_a") | F.col("open_b"))
+    small = rows.where(F.col("n") <= PAIRED_TEXTS)
+    side = lambda x: small.select(
+        *keys, F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in more]
     )
-    stars = sized.where((F.col("n") > PAIRED_TEXTS) & (F.col("node") != F.col("first")))
-    return pairs.unionByName(stars.select(F.col("first").alias("a"), F.col("node").alias("b"))).distinct()
+    return side("a").join(side("b"), keys).where(wanted).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``h1``, ``h2``, ``component_id``, ``is_first`` for every row of ``docs``.
+    """``doc_id``, ``h1``, ``h2``, ``component_id`` for every row of ``docs``.
 
     Links are texts with the same words, and texts whose sets of five-word
     shingles resemble each other by 0.8 or more. SimHash over distinct words finds
@@ -261,98 +268,129 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Blocks shared by many texts have a pivot, the text that most such blocks
     share: in a family of copies, its origin. All others are compared with it.
-    Two texts that are not like their pivot can be alike only through shingles
-    the pivot lacks, so those are paired by such shingles. NULL texts count as
-    empty; empty texts are one class. The smallest id names a component.
+    Texts that this leaves out of their pivot's component are compared once more
+    with those that share a shingle with them which the pivot lacks: a text that
+    is like them, but not like the pivot, has such a shingle. NULL texts count
+    as empty; empty texts are one class. The smallest id names a component. Texts
+    that come only without ids are linked to those with the same words, not further.
     """
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
     rows = settle(_text_classes(source), "text-classes")
-    # A class of equal texts is named by one of its hashes; both must agree.
     classes = settle(
-        rows.groupBy("h1", "h2").agg(
-            F.min("doc_id").alias("least"), F.first("blocks").alias("blocks")
-        ).withColumn("node", F.xxhash64("h1", "h2")),
+        rows.groupBy("h1", "h2")
+        .agg(F.min("doc_id").alias("least"), F.first("blocks").alias("blocks"))
+        .withColumn("node", F.xxhash64("h1", "h2")),
         "classes",
     )
-    key = lambda p, v: F.shiftleft(p.cast("bigint"), 32).bitwiseOR(v.cast("bigint").bitwiseAND(0xFFFFFFFF))
+    low = F.col("v").cast("bigint").bitwiseAND(0xFFFFFFFF)
+    key = F.shiftleft(F.col("p").cast("bigint"), 32).bitwiseOR(low)
     keyed = classes.select("node", F.posexplode("blocks").alias("p", "v")).select(
-        "node", key(F.col("p"), F.col("v")).alias("key")
+        "node", key.alias("key")
     )
     sizes = settle(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "block-sizes")
     shared = settle(keyed.join(sizes, "key"), "shared-blocks")
-    small = shared.where(F.col("n") <= PAIRED_TEXTS)
-    pairs = _within_groups(small.select("key", "node"), ["key"])
 
     large = shared.where(F.col("n") > PAIRED_TEXTS).select("key", "node")
     degree = large.groupBy("node").agg(F.count("*").alias("degree"))
-    ranked = large.join(degree, "node")
-    pivots = ranked.groupBy("key").agg(F.max_by("node", F.struct("degree", "node")).alias("pivot"))
-    starred = (
-        large.join(pivots, "key")
-        .where("node <> pivot")
-        .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        .distinct()
+    rank = F.struct("degree", "node")
+    pivots = large.join(degree, "node").groupBy("key").agg(F.max(rank).alias("rank"))
+    pivots = settle(pivots.select("key", "rank", F.col("rank.node").alias("pivot")), "pivots")
+    starred = settle(
+        large.join(pivots, "key").where("node <> pivot").select("pivot", "node").distinct(), "stars"
     )
-    pairs = settle(
-        pairs.withColumn("star", F.lit(False)).unionByName(starred.withColumn("star", F.lit(True))),
-        "pairs",
+    pairs = _within_groups(shared, ["key"]).unionByName(
+        starred.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     )
-    involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    # One document speaks for a class; its text gives the shingles.
-    chosen = classes.join(involved.distinct(), "node", "left_semi").select("node", "h1", "h2", "least")
-    named = rows.join(
-        chosen.select("node", F.col("least").alias("doc_id"), "h1", "h2"), ["doc_id", "h1", "h2"]
-    ).select("doc_id", "node").distinct()
-    shingles = settle(
-        source.join(named, "doc_id")
-        .select("node", _shingle_hashes(F.coalesce("text", F.lit(""))).alias("shingles"))
-        .groupBy("node")
-        .agg(F.first("shingles").alias("shingles")),
-        "shingles",
+    pairs = settle(pairs.distinct(), "pairs")
+    shingles = _class_shingles(source, rows, classes, pairs)
+    links = settle(_alike(pairs, shingles), "links")
+    labels = settle(connected_components(links), "labels")
+
+    # Families: components that pivots belong to, each with its foremost pivot.
+    rooted = lambda frame, node, root: (
+        frame.join(labels.select(F.col("node").alias(node), F.col("root").alias(root)), node, "left")
+        .withColumn(root, F.coalesce(root, node))
     )
-    compared = settle(
-        _compared(pairs, shingles).select(
-            "a",
-            "b",
-            (_resemblance(F.col("sa"), F.col("sb")) >= RESEMBLANCE).alias("alike"),
-            F.when(F.col("star"), F.array_except("sb", "sa")).alias("extra"),
-        ),
-        "compared",
+    families = rooted(pivots, "pivot", "family")
+    foremost = families.groupBy("family").agg(F.max("rank")["node"].alias("foremost"))
+    members = rooted(rooted(starred, "pivot", "family"), "node", "root").select(
+        "family", "node", (F.col("root") != F.col("family")).alias("open")
     )
-    # What its pivot lacks, of every text that has one; pairs of texts both like it are linked already.
-    extra = compared.where("extra IS NOT NULL").select(
-        F.col("a").alias("pivot"), F.col("b").alias("node"), "alike", F.explode("extra").alias("shingle")
+    left_out = members.where("open").select("family").distinct()
+    members = settle(
+        members.distinct().join(left_out, "family").join(foremost, "family"), "family-members"
     )
-    unlike = extra.groupBy("pivot", "shingle").agg(F.bool_or(~F.col("alike")).alias("open"))
-    loose = extra.join(unlike.where("open").drop("open"), ["pivot", "shingle"])
-    second = _compared(_within_groups(loose.select("pivot", "shingle", "node"), ["pivot", "shingle"]), shingles)
-    links = settle(
-        compared.where("alike")
-        .select("a", "b")
+    extra = (
+        _compared(members.select(F.col("foremost").alias("a"), F.col("node").alias("b"), "open"), shingles)
+        .select("a", F.col("b").alias("node"), "open", F.explode(F.array_except("sb", "sa")).alias("shingle"))
+    )
+    extra = settle(extra, "extra-shingles")
+    groups = extra.groupBy("a", "shingle").agg(
+        F.count("*").alias("n"),
+        F.bool_or("open").alias("any_open"),
+        F.min("node").alias("first"),
+    )
+    grouped = extra.join(groups.where("any_open AND n > 1"), ["a", "shingle"])
+    second = (
+        _within_groups(
+            grouped.select(F.col("a").alias("pivot"), "shingle", "node", "open", "n"),
+            ["pivot", "shingle"],
+        )
         .unionByName(
-            second.where(_resemblance(F.col("sa"), F.col("sb")) >= RESEMBLANCE).select("a", "b")
-        ),
-        "links",
+            grouped.where((F.col("n") > PAIRED_TEXTS) & (F.col("node") != F.col("first"))).select(
+                F.col("first").alias("a"), F.col("node").alias("b")
+            )
+        )
+        .unionByName(
+            members.where("open").select(F.col("foremost").alias("a"), F.col("node").alias("b"))
+        )
+        .distinct()
     )
+    links = settle(links.unionByName(_alike(second, shingles)), "links")
     labels = settle(connected_components(links), "labels")
-    rooted = classes.select("h1", "h2", "node", "least").join(labels, "node", "left").select(
+    done = classes.select("h1", "h2", "node", "least").join(labels, "node", "left").select(
         "h1", "h2", "least", F.coalesce("root", "node").alias("root")
     )
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = settle(rooted.join(names, "root").select("h1", "h2", "component_id"), "components")
+    names = done.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_class = settle(done.join(names, "root").select("h1", "h2", "component_id"), "components")
     return rows.select("doc_id", "h1", "h2").join(by_class, ["h1", "h2"])
 
 
+def _class_shingles(source, rows, classes, pairs) -> DataFrame:
+    """``node`` and ``shingles`` of every class that occurs in ``pairs``."""
+    node = lambda x: pairs.select(F.col(x).alias("node"))
+    involved = node("a").unionByName(node("b")).distinct()
+    # One document speaks for a class.
+    speakers = (
+        classes.join(involved, "node", "left_semi")
+        .select("node", "h1", "h2", F.col("least").alias("doc_id"))
+        .join(rows.select("doc_id", "h1", "h2"), ["doc_id", "h1", "h2"])
+        .select("doc_id", "node")
+        .distinct()
+    )
+    return settle(
+        source.join(settle(speakers, "speakers"), "doc_id")
+        .select("node", _shingle_hashes(F.coalesce("text", F.lit(""))).alias("shingles"))
+        .groupBy("node")
+        .agg(F.first("shingles").alias("shingles")),
+        "shingles",
+    )
+
+
+def _alike(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
+    compared = _compared(pairs, shingles)
+    return compared.where(_resemblance(F.col("sa"), F.col("sb")) >= RESEMBLANCE).select("a", "b")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component of :func:`near_duplicates`, all columns as they are.
 
     The one with the smallest ``doc_id`` stays; of rows that repeat that id, one.
-    Of rows with NULL id, those alone in their component with NULL ids: one.
+    NULL ids come after all others; of components with no other ids, one row stays.
     """
     found = near_duplicates(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__kept")
-    )
-    kept = settle(kept.distinct(), "kept")
-    matched = docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(kept["__kept"]), "left_semi")
-    return matched.dropDuplicates(["doc_id"])
+    own = lambda c: F.coalesce(F.col(c).cast("bigint"), F.lit(NO_ID))
+    kept = found.where(own("doc_id") == own("component_id")).select(own("doc_id").alias("__key"))
+    keyed = docs.withColumn("__key", own("doc_id"))
+    matched = keyed.join(settle(kept.distinct(), "kept"), "__key", "left_semi")
+    return matched.dropDuplicates(["__key"]).drop("__key")
