@@ -77,21 +77,23 @@ def rake(
     for margin in MARGINS:
         if margin not in targets:
             targets[margin] = settle(tempered(cells, margin), f"target-{margin}")
+    # Each cell's targets, joined once; from then on one join per margin and round.
     state = cells.withColumn("weight", F.col("tokens").cast("double"))
+    for margin in MARGINS:
+        goal = targets[margin].select(F.col("value").alias(margin), F.col("share").alias(f"to_{margin}"))
+        state = state.join(goal, margin, "left")
+    kept = ["tokens", *(f"to_{m}" for m in MARGINS)]
+    state = settle(state, "aimed")
     for _ in range(rounds):
         for margin in MARGINS:
-            sums = state.groupBy(margin).agg(F.sum("weight").alias("__sum"))
-            goal = targets[margin].select(F.col("value").alias(margin), F.col("share").alias("__share"))
-            factor = sums.join(goal, margin, "left").select(
-                margin,
-                F.when(F.col("__sum") > 0, F.coalesce("__share", F.lit(0.0)) / F.col("__sum"))
-                .otherwise(0.0)
-                .alias("__factor"),
-            )
-            state = state.join(factor, margin).select(
-                *MARGINS, "tokens", (F.col("weight") * F.col("__factor")).alias("weight")
+            sums = state.groupBy(margin).agg(F.sum("weight").alias("all"))
+            share = F.coalesce(F.col(f"to_{margin}"), F.lit(0.0))
+            factor = F.when(F.col("all") > 0, share / F.col("all")).otherwise(0.0)
+            state = state.join(sums, margin).select(
+                *MARGINS, *kept, (F.col("weight") * factor).alias("weight")
             )
         state = settle(state, "raked")
+    state = state.select(*MARGINS, "tokens", "weight")
     return state
 
 

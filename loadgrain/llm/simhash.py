@@ -288,7 +288,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "node", key.alias("key")
     )
     sizes = settle(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "block-sizes")
-    shared = settle(keyed.join(sizes, "key"), "shared-blocks")
+    # Merged at any size, so that a small table takes the same way as a large one.
+    shared = settle(keyed.join(sizes.hint("merge"), "key"), "shared-blocks")
 
     large = shared.where(F.col("n") > PAIRED_TEXTS).select("key", "node")
     degree = large.groupBy("node").agg(F.count("*").alias("degree"))
