@@ -136,6 +136,29 @@ def test_near_duplicates_against_brute_force(docs_of):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(expected.values()))
 
 
+def test_contiguous_edits_against_brute_force(docs_of):
+    """Headers and footers added, ends cut, stretches replaced: resemblance just over 0.8."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randrange(2, 8)))
+    texts = []
+    for _ in range(25):
+        base = [word() for _ in range(rng.randrange(120, 400))]
+        n = len(base)
+        more = [word() for _ in range(n // 5)]
+        at = rng.randrange(n - n // 12)
+        texts += [
+            base,
+            more + base,
+            base[: n - n // 6],
+            base[:at] + more[: n // 12] + base[at + n // 12 :],
+        ]
+    rows = list(enumerate(" ".join(t) for t in texts))
+    expected = plain_groups(rows)
+    assert len(set(expected.values())) < 30
+    got = simhash.near_duplicates(docs_of(rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == expected
+
+
 def test_keep_one_of_repeated_rows(docs_of):
     rows = [(1, "p q r"), (1, "p q r"), (2, "P Q R"), (None, "x y"), (None, "x y"), (5, None), (6, "")]
     kept = simhash.keep_one(docs_of(rows)).collect()
