@@ -288,21 +288,11 @@ def _compared(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b")
 
 
-def _within_groups(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct pairs ``a``, ``b`` of ``node`` in small groups of ``keys``.
-
-    Rows have ``n``, the size of their group. If they have ``open``, only pairs
-    with an open member are wanted.
-    """
-    wanted = F.col("a") < F.col("b")
-    more = ["open"] if "open" in rows.columns else []
-    if more:
-        wanted = wanted & (F.col("open_a") | F.col("open_b"))
+def _within_groups(rows: DataFrame) -> DataFrame:
+    """Distinct pairs ``a``, ``b`` of ``node`` in small groups of ``key``, of ``n`` rows each."""
     small = rows.where(F.col("n") <= PAIRED_TEXTS)
-    side = lambda x: small.select(
-        *keys, F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in more]
-    )
-    return side("a").join(side("b"), keys).where(wanted).select("a", "b").distinct()
+    side = lambda x: small.select("key", F.col("node").alias(x))
+    return side("a").join(side("b"), "key").where("a < b").select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -315,9 +305,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Blocks shared by many texts have a pivot, the text that most such blocks
     share: in a family of copies, its origin. All others are compared with it.
-    Texts that this leaves out of their pivot's component are compared once more
-    with those that share a shingle with them which the pivot lacks: a text that
-    is like them, but not like the pivot, has such a shingle. NULL texts count
+    Blocks whose texts are then in one component are done. In the others further
+    pivots follow, in rounds of eight, sixteen and so on, each compared with all
+    texts of the block that are not in its component yet, until every block is in
+    one component or has had all its texts as pivots. NULL texts count
     as empty; empty texts are one class. The smallest id names a component. Texts
     that come only without ids are linked to those with the same words, not further.
     """
@@ -338,7 +329,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Merged at any size, so that a small table takes the same way as a large one.
     shared = settle(keyed.join(sizes.hint("merge"), "key"), "shared-blocks")
 
-    large = shared.where(F.col("n") > PAIRED_TEXTS).select("key", "node")
+    large = shared.where(F.col("n") > PAIRED_TEXTS)
     degree = large.groupBy("node").agg(F.count("*").alias("degree"))
     rank = F.struct("degree", "node")
     pivots = large.join(degree, "node").groupBy("key").agg(F.max(rank).alias("rank"))
@@ -346,56 +337,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     starred = settle(
         large.join(pivots, "key").where("node <> pivot").select("pivot", "node").distinct(), "stars"
     )
-    pairs = _within_groups(shared, ["key"]).unionByName(
+    pairs = _within_groups(shared).unionByName(
         starred.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     )
     pairs = settle(pairs.distinct(), "pairs")
     shingles = _class_shingles(source, rows, classes, pairs)
     links = settle(_alike(pairs, shingles), "links")
     labels = settle(connected_components(links), "labels")
-
-    # Families: components that pivots belong to, each with its foremost pivot.
-    rooted = lambda frame, node, root: (
-        frame.join(labels.select(F.col("node").alias(node), F.col("root").alias(root)), node, "left")
-        .withColumn(root, F.coalesce(root, node))
-    )
-    families = rooted(pivots, "pivot", "family")
-    foremost = families.groupBy("family").agg(F.max("rank")["node"].alias("foremost"))
-    members = rooted(rooted(starred, "pivot", "family"), "node", "root").select(
-        "family", "node", (F.col("root") != F.col("family")).alias("open")
-    )
-    left_out = members.where("open").select("family").distinct()
-    members = settle(
-        members.distinct().join(left_out, "family").join(foremost, "family"), "family-members"
-    )
-    extra = (
-        _compared(members.select(F.col("foremost").alias("a"), F.col("node").alias("b"), "open"), shingles)
-        .select("a", F.col("b").alias("node"), "open", F.explode(F.array_except("sb", "sa")).alias("shingle"))
-    )
-    extra = settle(extra, "extra-shingles")
-    groups = extra.groupBy("a", "shingle").agg(
-        F.count("*").alias("n"),
-        F.bool_or("open").alias("any_open"),
-        F.min("node").alias("first"),
-    )
-    grouped = extra.join(groups.where("any_open AND n > 1"), ["a", "shingle"])
-    second = (
-        _within_groups(
-            grouped.select(F.col("a").alias("pivot"), "shingle", "node", "open", "n"),
-            ["pivot", "shingle"],
-        )
-        .unionByName(
-            grouped.where((F.col("n") > PAIRED_TEXTS) & (F.col("node") != F.col("first"))).select(
-                F.col("first").alias("a"), F.col("node").alias("b")
-            )
-        )
-        .unionByName(
-            members.where("open").select(F.col("foremost").alias("a"), F.col("node").alias("b"))
-        )
-        .distinct()
-    )
-    links = settle(links.unionByName(_alike(second, shingles)), "links")
-    labels = settle(connected_components(links), "labels")
+    labels = _closed(large, labels, shingles)
     done = classes.select("h1", "h2", "node", "least").join(labels, "node", "left").select(
         "h1", "h2", "least", F.coalesce("root", "node").alias("root")
     )
@@ -404,6 +353,45 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "h1", "h2").join(by_class, ["h1", "h2"])
 
 
+def _closed(large: DataFrame, labels: DataFrame, shingles: DataFrame) -> DataFrame:
+    """``labels`` after all pairs that blocks leave open have been compared.
+
+    A pair is open while its texts are in different components and neither has
+    been a pivot. ``large`` has ``key``, ``node`` and ``n``, the size of the block.
+    """
+    # Nodes are hashes: a text's turn as pivot comes at its place among 0 to n.
+    place = F.shiftrightunsigned(F.xxhash64("node"), 11) / F.lit(float(1 << 53)) * F.col("n")
+    members = large.select("key", "node", "n", place.alias("place"))
+    before, upto = 0, PAIRED_TEXTS
+    while True:
+        rooted = members.join(labels, "node", "left").select(
+            "key", "node", "n", "place", F.coalesce("root", "node").alias("root")
+        )
+        unlike = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        rooted = settle(rooted.join(unlike.where("lo <> hi").select("key"), "key"), "open-blocks")
+        rooted = rooted.where(F.col("place") >= before)
+        if rooted.isEmpty():
+            return labels
+        side = lambda x: rooted.select(
+            "key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "place", "root")]
+        )
+        pairs = (
+            side("a")
+            .where(F.col("place_a") < upto)
+            .join(side("b"), "key")
+            .where("root_a <> root_b")
+            .where((F.col("place_b") >= upto) | (F.col("node_a") < F.col("node_b")))
+            .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+            .distinct()
+        )
+        links = settle(_alike(pairs, shingles), "links")
+        if not links.isEmpty():
+            known = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            labels = settle(connected_components(known.unionByName(links)), "labels")
+        members = rooted.select("key", "node", "n", "place")
+        before, upto = upto, 2 * upto
+
+
 def _class_shingles(source, rows, classes, pairs) -> DataFrame:
     """``node`` and ``shingles`` of every class that occurs in ``pairs``."""
     node = lambda x: pairs.select(F.col(x).alias("node"))

@@ -159,6 +159,23 @@ def test_contiguous_edits_against_brute_force(docs_of):
     assert {r.doc_id: r.component_id for r in got} == expected
 
 
+def test_copies_of_copies_against_brute_force(docs_of):
+    """Each copy replaces a stretch of an earlier one: most are far from any one pivot."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randrange(2, 8)))
+    texts = [[word() for _ in range(150)]]
+    for _ in range(400):
+        base = list(rng.choice(texts))
+        size = rng.randrange(4, 16)
+        at = rng.randrange(150 - size)
+        base[at : at + size] = [word() for _ in range(size)]
+        texts.append(base)
+    rows = list(enumerate(" ".join(t) for t in texts))
+    rng.shuffle(rows)
+    got = simhash.near_duplicates(docs_of(rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == plain_groups(rows)
+
+
 def test_keep_one_of_repeated_rows(docs_of):
     rows = [(1, "p q r"), (1, "p q r"), (2, "P Q R"), (None, "x y"), (None, "x y"), (5, None), (6, "")]
     kept = simhash.keep_one(docs_of(rows)).collect()
