@@ -296,7 +296,7 @@ def _within_groups(rows: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``h1``, ``h2``, ``component_id`` for every row of ``docs``.
+    """``doc_id``, ``h1``, ``h2``, ``component_id``, ``root`` for every row of ``docs``.
 
     Links are texts with the same words, and texts whose sets of five-word
     shingles resemble each other by 0.8 or more. Candidates are those that share
@@ -309,8 +309,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pivots follow, in rounds of eight, sixteen and so on, each compared with all
     texts of the block that are not in its component yet, until every block is in
     one component or has had all its texts as pivots. NULL texts count
-    as empty; empty texts are one class. The smallest id names a component. Texts
-    that come only without ids are linked to those with the same words, not further.
+    as empty; empty texts are one class. ``root`` tells components apart;
+    the smallest id names one, if it has any.
     """
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
     rows = settle(_text_classes(source), "text-classes")
@@ -341,7 +341,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         starred.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     )
     pairs = settle(pairs.distinct(), "pairs")
-    shingles = _class_shingles(source, rows, classes, pairs)
+    shingles = _class_shingles(source, classes, pairs)
     links = settle(_alike(pairs, shingles), "links")
     labels = settle(connected_components(links), "labels")
     labels = _closed(large, labels, shingles)
@@ -349,7 +349,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "h1", "h2", "least", F.coalesce("root", "node").alias("root")
     )
     names = done.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = settle(done.join(names, "root").select("h1", "h2", "component_id"), "components")
+    by_class = settle(done.join(names, "root").select("h1", "h2", "component_id", "root"), "components")
     return rows.select("doc_id", "h1", "h2").join(by_class, ["h1", "h2"])
 
 
@@ -392,20 +392,18 @@ def _closed(large: DataFrame, labels: DataFrame, shingles: DataFrame) -> DataFra
         before, upto = upto, 2 * upto
 
 
-def _class_shingles(source, rows, classes, pairs) -> DataFrame:
+def _class_shingles(source, classes, pairs) -> DataFrame:
     """``node`` and ``shingles`` of every class that occurs in ``pairs``."""
     node = lambda x: pairs.select(F.col(x).alias("node"))
     involved = node("a").unionByName(node("b")).distinct()
-    # One document speaks for a class.
-    speakers = (
-        classes.join(involved, "node", "left_semi")
-        .select("node", "h1", "h2", F.col("least").alias("doc_id"))
-        .join(rows.select("doc_id", "h1", "h2"), ["doc_id", "h1", "h2"])
-        .select("doc_id", "node")
-        .distinct()
+    # The document of the smallest id speaks for a class; without ids, any of its texts.
+    speakers = classes.join(involved, "node", "left_semi").select(
+        "node", "h1", "h2", _id_or_last("least").alias("id")
     )
+    named = source.select(_id_or_last("doc_id").alias("id"), "text", _name(F.col("text")).alias("name"))
     return settle(
-        source.join(settle(speakers, "speakers"), "doc_id")
+        named.select("id", "text", "name.h1", "name.h2")
+        .join(settle(speakers, "speakers"), ["id", "h1", "h2"])
         .select("node", _shingle_hashes(F.coalesce("text", F.lit(""))).alias("shingles"))
         .groupBy("node")
         .agg(F.first("shingles").alias("shingles")),
@@ -413,6 +411,10 @@ def _class_shingles(source, rows, classes, pairs) -> DataFrame:
     )
 
 
+def _id_or_last(name: str) -> Column:
+    return F.coalesce(F.col(name).cast("bigint"), F.lit(NO_ID))
+
+
 def _alike(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
     compared = _compared(pairs, shingles)
     return compared.where(_resemblance(F.col("sa"), F.col("sb")) >= RESEMBLANCE).select("a", "b")
@@ -421,12 +423,17 @@ def _alike(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component of :func:`near_duplicates`, all columns as they are.
 
-    The one with the smallest ``doc_id`` stays; of rows that repeat that id, one.
-    NULL ids come after all others; of components with no other ids, one row stays.
+    The one with the smallest ``doc_id`` stays, NULL ids last; of different texts of
+    a component under that id, one; of rows that repeat both id and words, one.
+    Rows of other components stay, whatever ids they share with them.
     """
     found = near_duplicates(docs)
-    own = lambda c: F.coalesce(F.col(c).cast("bigint"), F.lit(NO_ID))
-    kept = found.where(own("doc_id") == own("component_id")).select(own("doc_id").alias("__key"))
-    keyed = docs.withColumn("__key", own("doc_id"))
-    matched = keyed.join(settle(kept.distinct(), "kept"), "__key", "left_semi")
-    return matched.dropDuplicates(["__key"]).drop("__key")
+    own = F.struct(_id_or_last("doc_id").alias("__key"), F.col("h1").alias("__h1"), F.col("h2").alias("__h2"))
+    kept = found.groupBy("root").agg(F.min(own).alias("own")).select("own.*")
+    keys = ["__key", "__h1", "__h2"]
+    keyed = docs.withColumn("__key", _id_or_last("doc_id")).withColumn(
+        "__name", _name(docs["text"].cast("string"))
+    )
+    keyed = keyed.withColumn("__h1", F.col("__name.h1")).withColumn("__h2", F.col("__name.h2"))
+    matched = keyed.join(settle(kept, "kept"), keys, "left_semi")
+    return matched.dropDuplicates(keys).drop("__name", *keys)

@@ -182,6 +182,14 @@ def test_keep_one_of_repeated_rows(docs_of):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept) == [(False, 1), (False, 5), (True, 0)]
 
 
+def test_keep_one_tells_rows_without_or_with_the_same_id_apart(docs_of):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    # Texts without ids and texts under one id are documents of their own.
+    rows = [(None, a), (None, b), (None, b + " end"), (1, c), (2, d), (2, c + " end")]
+    kept = sorted((r.doc_id or 0, r.text[:1]) for r in simhash.keep_one(docs_of(rows)).collect())
+    assert kept == [(0, "a"), (0, "b"), (1, "c"), (2, "d")]
+
+
 def test_links_through_a_long_chain(spark):
     from loadgrain.llm.common import connected_components
 
