@@ -65,7 +65,8 @@ PASSAGES = (
         "free and unencumbered software",
     ),
 )
-# One of these is part of a word of every passage.
+# One of these is part of a word of every passage, but not of every key
+# phrase; the SQL still asks for one, ``scan`` for one or for a key phrase without any.
 GATED = ("licens", "commons", "permission", "redistribution", "unencumbered")
 
 
@@ -89,8 +90,21 @@ def _vocabulary() -> list[str]:
     return sorted({w for p in PASSAGES for w in p.text.split()})
 
 
+def _may_match(text: Column) -> Column:
+    """Whether a key phrase can stand in a text: true for every text with one."""
+    lowered = F.lower(text)
+    gate = F.lit(False)
+    for word in GATED:
+        gate = gate | lowered.contains(word)
+    apart = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    for key in sorted({p.key for p in PASSAGES}):
+        if not any(word in key for word in GATED):
+            gate = gate | lowered.rlike(key.replace(" ", apart))
+    return gate
+
+
 def _hits(text: Column) -> Column:
-    """The licence words of a text with their places; none unless a gate occurs in it."""
+    """The licence words of a text with their places; none where no key phrase can stand."""
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     placed = F.transform(
@@ -98,11 +112,7 @@ def _hits(text: Column) -> Column:
         lambda w, i: F.struct(F.translate(w, upper, lower).alias("word"), i.alias("pos")),
     )
     hits = F.filter(placed, lambda h: h["word"].isin(*_vocabulary()))
-    lowered = F.lower(text)
-    gate = F.lit(False)
-    for word in GATED:
-        gate = gate | lowered.contains(word)
-    return F.when(gate, hits).otherwise(F.array().cast("array<struct<word:string,pos:int>>"))
+    return F.when(_may_match(text), hits).otherwise(F.array().cast("array<struct<word:string,pos:int>>"))
 
 
 def scan(docs: DataFrame) -> DataFrame:

@@ -63,6 +63,14 @@ def test_scan_against_brute_force(docs_of):
     assert sorted(got, key=repr) == brute(rows)
 
 
+def test_key_phrases_without_a_gate_word(docs_of):
+    lines = ["Released under CC BY-SA 4.0", "(cc-by-nc)", "under cc / By_Nc", "cc by", "accc by sa x", "cc bysa"]
+    rows = list(enumerate([*lines, *["nothing of the kind"] * 30]))
+    got = sorted((tuple(r) for r in licenses.scan(docs_of(rows)).collect()), key=repr)
+    assert got == brute(rows)
+    assert [r[6] for r in sorted(got) if r[0] in (0, 2)] == ["cc-by-sa", "cc-by-nc"]
+
+
 def test_every_passage_has_a_gate():
     assert all(any(g in p.text for g in licenses.GATED) for p in licenses.PASSAGES)
 
