@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from loadgrain.llm import (
     chats,
+    hard_negatives,
+    jaccard,
     langid,
     licenses,
     mixing,
@@ -13,6 +15,7 @@ from loadgrain.llm import (
     pieces,
     quality,
     records,
+    resampling,
     simhash,
     sketches,
 )
@@ -110,3 +113,71 @@ def op10_quality_classifier(spark, sf_dir):
     )
     good = F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0)
     return scored.withColumn("predicted", good)
+
+
+@query
+def op11_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.linked(table(spark, sf_dir, "documents"))
+
+
+# Sets with the same n-grams are one class; links of classes are followed to their end.
+ORACLES["op11_ngram_jaccard_join"] = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 1),
+            lambda i: array_to_string(w[i:i + 2], ' ')))) END AS g FROM words
+), classes AS (
+    SELECT min(doc_id) AS node, g, len(g) AS n FROM sets WHERE len(g) > 0 GROUP BY g
+), grams AS (SELECT node, n, unnest(g) AS gram FROM classes),
+links AS (
+    SELECT a.node AS a, b.node AS b FROM grams a JOIN grams b ON a.gram = b.gram AND a.node <> b.node
+    WHERE 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+    GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reached AS (
+    SELECT node, node AS other FROM classes
+    UNION SELECT r.node, l.b FROM reached r JOIN links l ON r.other = l.a
+), roots AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node)
+SELECT s.doc_id, len(s.g) AS n_shingles, coalesce(r.component_id, s.doc_id) AS component_id
+FROM sets s LEFT JOIN classes c ON s.g = c.g LEFT JOIN roots r ON c.node = r.node
+"""
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    vec_id, label = F.col("vec_id"), F.col("label")
+    own = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, own)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id,
+        CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+    FROM usable a JOIN usable c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank,
+    n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.same
+    AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
+@query
+def op13_importance_resampling(spark, sf_dir):
+    return resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
