@@ -2,42 +2,49 @@
 
 Spark's ``percentile`` is exact but keeps every distinct value of a group in one
 task. Raw timings are nearly all distinct, so one large group is too much for
-it. Here groups of any size are resolved by counting, in two passes: a histogram
-per group finds the slots that hold the wanted ranks, then only the rows in
-those slots are ranked; slots with many values are split again first. No task
-ever holds a group, and all counts are combined map-side. The result is that of
-``percentile``, to the last bit. There is one route for all sizes.
+it. Here all rows are sorted once, by group and value, over ranges of both: a
+group may span many tasks, and many groups may share one. A task reads its range
+in order and picks the values at the wanted ranks of every group that lies wholly
+inside. What is left of it, the groups at its two ends and those of many values, it
+hands on in pieces of bounded size; counting the pieces before tells which of them
+hold the wanted ranks. So rows are shuffled once, no task holds a group, and the
+result is that of ``percentile``, to the last bit. There is one route for all sizes.
 
 The method ``sketch`` is approximate: a KLL sketch per group, one pass.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StructField,
+    StructType,
+)
 
 from loadgrain.session import settle
 
-# A value range with no more distinct values than this is ranked by a window.
+# The most values of a group that are kept together.
 RANGE_VALUES = 100_000
-# Slots per power of e in the first histogram, and per range in later ones.
-LOG_SLOTS = 256
-LINEAR_SLOTS = 4096
 # Rank error of about 0.1 % of a group's rows.
 SKETCH_K = 2048
 
 _KEY, _VALUE, _N = "__key", "__value", "__n"
 
-# Aggregates that can be had from the histogram's rows: how a column is gathered
-# there, and how a group's rows are put together.
-_PARTS = {
-    "count": (F.count, F.sum),
-    "sum": (F.sum, F.sum),
-    "max": (F.max, F.max),
-    "min": (F.min, F.min),
-}
+# The kinds of aggregates; what is known of a stretch of a group, and how stretches
+# are put together.
+_KINDS = ("count", "sum", "max", "min", "avg")
+_PARTS = {"rows": F.sum, "count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 
 def grouped_percentiles(
@@ -55,9 +62,13 @@ def grouped_percentiles(
     ``percentiles`` maps output names to fractions. NULL values do not count.
     ``weight`` names a column saying how many times a row's value occurred; it
     must not be negative. ``aggs`` maps output names to a kind (count, sum, max,
-    min or avg) and a column, ``*`` for all rows.
+    min or avg) and the value's column, or ``*`` to count all rows; they count
+    rows, whatever their weight. Keys may be of any type that can be sorted.
     """
     aggs = dict(aggs or {})
+    for kind, column in aggs.values():
+        if kind not in _KINDS or column not in ((value, "*") if kind == "count" else (value,)):
+            raise ValueError(f"no aggregate {kind!r} of {column!r} beside percentiles of {value!r}")
     if method == "sketch":
         if weight is not None:
             raise ValueError("the sketch method takes unweighted values")
@@ -69,38 +80,26 @@ def grouped_percentiles(
     if weight is not None:
         wrong = F.raise_error(F.lit("a percentile weight must not be negative"))
         times = F.when(times < 0, wrong.cast("bigint")).otherwise(times)
-    number = F.col(value).cast("double")
-    counts = number.isNotNull() & (times > 0)
-    rows = df.withColumns(
-        {
-            _KEY: _key(by),
-            _VALUE: F.when(counts, number),
-            _N: F.when(counts, times.cast("bigint")),
-            "slot": F.when(counts, _log_slot(number)),
-        }
+    rows = df.select(
+        _key(by).alias(_KEY),
+        F.col(value).cast("double").alias(_VALUE),
+        F.coalesce(times.cast("bigint"), F.lit(0)).alias(_N),
     )
-    histogram = settle(rows.groupBy(_KEY, "slot").agg(*_slot_stats(), *_gathered(aggs)), "histogram")
-    groups = histogram.groupBy(_KEY).agg(F.sum("n").alias("__total"), *_put_together(aggs))
-    exact = _refine(rows, histogram, percentiles, range_values)
-    return groups.join(exact, _KEY, "left").select(
-        *[F.col(_KEY)[f"k{i}"].alias(name) for i, name in enumerate(by)], *aggs, *percentiles
-    )
-
-
-def _gathered(aggs: Mapping[str, tuple[str, str]]) -> list[Column]:
-    columns = []
-    for name, (kind, column) in aggs.items():
-        kinds = ("sum", "count") if kind == "avg" else (kind,)
-        columns += [_PARTS[k][0](column).alias(f"__{k}_{name}") for k in kinds]
-    return columns
+    picked = settle(_picked(rows, list(percentiles.values()), range_values), "picked")
+    columns = [
+        *[F.col(_KEY)[f"k{i}"].alias(name) for i, name in enumerate(by)],
+        *[_kind(*agg).alias(name) for name, agg in aggs.items()],
+        *_blended(percentiles),
+    ]
+    whole = picked.where("whole").select(*columns)
+    return whole.unionByName(_from_pieces(picked, percentiles).select(*columns))
 
 
-def _put_together(aggs: Mapping[str, tuple[str, str]]) -> list[Column]:
-    part = lambda kind, name: _PARTS[kind][1](f"__{kind}_{name}")
-    return [
-        (part("sum", name) / part("count", name) if kind == "avg" else part(kind, name)).alias(name)
-        for name, (kind, _) in aggs.items()
-    ]
+def _kind(kind: str, column: str) -> Column:
+    """An aggregate from what is known of a group."""
+    if kind == "avg":
+        return F.try_divide("sum", "count")
+    return F.col("rows" if column == "*" else kind)
 
 
 def _key(by: Sequence[str]) -> Column:
@@ -110,7 +109,7 @@ def _key(by: Sequence[str]) -> Column:
 
 
 def _sketch(df, by, percentiles, value, aggs) -> DataFrame:
-    plain = {k: v[0] for k, v in _PARTS.items()} | {"avg": F.avg}
+    plain = {"count": F.count, "sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg}
     grouped = df.groupBy(*by).agg(
         *[plain[kind](column).alias(name) for name, (kind, column) in aggs.items()],
         F.kll_sketch_agg_double(value, SKETCH_K).alias("__s"),
@@ -126,120 +125,212 @@ def _sketch(df, by, percentiles, value, aggs) -> DataFrame:
     return grouped.select(*[c for c in grouped.columns if c not in ("__s", "__c")], *picked)
 
 
-def _refine(rows, histogram, percentiles, range_values) -> DataFrame:
-    """Percentiles of all groups by counting."""
-    # The first slots are of equal relative width, the same for all groups. A
-    # slot follows from the value alone, so a group's rows join on it as well
-    # and are never brought together by the group alone.
-    total = F.sum("n").over(Window.partitionBy(_KEY))
-    positions = [F.lit(float(p)) * (F.col("total") - 1) for p in percentiles.values()]
-    ranks = F.array_distinct(F.array(*[e for at in positions for e in (F.floor(at), F.ceil(at))]))
-    counted = histogram.where("slot IS NOT NULL").withColumn("total", total)
-    counted = counted.withColumns({"ranks": ranks, "below": F.lit(0).cast("bigint")})
-    seen = Observation()
-    held = _holding_ranks(counted, [_KEY]).observe(seen, F.max("n").alias("most"))
-    ranges = settle(held, "ranges")
-    inside = (
-        rows.where("slot IS NOT NULL")
-        .select(_KEY, "slot", _VALUE, _N)
-        .join(ranges.select(_KEY, "slot", "lo"), [_KEY, "slot"])
-        .groupBy(_KEY, "lo", _VALUE)
-        .agg(F.sum(_N).alias(_N))
-    )
-    crowded = (seen.get["most"] or 0) > range_values
-    ranges = ranges.drop("slot")
-    if crowded:
-        inside = settle(inside, "inside")
-
-    # Each further split divides a range by LINEAR_SLOTS. A split range always
-    # loses at least one of its two ends, so this stops; mostly after one turn.
-    while crowded and _most_values(inside) > range_values:
-        inside = inside.withColumnRenamed("lo", "outer")
-        outer = ranges.withColumnsRenamed({"lo": "outer", "hi": "outer_hi"})
-        histogram = (
-            inside.join(outer.select(_KEY, "outer", "outer_hi"), [_KEY, "outer"])
-            .withColumn("slot", _linear_slot(F.col(_VALUE), F.col("outer"), F.col("outer_hi")))
-            .groupBy(_KEY, "outer", "slot")
-            .agg(*_slot_stats())
-            .join(outer.select(_KEY, "outer", "below", "ranks", "total"), [_KEY, "outer"])
-        )
-        ranges = settle(_holding_ranks(histogram, [_KEY, "outer"]), "ranges")
-        inside = settle(
-            inside.join(ranges.select(_KEY, "outer", "lo", "hi"), [_KEY, "outer"])
-            .where(F.col(_VALUE).between(F.col("lo"), F.col("hi")))
-            .select(_KEY, "lo", _VALUE, _N),
-            "inside",
-        )
-        ranges = ranges.drop("outer", "slot")
+def _picked(rows: DataFrame, fractions: list[float], most: int) -> DataFrame:
+    """The sorted rows, gone through once.
 
-    return _interpolate(_rank(inside, ranges), percentiles)
-
-
-def _log_slot(value: Column) -> Column:
-    """A slot number that never decreases as the value grows."""
-    magnitude = F.floor(F.ln(F.abs(value)) * LOG_SLOTS) + (1 << 20)
-    return (
-        F.when(F.isnan(value), F.lit(1 << 42))
-        .when(value == float("inf"), F.lit(1 << 41))
-        .when(value == float("-inf"), F.lit(-(1 << 41)))
-        .when(value > 0, magnitude)
-        .when(value < 0, -magnitude)
-        .otherwise(F.lit(0).cast("bigint"))
+    One row per ``whole`` group with ``lows`` and ``highs``, the values at the ranks on
+    both sides of each percentile; and the other groups in pieces of up to ``most``
+    ``values``, ordered by ``part`` and ``seq``, with ``upto``, the weights up to each.
+    """
+    # Equal values of one group may be more than a task should hold; where they
+    # came from tells them apart.
+    origin = F.spark_partition_id().alias("__from")
+    fields = [F.col(_KEY)[f.name] for f in rows.schema[_KEY].dataType.fields]
+    ranged = rows.select("*", origin).repartitionByRange(*fields, _VALUE, "__from")
+    ordered = ranged.sortWithinPartitions(*fields, _VALUE).select(_KEY, _VALUE, _N)
+    doubles, longs = ArrayType(DoubleType()), ArrayType(LongType())
+    schema = StructType(
+        [
+            StructField(_KEY, rows.schema[_KEY].dataType),
+            StructField("seq", IntegerType()),
+            StructField("whole", BooleanType()),
+            StructField("n", LongType()),
+            StructField("rows", LongType()),
+            StructField("count", LongType()),
+            *[StructField(name, DoubleType()) for name in ("sum", "min", "max")],
+            StructField("lows", doubles),
+            StructField("highs", doubles),
+            StructField("values", doubles),
+            StructField("upto", longs),
+        ]
     )
 
-
-def _linear_slot(value: Column, lo: Column, hi: Column) -> Column:
-    share = (value - lo) / (hi - lo)
-    slot = F.least(F.lit(LINEAR_SLOTS - 1).cast("bigint"), F.floor(share * LINEAR_SLOTS))
-    return F.when(hi > lo, slot).otherwise(F.lit(0).cast("bigint"))
-
-
-def _slot_stats() -> list[Column]:
-    return [F.sum(_N).alias("n"), F.min(_VALUE).alias("lo"), F.max(_VALUE).alias("hi")]
-
-
-def _holding_ranks(histogram: DataFrame, parts: list[str]) -> DataFrame:
-    """The slots that contain wanted ranks, with the row count below each.
-
-    The window runs over slots, whose number per group is bounded, not rows.
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _Stretches(fractions, most).run(batches)
+
+    return ordered.mapInArrow(pick, schema).withColumn("part", F.spark_partition_id())
+
+
+def _changes(keys: pa.StructArray) -> np.ndarray:
+    """Where a row's key differs from that of the row before; the first row does."""
+    n = len(keys)
+    differs = np.zeros(n, dtype=bool)
+    differs[:1] = True
+    for field in keys.flatten():
+        one, two = field.slice(0, max(n - 1, 0)), field.slice(1)
+        if pa.types.is_nested(field.type):
+            unlike = np.array([a != b for a, b in zip(one.to_pylist(), two.to_pylist(), strict=True)], bool)
+        else:
+            unlike = pc.fill_null(pc.not_equal(one, two), False).to_numpy(zero_copy_only=False)
+            if pa.types.is_floating(field.type):
+                unlike = unlike & ~(np.isnan(one) & np.isnan(two))
+            missing = field.is_null().to_numpy(zero_copy_only=False)
+            unlike = unlike | (missing[1:] != missing[:-1])
+        differs[1:] |= unlike
+    return differs
+
+
+class _Stretches:
+    """Goes through one task's rows, which are in order of group and value."""
+
+    def __init__(self, fractions: list[float], most: int):
+        self.fractions, self.most = fractions, most
+        self.seq = 0
+        self.open_piece = True  # the first group may have begun in another task
+
+    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            both = batch if rest is None else pa.concat_batches([rest, batch])
+            starts = np.flatnonzero(_changes(both.column(0)))
+            last = int(starts[-1])
+            if last:
+                yield from self._groups(both.slice(0, last), starts[:-1])
+            rest = both.slice(last)
+            # What has come of the last group is handed on as soon as it is too much.
+            while rest.num_rows > self.most:
+                yield self._piece(rest.slice(0, self.most))
+                rest, self.open_piece = rest.slice(self.most), True
+        if rest is not None:
+            yield self._piece(rest)  # it may go on in another task
+
+    def _groups(self, rows: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Groups that end here: in pieces if they began before or are large, else whole."""
+        ends = np.append(starts[1:], rows.num_rows)
+        large = ends - starts > self.most
+        large[0] |= self.open_piece
+        self.open_piece = False
+        for i in np.flatnonzero(large).tolist():
+            for at in range(int(starts[i]), int(ends[i]), self.most):
+                yield self._piece(rows.slice(at, min(self.most, int(ends[i]) - at)))
+        small = np.flatnonzero(~large)
+        if len(small):
+            yield self._whole(rows, starts[small], ends[small])
+
+    def _known(self, rows: pa.RecordBatch, starts: np.ndarray, ends: np.ndarray):
+        """Values, weights summed up from the first row, and what is known of each stretch."""
+        value = rows.column(1)
+        missing = value.is_null().to_numpy(zero_copy_only=False)
+        number = value.fill_null(0.0).to_numpy(zero_copy_only=False)
+        upto = np.cumsum(np.where(missing, 0, rows.column(2).to_numpy()))
+        nulls = np.concatenate(([0], np.cumsum(missing)))
+        count = (ends - starts) - (nulls[ends] - nulls[starts])
+        spans = np.ravel(np.column_stack((starts, ends)))
+        padded = np.append(number, 0.0)
+        with np.errstate(invalid="ignore"):  # infinities of both signs
+            total = np.add.reduceat(padded, spans)[::2]
+        none = count == 0
+        known = [
+            pa.array(ends - starts),
+            pa.array(count),
+            pa.array(total, mask=none),
+            # NULLs come first, and NaN, the largest, last.
+            pa.array(padded[ends - count], mask=none),
+            pa.array(number[ends - 1], mask=none),
+        ]
+        return missing, number, upto, known
+
+    def _whole(self, rows, starts, ends) -> pa.RecordBatch:
+        _, number, upto, known = self._known(rows, starts, ends)
+        below = np.where(starts > 0, upto[starts - 1], 0)
+        n = upto[ends - 1] - below
+        sides = []
+        for turn in (np.floor, np.ceil):
+            ranks = np.column_stack([turn(p * (n - 1)) for p in self.fractions] or [n[:0]])
+            places = np.searchsorted(upto, (below[:, None] + ranks).ravel(), side="right")
+            width = len(self.fractions)
+            offsets = pa.array(np.arange(len(n) + 1, dtype=np.int32) * width)
+            picked = pa.array(number[np.minimum(places, len(number) - 1)])
+            sides.append(pa.ListArray.from_arrays(offsets, picked, mask=pa.array(n == 0)))
+        nothing = len(n)
+        return self._batch(
+            rows.column(0).take(pa.array(starts)), True, n, known, *sides,
+            pa.nulls(nothing, pa.list_(pa.float64())), pa.nulls(nothing, pa.list_(pa.int64())),
+        )
+
+    def _piece(self, rows: pa.RecordBatch) -> pa.RecordBatch:
+        missing, number, upto, known = self._known(rows, np.array([0]), np.array([rows.num_rows]))
+        held = ~missing
+        no_side = pa.nulls(1, pa.list_(pa.float64()))
+        return self._batch(
+            rows.column(0).slice(0, 1), False, upto[-1:], known, no_side, no_side,
+            pa.array([number[held]], pa.list_(pa.float64())),
+            pa.array([upto[held]], pa.list_(pa.int64())),
+        )
+
+    def _batch(self, keys, whole, n, known, lows, highs, values, upto) -> pa.RecordBatch:
+        seq = np.arange(self.seq, self.seq + len(keys), dtype=np.int32)
+        self.seq += len(keys)
+        names = [_KEY, "seq", "whole", "n", "rows", "count", "sum", "min", "max"]
+        return pa.RecordBatch.from_arrays(
+            [
+                keys, pa.array(seq), pa.array(np.full(len(keys), whole)), pa.array(n), *known,
+                lows, highs, values, upto,
+            ],
+            [*names, "lows", "highs", "values", "upto"],
+        )
+
+
+def _from_pieces(picked: DataFrame, percentiles: Mapping[str, float]) -> DataFrame:
+    """The groups that came in pieces, in the form of those that came whole.
+
+    Windows run over pieces, not rows. Values are read from those that hold wanted
+    ranks only, and not shuffled while the list of these is small.
     """
-    upto = F.sum("n").over(Window.partitionBy(*parts).orderBy("slot"))
-    counted = histogram.withColumn("upto", F.col("below") + upto)
-    start = F.col("upto") - F.col("n")
-    held = F.filter("ranks", lambda r: (r >= start) & (r < F.col("upto")))
-    return (
-        counted.withColumn("ranks", held)
-        .withColumn("below", start)
-        .where(F.size("ranks") > 0)
-        .select(*parts, "slot", "n", "lo", "hi", "below", "ranks", "total")
+    pieces = picked.where("NOT whole")
+    group = Window.partitionBy(_KEY)
+    ordered = group.orderBy("part", "seq")
+    total = F.sum("n").over(group)
+    positions = [F.lit(float(p)) * (F.col("total") - 1) for p in percentiles.values()]
+    lows, highs = ([turn(at) for at in positions] for turn in (F.floor, F.ceil))
+    ranks = F.array_distinct(F.array(*lows, *highs)) if positions else F.array().cast("array<bigint>")
+    below = F.sum("n").over(ordered) - F.col("n")
+    inside = lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("n"))
+    counted = (
+        pieces.select(_KEY, "part", "seq", "n", *_PARTS)
+        .withColumns({"total": total, "below": below, "nth": F.row_number().over(ordered)})
+        .withColumns({name: put(name).over(group) for name, put in _PARTS.items()})
+        .withColumn("held", F.filter(ranks, inside))
     )
+    counted = settle(counted, "pieces")
+    # The value at a rank of a piece: the first that the weights reach beyond it.
+    at = F.col("rank") - F.col("below")
+    place = F.size(F.filter("upto", lambda u: u <= at)) + 1
+    found = (
+        counted.where(F.size("held") > 0)
+        .select("part", "seq", "below", F.col(_KEY).alias("found"), F.explode("held").alias("rank"))
+        .join(pieces.select("part", "seq", "values", "upto"), ["part", "seq"])
+        .select("found", "rank", F.element_at("values", place).alias("at"))
+        .groupBy("found")
+        .agg(F.map_from_entries(F.collect_list(F.struct("rank", "at"))).alias("ranked"))
+    )
+    groups = counted.where("nth = 1").withColumn("n", F.col("total"))
+    sides = {
+        name: F.when(F.col("n") > 0, F.array(*[F.col("ranked")[r] for r in side]))
+        for name, side in (("lows", lows), ("highs", highs))
+    }
+    return groups.join(found, F.col(_KEY) == F.col("found"), "left").withColumns(sides)
 
 
-def _most_values(inside: DataFrame) -> int:
-    per_range = inside.groupBy(_KEY, "lo").count()
-    return per_range.agg(F.max("count")).first()[0] or 0
-
-
-def _rank(inside: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The value at each wanted rank; every window holds few distinct values."""
-    upto = F.sum(_N).over(Window.partitionBy(_KEY, "lo").orderBy(_VALUE))
-    counted = inside.withColumn("upto", upto).join(ranges, [_KEY, "lo"])
-    end = F.col("below") + F.col("upto")
-    held = F.filter("ranks", lambda r: (r >= end - F.col(_N)) & (r < end))
-    return counted.select(_KEY, "total", F.explode(held).alias("rank"), _VALUE)
-
-
-def _interpolate(ranked: DataFrame, percentiles: Mapping[str, float]) -> DataFrame:
+def _blended(percentiles: Mapping[str, float]) -> list[Column]:
     """Blend the values at the ranks on both sides of each percentile."""
-    found = ranked.groupBy(_KEY).agg(
-        F.map_from_entries(F.collect_set(F.struct("rank", _VALUE))).alias("at"),
-        F.max("total").alias("total"),
-    )
     columns = []
-    for name, p in percentiles.items():
-        position = F.lit(float(p)) * (F.col("total") - 1)
+    for i, (name, p) in enumerate(percentiles.items()):
+        position = F.lit(float(p)) * (F.col("n") - 1)
         low, high = F.floor(position), F.ceil(position)
-        x, y = F.col("at")[low], F.col("at")[high]
+        x, y = F.col("lows")[i], F.col("highs")[i]
         blend = (high - position) * x + (position - low) * y
         columns.append(F.when((low == high) | (x == y), x).otherwise(blend).alias(name))
-    return found.select(_KEY, *columns)
+    return columns

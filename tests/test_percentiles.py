@@ -61,8 +61,8 @@ def test_the_built_in_gives_the_same(spark):
     assert {r.k: [r[p] for p in WANTED] for r in found} == expected
 
 
-def test_two_scans_and_no_shuffle_by_group_alone(spark, sf_dir, monkeypatch):
-    """Rows move by group and slot, or are counted first; the input is read twice."""
+def test_rows_are_shuffled_once_by_range(spark, sf_dir, monkeypatch):
+    """One scan and one range shuffle of the input; what follows reads the settled picks."""
     frame = spark.read.parquet(f"{sf_dir}/events.parquet")
     plans, real = [], module.settle
 
@@ -73,22 +73,68 @@ def test_two_scans_and_no_shuffle_by_group_alone(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(module, "settle", settled)
     found = grouped_percentiles(frame, ["event_type"], {"p": 0.5})
     plans.append(found._jdf.queryExecution().executedPlan().toString())
-    reads = [p.count("events.parquet") for p in plans]
-    assert sum(reads) == 2 and reads[0] == 1
-    (by_slot,) = [x for x in plans[0].splitlines() if "Exchange hashpartitioning" in x]
-    assert "slot" in by_slot
-    # The other scan is joined on group and slot and counted per value before it moves on.
-    assert "[__key" in plans[-1] and "slot" in plans[-1]
-
-
-def test_narrow_values_take_several_splits(spark, monkeypatch):
-    """Distinct values so close that each split leaves most of them together."""
-    monkeypatch.setattr(module, "LOG_SLOTS", 1)
-    monkeypatch.setattr(module, "LINEAR_SLOTS", 2)
-    rows = [("hot", 100 + i * 1e-9) for i in range(2000)] + [("hot", 1e300), ("hot", -1e300)]
-    frame = spark.createDataFrame(rows, "k string, value double")
-    found = grouped_percentiles(frame, ["k"], WANTED, range_values=600)
-    check(found, brute(rows))
+    assert [p.count("events.parquet") for p in plans] == [1, 0, 0]
+    assert plans[0].count("Exchange") == 1 and "Exchange rangepartitioning" in plans[0]
+    # Values of pieces stay where they are while the ranks looked for are few.
+    assert not any("values#" in line for p in plans for line in p.splitlines() if "Exchange" in line)
+
+
+def pieces_of(spark, rows, most):
+    frame = spark.createDataFrame(rows, "k string, value double").repartition(12)
+    keyed = frame.select(
+        module._key(["k"]).alias(module._KEY),
+        F.col("value").alias(module._VALUE),
+        F.lit(1).cast("bigint").alias(module._N),
+    )
+    return module._picked(keyed, [0.5], most).collect()
+
+
+def test_a_group_spans_tasks_and_many_share_one(spark):
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        rows = [("hot", float(i % 1000)) for i in range(6000)]
+        rows += [(f"k{i % 400:03}", float(i)) for i in range(6000)]
+        got = pieces_of(spark, rows, 700)
+        hot = [r for r in got if r[module._KEY].k0 == "hot"]
+        assert len({r.part for r in hot}) > 1 and not any(r.whole for r in hot)
+        assert max(len(r["values"]) for r in hot) <= 700 and sum(r.n for r in hot) == 6000
+        small = [r for r in got if r.whole]
+        assert len(small) > 350 and all(r["values"] is None and r.n == 15 for r in small)
+        # Rows that are all alike do not gather in one task either.
+        same = pieces_of(spark, [("hot", 1.5)] * 12_000, 100_000)
+        assert len({r.part for r in same}) > 1 and max(r.n for r in same) <= 6000
+        frame = spark.createDataFrame(rows, "k string, value double")
+        check(grouped_percentiles(frame, ["k"], WANTED, range_values=700), brute(rows))
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_keys_of_all_kinds(spark):
+    schema = "a double, b array<int>, c date, value double"
+    nan = float("nan")
+    rows = [(nan, [1], None, 1.0), (nan, [1], None, 3.0), (0.0, None, None, 5.0), (-0.0, None, None, 7.0)]
+    rows += [(None, [2], None, 1.0), (None, [2, 3], None, 2.0), (nan, [1, 2], None, None)]
+    found = grouped_percentiles(
+        spark.createDataFrame(rows, schema), ["a", "b", "c"], {"p": 0.5}, aggs={"n": ("count", "*")}
+    ).collect()
+    assert sorted((str(r.a), str(r.b), r.n, r.p) for r in found) == [
+        ("0.0", "None", 2, 6.0), ("None", "[2, 3]", 1, 2.0), ("None", "[2]", 1, 1.0),
+        ("nan", "[1, 2]", 1, None), ("nan", "[1]", 2, 2.0),
+    ]
+
+
+def test_empty_input(spark):
+    frame = spark.createDataFrame([], "k string, value double")
+    assert grouped_percentiles(frame, ["k"], WANTED).collect() == []
+    assert grouped_percentiles(frame, ["k"], {}).columns == ["k"]
+
+
+def test_only_aggregates_of_the_value(spark):
+    frame = spark.createDataFrame([("a", 1.0, 2.0)], "k string, value double, other double")
+    for agg in (("max", "other"), ("max", "*"), ("median", "value")):
+        with pytest.raises(ValueError, match="no aggregate"):
+            grouped_percentiles(frame, ["k"], {"p": 0.5}, aggs={"x": agg})
 
 
 def test_weights(spark):
