@@ -11,9 +11,9 @@ slots: any order would give the same links, this one keeps n-grams of passages t
 many documents share out of the prefixes. Equal sets are one class before anything
 is joined, so copies never meet.
 
-Blocks of a prefix n-gram that many classes share are not paired. All are compared
-with one of them, then those not yet in one component with further ones, more each
-round, until no pair of different components is left.
+Blocks of a prefix n-gram that many classes share are not paired at once. All are
+compared with one of them, then those not yet known to belong together with further
+ones, more each round, until no pair of different components is left.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,12 @@ from loadgrain.session import settle
 SLOT_BITS = 18
 #: Fixed parts whose sizes are compared before sets are.
 PARTS = 64
+#: Large blocks are compared in squares of about so many by so many classes; the first
+#: round sees that many rows of squares.
+SQUARE, ROUND = 1024, 4
+#: Whole sets are built where a bit tells that they may be needed: so many bits for
+#: each that is, as a power of two, and never more than these (32 MB).
+BITS_EACH, MOST_BITS = 16, 1 << 28
 #: Stands for a NULL id when a class's text is looked up.
 NO_ID = (1 << 63) - 1
 _REST = np.uint64(64 - SLOT_BITS)
@@ -193,11 +200,9 @@ def _places(how: Likeness) -> Column:
 
 def _suffixes(how: Likeness) -> Column:
     """Whether the parts' sizes leave room: they differ by no more than the sets do."""
-    apart = F.aggregate(
-        F.zip_with("xa", "xb", lambda x, y: F.abs(x.cast("int") - y.cast("int"))),
-        F.lit(0),
-        lambda total, x: total + x,
-    )
+    part = lambda x, i: F.get(x, F.lit(i)).cast("int")
+    # Spelt out, so that it is compiled with the join.
+    apart = sum((F.abs(part("xa", i) - part("xb", i)) for i in range(PARTS)), F.lit(0))
     return apart <= F.col("na") + F.col("nb") - 2 * _needed(how, "na", "nb")
 
 
@@ -223,64 +228,144 @@ def _small_blocks(members: DataFrame, classes: DataFrame, how: Likeness) -> Data
 
 
 def _stars(large: DataFrame, how: Likeness) -> DataFrame:
-    """All of a large block beside the one that most large blocks share."""
-    degree = large.groupBy("row").agg(F.count("*").alias("degree"))
-    rank = F.struct("degree", "row")
-    pivots = large.join(degree, "row").groupBy("token").agg(F.max(rank).alias("rank"))
+    """Each of a large block (``row``) beside the one that most large blocks share (``pivot``)."""
+    rank = F.struct(F.size("shared").alias("degree"), F.col("row"))
+    pivots = large.groupBy("token").agg(F.max(rank).alias("rank"))
     pivots = pivots.select("token", F.col("rank.row").alias("row"))
-    centre = large.join(pivots, ["token", "row"])
-    return _open_pairs(centre, large, how)
+    centre = _side(large.join(pivots, ["token", "row"]), "a", parts="xa")
+    joined = centre.join(_side(large, "b", parts="xb"), "token").where("a <> b").where(_lengths(how))
+    return joined.where(_suffixes(how)).select(
+        F.col("a").alias("pivot"), F.col("b").alias("row"), F.col("na").alias("np"), F.col("nb").alias("n")
+    ).distinct()
+
+
+def _as_pairs(stars: DataFrame) -> DataFrame:
+    first = F.col("pivot") < F.col("row")
+    return stars.select(
+        F.least("pivot", "row").alias("a"),
+        F.greatest("pivot", "row").alias("b"),
+        F.when(first, F.col("np")).otherwise(F.col("n")).alias("na"),
+        F.when(first, F.col("n")).otherwise(F.col("np")).alias("nb"),
+    )
 
 
-def _open_pairs(some: DataFrame, every: DataFrame, how: Likeness, *apart: Column, **more) -> DataFrame:
-    """Pairs of ``some`` with ``every`` of their block that lengths and parts let through."""
-    joined = _side(some, "a", parts="xa", **{k: f"{v}a" for k, v in more.items()}).join(
-        _side(every, "b", parts="xb", **{k: f"{v}b" for k, v in more.items()}), "token"
+def _within_squares(how: Likeness):
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            rows, roots, n, parts = (np.stack(right[c].to_numpy()) for c in ("row", "root", "n", "parts"))
+            parts, shared = parts.astype(np.int32), [set(x) for x in right["shared"]]
+            same = left["i"].iloc[0] == right["j"].iloc[0]
+            token = left["token"].iloc[0]
+            for one in left.itertuples(index=False):
+                both = one.n + n
+                needed = -(-how.percent * both // (100 + how.percent))
+                fits = (np.minimum(one.n, n) * 100 >= np.maximum(one.n, n) * how.percent) & (roots != one.root)
+                # In a square on the diagonal each pair would be met twice.
+                fits &= (rows > one.row) if same else (rows != one.row)
+                at = np.flatnonzero(fits)
+                apart = np.abs(parts[at] - np.asarray(one.parts, dtype=np.int32)).sum(axis=1)
+                own = set(one.shared)
+                for k in at[apart <= both[at] - 2 * needed[at]].tolist():
+                    if min(own & shared[k]) == token:
+                        pair = sorted(((one.row, one.n), (int(rows[k]), int(n[k]))))
+                        out.append((pair[0][0], pair[1][0], pair[0][1], pair[1][1]))
+        return pd.DataFrame(out, columns=["a", "b", "na", "nb"])
+
+    return run
+
+
+def _open_pairs(rooted: DataFrame, before: int, upto: int, how: Likeness) -> DataFrame:
+    """Pairs of blocks that may link and are not known to belong together, once each.
+
+    Blocks are cut into squares, the rows from ``before`` to ``upto`` of which are
+    looked at. A pair that shares several large blocks is met in the first of them.
+    """
+    square = F.floor(F.col("turn") / SQUARE).cast("int")
+    last = F.floor((F.col("m") - 1) / SQUARE).cast("int")
+    dealt = rooted.withColumn("square", square).withColumn("last", last)
+    left = dealt.where((F.col("square") >= before) & (F.col("square") < upto)).select(
+        "*", F.col("square").alias("i"), F.explode(F.sequence("square", "last")).alias("j")
+    )
+    ends = F.least(F.col("square"), F.lit(upto - 1))
+    right = dealt.select(
+        "*", F.col("square").alias("j"), F.explode(F.sequence(F.lit(before), ends)).alias("i")
+    )
+    key = ["token", "i", "j"]
+    columns = [*key, "row", "n", "root", "parts", "shared"]
+    cells = left.select(*columns).groupBy(*key).cogroup(right.select(*columns).groupBy(*key))
+    return cells.applyInPandas(_within_squares(how), "a bigint, b bigint, na bigint, nb bigint")
+
+
+def _wanted_bits(speakers: DataFrame) -> np.ndarray:
+    """A bitmap of the slots of ``speakers``; at most ``MOST_BITS``, whatever their number."""
+    bits = 1 << 15
+    while bits < min(MOST_BITS, BITS_EACH * speakers.count()):
+        bits *= 2
+    slot = _slot(bits)
+    found = (
+        speakers.select(slot.alias("slot"))
+        .groupBy(F.shiftright("slot", 15).alias("at"))
+        .agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND((1 << 15) - 1)).alias("bits"))
+        .collect()
     )
-    for condition in (F.col("a") != F.col("b"), _lengths(how), *apart, _suffixes(how)):
-        joined = joined.where(condition)
-    a, b = F.least("a", "b"), F.greatest("a", "b")
-    na = F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb"))
-    nb = F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na"))
-    return joined.select(a.alias("a"), b.alias("b"), na.alias("na"), nb.alias("nb")).distinct()
+    bitmap = np.zeros((bits >> 15, 1 << 12), dtype=np.uint8)
+    for row in found:
+        bitmap[row["at"]] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return bitmap.ravel()
+
+
+def _slot(bits: int) -> Column:
+    return F.pmod(F.xxhash64("id", "t"), F.lit(bits))
 
 
 def _whole_sets(docs: DataFrame, classes: DataFrame, involved: DataFrame, how: Likeness) -> DataFrame:
-    """``row`` and ``grams`` of the classes in ``involved``, from one text of each."""
+    """``row`` and ``grams`` of the classes in ``involved``, from one text of each.
+
+    Texts are not shuffled: where they are read, a bitmap tells which may be wanted,
+    and only the n-grams of those go on.
+    """
+    speakers = settle(
+        classes.join(involved, "row", "left_semi").select(
+            "row", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "t"
+        ),
+        "speakers",
+    )
+    bitmap = _wanted_bits(speakers)
+
+    def packed(ids, marks, found):
+        offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found), pa.int64()))
+        arrays = [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), lists]
+        return pa.RecordBatch.from_arrays(arrays, ["id", "t", "grams"])
 
     def run(batches):
         for batch in batches:
-            rows, found, size = [], [], 0
-            for row, text in zip(*batch.columns, strict=True):
-                rows.append(row.as_py())
-                found.append(np.unique(ngrams(text.as_py(), how.words)).view(np.int64))
+            slots = batch.column(2).to_numpy()
+            wanted = np.flatnonzero(bitmap[slots >> 3] >> (slots & 7).astype(np.uint8) & 1)
+            ids, marks, found, size = [], [], [], 0
+            for at in wanted.tolist():
+                ids.append(batch.column(0)[at].as_py())
+                marks.append(batch.column(1)[at].as_py())
+                found.append(np.unique(ngrams(batch.column(3)[at].as_py(), how.words)).view(np.int64))
                 size += len(found[-1])
                 if size >= _VALUES:
-                    yield _listed(rows, found)
-                    rows, found, size = [], [], 0
-            if rows:
-                yield _listed(rows, found)
+                    yield packed(ids, marks, found)
+                    ids, marks, found, size = [], [], [], 0
+            if found:
+                yield packed(ids, marks, found)
 
-    speakers = classes.join(involved, "row", "left_semi").select(
-        "row", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "t"
-    )
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "t", "text")
+    built = texts.select("id", "t", _slot(len(bitmap) * 8).alias("slot"), "text").mapInArrow(
+        run, "id bigint, t bigint, grams array<bigint>"
+    )
     # Rows that repeat both id and text are one here.
     one = (
-        texts.join(settle(speakers, "speakers"), ["id", "t"])
+        built.join(speakers, ["id", "t"])
         .groupBy("id", "t", "row")
-        .agg(F.first("text").alias("text"))
+        .agg(F.first("grams").alias("grams"))
     )
-    return settle(
-        one.select("row", "text").mapInArrow(run, "row bigint, grams array<bigint>"), "whole-sets"
-    )
-
-
-def _listed(rows: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
-    offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
-    values = pa.array(np.concatenate(found), pa.int64())
-    lists = pa.ListArray.from_arrays(pa.array(offsets), values)
-    return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), lists], ["row", "grams"])
+    return settle(one.select("row", "grams"), "whole-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, how: Likeness) -> DataFrame:
@@ -296,38 +381,31 @@ def _verified(pairs: DataFrame, sets: DataFrame, how: Likeness) -> DataFrame:
     )
 
 
-def _closed(large: DataFrame, labels: DataFrame, sets: DataFrame, how: Likeness) -> DataFrame:
-    """``labels`` after all pairs that large blocks leave open have been looked at.
+def _closed(
+    large: DataFrame, labels: DataFrame, links: DataFrame, sets: DataFrame, how: Likeness
+) -> DataFrame:
+    """``links`` and those of all pairs that large blocks leave open.
 
-    Members take turns in an order of their hashes. A round looks at the next of
-    each block beside all that come after and are in other components by then.
+    ``labels`` tell of some rows which others they belong to. Members take turns in an
+    order of their hashes. A round looks at the next of each block beside all that come
+    after and are not known to belong to them by then.
     """
     turn = F.shiftrightunsigned(F.xxhash64("row"), 11) / F.lit(float(1 << 53)) * F.col("m")
     members = large.withColumn("turn", turn)
-    before, upto = 0, how.paired
+    before, upto = 0, ROUND
     while True:
         rooted = members.join(labels, F.col("row") == F.col("node"), "left").select(
             *members.columns, F.coalesce("root", "row").alias("root")
         )
         ends = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         rooted = rooted.join(ends.where("lo <> hi").select("token"), "token")
-        rooted = settle(rooted.where(F.col("turn") >= before), "open-blocks")
-        if rooted.isEmpty():
-            return labels
-        pairs = _open_pairs(
-            rooted.where(F.col("turn") < upto),
-            rooted,
-            how,
-            F.col("roota") != F.col("rootb"),
-            (F.col("turnb") >= upto) | (F.col("a") < F.col("b")),
-            root="root",
-            turn="turn",
-        )
-        links = settle(_verified(settle(pairs, "open-pairs"), sets, how), "links")
-        if not links.isEmpty():
-            known = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            labels = settle(connected_components(known.unionByName(links)), "labels")
-        members = rooted.drop("root")
+        rooted = settle(rooted, "open-blocks")
+        pairs = settle(_open_pairs(rooted, before, upto, how), "open-pairs")
+        links = settle(links.unionByName(_verified(pairs, sets, how)), "links")
+        members = rooted.where(F.col("turn") >= upto * SQUARE).drop("root")
+        if members.isEmpty():
+            return links
+        labels = settle(connected_components(links), "labels")
         before, upto = upto, 4 * upto
 
 
@@ -358,17 +436,25 @@ def linked(docs: DataFrame, how: Likeness = Likeness()) -> DataFrame:
         classes.join(members.select("row"), "row", "left_semi").select("row", "doc_id", "t", "parts"),
         "meeting-classes",
     )
-    large = settle(
-        members.where(F.col("m") > how.paired).drop("place").join(parts.select("row", "parts"), "row"),
-        "large-blocks",
-    )
-    pairs = _small_blocks(members, parts, how).unionByName(_stars(large, how)).distinct()
+    crowded = members.where(F.col("m") > how.paired).select("token", "row", "n", "m")
+    shared_blocks = crowded.groupBy("row").agg(F.collect_list("token").alias("shared"))
+    large = crowded.join(shared_blocks, "row").join(parts.select("row", "parts"), "row")
+    large = settle(large, "large-blocks")
+    stars = settle(_stars(large, how), "stars")
+    pairs = _small_blocks(members, parts, how).unionByName(_as_pairs(stars)).distinct()
     pairs = settle(pairs, "pairs")
     ends = [frame.select(F.col(x).alias("row")) for frame, x in ((pairs, "a"), (pairs, "b"))]
     involved = ends[0].unionByName(ends[1]).unionByName(large.select("row")).distinct()
     sets = _whole_sets(source, parts, involved, how)
     links = settle(_verified(pairs, sets, how), "links")
-    labels = _closed(large, settle(connected_components(links), "labels"), sets, how)
+    if not large.isEmpty():
+        # What is linked to a block's pivot belongs to it.
+        either = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        either = either.select(F.col("a").alias("row"), F.col("b").alias("pivot"))
+        tied = either.join(stars, ["row", "pivot"]).groupBy("row").agg(F.min("pivot").alias("root"))
+        labels = settle(tied.select(F.col("row").alias("node"), "root"), "tied")
+        links = _closed(large, labels, links, sets, how)
+    labels = settle(connected_components(links), "labels")
 
     rooted = named.join(labels, F.col("row") == F.col("node"), "left").select(
         *name, "least", F.coalesce("root", "row").alias("root")
