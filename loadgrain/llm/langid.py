@@ -32,6 +32,8 @@ RIDGE = 1e-3
 #: Texts are scored so many at a time and read so many characters at a time.
 BATCH_TEXTS, BATCH_CHARS = 64, 1 << 18
 SEED = 6
+#: Half way between the targets of a language and of the rest.
+LEAST = 0.5
 
 _ODD, _STEP = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 _SHIFT = np.uint32(32 - SLOT_BITS)
@@ -195,9 +197,17 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     )
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.0) -> DataFrame:
-    """The rows whose language can be told with at least the given score."""
-    found = predicted(model, F.col("text"))
-    return docs.where(
-        (found["lang_pred"] != UNDETERMINED) & (found["score"] >= least)
-    )
+def keep_identified(docs: DataFrame, model: LanguageModel, least: float = LEAST) -> DataFrame:
+    """The rows whose language can be told, with the language told in ``lang``.
+
+    A row goes if its text has no letter, or if its best score lies below ``least``:
+    then every language's classifier counts it with the rest. Other columns stay as
+    they are; without ``lang`` there are no others.
+    """
+    found, score = (f"__{name}" for name in ("lang_pred", "score"))
+    while {found, score} & set(docs.columns):
+        found, score = found + "_", score + "_"
+    told = docs.withColumn(found, predicted(model, docs["text"]))
+    kept = told.where((F.col(found)["lang_pred"] != UNDETERMINED) & (F.col(found)["score"] >= least))
+    told_lang = F.col(found)["lang_pred"].alias("lang")
+    return kept.select(*[told_lang if c == "lang" else F.col(f"`{c}`") for c in docs.columns])

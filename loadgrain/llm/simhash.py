@@ -1,8 +1,7 @@
 """SimHash fingerprints and near-duplicates.
 
 ``fingerprint_components`` links documents whose 64-bit fingerprints differ in
-few bits. ``near_duplicates`` is the filter a pipeline wants: SimHash and
-bands of shingle hashes propose, the resemblance of five-word shingles decides.
+few bits; ``keep_one`` keeps one row of each component.
 
 Python only turns texts into fingerprints, in Arrow batches; all linking is
 DataFrame joins. Nothing is dropped or capped: blocks shared by many
@@ -139,6 +138,13 @@ def fingerprint_links(fps: DataFrame, paired_block: int = PAIRED_BLOCK) -> DataF
     return pairs.unionByName(stars.where("a <> b"))
 
 
+def _roots(classes: DataFrame) -> DataFrame:
+    """``classes`` (one row per ``fp``) with ``root``, the same for all that links reach."""
+    labels = settle(connected_components(fingerprint_links(classes.select("fp"))), "labels")
+    rooted = classes.join(labels, F.col("fp") == F.col("node"), "left")
+    return rooted.select(*classes.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def fingerprint_components(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``fingerprint``, ``component_id``.
 
@@ -148,11 +154,7 @@ def fingerprint_components(docs: DataFrame) -> DataFrame:
     repeat an id are separate rows; NULL ids name no component unless alone.
     """
     fps = settle(fingerprints(docs), "fingerprints")
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    labels = settle(connected_components(fingerprint_links(classes.select("fp"))), "labels")
-    rooted = classes.join(labels, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _roots(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = settle(rooted.join(named, "root").select("fp", "component_id"), "components")
     return fps.join(by_fp, "fp").select(
@@ -160,279 +162,32 @@ def fingerprint_components(docs: DataFrame) -> DataFrame:
     )
 
 
-# --- near-duplicates by resemblance, with wide fingerprints as the search ---
-
-LINK_WORDS = 5
-#: Stands for a NULL id.
-NO_ID = (1 << 63) - 1
-RESEMBLANCE = 0.8
-#: Shingle bands: so many, each of so many smallest hashes. Texts that resemble each
-#: other by s agree on a band with probability s**4: at 0.8 on one of 24 with
-#: 1 - 3e-6, wherever the edits lie.
-BANDS, BAND_HASHES = 24, 4
-#: Wide fingerprints: this many blocks of 32 bits, beside the bands.
-BLOCKS = 8
-#: Blocks shared by more texts than this are compared with pivots, in rounds.
-PAIRED_TEXTS = 8
-_LANES = BLOCKS // 2
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-_BAND_FACTORS = _mix(np.arange(1, BANDS * BAND_HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-
-
-def wide_blocks(words: list[bytes]) -> np.ndarray:
-    """SimHash over distinct words: ``BLOCKS`` blocks of 32 bits."""
-    if not words:
-        return np.zeros(BLOCKS, dtype=np.int32)
-    base = np.array([xxhash.xxh64_intdigest(w, SEED) for w in set(words)], dtype=np.uint64)
-    odd = np.arange(1, _LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    lanes = [majority(_mix(base[:, None] + odd[at : at + 8])) for at in range(0, _LANES, 8)]
-    return np.concatenate(lanes).view(np.int32)
-
-
-def shingle_bands(words: list[bytes]) -> np.ndarray:
-    """``BANDS`` bands of 32 bits, each from the smallest five-word shingles under four hashes."""
-    if not words:
-        return np.zeros(BANDS, dtype=np.int32)
-    known = {w: xxhash.xxh64_intdigest(w, SEED) for w in set(words)}
-    own = np.array([known[w] for w in words], dtype=np.uint64)
-    n = max(1, len(own) - (LINK_WORDS - 1))
-    grams = np.zeros(n, dtype=np.uint64)
-    for at in range(min(LINK_WORDS, len(own))):
-        grams = _mix(grams * np.uint64(31) + own[at : at + n])
-    least = [
-        (_BAND_FACTORS[at : at + 8, None] * grams[None, :]).min(axis=1)
-        for at in range(0, BANDS * BAND_HASHES, 8)
-    ]
-    least = np.concatenate(least).reshape(BANDS, BAND_HASHES)
-    bands = np.zeros(BANDS, dtype=np.uint64)
-    for at in range(BAND_HASHES):
-        bands = _mix(bands * np.uint64(31) + least[:, at])
-    return (bands & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
-
-
-def _words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
-
-
-def _names(split: list[list[bytes]]) -> np.ndarray:
-    """128 bits naming each sequence of words, as two BIGINT."""
-    names = [xxhash.xxh3_128_digest(b" ".join(w)) for w in split]
-    return np.frombuffer(b"".join(names), dtype="<i8").reshape(-1, 2)
-
-
-def _name(text: Column) -> Column:
-    """``h1`` and ``h2`` of a text, as in :func:`_text_classes`."""
+def _fingerprint(text: Column) -> Column:
+    """The fingerprint of each text, one text at a time."""
 
+    @F.arrow_udf("bigint")
     def run(texts: pa.Array) -> pa.Array:
-        pair = _names([_words(t) for t in texts.to_pylist()])
-        return pa.StructArray.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["h1", "h2"])
-
-    return F.arrow_udf(run, "struct<h1: bigint, h2: bigint>")(text)
-
-
-def _text_classes(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``h1``, ``h2`` (128 bits naming the sequence of words), ``blocks``."""
-
-    def run(batches):
-        for batch in batches:
-            split = [_words(t) for t in batch.column(1).to_pylist()]
-            pair = _names(split)
-            blocks = [np.concatenate([wide_blocks(w), shingle_bands(w)]) for w in split]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(pair[:, 0]),
-                    pa.array(pair[:, 1]),
-                    pa.array(blocks, pa.list_(pa.int32())),
-                ],
-                ["doc_id", "h1", "h2", "blocks"],
-            )
-
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id bigint, h1 bigint, h2 bigint, blocks array<int>"
-    )
-
-
-def _shingle_hashes(text: Column) -> Column:
-    """Distinct 32-bit hashes of five-word shingles (of all words, if fewer).
-
-    Only sets of two texts are compared at a time, so 32 bits will do.
-    """
-    # A-Z only, as in the classes; other letters keep their case.
-    lowered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = F.array_remove(F.split(lowered, r"[\x20\x09-\x0D]+"), "")
-
-    def hashes(w: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (LINK_WORDS - 1), F.lit(1)))
-        return F.array_distinct(F.transform(starts, lambda i: F.hash(F.slice(w, i, LINK_WORDS))))
-
-    return F.transform(F.array(words), hashes)[0]
-
+        values = [simhash64(t.as_py()) for t in texts]
+        return pa.array(np.array(values, dtype=np.uint64).view(np.int64))
 
-def _resemblance(a: Column, b: Column) -> Column:
-    common = F.size(F.array_intersect(a, b))
-    return common / (F.size(a) + F.size(b) - common)
-
-
-def _compared(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
-    """``a``, ``b`` and both shingle arrays ``sa``, ``sb``."""
-    left = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b")
-
-
-def _within_groups(rows: DataFrame) -> DataFrame:
-    """Distinct pairs ``a``, ``b`` of ``node`` in small groups of ``key``, of ``n`` rows each."""
-    small = rows.where(F.col("n") <= PAIRED_TEXTS)
-    side = lambda x: small.select("key", F.col("node").alias(x))
-    return side("a").join(side("b"), "key").where("a < b").select("a", "b").distinct()
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``h1``, ``h2``, ``component_id``, ``root`` for every row of ``docs``.
-
-    Links are texts with the same words, and texts whose sets of five-word
-    shingles resemble each other by 0.8 or more. Candidates are those that share
-    one of 24 bands of smallest shingle hashes, which find an edit wherever it lies,
-    or one of 8 blocks of a SimHash over distinct words.
-
-    Blocks shared by many texts have a pivot, the text that most such blocks
-    share: in a family of copies, its origin. All others are compared with it.
-    Blocks whose texts are then in one component are done. In the others further
-    pivots follow, in rounds of eight, sixteen and so on, each compared with all
-    texts of the block that are not in its component yet, until every block is in
-    one component or has had all its texts as pivots. NULL texts count
-    as empty; empty texts are one class. ``root`` tells components apart;
-    the smallest id names one, if it has any.
-    """
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
-    rows = settle(_text_classes(source), "text-classes")
-    classes = settle(
-        rows.groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("least"), F.first("blocks").alias("blocks"))
-        .withColumn("node", F.xxhash64("h1", "h2")),
-        "classes",
-    )
-    low = F.col("v").cast("bigint").bitwiseAND(0xFFFFFFFF)
-    key = F.shiftleft(F.col("p").cast("bigint"), 32).bitwiseOR(low)
-    keyed = classes.select("node", F.posexplode("blocks").alias("p", "v")).select(
-        "node", key.alias("key")
-    )
-    sizes = settle(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "block-sizes")
-    shared = settle(keyed.join(sizes, "key"), "shared-blocks")
-
-    large = shared.where(F.col("n") > PAIRED_TEXTS)
-    degree = large.groupBy("node").agg(F.count("*").alias("degree"))
-    rank = F.struct("degree", "node")
-    pivots = large.join(degree, "node").groupBy("key").agg(F.max(rank).alias("rank"))
-    pivots = settle(pivots.select("key", "rank", F.col("rank.node").alias("pivot")), "pivots")
-    starred = settle(
-        large.join(pivots, "key").where("node <> pivot").select("pivot", "node").distinct(), "stars"
-    )
-    pairs = _within_groups(shared).unionByName(
-        starred.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    )
-    pairs = settle(pairs.distinct(), "pairs")
-    shingles = _class_shingles(source, classes, pairs)
-    links = settle(_alike(pairs, shingles), "links")
-    labels = settle(connected_components(links), "labels")
-    labels = _closed(large, labels, shingles)
-    done = classes.select("h1", "h2", "node", "least").join(labels, "node", "left").select(
-        "h1", "h2", "least", F.coalesce("root", "node").alias("root")
-    )
-    names = done.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = settle(done.join(names, "root").select("h1", "h2", "component_id", "root"), "components")
-    return rows.select("doc_id", "h1", "h2").join(by_class, ["h1", "h2"])
-
-
-def _closed(large: DataFrame, labels: DataFrame, shingles: DataFrame) -> DataFrame:
-    """``labels`` after all pairs that blocks leave open have been compared.
-
-    A pair is open while its texts are in different components and neither has
-    been a pivot. ``large`` has ``key``, ``node`` and ``n``, the size of the block.
-    """
-    # Nodes are hashes: a text's turn as pivot comes at its place among 0 to n.
-    place = F.shiftrightunsigned(F.xxhash64("node"), 11) / F.lit(float(1 << 53)) * F.col("n")
-    members = large.select("key", "node", "n", place.alias("place"))
-    before, upto = 0, PAIRED_TEXTS
-    while True:
-        rooted = members.join(labels, "node", "left").select(
-            "key", "node", "n", "place", F.coalesce("root", "node").alias("root")
-        )
-        unlike = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        rooted = settle(rooted.join(unlike.where("lo <> hi").select("key"), "key"), "open-blocks")
-        rooted = rooted.where(F.col("place") >= before)
-        if rooted.isEmpty():
-            return labels
-        side = lambda x: rooted.select(
-            "key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "place", "root")]
-        )
-        pairs = (
-            side("a")
-            .where(F.col("place_a") < upto)
-            .join(side("b"), "key")
-            .where("root_a <> root_b")
-            .where((F.col("place_b") >= upto) | (F.col("node_a") < F.col("node_b")))
-            .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-            .distinct()
-        )
-        links = settle(_alike(pairs, shingles), "links")
-        if not links.isEmpty():
-            known = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            labels = settle(connected_components(known.unionByName(links)), "labels")
-        members = rooted.select("key", "node", "n", "place")
-        before, upto = upto, 2 * upto
-
-
-def _class_shingles(source, classes, pairs) -> DataFrame:
-    """``node`` and ``shingles`` of every class that occurs in ``pairs``."""
-    node = lambda x: pairs.select(F.col(x).alias("node"))
-    involved = node("a").unionByName(node("b")).distinct()
-    # The document of the smallest id speaks for a class; without ids, any of its texts.
-    speakers = classes.join(involved, "node", "left_semi").select(
-        "node", "h1", "h2", _id_or_last("least").alias("id")
-    )
-    named = source.select(_id_or_last("doc_id").alias("id"), "text", _name(F.col("text")).alias("name"))
-    return settle(
-        named.select("id", "text", "name.h1", "name.h2")
-        .join(settle(speakers, "speakers"), ["id", "h1", "h2"])
-        .select("node", _shingle_hashes(F.coalesce("text", F.lit(""))).alias("shingles"))
-        .groupBy("node")
-        .agg(F.first("shingles").alias("shingles")),
-        "shingles",
-    )
-
-
-def _id_or_last(name: str) -> Column:
-    return F.coalesce(F.col(name).cast("bigint"), F.lit(NO_ID))
-
-
-def _alike(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
-    compared = _compared(pairs, shingles)
-    return compared.where(_resemblance(F.col("sa"), F.col("sb")) >= RESEMBLANCE).select("a", "b")
+    return run(text)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component of :func:`near_duplicates`, all columns as they are.
+    """One row of each component of :func:`fingerprint_components`, all columns as they are.
 
-    The one with the smallest ``doc_id`` stays, NULL ids last; of different texts of
-    a component under that id, one; of rows that repeat both id and words, one.
-    Rows of other components stay, whatever ids they share with them.
+    The one with the smallest ``doc_id`` stays, NULL ids last; of rows that repeat
+    that id in a component, one. NULL texts and texts without words have one
+    fingerprint, so one of them stays.
     """
-    found = near_duplicates(docs)
-    own = F.struct(_id_or_last("doc_id").alias("__key"), F.col("h1").alias("__h1"), F.col("h2").alias("__h2"))
-    kept = found.groupBy("root").agg(F.min(own).alias("own")).select("own.*")
-    keys = ["__key", "__h1", "__h2"]
-    keyed = docs.withColumn("__key", _id_or_last("doc_id")).withColumn(
-        "__name", _name(docs["text"].cast("string"))
-    )
-    keyed = keyed.withColumn("__h1", F.col("__name.h1")).withColumn("__h2", F.col("__name.h2"))
-    matched = keyed.join(settle(kept, "kept"), keys, "left_semi")
-    return matched.dropDuplicates(keys).drop("__name", *keys)
+    row, fp = "__row", "__fp"
+    while {row, fp} & set(docs.columns):
+        row, fp = row + "_", fp + "_"
+    tagged = docs.withColumn(row, F.monotonically_increasing_id())
+    tagged = settle(tagged.withColumn(fp, _fingerprint(docs["text"].cast("string"))), "tagged")
+    # The smallest id of a fingerprint first, so that copies never meet in a join.
+    own = F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("bigint"), F.col(row))
+    classes = settle(tagged.groupBy(F.col(fp).alias("fp")).agg(F.min(own).alias("own")), "classes")
+    kept = _roots(classes).groupBy("root").agg(F.min("own").alias("own"))
+    kept = settle(kept.select(F.col("own")[row].alias(row)), "kept")
+    return tagged.join(kept, row, "left_semi").drop(row, fp)

@@ -9,13 +9,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_encodings import MODEL, plain_viterbi
-from test_simhash import plain_groups
+from test_simhash import brute as plain_dedup
 
 sys.path.append(str(Path(__file__).parents[2]))
 
 import corpus_pipeline
 
-from loadgrain.llm import mixing, pieces, quality
+from loadgrain.llm import langid, mixing, pieces, quality
 from loadgrain.llm.common import held_out, table
 
 
@@ -31,6 +31,8 @@ def folder(spark, sf_dir, tmp_path_factory):
         (900_003, "12 !! 34", "en", "s"),
         (900_004, good, None, None),
         (900_005, good.replace(" the ", " a ", 1), "en", "src1"),
+        (900_006, good.upper(), "en", "src1"),
+        *((900_010 + i, t, None, "s") for i, t in enumerate(("A.", "Q!!", "Жщъ ыэю", "汉字 汉", "zZ!! xQ"))),
         (None, good, "en", "src1"),
     ]
     frame = spark.createDataFrame(
@@ -96,7 +98,15 @@ def test_stages_against_plain_versions(spark, folder):
             assert docs.columns == table(spark, folder, "documents").columns
 
     before, after = out["language ID"]
-    assert ids(after) == ids(r for r in before if any(c.isalpha() for c in r.text or ""))
+    labelled = spark.createDataFrame(before, table(spark, folder, "documents").schema)
+    model = langid.fit(labelled.where(~held_out()))
+    lettered = [r for r in before if any(c.isalpha() for c in r.text or "")]
+    best, scores = model.decide([r.text for r in lettered])
+    told = [(r.doc_id, r.text, model.languages[b]) for r, b, s in zip(lettered, best, scores, strict=True) if s >= 0.5]
+    assert sorted(((r.doc_id, r.text, r.lang) for r in after), key=repr) == sorted(told, key=repr)
+    gone = {r.doc_id for r in before} - set(ids(after))
+    assert gone & {r.doc_id for r in lettered}  # texts with letters go as well
+    assert {r.doc_id: r.lang for r in after}[900_004] == "en"  # was NULL: told, and passed on
 
     before, after = out["quality classifier"]
     seen = spark.createDataFrame(before, table(spark, folder, "documents").schema)
@@ -108,8 +118,8 @@ def test_stages_against_plain_versions(spark, folder):
 
     before, after = out["SimHash near-dedup"]
     rows = [(r.doc_id if r.doc_id is not None else 10**9, r.text) for r in before]
-    assert ids(after) == ids(r for r in before if r.doc_id in set(plain_groups(rows).values()))
-    assert 15 in ids(after) and not {900_004, 900_005, None} & set(ids(after))
+    assert ids(after) == ids(r for r in before if r.doc_id in {c for _, _, c in plain_dedup(rows)})
+    assert 15 in ids(after) and not {900_004, 900_006, None} & set(ids(after))
 
     before, after = out["mixing"]
     assert ids(after) == sorted(plain_mixture(before), key=repr)
