@@ -333,6 +333,9 @@ SELECT 'live' AS run_id, count(*) AS sample_count,
   TIMESTAMP '2024-01-01 00:00:00' AS start_time, max(ts) AS end_time FROM smp""",
     "stream_two_runs": f"{SAMPLES} SELECT run AS run_id, metric_name, {_TOTALS} GROUP BY 1, 2",
     "stream_then_batch": f"{SAMPLES} SELECT run AS run_id, metric_name, {_TOTALS} GROUP BY 1, 2",
+    "stream_replayed_after_compaction": f"{SAMPLES} SELECT 'live' AS run_id, metric_name, {_TOTALS} GROUP BY 2",
+    "stream_during_compaction": f"{SAMPLES} SELECT 'live' AS run_id, metric_name, {_TOTALS} GROUP BY 2",
+    "stream_two_live_series": _throughput("time_bucket(INTERVAL 1 HOUR, ts)"),
     "stream_throughput": _throughput("time_bucket(INTERVAL 1 HOUR, ts)"),
     "stream_throughput_sketch": f"""{REQUESTS}
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket, count(*) AS reqs, max(users) AS vus,

@@ -24,6 +24,7 @@ from loadgrain.session import configure, scratch_path, settle
 from loadgrain.sources import provenance
 from loadgrain.sources.raw import read_raw, stream_raw
 from loadgrain.sources.samples import (
+    Compaction,
     SinkOptions,
     compact_run,
     concatenate,
@@ -39,7 +40,7 @@ from loadgrain.streaming import ingest, live
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# A small limit, so that slots are split further also on small test data.
+# A small limit, so that groups come in pieces also on small test data.
 SMALL_LIMITS = {"range_values": 20}
 START = datetime(2024, 1, 1, tzinfo=UTC)
 END = datetime(2024, 1, 31, 1, 2, 3, 500000, tzinfo=UTC)
@@ -722,12 +723,23 @@ def _ingested(spark, sf_dir) -> SinkOptions:
 
 
 def _stream_into(spark, raw: DataFrame, options: SinkOptions, run_id: str) -> None:
+    _arriving(spark, raw, options, scratch_path(spark, "checkpoint"), run_id)
+
+
+def _arriving(spark, raw: DataFrame, options: SinkOptions, checkpoint: str, run_id: str) -> str:
+    """Raw samples land in two goes and are taken in after each; returns their folder."""
     landing = scratch_path(spark, "landing")
-    raw.drop("run_id", "event_id").repartition(4).write.json(landing)
-    stream = stream_raw(spark, landing, maxFilesPerTrigger="2")
-    ingest.start_ingest(
-        stream, options, scratch_path(spark, "checkpoint"), run_id=run_id, drain=True
-    ).awaitTermination()
+    for odd in (0, 1):
+        part = raw.where(F.shiftright("event_id", 1) % 2 == odd).drop("run_id", "event_id")
+        part.write.mode("append").json(landing)
+        _drained(spark, landing, options, checkpoint, run_id)
+    return landing
+
+
+def _drained(spark, landing: str, options: SinkOptions, checkpoint: str, run_id: str) -> None:
+    """Take in what has landed and not been taken in yet."""
+    stream = stream_raw(spark, landing)
+    ingest.start_ingest(stream, options, checkpoint, run_id=run_id, drain=True).awaitTermination()
 
 
 @query
@@ -774,32 +786,101 @@ def stream_then_batch(spark, sf_dir):
     return _table_totals(read_samples(spark, options.path), "run_id", "metric_name")
 
 
-def _sample_stream(spark, sf_dir) -> DataFrame:
-    """Derived samples as a stream of three files, the newest events first."""
+def _crash_before_commit(spark, checkpoint: str) -> None:
+    """Leave a checkpoint as a stream does that dies after it has written a batch."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    commits = hadoop.Path(checkpoint, "commits")
+    fs = commits.getFileSystem(spark._jsc.hadoopConfiguration())
+    numbers = [f.getPath().getName() for f in fs.listStatus(commits)]
+    last = max(int(n) for n in numbers if n.isdigit())
+    fs.delete(hadoop.Path(commits, str(last)), False)
+
+
+@query
+def stream_replayed_after_compaction(spark, sf_dir):
+    """A run is compacted; then its stream, restarted, repeats a batch that is part of it."""
+    options, checkpoint = SinkOptions(scratch_path(spark, "streamed")), scratch_path(spark, "checkpoint")
+    landing = _arriving(spark, raw_of(spark, sf_dir), options, checkpoint, "live")
+    compact_run(spark, options, "live")
+    _crash_before_commit(spark, checkpoint)
+    # The same checkpoint, spelt differently.
+    _drained(spark, landing, options, checkpoint + "/", "live")
+    return _table_totals(read_samples(spark, options.path), "run_id", "metric_name")
+
+
+@query
+def stream_during_compaction(spark, sf_dir):
+    """A stream adds to a run between each two steps of its compaction."""
+    options, checkpoint = SinkOptions(scratch_path(spark, "streamed")), scratch_path(spark, "checkpoint")
+    raw = raw_of(spark, sf_dir).withColumn("part", F.col("event_id") % 5)
+    landing = scratch_path(spark, "landing")
+
+    def arrive(part: int) -> None:
+        rows = raw.where(F.col("part") == part).drop("run_id", "event_id", "part")
+        rows.write.mode("append").json(landing)
+        _drained(spark, landing, options, checkpoint, "live")
+
+    arrive(0)
+    arrive(1)
+    compaction = Compaction(spark, options, "live")
+    arrive(2)
+    compaction.write()
+    arrive(3)
+    compaction.commit()
+    arrive(4)
+    compaction.clear()
+    return _table_totals(read_samples(spark, options.path), "run_id", "metric_name")
+
+
+def _streamed_live(spark, sf_dir, start, path: str, run: str | None = None) -> Callable[[], None]:
+    """Stream derived samples into a live series, in three goes, the newest events first.
+
+    Returns what starts the stream once more.
+    """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    landing = scratch_path(spark, "event-files")
+    landing, checkpoint = scratch_path(spark, "event-files"), scratch_path(spark, "checkpoint")
+
+    def again() -> None:
+        stream = samples_from_events(spark.readStream.schema(events.schema).parquet(landing))
+        if run is not None:
+            stream = stream.where(F.col("run_id") == run)
+        stream = stream.withColumn("ts", sample_time())
+        start(stream, path, checkpoint, "1 hour", drain=True).awaitTermination()
+
     for days in ("> 20", "BETWEEN 11 AND 20", "< 11"):
-        part = events.where(f"day(ts) {days}")
-        part.coalesce(1).write.mode("append").parquet(landing)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1")
-    return samples_from_events(stream.parquet(landing)).withColumn("ts", sample_time())
+        events.where(f"day(ts) {days}").write.mode("append").parquet(landing)
+        again()
+
+    def repeat() -> None:
+        _crash_before_commit(spark, checkpoint)
+        again()
+
+    return repeat
+
+
+@query
+def stream_two_live_series(spark, sf_dir):
+    """Two streams add to one live series; one is then restarted and repeats a batch."""
+    path = scratch_path(spark, "counts")
+    repeat = _streamed_live(spark, sf_dir, live.start_value_counts, path, "A")
+    _streamed_live(spark, sf_dir, live.start_value_counts, path, "B")
+    repeat()
+    return live.throughput_from_counts(live.read_value_counts(spark, path))
 
 
 @query
 def stream_throughput(spark, sf_dir):
     """All hours of a streamed run, exact, though its files come newest first."""
-    path, checkpoint = scratch_path(spark, "counts"), scratch_path(spark, "checkpoint")
-    stream = _sample_stream(spark, sf_dir)
-    live.start_value_counts(stream, path, checkpoint, "1 hour", drain=True).awaitTermination()
+    path = scratch_path(spark, "counts")
+    _streamed_live(spark, sf_dir, live.start_value_counts, path)
     return live.throughput_from_counts(live.read_value_counts(spark, path))
 
 
 @query
 def stream_throughput_sketch(spark, sf_dir):
     """All hours of a streamed run; whether the sketched p95 has the rank it should."""
-    path, checkpoint = scratch_path(spark, "sketches"), scratch_path(spark, "checkpoint")
-    stream = _sample_stream(spark, sf_dir)
-    live.start_bucket_sketches(stream, path, checkpoint, "1 hour", drain=True).awaitTermination()
+    path = scratch_path(spark, "sketches")
+    _streamed_live(spark, sf_dir, live.start_bucket_sketches, path)
     table = live.throughput_from_sketches(live.read_bucket_sketches(spark, path))
     table = settle(table, "sketched")
     ranks = (

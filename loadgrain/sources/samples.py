@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, fields, replace
 from urllib.parse import unquote, urlparse
 
@@ -15,6 +16,7 @@ from loadgrain.functions.timebuckets import sample_time, seconds
 from loadgrain.operators.runs import RunInfo, run_record
 from loadgrain.schema import LOAD, RUN_ID, SAMPLE_COLUMNS, SAMPLES
 from loadgrain.session import configure
+from loadgrain.sources.ledger import Ledger
 
 # The accepted codecs and the defaults of the sink.
 CODECS = ("zstd", "snappy", "gzip", "uncompressed")
@@ -81,10 +83,25 @@ def read_samples(
 
     The schema is given, so nothing is inferred; columns an older file lacks
     are NULL. Adds ``ts`` (the sample clock in microseconds), ``run_id`` from
-    the table's folders (or as given), and ``source_file`` if asked for. Several
+    the table's folders (or as given), and ``source_file`` if asked for. Loads that
+    are not whole yet, or that another load stands for, are passed over. Several
     tables, each with run folders of its own, are read one by one and joined
     with :func:`concatenate`.
     """
+    files = _table(spark, *paths)
+    for root in {path.split("/run_id=")[0] for path in paths}:
+        visible = Ledger(spark, root).visible()
+        if visible is not None:
+            files = files.where(visible)
+    extra = [sample_time().alias("ts")]
+    extra.append(F.col("run_id") if run_id is None else F.lit(run_id).alias("run_id"))
+    if source_file:
+        extra.append(plain_path(F.col("_metadata.file_path")).alias("source_file"))
+    return files.select(*[F.col(f"`{c}`") for c in SAMPLE_COLUMNS], *extra)
+
+
+def _table(spark: SparkSession, *paths: str) -> DataFrame:
+    """All loads of all runs, with ``run_id`` and ``load`` from their folders."""
     configure(spark)
     # Folder values are text: a run called 0815 must not turn into a number.
     schema = StructType([*SAMPLES.fields, RUN_ID, LOAD])
@@ -93,12 +110,7 @@ def read_samples(
     if len(roots) == 1 and all("/run_id=" in path for path in paths):
         # Single run folders of a table: their names still tell the run.
         reader = reader.option("basePath", roots.pop())
-    files = reader.parquet(*paths)
-    extra = [sample_time().alias("ts")]
-    extra.append(F.col("run_id") if run_id is None else F.lit(run_id).alias("run_id"))
-    if source_file:
-        extra.append(plain_path(F.col("_metadata.file_path")).alias("source_file"))
-    return files.select(*[F.col(f"`{c}`") for c in SAMPLE_COLUMNS], *extra)
+    return reader.parquet(*paths)
 
 
 def plain_path(uri: Column) -> Column:
@@ -148,12 +160,30 @@ def write_samples(
     best: files then hold few metrics. Adaptive execution splits the rows of a
     dominant run or metric again.
     """
-    load = f"w-{uuid.uuid4().hex}"
     keys = ["run_id", "metric_name"] if by_metric else ["run_id"]
     if rebalance or by_metric:
         samples = samples.hint("rebalance", *keys)
-    write_load(samples, options, load)
-    _drop_other_loads(samples.sparkSession, options.path, load)
+    with _replacing(samples.sparkSession, options) as load:
+        write_load(samples, options, load)
+
+
+@contextmanager
+def _replacing(spark: SparkSession, options: SinkOptions, run_id: str | None = None) -> Iterator[str]:
+    """A load that, once written, stands for all others of the runs that have it, and of ``run_id``."""
+    ledger = Ledger(spark, options.path)
+    ledger.clear()
+    load = f"w-{uuid.uuid4().hex}"
+    ledger.begin(load)
+    try:
+        yield load
+    except BaseException:
+        ledger.abandon(load)
+        raise
+    runs = set(ledger.runs_with(load))
+    if run_id is not None:
+        runs.add(ledger.run_folder(run_id))
+    ledger.commit(load, {run: [x for x in ledger.loads(run) if x != load] for run in sorted(runs)})
+    ledger.clear()
 
 
 def write_load(samples: DataFrame, options: SinkOptions, load: str) -> None:
@@ -174,34 +204,44 @@ def write_load(samples: DataFrame, options: SinkOptions, load: str) -> None:
     )
 
 
-def _drop_other_loads(
-    spark: SparkSession, path: str, load: str, run_id: str | None = None
-) -> None:
-    """Remove all loads but ``load`` of the runs that have it, and of ``run_id``.
+class Compaction:
+    """Puts one load, sorted by metric and time, in the place of those a run has now.
 
-    A few folders per run; files are not gone through.
+    Files then hold few metrics and row groups are filled up to their cap. The loads
+    are listed when this is made; what streams add from then on stays, beside the new
+    load. :meth:`write` can be repeated; readers see the change with :meth:`commit`, and
+    :meth:`clear` deletes what was replaced. One compaction of a run at a time.
     """
-    hadoop, catalyst = spark._jvm.org.apache.hadoop.fs, spark._jvm.org.apache.spark.sql.catalyst
-    root = hadoop.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    runs = [f.getPath().getParent() for f in fs.globStatus(hadoop.Path(root, f"run_id=*/load={load}"))]
-    if run_id is not None:
-        folder = catalyst.catalog.ExternalCatalogUtils.getPartitionPathString("run_id", run_id)
-        runs.append(hadoop.Path(root, folder))
-    for run in runs:
-        if fs.exists(run):
-            for found in fs.listStatus(run):
-                if found.getPath().getName() != f"load={load}":
-                    fs.delete(found.getPath(), True)
 
+    def __init__(self, spark: SparkSession, options: SinkOptions, run_id: str | None):
+        self.spark, self.options, self.run_id = spark, options, run_id
+        self.ledger = Ledger(spark, options.path)
+        self.ledger.clear()
+        self.run = self.ledger.run_folder(run_id)
+        self.loads = self.ledger.loads(self.run)
+        self.load = f"c-{uuid.uuid4().hex}"
+
+    def write(self) -> None:
+        self.ledger.begin(self.load)
+        mine = _table(self.spark, self.options.path).where(
+            F.col("run_id").eqNullSafe(F.lit(self.run_id)) & F.col(LOAD.name).isin(self.loads)
+        )
+        write_load(mine.hint("rebalance", "run_id", "metric_name"), self.options, self.load)
 
-def compact_run(spark: SparkSession, options: SinkOptions, run_id: str) -> None:
-    """Rewrite a run that came in many loads as one, sorted by metric and time.
+    def commit(self) -> None:
+        self.ledger.commit(self.load, {self.run: self.loads})
 
-    Files then hold few metrics and row groups are filled up to their cap.
-    """
-    mine = read_samples(spark, options.path).where(F.col("run_id") == run_id)
-    write_samples(mine, options, by_metric=True)
+    def clear(self) -> None:
+        self.ledger.clear()
+
+
+def compact_run(spark: SparkSession, options: SinkOptions, run_id: str | None) -> None:
+    """Rewrite a run that came in many loads as one; see :class:`Compaction`."""
+    compaction = Compaction(spark, options, run_id)
+    if compaction.loads:
+        compaction.write()
+        compaction.commit()
+        compaction.clear()
 
 
 def parquet_options(options: SinkOptions) -> dict[str, str]:
@@ -223,10 +263,9 @@ def write_run(
     observed = samples.withColumn("run_id", F.lit(run.run_id)).observe(
         seen, F.count("*").alias("n"), F.max(sample_time()).alias("last")
     )
-    load = f"w-{uuid.uuid4().hex}"
-    write_load(observed, options, load)
-    # Also of a run that has no rows any more.
-    _drop_other_loads(samples.sparkSession, options.path, load, run.run_id)
+    # Also in the place of a run that has no rows any more.
+    with _replacing(samples.sparkSession, options, run.run_id) as load:
+        write_load(observed, options, load)
     count = seen.get["n"]
     if runs_path is not None:
         record = run_record(

@@ -4,13 +4,22 @@ import json
 from datetime import UTC, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from loadgrain.functions.timebuckets import sample_time
 from loadgrain.operators.flatten import flatten_samples
 from loadgrain.operators.runs import RunInfo
 from loadgrain.operators.timeline import throughput_over_time
 from loadgrain.sources.raw import read_raw, stream_raw
-from loadgrain.sources.samples import SinkOptions, read_runs, read_samples, write_run
+from loadgrain.sources.ledger import Ledger
+from loadgrain.sources.samples import (
+    Compaction,
+    SinkOptions,
+    compact_run,
+    read_runs,
+    read_samples,
+    write_run,
+)
 from loadgrain.streaming import live
 from loadgrain.streaming.ingest import finalise_run, start_ingest
 
@@ -103,6 +112,120 @@ def test_a_repeated_batch_adds_nothing(spark, tmp_path):
     assert read_samples(spark, options.path).count() == 7
 
 
+def drained(spark, tmp_path, options, checkpoint="cp", run="r", landing="in"):
+    raw = stream_raw(spark, str(tmp_path / landing))
+    start_ingest(raw, options, checkpoint, run, drain=True).awaitTermination()
+
+
+def forget_last_commit(checkpoint):
+    last = max((f for f in (checkpoint / "commits").iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+    last.unlink()
+    last.with_name(f".{last.name}.crc").unlink()
+
+
+def test_a_batch_repeated_after_compaction_adds_nothing(spark, tmp_path, monkeypatch):
+    options, checkpoint = SinkOptions(str(tmp_path / "table")), tmp_path / "cp"
+    for name in "ab":
+        land(tmp_path / "in", name, [line(i, name=name) for i in range(7)])
+        drained(spark, tmp_path, options, str(checkpoint))
+    compact_run(spark, options, "r")
+    forget_last_commit(checkpoint)
+    monkeypatch.chdir(tmp_path)
+    drained(spark, tmp_path, options, f"file:{checkpoint}/")  # the same, spelt differently
+    assert read_samples(spark, options.path).count() == 14
+    # Further batches count as ever, also after the run was written again.
+    land(tmp_path / "in", "c", [line(i) for i in range(3)])
+    drained(spark, tmp_path, options, str(checkpoint))
+    assert read_samples(spark, options.path).count() == 17
+    write_run(read_samples(spark, options.path).limit(5), RunInfo(run_id="r"), options)
+    forget_last_commit(checkpoint)
+    drained(spark, tmp_path, options, str(checkpoint))
+    assert read_samples(spark, options.path).count() == 5
+
+
+def test_compaction_keeps_what_arrives_meanwhile(spark, tmp_path):
+    options = SinkOptions(str(tmp_path / "table"))
+
+    def arrive(name):
+        land(tmp_path / "in", name, [line(i) for i in range(10)])
+        drained(spark, tmp_path, options, str(tmp_path / "cp"))
+
+    count = lambda: read_samples(spark, options.path).count()
+    arrive("a")
+    arrive("b")
+    lost = Compaction(spark, options, "r")
+    lost.write()  # a job that dies here leaves a load nobody sees
+    assert count() == 20
+    compaction = Compaction(spark, options, "r")
+    arrive("c")
+    compaction.write()
+    assert count() == 30
+    compaction.commit()  # and one that dies here is finished by the next
+    assert count() == 30
+    assert len(list((tmp_path / "table" / "run_id=r").glob("load=s-*"))) == 3
+    arrive("d")
+    Compaction(spark, options, "r")
+    assert len(list((tmp_path / "table" / "run_id=r").glob("load=s-*"))) == 2
+    assert count() == 40
+    compact_run(spark, options, "r")
+    assert count() == 40 and len(Ledger(spark, options.path).loads("run_id=r")) == 1
+
+
+def test_runs_with_odd_names_are_compacted(spark, tmp_path):
+    options = SinkOptions(str(tmp_path / "table"))
+    land(tmp_path / "in", "a", [line(i) for i in range(4)])
+    for run in ("a/b=c d", "0815", "2024-01-01"):
+        drained(spark, tmp_path, options, str(tmp_path / f"cp-{run[:2]}"), run)
+        compact_run(spark, options, run)
+    counts = dict(read_samples(spark, options.path).groupBy("run_id").count().collect())
+    assert counts == {"a/b=c d": 4, "0815": 4, "2024-01-01": 4}
+
+
+def test_a_replacing_write_that_fails_leaves_the_run(spark, tmp_path):
+    options = SinkOptions(str(tmp_path / "table"))
+    land(tmp_path / "in", "a", [line(i) for i in range(4)])
+    drained(spark, tmp_path, options, str(tmp_path / "cp"))
+    rows = read_samples(spark, options.path)
+    broken = rows.withColumn("value", F.when(F.col("value") > 0, F.raise_error(F.lit("broken"))))
+    with pytest.raises(Exception, match="broken"):
+        write_run(broken, RunInfo(run_id="r"), options)
+    assert read_samples(spark, options.path).count() == 4
+    assert not list((tmp_path / "table" / "_ledger" / "open").glob("*.writing"))
+
+
+def test_increments_fold_and_stay_few(spark, tmp_path, monkeypatch):
+    """Spans of batches fold tier by tier; repeated batches change nothing."""
+    monkeypatch.setattr(live, "FOLD", 3)
+    spans = live.Spans(spark, str(tmp_path / "live"))
+    schema = "bucket timestamp, role string, value double, n bigint"
+
+    def add(stream, batch):
+        at = datetime(2024, 1, 1, tzinfo=UTC)
+        rows = spark.createDataFrame([(at, "request", None, 1), (at, "duration", float(batch), 2)], schema)
+        live.add_increments(spans, stream, batch, rows, live._folded_counts)
+
+    folders = []
+    for batch in range(20):
+        add("one", batch)
+        if batch % 4 == 0:
+            add("one", batch)
+        folders.append(len(list((tmp_path / "live" / "stream=one").iterdir())))
+    add("two", 0)
+    add("one", 17)  # long folded
+    counts = live.read_value_counts(spark, str(tmp_path / "live"))
+    totals = dict(counts.groupBy("role").agg(F.sum("n")).collect())
+    assert totals == {"request": 21, "duration": 42}
+    assert spans.counted("one") == [(0, 8), (9, 17), (18, 18), (19, 19)]
+    assert max(folders) <= 10
+    assert counts.where("value = 5").agg(F.sum("n")).first()[0] == 2
+
+
+def test_an_empty_live_series(spark, tmp_path):
+    path = str(tmp_path / "none")
+    assert live.throughput_from_counts(live.read_value_counts(spark, path)).collect() == []
+    assert live.throughput_from_sketches(live.read_bucket_sketches(spark, path)).collect() == []
+
+
 @pytest.mark.parametrize("exact", [True, False])
 def test_live_equals_batch_also_for_late_samples(spark, tmp_path, exact):
     lines = []
