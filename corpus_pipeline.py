@@ -15,7 +15,7 @@ from loadgrain.session import settle
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter go."""
+    """Documents whose language can be told, which ``lang`` then says; others go."""
     return langid.keep_identified(docs, langid.fit(docs.where(~held_out())))
 
 
