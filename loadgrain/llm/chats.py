@@ -36,8 +36,9 @@ def _prefixes(turns: DataFrame) -> DataFrame:
     """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = turns.withColumn("i", F.row_number().over(order))
-    lane = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "i", "role", "text")).over(upto)
+    said = [F.xxhash64("role").alias("r"), F.xxhash64("text").alias("t"), F.crc32("text").alias("c")]
+    placed = turns.select("conv_id", F.row_number().over(order).alias("i"), *said, "turn", "role", "text")
+    lane = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "i", "r", "t", "c")).over(upto)
     return placed.select("conv_id", "i", lane(1).alias("h1"), lane(2).alias("h2"))
 
 
@@ -47,15 +48,10 @@ def maximal_conversations(conversations: DataFrame) -> DataFrame:
     Turns are compared by role and text, in order of ``turn``. Of conversations
     with the same turns the smallest id stays, with the number of all of them.
     NULL roles and texts count as empty; rows without ``conv_id`` belong to no
-    conversation and go. Rows that repeat a turn number are further turns.
+    conversation and go. Rows that repeat a turn number are further turns, in order
+    of role and text.
     """
-    turns = _tidy(conversations).select(
-        "conv_id",
-        "turn",
-        F.xxhash64("role").alias("role"),
-        F.concat(F.xxhash64("text"), F.lit("/"), F.crc32(F.col("text"))).alias("text"),
-    )
-    prefixes = settle(_prefixes(turns), "prefixes")
+    prefixes = settle(_prefixes(_tidy(conversations)), "prefixes")
     last = prefixes.groupBy("conv_id").agg(
         F.max("i").alias("n_turns"), F.max_by(F.struct("h1", "h2"), "i").alias("h")
     )

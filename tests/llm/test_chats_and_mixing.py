@@ -41,6 +41,18 @@ def test_snapshots_collapse(spark):
     assert copies[19] == 1 and 0 not in copies and 3 not in copies and copies[50] == 2
 
 
+def test_repeated_turn_numbers_are_in_order_of_text(spark):
+    """Beginnings of conversations whose last turn number has two texts."""
+    rng, rows = random.Random(3), []
+    for i in range(40):
+        same, more = sorted(f"t{rng.random()}" for _ in range(2))
+        rows += [(2 * i, 0, "user", f"q{i}"), (2 * i, 1, "user", same)]
+        rows += [(2 * i + 1, 0, "user", f"q{i}"), (2 * i + 1, 1, "user", more), (2 * i + 1, 1, "user", same)]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    mine, theirs = both(chats.render(frame), chats.RENDERED_SQL, conversations=frame)
+    assert mine == theirs and len(mine) == 40
+
+
 def test_no_conversations(spark):
     empty = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert chats.render(empty).collect() == []
