@@ -1,24 +1,24 @@
 """Licence scans with a positional index of rare words, in DataFrame functions only.
 
 Templates are short passages of licence texts. Each template word that tells
-something is posted with its place. A file's rarest licence words (by inverse
-document frequency over the whole corpus) are looked up first; where the same
-template stands at the same relative place for further words, the passage is
-aligned; the template's key phrase must then stand there word for word.
+something is posted with its place. A file's rare licence words (by inverse
+document frequency over the whole corpus) are looked up first: of each template as
+many of the rarest as hold more weight than a match may lack, so that every match has
+one of them. Where the same template stands at the same relative place for further
+words, the passage is aligned; the template's key phrase must then stand there word
+for word.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadgrain.session import settle
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: So many of a file's rarest words of a template propose places for it.
-RAREST = 3
 #: Share of a template's weight that must be found at a place.
 COVERAGE = 0.6
 
@@ -66,7 +66,7 @@ PASSAGES = (
     ),
 )
 # One of these is part of a word of every passage, but not of every key
-# phrase; the SQL still asks for one, ``scan`` for one or for a key phrase without any.
+# phrase; ``scan`` asks for one, or for a key phrase without any.
 GATED = ("licens", "commons", "permission", "redistribution", "unencumbered")
 
 
@@ -159,26 +159,21 @@ def scan(docs: DataFrame) -> DataFrame:
     weights = postings.groupBy("template").agg(F.sum("idf").alias("total"))
     templates = _templates(spark).join(weights, "template")
 
-    posted = hits.join(postings, "word").withColumn("start", F.col("pos") - F.col("place"))
-    # The rarest words that a file has of each template (as many as it has words at most).
-    rarest = (
-        posted.groupBy("row", "template")
-        .agg(F.collect_set(F.struct("idf", "word")).alias("own"))
-        .select(
-            "row",
-            "template",
-            F.slice(F.sort_array("own", asc=False), 1, RAREST)["word"].alias("rarest"),
-        )
+    # All but the rarest words, which together weigh less than a match must.
+    rarer = Window.partitionBy("template").orderBy(F.desc("idf"), "word").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
+    spared = F.sum("idf").over(rarer) - F.sum("idf").over(Window.partitionBy("template", "word"))
+    rare = postings.withColumn("spared", spared).join(weights, "template")
+    rare = rare.where(F.col("spared") <= F.col("total") * (1 - COVERAGE) + 1e-9)
+    start = (F.col("pos") - F.col("place")).alias("start")
+    proposed = hits.join(rare.select("word", "template", "place"), "word")
+    proposed = proposed.select("row", "template", start).distinct()
+    posted = hits.join(postings, "word").select("row", "template", start, "idf", "in_key")
     aligned = (
-        posted.join(rarest, ["row", "template"])
+        posted.join(proposed, ["row", "template", "start"])
         .groupBy("row", "template", "start")
-        .agg(
-            F.sum("idf").alias("found"),
-            F.count_if("in_key").alias("key_found"),
-            F.bool_or(F.array_contains(F.col("rarest"), F.col("word"))).alias("proposed"),
-        )
-        .where("proposed")
+        .agg(F.sum("idf").alias("found"), F.count_if("in_key").alias("key_found"))
         .join(templates, "template")
         .where((F.col("key_found") == F.col("key_words")) & (F.col("found") >= F.col("total") * COVERAGE))
     )
@@ -217,14 +212,13 @@ def scan_sql() -> str:
         posted += [
             f"('{w}', {number}, {i}, {at <= i < at + len(key)})" for i, w in enumerate(text)
         ]
-    gates = " OR ".join(f"contains(lower(text), '{g}')" for g in GATED)
     return f"""
 WITH posted(word, template, place, in_key) AS (VALUES {", ".join(posted)}),
 passages(template, label, base, key_words) AS (VALUES {", ".join(templates)}),
 texts AS MATERIALIZED (
   SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
 ), split AS MATERIALIZED (
-  SELECT row, doc_id, {gates} AS gated,
+  SELECT row, doc_id,
     regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
       '{WORD}') AS words,
     regexp_extract_all(lower(text), '{WORD}') AS folded
@@ -238,21 +232,17 @@ texts AS MATERIALIZED (
 ), weights AS (SELECT template, sum(idf) AS total FROM rated GROUP BY template),
 hits AS (
   SELECT row, words[i] AS word, i - 1 AS pos FROM split, unnest(range(1, len(words) + 1)) AS u(i)
-  WHERE gated AND words[i] IN (SELECT word FROM posted)
+  WHERE words[i] IN (SELECT word FROM posted)
 ), laid AS MATERIALIZED (
   SELECT row, word, template, pos - place AS start, in_key, idf FROM hits JOIN rated USING (word)
-), rarest AS (
-  SELECT row, template, list_slice(list(DISTINCT {{'idf': idf, 'word': word}} ORDER BY {{'idf': idf, 'word': word}} DESC), 1, {RAREST}) AS top
-  FROM laid GROUP BY ALL
 ), aligned AS (
-  SELECT row, template, start, sum(idf) AS found, count(*) FILTER (in_key) AS keyed,
-    bool_or(list_contains(list_transform(top, lambda t: t.word), word)) AS proposed
-  FROM laid JOIN rarest USING (row, template) GROUP BY row, template, start
+  SELECT row, template, start, sum(idf) AS found, count(*) FILTER (in_key) AS keyed
+  FROM laid GROUP BY row, template, start
 ), kept AS (
   SELECT row, label, base, start,
     CASE WHEN base THEN 1.0::DOUBLE ELSE least(1.0, found / total) END AS share
   FROM aligned JOIN passages USING (template) JOIN weights USING (template)
-  WHERE proposed AND keyed = key_words AND found >= total * {COVERAGE}
+  WHERE keyed = key_words AND found >= total * {COVERAGE}
 ), summed AS (
   SELECT row, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
     max(start) FILTER (base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,

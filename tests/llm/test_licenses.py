@@ -71,6 +71,25 @@ def test_key_phrases_without_a_gate_word(docs_of):
     assert [r[6] for r in sorted(got) if r[0] in (0, 2)] == ["cc-by-sa", "cc-by-nc"]
 
 
+def test_rare_words_elsewhere_crowd_nothing_out(docs_of):
+    key = "Permission is hereby granted, free of charge"
+    lines = [f"{key}. The person obtaining the copy. " + ". ".join(key.split()), key, "GNU lesser public " * 9]
+    rows = list(enumerate([*lines, *["to any a"] * 40, "person obtaining copy"]))
+    got = sorted((tuple(r) for r in licenses.scan(docs_of(rows)).collect()), key=repr)
+    assert got == brute(rows)
+    assert [r[6] for r in sorted(got) if r[0] == 0] == ["mit"]
+
+
+def test_sql_agrees_on_all_lines(docs_of):
+    import duckdb
+
+    rows = list(enumerate([*LINES, "Released under CC BY-SA 4.0", "cc by nc", None, *["to any a"] * 20]))
+    con = duckdb.connect()
+    con.register("documents", docs_of(rows).toPandas())
+    theirs = con.execute(licenses.scan_sql()).fetchall()
+    assert sorted(theirs, key=repr) == brute(rows)
+
+
 def test_every_passage_has_a_gate():
     assert all(any(g in p.text for g in licenses.GATED) for p in licenses.PASSAGES)
 
