@@ -16,11 +16,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadgrain.llm.common import share_of
-
 UNDETERMINED = "und"
 MAX_GRAM = 4
 SLOT_BITS = 15
@@ -116,22 +114,28 @@ class LanguageModel:
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, landmarks: int = LANDMARKS) -> LanguageModel:
     """Fit on ``doc_id``, ``text``, ``lang``; rows without language or letter are passed over.
 
-    The sample is bounded: about ``fit_rows`` rows shared evenly by the
-    languages, chosen by a hash of the id. Only the slots that occur leave the
-    executors. No rows, or no languages, give a model that knows none.
+    The sample is bounded: at most ``fit_rows`` rows, shared evenly by the languages
+    (of more languages than that, the most frequent), chosen by a hash of id and text.
+    Every language has one row at least. Only the slots that occur leave the executors.
+    No rows, or no languages, give a model that knows none.
     """
-    known = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    slots = 1 << 30
+    mark = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(SEED)), F.lit(slots))
+    known = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang", mark.alias("mark")
+    )
+    known = known.where(F.col("text").rlike(r"\p{L}"))
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"), F.min("mark").alias("first"))
     most = counts.orderBy(F.desc("n"), "lang").limit(fit_rows).collect()
     if not most:
         return LanguageModel((), np.zeros((SLOTS, 1), dtype=np.float32))
     each = max(1, fit_rows // len(most))
-    shares = F.create_map(*[F.lit(x) for r in most for x in (r["lang"], each / r["n"])])
-    slots = 1 << 30
-    chosen = known.where(
-        F.pmod(F.xxhash64(F.col("doc_id"), F.lit(SEED)), F.lit(slots))
-        < F.try_element_at(shares, F.col("lang")) * slots
-    )
+    # Somewhat more than is wanted passes by its hash; of that, the smallest stay.
+    upto = [(r["lang"], max(r["first"] + 1, min(slots, 1.5 * each / r["n"] * slots))) for r in most]
+    shares = F.create_map(*[F.lit(x) for lang, at in upto for x in (lang, float(at))])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("mark", "doc_id"))
+    chosen = known.where(F.col("mark") < F.try_element_at(shares, F.col("lang")))
+    chosen = chosen.withColumn("place", place).where(F.col("place") <= each)
 
     def present(batches):
         for frame in batches:
@@ -142,7 +146,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, landmarks: int = LANDMARK
             ]
             yield pd.DataFrame({"doc_id": good["doc_id"], "lang": good["lang"], "slots": found})
 
-    rows = chosen.select(F.col("doc_id").cast("bigint"), "text", "lang").mapInPandas(
+    rows = chosen.select("doc_id", "text", "lang").mapInPandas(
         present, "doc_id bigint, lang string, slots binary"
     )
     rows = sorted((r["lang"], r["doc_id"] or 0, bytes(r["slots"])) for r in rows.collect())

@@ -150,19 +150,24 @@ def fit_rows(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Qual
 
 
 def _sampled(docs: DataFrame, rows: int, seed: int) -> np.ndarray:
-    """Features of about ``rows`` rows of ``docs``, chosen by a hash of the id.
+    """Features of at most ``rows`` rows of ``docs``, chosen by a hash of id and text.
 
-    They travel in half precision: all lie between 0 and about 1.
+    They travel in half precision: all lie between 0 and about 1. Somewhat more than is
+    wanted passes by its hash, and each task hands on no more than ``rows``.
     """
     n = max(1, docs.count())
 
     def run(batches):
+        left = rows
         for frame in batches:
+            frame = frame.iloc[:left]
+            left -= len(frame)
             found = [features(t).astype(np.float16).tobytes() for t in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "row": found})
 
-    picked = docs.where(share_of(F.col("doc_id"), rows / n, seed))
-    got = picked.mapInPandas(run, "doc_id bigint, row binary").collect()
+    key = F.xxhash64("doc_id", "text")
+    picked = docs.where(share_of(key, 1.25 * rows / n, seed)).mapInPandas(run, "doc_id bigint, row binary")
+    got = picked.orderBy(F.xxhash64("doc_id", "row")).limit(rows).collect()
     got = sorted((r["doc_id"] or 0, r["row"]) for r in got)
     found = np.empty((len(got), WIDTH), dtype=np.float32)
     for i, (_, row) in enumerate(got):
@@ -192,7 +197,8 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Quali
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     good = labels.where("quality = 1 AND doc_id IS NOT NULL")
     n = good.count()
-    some = good.where(share_of(F.col("doc_id"), FIT_POSITIVES / n if n else 1.0, SEED))
+    # Twice as many ids as wanted: not every label has its document here.
+    some = good.where(share_of(F.col("doc_id"), 2 * FIT_POSITIVES / n if n else 1.0, SEED))
     positive = _sampled(docs.join(some, "doc_id", "left_semi"), FIT_POSITIVES, SEED)
     unlabelled = _sampled(docs, FIT_UNLABELLED, SEED + 1)
     return fit_rows(positive, unlabelled, class_prior(labels) if prior is None else prior)

@@ -64,6 +64,19 @@ def test_long_text_reads_like_its_parts(monkeypatch):
     assert np.array_equal(whole, langid.presence([text]))
 
 
+def test_samples_stay_bounded_without_ids(docs_of):
+    rng = random.Random(7)
+    rows = [(None, text_of("en", rng, 9) + f" w{i}", "en") for i in range(600)]
+    rows += [(7, "die und der", "de")] * 300 + [(8, "xyzzy qwfp", "rare")]
+    docs = docs_of(rows)
+    model = langid.fit(docs, fit_rows=60)
+    assert model.languages == ("de", "en", "rare")
+    assert len(quality._sampled(docs.select("doc_id", "text"), 50, 1)) <= 50
+    got = quality._sampled(docs.where("lang = 'en'").select("doc_id", "text"), 50, 1)
+    assert 30 <= len(got) <= 50
+    assert len(quality._sampled(docs.where("lang = 'de'").select("doc_id", "text"), 400, 2)) == 300
+
+
 def test_no_rows_to_learn_from(docs_of):
     model = langid.fit(docs_of([]))
     assert [tuple(r) for r in langid.identify(docs_of([(1, "word")]), model).collect()] == [(1, "und", 0.0)]
