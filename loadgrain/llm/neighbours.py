@@ -9,7 +9,8 @@ double precision.
 
 Equal vectors are searched as one, however many there are. Buckets are matched
 in blocks of bounded size, so a bucket that holds much of the table is spread
-over tasks and nothing is dropped.
+over tasks and nothing is dropped. Queries whose buckets hold fewer candidates than
+they ask for are searched once more, against all rows, in the same blocks.
 """
 
 from __future__ import annotations
@@ -99,12 +100,13 @@ def _rows(frame: pd.DataFrame, table: int, cells: np.ndarray, at: np.ndarray) ->
             "table": table,
             "bucket": names,
             "id": picked["id"].to_numpy(),
+            "least": picked["least"].to_numpy(),
             "vector": picked["vector"].to_numpy(),
         }
     )
 
 
-_BUCKETED = "size int, table int, bucket string, id bigint, vector array<float>"
+_BUCKETED = "size int, table int, bucket string, id bigint, least bigint, vector array<float>"
 
 
 def _by_size(batches):
@@ -122,7 +124,7 @@ def bucketed(vectors: DataFrame, search: Search) -> DataFrame:
             for table, x in _cells(_unit(part), search):
                 yield _rows(part, table, np.floor(x), everyone)
 
-    return vectors.select("size", "id", "vector").mapInPandas(run, _BUCKETED)
+    return vectors.select("size", "id", "least", "vector").mapInPandas(run, _BUCKETED)
 
 
 def probed(queries: DataFrame, search: Search) -> DataFrame:
@@ -145,7 +147,7 @@ def probed(queries: DataFrame, search: Search) -> DataFrame:
                         cells[everyone, border % m] += np.where(border < m, -1, 1)
                     yield _rows(part, table, cells, everyone)
 
-    return queries.select("size", "id", "vector").mapInPandas(run, _BUCKETED)
+    return queries.select("size", "id", "least", "vector").mapInPandas(run, _BUCKETED)
 
 
 def usable(vector: Column) -> Column:
@@ -155,20 +157,22 @@ def usable(vector: Column) -> Column:
 
 
 def _classes(rows: DataFrame, k: int) -> DataFrame:
-    """One row per distinct vector: ``size``, ``vector``, ``id`` and ``ids``.
+    """One row per distinct vector: ``size``, ``vector``, ``id``, ``own`` and ``least``.
 
-    ``id`` is its smallest id, ``ids`` the ``k + 1`` smallest: more can't be among
-    anyone's ``k`` nearest. Ids are gathered by salt first, so many copies are no
-    single task's burden.
+    ``id`` is its smallest row number, ``own`` the ``k + 1`` of its rows with the smallest
+    ``vec_id`` (``least`` the first): more can't be among anyone's ``k`` nearest. They are gathered by salt
+    first, so many copies are no single task's burden.
     """
     fewest = lambda c: F.slice(F.sort_array(c), 1, k + 1)
-    salted = rows.groupBy("vector", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)).alias("salt")).agg(
-        fewest(F.collect_set("vec_id")).alias("ids")
+    salted = rows.groupBy("vector", F.pmod(F.xxhash64("row"), F.lit(SALTS)).alias("salt")).agg(
+        fewest(F.collect_list(F.struct("vec_id", "row"))).alias("own"), F.min("row").alias("id")
     )
     return (
         salted.groupBy("vector")
-        .agg(fewest(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("ids"))
-        .select(F.size("vector").alias("size"), "vector", F.col("ids")[0].alias("id"), "ids")
+        .agg(fewest(F.flatten(F.collect_list("own"))).alias("own"), F.min("id").alias("id"))
+        .select(
+            F.size("vector").alias("size"), "vector", "id", "own", F.col("own")[0]["vec_id"].alias("least")
+        )
     )
 
 
@@ -183,7 +187,8 @@ def _nearest_in_block(k: int):
         norms = np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1))
         scores = np.clip((x @ y.T) / norms, -1.0, 1.0)
         ids = candidates["id"].to_numpy()
-        order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, : k + 1]
+        ties = np.broadcast_to(candidates["least"].to_numpy(), scores.shape)
+        order = np.lexsort((ties, -scores), axis=1)[:, : k + 1]
         return pd.DataFrame(
             {
                 "query": np.repeat(queries["id"].to_numpy(), order.shape[1]),
@@ -200,31 +205,57 @@ def nearest(vectors: DataFrame, is_query: Column, search: Search = Search()) ->
 
     ``vectors`` has ``vec_id`` and ``embedding``. Result: ``query_id``, ``rank``
     (from 1), ``vec_id``, ``score`` (cosine), nearest first, ties to the smaller
-    id. Vectors that are NULL, zero, or hold NULL or non-finite components take
-    no part, nor do rows without id; vectors of different lengths are never
-    compared. Rows that repeat an id are one, with the smallest of their vectors.
+    id; all other rows, if there are fewer. Vectors that are NULL, zero, or hold NULL
+    or non-finite components take no part, nor do rows without id; components are
+    taken as floats, and one beyond their range is not finite. Vectors of different
+    lengths are never compared. Rows that repeat an id are vectors of their own.
     """
     k = search.k
-    rows = (
-        vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-        .select(
+    vector = F.col("embedding").cast("array<float>")
+    rows = settle(
+        vectors.select(
             F.col("vec_id").cast("bigint").alias("vec_id"),
-            F.col("embedding").cast("array<float>").alias("vector"),
-            is_query.alias("asks"),
+            vector.alias("vector"),
+            F.coalesce(is_query, F.lit(False)).alias("asks"),
         )
-        .groupBy("vec_id")
-        .agg(F.min("vector").alias("vector"), F.bool_or("asks").alias("asks"))
+        .where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
+        .withColumn("row", F.monotonically_increasing_id()),
+        "vectors",
     )
     classes = settle(_classes(rows, k), "vector-classes")
-    asking = rows.where("asks").select("vec_id", "vector")
+    asking = rows.where("asks").select("vec_id", "row", "vector")
     asking = settle(
-        asking.join(classes.select("vector", "id"), "vector").select("vec_id", "id"), "asking"
+        asking.join(classes.select("vector", "id", "size"), "vector").select("vec_id", "row", "id", "size"),
+        "asking",
     )
     queries = classes.join(asking.select("id").distinct(), "id", "left_semi")
+    found = settle(_in_blocks(bucketed(classes, search), probed(queries, search), k), "found")
+    near = _named(asking, found, classes, k)
+
+    # What the buckets missed: fewer rows than asked for, though there are more.
+    there = classes.groupBy("size").agg(F.sum(F.size("own")).alias("there"))
+    got = near.groupBy("query_row").agg(F.count("*").alias("got"))
+    lacking = (
+        asking.join(there, "size")
+        .join(got, asking["row"] == got["query_row"], "left")
+        .where(F.coalesce("got", F.lit(0)) < F.least(F.lit(k), F.col("there") - 1))
+    )
+    lacking = settle(lacking.select("vec_id", "row", "id", "size"), "lacking")
+    if not lacking.isEmpty():
+        whole = lambda df: df.select(
+            "size", F.lit(0).alias("table"), F.lit("").alias("bucket"), "id", "least", "vector"
+        )
+        again = classes.join(lacking.select("id").distinct(), "id", "left_semi")
+        every = _in_blocks(whole(classes), whole(again), k)
+        near = near.join(lacking.select(F.col("row").alias("query_row")), "query_row", "left_anti")
+        near = near.unionByName(_named(lacking, settle(every, "found"), classes, k))
+    return near.select("query_id", "rank", "vec_id", "score")
+
 
+def _in_blocks(kept: DataFrame, visits: DataFrame, k: int) -> DataFrame:
+    """``query``, ``id``, ``score``: the best that each query meets in the buckets it visits."""
     keys = ["size", "table", "bucket"]
-    kept = settle(bucketed(classes, search), "buckets")
-    visits = settle(probed(queries, search), "probes")
+    kept, visits = settle(kept, "buckets"), settle(visits, "probes")
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     grid = (
         kept.groupBy(*keys)
@@ -236,10 +267,10 @@ def nearest(vectors: DataFrame, is_query: Column, search: Search = Search()) ->
     mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = kept.join(grid, keys).select(
-        *keys, "id", "vector", mine("rows").alias("row"), every("columns").alias("column")
+        *keys, "id", "least", "vector", mine("rows").alias("row"), every("columns").alias("column")
     )
     right = visits.join(grid, keys).select(
-        *keys, "id", "vector", mine("columns").alias("column"), every("rows").alias("row")
+        *keys, "id", "least", "vector", mine("columns").alias("column"), every("rows").alias("row")
     )
     cell = [*keys, "row", "column"]
     found = (
@@ -249,22 +280,26 @@ def nearest(vectors: DataFrame, is_query: Column, search: Search = Search()) ->
         .groupBy("query", "id")
         .agg(F.max("score").alias("score"))
     )
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    return found
+
+
+def _named(asking: DataFrame, found: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest rows of each asking row, of the classes found for it."""
+    least = classes.select("id", "least")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "least", "id")
     top = (
-        found.withColumn("place", F.row_number().over(best))
+        found.join(least, "id")
+        .withColumn("place", F.row_number().over(best))
         .where(F.col("place") <= k + 1)
         .select("query", "id", "score")
     )
     named = (
-        asking.withColumnRenamed("id", "query")
+        asking.select(F.col("vec_id").alias("query_id"), F.col("row").alias("query_row"), F.col("id").alias("query"))
         .join(top, "query")
-        .join(classes.select("id", "ids"), "id")
-        .select(F.col("vec_id").alias("query_id"), "score", F.explode("ids").alias("vec_id"))
-        .where("vec_id <> query_id")
-    )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        named.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .join(classes.select("id", "own"), "id")
+        .select("query_id", "query_row", "score", F.inline("own"))
+        .where("row <> query_row")
     )
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
+    ranked = named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "query_row", "rank", "vec_id", "score")

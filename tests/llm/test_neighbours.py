@@ -83,5 +83,33 @@ def test_recall_on_given_vectors(spark, sf_dir):
     assert len(pairs & wanted) >= 0.9 * len(wanted)
 
 
+@pytest.mark.parametrize("n", [1, 2, 4, 6, 10])
+def test_small_tables_give_all_there_is(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(5 * i, rng.normal(size=4).tolist()) for i in range(n)]
+    got = search(spark, rows, directions=4, width=0.01, probes=2, tables=1)
+    expected = {q: x for q, x in brute(rows, lambda q: True, 5).items() if x}
+    assert {q: [v for v, _ in x] for q, x in got.items()} == {q: [v for v, _ in x] for q, x in expected.items()}
+
+
+def test_repeated_ids_are_vectors_of_their_own(spark):
+    frame = spark.createDataFrame(
+        [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (5, [1.0, 0.0]), (7, [1.0, 1.0])],
+        "vec_id bigint, embedding array<float>",
+    )
+    got = neighbours.nearest(frame, F.col("vec_id") == 5, neighbours.Search(k=5)).collect()
+    found = sorted((r["rank"], r.vec_id, round(r.score, 3)) for r in got)
+    assert found == [(1, 5, 1.0), (1, 5, 1.0), (1, 7, 0.707), (2, 5, 0.0), (2, 7, 0.707), (2, 7, 0.707),
+                     (3, 5, 0.0), (3, 5, 0.0), (3, 5, 0.0)]
+
+
+def test_components_beyond_floats_take_no_part(spark):
+    frame = spark.createDataFrame(
+        [(0, [1e300, 1.0]), (1, [1.0, 1.0]), (5, [2.0, 2.0])], "vec_id bigint, embedding array<double>"
+    )
+    got = neighbours.nearest(frame, F.col("vec_id") % 5 == 0).collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [(5, 1)]
+
+
 def test_no_vectors(spark):
     assert search(spark, [(1, None)]) == {}
