@@ -79,34 +79,37 @@ def as_text(s: Column) -> Column:
     return F.lower(F.array_join(digits, ""))
 
 
-def following(ids: DataFrame) -> DataFrame:
-    """``id`` and ``next_id``: the next smaller of the distinct ids; after the last, the largest.
+def following(keys: DataFrame) -> DataFrame:
+    """``id``, ``t`` and the ``next_id``, ``next_t`` of distinct keys; the first's after the last.
 
-    Ids are dealt into ranges, chained inside each, and the ranges by their
-    ends, of which there are as many as partitions.
+    The order is that of descending ``id``, then of ``t``. Keys are dealt into ranges,
+    chained inside each, and the ranges by their ends, of which there are as many as
+    partitions.
     """
-    n = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.struct(F.bitwise_not("id").alias("down"), F.col("t"))
     dealt = settle(
-        ids.select("id")
+        keys.select("id", "t")
         .distinct()
-        .repartitionByRange(n, F.desc("id"))
-        .withColumn("part", F.spark_partition_id()),
+        .repartitionByRange(n, F.desc("id"), F.asc("t"))
+        .select("id", "t", place.alias("place"), F.spark_partition_id().alias("part")),
         "ids",
     )
-    ends = dealt.groupBy("part").agg(F.max("id").alias("top"))
-    in_order = Window.orderBy(F.desc("top"))  # one row per partition
+    ends = dealt.groupBy("part").agg(F.min("place").alias("top"))
+    in_order = Window.orderBy("top")  # one row per partition
     ends = ends.select(
         "part",
         F.coalesce(
             F.lead("top").over(in_order),
-            F.max("top").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+            F.min("top").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
         ).alias("after"),
     )
-    inside = F.lead("id").over(Window.partitionBy("part").orderBy(F.desc("id")))
+    inside = F.lead("place").over(Window.partitionBy("part").orderBy("place"))
+    after = F.coalesce("inside", "after")
     return (
         dealt.withColumn("inside", inside)
         .join(ends, "part")
-        .select("id", F.coalesce("inside", "after").alias("next_id"))
+        .select("id", "t", F.bitwise_not(after["down"]).alias("next_id"), after["t"].alias("next_t"))
     )
 
 
@@ -116,39 +119,45 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
     The edited text has the last third of the code points (rounded down)
     replaced by as many from the start of the next document, in descending
     order of ``doc_id``; after the last comes the first. A NULL text counts as
-    empty, a NULL id comes last. Rows that repeat an id are one document, with
-    the smallest of their texts.
+    empty, a NULL id comes last. Rows that repeat an id are documents of their own, in
+    an order of their texts' hashes.
     """
-    texts = (
-        docs.select(
-            F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"),
-            F.coalesce("text", F.lit("")).alias("text"),
-        )
-        .groupBy("id")
-        .agg(F.min("text").alias("text"))
-    )
-    links = following(
-        docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"))
-    )
-    sized = texts.select("id", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), text.alias("text")
+    ).withColumn("t", F.xxhash64("text"))
+    # Rows that repeat id and text: one is followed by the next document, the others by
+    # their like.
+    texts = rows.groupBy("id", "t").agg(F.first("text").alias("text"), F.count("*").alias("times"))
+    sized = texts.select("id", "t", "text", "times", F.char_length("text").cast("bigint").alias("n_chars"))
     third = F.floor(F.col("n_chars") / 3).cast("int")
+    one = F.lit(1).cast("bigint")
+    link = lambda i, t, n: F.struct(F.col(i).alias("next_id"), F.col(t).alias("next_t"), n.alias("n"))
+    both = F.array(link("next_id", "next_t", one), link("id", "t", F.col("times") - 1))
     # How much each document wants goes to the next one, and only that much comes back.
-    wanted = sized.select("id", third.alias("third")).join(links, "id")
+    wanted = (
+        sized.select("id", "t", "times", third.alias("third"))
+        .join(following(rows.select("id", "t")), ["id", "t"])
+        .select("id", "t", "third", F.inline(F.filter(both, lambda x: x["n"] > 0)))
+    )
     heads = (
-        sized.select(F.col("id").alias("next_id"), "text")
-        .join(wanted, "next_id")
+        sized.select(F.col("id").alias("next_id"), F.col("t").alias("next_t"), "text")
+        .join(wanted, ["next_id", "next_t"])
         .select(
             "id",
+            "t",
+            "n",
             F.substring(F.col("text"), F.lit(1), F.col("third")).alias("head"),
             sketch(F.col("text")).alias("next_sketch"),
         )
     )
     kept = F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - third)
     both = (
-        sized.join(heads, "id")
-        .select("id", "n_chars", "text", F.concat(kept, "head").alias("edited"), "next_sketch")
+        sized.join(heads, ["id", "t"])
+        .select("id", "n", "n_chars", "text", F.concat(kept, "head").alias("edited"), "next_sketch")
         .select(
             "id",
+            "n",
             "n_chars",
             F.sha2(F.col("edited"), 256).alias("edited_sha256"),
             sketch(F.col("text")).alias("own"),
@@ -157,8 +166,9 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
         )
     )
     own, changed = F.col("own"), F.col("changed")
-    return both.select(
+    found = both.select(
         F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"),
+        "n",
         "n_chars",
         "edited_sha256",
         as_text(own).alias("fingerprint"),
@@ -166,3 +176,4 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
         resemblance(own, changed).alias("near_edited"),
         resemblance(own, F.col("next_sketch")).alias("near_next"),
     )
+    return found.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), "n"))).drop("n", "col")

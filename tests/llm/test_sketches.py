@@ -3,7 +3,9 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from loadgrain.llm import sketches
@@ -23,25 +25,26 @@ def test_edit_likeness_against_brute_force(docs_of):
     texts = [None, "", "one", "é" * 7, "a b c d e f g", "a b c d e f g", " \n"]
     texts += [" ".join(rng.choices("abcdefghij", k=rng.randrange(3, 90))) for _ in range(30)]
     rows = [(i * 7, t) for i, t in enumerate(texts)] + [(None, "no id at all"), (14, "zz"), (14, "one")]
+    rows += [(None, "no id either, but other words"), (None, None), (14, "zz"), (14, "zz")]
     rng.shuffle(rows)
     docs = docs_of(rows, more=[("id", "int"), ("own", "int"), ("head", "int"), ("n", "int")])
-    got = {r.doc_id: r for r in sketches.edit_likeness(docs).collect()}
-    plain = {}
-    for d, t in rows:
-        plain[d] = min(t or "", plain.get(d, t or ""))
-    order = sorted((d for d in plain if d is not None), reverse=True) + [None]
-    assert set(got) == set(order)
-    for at, d in enumerate(order):
-        text, after = plain[d], plain[order[(at + 1) % len(order)]]
+    got = sorted((tuple(r) for r in sketches.edit_likeness(docs).collect()), key=repr)
+    mark = lambda t: np.uint64(xxhash.xxh64_intdigest((t or "").encode(), 42)).astype(np.int64)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), mark(r[1])))
+    expected = []
+    for at, (d, text) in enumerate(order):
+        text, after = text or "", order[(at + 1) % len(order)][1] or ""
         third = len(text) // 3
         edited = text[: len(text) - third] + after[:third]
-        r = got[d]
-        assert r.n_chars == len(text)
-        assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         # All have fewer shingles than a sketch holds, so the estimates are exact.
-        assert r.near_edited == pytest.approx(likeness(shingles(text), shingles(edited)))
-        assert r.near_next == pytest.approx(likeness(shingles(text), shingles(after)))
-    assert got[28].fingerprint == got[35].fingerprint
+        alike = [likeness(shingles(text), shingles(x)) for x in (edited, after)]
+        expected.append((d, len(text), hashlib.sha256(edited.encode()).hexdigest(), *alike))
+    expected.sort(key=repr)
+    assert [r[:3] for r in got] == [r[:3] for r in expected]
+    for mine, theirs in zip(got, expected, strict=True):
+        assert mine[5:] == pytest.approx(theirs[3:])
+    prints = {r[0]: r[3] for r in got}
+    assert prints[28] == prints[35]
 
 
 def test_merge_and_estimates(spark):
