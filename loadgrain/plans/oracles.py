@@ -258,7 +258,7 @@ SELECT metric_name, count(*) AS n, round(sum(v), 4) AS total FROM smp GROUP BY m
 SELECT metric_name, 'summary' AS metric_type, count(*) AS n
 FROM smp WHERE event_id % 40 = 0 GROUP BY metric_name""",
     "empty_batch": f"""{SAMPLES}
-SELECT metric_name, count(*) AS n FROM smp WHERE event_id % 2 = 0 GROUP BY 1""",
+SELECT metric_name, count(*) AS n FROM smp GROUP BY 1""",
     "order_by_p95": f"""{REQUESTS}
 SELECT section, row_number() OVER (ORDER BY round(quantile_cont(ms, 0.95), 1) DESC, section) AS place
 FROM req GROUP BY section""",
@@ -282,9 +282,28 @@ WHERE run = 'A' OR metric_name = 'http_reqs' GROUP BY 1, 2""",
   CASE WHEN metric_name = 'vus' THEN '' ELSE metric_name END AS metric_name, {_TOTALS}
 WHERE metric_name IN ('vus', 'http_reqs') GROUP BY 1, 2""",
     "run_replaced_empty": f"""{SAMPLES}
-SELECT run AS run_id, CAST(sum(CAST(run = 'A' AND event_id % 5 > 0 AS INTEGER)) AS BIGINT) AS sample_count,
-  CAST(sum(CAST(run = 'A' AND event_id % 5 > 0 AS INTEGER)) AS BIGINT) AS n
+SELECT run AS run_id, CAST(sum(CAST(run = 'A' AS INTEGER)) AS BIGINT) AS sample_count,
+  CAST(sum(CAST(run = 'A' AS INTEGER)) AS BIGINT) AS n
 FROM smp GROUP BY 1""",
+    "mixed_versions_read": f"""{SAMPLES}
+SELECT metric_name, metric_type, CASE WHEN http THEN section END AS section, count(*) AS n,
+  round(sum(v), 4) AS total, min(date_trunc('milliseconds', ts)) AS first,
+  max(date_trunc('milliseconds', ts)) AS last
+FROM smp GROUP BY 1, 2, 3""",
+    "row_groups_per_file": f"""{SAMPLES}
+SELECT run AS run_id, count(*) AS n, true AS cap_kept, true AS in_order,
+  min(metric_name) AS first_metric, max(metric_name) AS last_metric
+FROM smp GROUP BY 1""",
+    "option_checks": """
+SELECT CASE WHEN user_id % 10 = 0 THEN 'no path given to write samples to'
+  WHEN floor(value) <= 0 THEN 'row_group_size: at least 1 is needed, '
+    || CAST(floor(value) AS BIGINT) || ' was given'
+  WHEN event_id % 5 = 0 THEN 'page_size: at least 1 is needed, 0 was given'
+  WHEN event_id % 6 >= 4 THEN chr(39) || CASE event_id % 6 WHEN 4 THEN 'lz4' ELSE 'brotli' END
+    || chr(39) || ' is no known codec; there are zstd, snappy, gzip, uncompressed'
+  WHEN user_id % 4 = 0 THEN 'push_interval: 0s is no time span'
+  ELSE 'accepted' END AS answer, count(*) AS n
+FROM events GROUP BY 1""",
     "run_files_compared": REQUESTS + _COMPARED.format(b="run = 'B'"),
     "runs_concatenated": f"""{SAMPLES}
 SELECT run AS run_id, CASE WHEN run = 'B' THEN check_name END AS check_name, count(*) AS n

@@ -1,7 +1,9 @@
 """Parquet footers as a source, and portable run files as a sink.
 
 ``run_footer`` reads the key/value pairs in file footers without touching row
-data. ``run_file`` writes samples into files that carry their run's provenance
+data, and ``run_row_groups`` what they say of their row groups. Both list folders
+inside their tasks, and look only at files and keys that filters ask for.
+``run_file`` writes samples into files that carry their run's provenance
 in the footer and can be read anywhere. Both are Python data sources: Spark's
 own Parquet reader shows no footer pairs, and its writer takes none.
 """
@@ -10,8 +12,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
@@ -19,12 +21,21 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     DataSourceReader,
+    EqualTo,
+    Filter,
+    In,
     InputPartition,
+    IsNotNull,
+    StringEndsWith,
+    StringStartsWith,
     WriterCommitMessage,
 )
 from pyspark.sql.types import StructType
 
 FOOTER_SCHEMA = "file STRING, key STRING, value STRING"
+ROW_GROUP_SCHEMA = (
+    "file STRING, row_group INT, n_rows BIGINT, first_metric STRING, last_metric STRING"
+)
 # Small enough to spread a long history over a cluster, large enough that a
 # task is worth its start.
 FILES_PER_TASK = 64
@@ -38,19 +49,25 @@ def register(spark: SparkSession) -> None:
 
     # Workers need not have the package installed.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    # Off by default, and then a source that takes filters is refused.
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(RunFooterSource)
+    spark.dataSource.register(RowGroupSource)
     spark.dataSource.register(RunFileSource)
 
 
 def _filesystem(path: str):
     from pyarrow import fs
 
-    if "://" in path or path.startswith("file:"):
+    if path.startswith("file:"):
+        # As Spark spells local paths: not encoded.
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    if "://" in path:
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path
 
 
-def _parquet_files(path: str) -> list[str]:
+def _parquet_files(path: str, recursive: bool = True) -> list[str]:
     """The data files under a file, folder or pattern, in name order."""
     from fnmatch import fnmatch
 
@@ -60,9 +77,9 @@ def _parquet_files(path: str) -> list[str]:
     prefix = path[: len(path) - len(local)] if path.endswith(local) else ""
     local = local.rstrip("/")
     pattern = None
-    if any(c in local for c in "*?["):
+    if _is_pattern(local):
         pattern = local
-        while any(c in local for c in "*?["):
+        while _is_pattern(local):
             local = local.rsplit("/", 1)[0]
     info = system.get_file_info(local)
     if info.type == fs.FileType.NotFound:
@@ -70,7 +87,7 @@ def _parquet_files(path: str) -> list[str]:
     if info.type == fs.FileType.File:
         return [prefix + info.path]
     found = []
-    for entry in system.get_file_info(fs.FileSelector(local, recursive=True)):
+    for entry in system.get_file_info(fs.FileSelector(local, recursive=recursive or pattern is not None)):
         inside = entry.path[len(local) :].strip("/").split("/")
         if entry.type != fs.FileType.File or any(p[0] in "._" for p in inside):
             continue
@@ -83,6 +100,119 @@ def _parquet_files(path: str) -> list[str]:
     return sorted(found)
 
 
+def _is_pattern(path: str) -> bool:
+    return any(c in path for c in "*?[")
+
+
+def _folders_in(path: str) -> list[str]:
+    """The folders directly inside one, as they are to be listed; none for files and patterns."""
+    from pyarrow import fs
+
+    system, local = _filesystem(path)
+    if _is_pattern(local) or system.get_file_info(local).type != fs.FileType.Directory:
+        return []
+    prefix = path[: len(path) - len(local)] if path.endswith(local) else ""
+    entries = system.get_file_info(fs.FileSelector(local))
+    folders = [e.path for e in entries if e.type == fs.FileType.Directory]
+    return sorted(prefix + f for f in folders if f.rsplit("/", 1)[-1][0] not in "._")
+
+
+@dataclass
+class Listing(InputPartition):
+    """What a task has to list: a path, and which share of its files are the task's own."""
+
+    path: str
+    recursive: bool
+    share: int = 0
+    shares: int = 1
+
+    def files(self) -> list[str]:
+        return _parquet_files(self.path, self.recursive)[self.share :: self.shares]
+
+
+@dataclass
+class Wanted:
+    """Conditions on a column that filters have asked for; all have to hold."""
+
+    conditions: list[tuple[str, tuple]] = field(default_factory=list)
+
+    def take(self, one: Filter) -> bool:
+        """Whether the filter is one that this can see to."""
+        if isinstance(one, EqualTo):
+            self.conditions.append(("in", (one.value,)))
+        elif isinstance(one, In):
+            self.conditions.append(("in", tuple(one.value)))
+        elif isinstance(one, StringStartsWith):
+            self.conditions.append(("startswith", (one.value,)))
+        elif isinstance(one, StringEndsWith):
+            self.conditions.append(("endswith", (one.value,)))
+        else:
+            return isinstance(one, IsNotNull)  # neither files nor keys are NULL
+        return True
+
+    def holds(self, text: str) -> bool:
+        return all(
+            text in values if kind == "in" else any(getattr(text, kind)(v) for v in values)
+            for kind, values in self.conditions
+        )
+
+
+class _FooterReader(DataSourceReader):
+    """Deals folders out to tasks; files and keys that filters exclude are passed over."""
+
+    columns = ("file", "key")
+
+    def __init__(self, options) -> None:
+        several = options.get("paths")
+        self.paths = json.loads(several) if several else [options["path"]]
+        self.wanted = {column: Wanted() for column in self.columns}
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for one in filters:
+            column = getattr(one, "attribute", ())
+            if len(column) != 1 or column[0] not in self.columns or not self.wanted[column[0]].take(one):
+                yield one
+
+    def partitions(self) -> list[Listing]:
+        """Folders one level down go to tasks whole; a flat folder's files are only counted."""
+        found = []
+        for path in self.paths:
+            shares = -(-len(_parquet_files(path, recursive=False)) // FILES_PER_TASK)
+            found += [Listing(path, False, share, shares) for share in range(shares)]
+            found += [Listing(folder, True) for folder in _folders_in(path)]
+        return found
+
+    def _footers(self, partition: Listing):
+        import pyarrow.parquet as pq
+
+        for file in partition.files():
+            if self.wanted["file"].holds(file):
+                system, local = _filesystem(file)
+                yield file, pq.read_metadata(local, filesystem=system)
+
+
+class RunFooterReader(_FooterReader):
+    def read(self, partition: Listing) -> Iterator[tuple]:
+        for file, footer in self._footers(partition):
+            for key, value in (footer.metadata or {}).items():
+                name = key.decode("utf-8")
+                if self.wanted["key"].holds(name):
+                    yield file, name, value.decode("utf-8", "replace")
+
+
+class RowGroupReader(_FooterReader):
+    columns = ("file",)
+
+    def read(self, partition: Listing) -> Iterator[tuple]:
+        for file, footer in self._footers(partition):
+            metric = footer.schema.names.index("metric_name") if "metric_name" in footer.schema.names else None
+            for number in range(footer.num_row_groups):
+                group = footer.row_group(number)
+                known = group.column(metric).statistics if metric is not None else None
+                ends = (known.min, known.max) if known is not None and known.has_min_max else (None, None)
+                yield file, number, group.num_rows, *ends
+
+
 class RunFooterSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -95,29 +225,16 @@ class RunFooterSource(DataSource):
         return RunFooterReader(self.options)
 
 
-@dataclass
-class FileBatch(InputPartition):
-    files: list[str]
-
-
-class RunFooterReader(DataSourceReader):
-    def __init__(self, options) -> None:
-        several = options.get("paths")
-        self.paths = json.loads(several) if several else [options["path"]]
-
-    def partitions(self) -> list[FileBatch]:
-        files = [file for path in self.paths for file in _parquet_files(path)]
-        step = FILES_PER_TASK
-        return [FileBatch(files[i : i + step]) for i in range(0, len(files), step)]
+class RowGroupSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "run_row_groups"
 
-    def read(self, partition: FileBatch) -> Iterator[tuple]:
-        import pyarrow.parquet as pq
+    def schema(self) -> str:
+        return ROW_GROUP_SCHEMA
 
-        for file in partition.files:
-            system, local = _filesystem(file)
-            pairs = pq.read_metadata(local, filesystem=system).metadata or {}
-            for key, value in pairs.items():
-                yield file, key.decode("utf-8"), value.decode("utf-8", "replace")
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return RowGroupReader(self.options)
 
 
 def instant_text(at: datetime) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import socket
 from datetime import UTC, datetime
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,9 @@ from loadgrain.schema import SAMPLE_COLUMNS, SCHEMA_VERSION
 from loadgrain.session import configure, qualified
 from loadgrain.sources import footers
 from loadgrain.sources.footers import duration_text, instant_text
-from loadgrain.sources.samples import SinkOptions
+
+if TYPE_CHECKING:
+    from loadgrain.sources.samples import SinkOptions
 
 NAMESPACE = "loadgrain"
 
@@ -114,9 +117,22 @@ def write_portable_run(
 
 
 def read_footers(spark: SparkSession, *paths: str) -> DataFrame:
-    """``(file, key, value)`` for every footer pair; no row data is read."""
+    """``(file, key, value)`` for every footer pair; no row data is read.
+
+    Filters on ``file`` and ``key`` (equal, in, beginnings and ends) reach the source:
+    other files are not opened.
+    """
+    return _of_footers(spark, "run_footer", paths)
+
+
+def read_row_groups(spark: SparkSession, *paths: str) -> DataFrame:
+    """``(file, row_group, n_rows, first_metric, last_metric)`` from footers and statistics."""
+    return _of_footers(spark, "run_row_groups", paths)
+
+
+def _of_footers(spark: SparkSession, source: str, paths) -> DataFrame:
     footers.register(spark)
-    reader, paths = spark.read.format("run_footer"), [qualified(spark, p) for p in paths]
+    reader, paths = spark.read.format(source), [qualified(spark, p) for p in paths]
     return reader.load(paths[0]) if len(paths) == 1 else reader.load(list(paths))
 
 
@@ -146,7 +162,7 @@ def run_metadata(
 
 def footer_value(spark: SparkSession, key: str, *paths: str) -> DataFrame:
     """The value of one run key (such as ``script_options``) per file."""
-    pairs = read_footers(spark, *paths)
+    pairs = read_footers(spark, *paths).where(F.col("key").endswith(f".{key}"))
     return pairs.where(_run_key() == key).select("file", "value")
 
 
@@ -187,8 +203,12 @@ def runs_from_footers(pairs: DataFrame) -> DataFrame:
 
 def schema_versions(spark: SparkSession, *paths: str) -> DataFrame:
     """``(file, schema_version)``; NULL for a file that names none."""
+    return versions_in(read_footers(spark, *paths))
+
+
+def versions_in(pairs: DataFrame) -> DataFrame:
     version = F.max(F.when(_run_key() == "schema_version", F.col("value")))
-    return read_footers(spark, *paths).groupBy("file").agg(version.alias("schema_version"))
+    return pairs.groupBy("file").agg(version.alias("schema_version"))
 
 
 def require_schema_version(

@@ -17,6 +17,7 @@ from loadgrain.operators.runs import RunInfo, run_record
 from loadgrain.schema import LOAD, RUN_ID, SAMPLE_COLUMNS, SAMPLES
 from loadgrain.session import configure
 from loadgrain.sources.ledger import Ledger
+from loadgrain.sources.versions import read_run_files
 
 # The accepted codecs and the defaults of the sink.
 CODECS = ("zstd", "snappy", "gzip", "uncompressed")
@@ -84,22 +85,43 @@ def read_samples(
     The schema is given, so nothing is inferred; columns an older file lacks
     are NULL. Adds ``ts`` (the sample clock in microseconds), ``run_id`` from
     the table's folders (or as given), and ``source_file`` if asked for. Loads that
-    are not whole yet, or that another load stands for, are passed over. Several
+    are not whole yet, or that another load stands for, are passed over. Files with a
+    footer of their own are read by the schema version that it names. Several
     tables, each with run folders of its own, are read one by one and joined
     with :func:`concatenate`.
     """
-    files = _table(spark, *paths)
-    for root in {path.split("/run_id=")[0] for path in paths}:
-        visible = Ledger(spark, root).visible()
-        if visible is not None:
-            files = files.where(visible)
+    if any(_in_table(spark, path) for path in paths):
+        files = _table(spark, *paths)
+        for root in {path.split("/run_id=")[0] for path in paths}:
+            visible = Ledger(spark, root).visible()
+            if visible is not None:
+                files = files.where(visible)
+        files = files.withColumn("source_file", F.col("_metadata.file_path"))
+    else:
+        files = read_run_files(spark, *paths).withColumn("run_id", F.lit(None).cast("string"))
     extra = [sample_time().alias("ts")]
     extra.append(F.col("run_id") if run_id is None else F.lit(run_id).alias("run_id"))
     if source_file:
-        extra.append(plain_path(F.col("_metadata.file_path")).alias("source_file"))
+        extra.append(plain_path(F.col("source_file")).alias("source_file"))
     return files.select(*[F.col(f"`{c}`") for c in SAMPLE_COLUMNS], *extra)
 
 
+def _in_table(spark: SparkSession, path: str) -> bool:
+    """Whether a path is a table, with run folders, or one of those; tables have no footers."""
+    if "/run_id=" in path:
+        return True
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if any(c in path for c in "*?[{") or not fs.exists(root) or fs.getFileStatus(root).isFile():
+        return False
+    entries = fs.listStatusIterator(root)
+    while entries.hasNext():
+        name = entries.next().getPath().getName()
+        if name[0] not in "._":
+            return name.startswith("run_id=")
+    return True  # nothing in it yet
+
+
 def _table(spark: SparkSession, *paths: str) -> DataFrame:
     """All loads of all runs, with ``run_id`` and ``load`` from their folders."""
     configure(spark)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from loadgrain.operators.runs import RunInfo, attach_runs, redact_options, with_duration
 from loadgrain.plans.events import samples_from_events
 from loadgrain.schema import SAMPLE_COLUMNS, SAMPLES
-from loadgrain.sources import footers, provenance
+from loadgrain.sources import footers, provenance, versions
 from loadgrain.sources.provenance import duration_text, instant_text
 from loadgrain.sources.samples import (
     SinkOptions,
@@ -268,18 +268,98 @@ def test_footer_paths(spark, portable):
     assert provenance.read_footers(spark, str(file), str(file)).count() == 2 * whole
 
 
-def test_many_files_share_tasks(spark, portable, tmp_path, monkeypatch):
+def test_tasks_list_folders_and_share_files(spark, portable, tmp_path, monkeypatch):
     (file,) = portable.glob("*.parquet")
     for i in range(5):
         (tmp_path / f"f{i}.parquet").write_bytes(file.read_bytes())
+    (tmp_path / "deep" / "er").mkdir(parents=True)
+    (tmp_path / "deep" / "er" / "g.parquet").write_bytes(file.read_bytes())
+    (tmp_path / "_hidden").mkdir()
+    (tmp_path / "_hidden" / "h.parquet").write_bytes(b"no footer at all")
     monkeypatch.setattr(footers, "FILES_PER_TASK", 2)
-    batches = footers.RunFooterReader({"path": str(tmp_path)}).partitions()
-    assert [len(b.files) for b in batches] == [2, 2, 1]
-    assert provenance.schema_versions(spark, str(tmp_path)).count() == 5
+    parts = footers.RunFooterReader({"path": str(tmp_path)}).partitions()
+    assert [p.path for p in parts] == [str(tmp_path)] * 3 + [str(tmp_path / "deep")]
+    assert [len(p.files()) for p in parts] == [2, 2, 1, 1]
+    assert len({f for p in parts for f in p.files()}) == 6
+    assert provenance.schema_versions(spark, str(tmp_path)).count() == 6
     with pytest.raises(FileNotFoundError):
         footers.RunFooterReader({"path": str(tmp_path / "none")}).partitions()
 
 
+def test_filters_reach_the_footers(spark, portable, tmp_path):
+    (file,) = portable.glob("*.parquet")
+    (tmp_path / "good.parquet").write_bytes(file.read_bytes())
+    pairs = provenance.read_footers(spark, str(tmp_path))
+    key = "other.test_run_id"
+    for condition in (
+        F.col("key") == key, F.col("key").isin(key, "x"), F.col("key").endswith(".test_run_id"),
+        F.col("key").startswith("other.test_run_i"),
+    ):
+        kept = pairs.where(condition)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"\bFilter\b", plan)
+        assert [(r.key, r.value) for r in kept.collect()] == [(key, "r1")]
+    # A file that is not asked for is not opened.
+    (tmp_path / "bad.parquet").write_bytes(b"no footer at all")
+    good = f"{tmp_path}/good.parquet"
+    asked = provenance.read_footers(spark, str(tmp_path)).where(F.col("file").endswith("/good.parquet"))
+    assert {r.file.removeprefix("file:") for r in asked.collect()} == {good}
+    with pytest.raises(Exception, match="magic"):
+        provenance.read_footers(spark, str(tmp_path)).collect()
+    # Other conditions are left to Spark.
+    some = provenance.read_footers(spark, good).where(F.length("value") > 30).where(F.col("key") != key)
+    assert some.count() < provenance.read_footers(spark, good).count()
+
+
+def test_row_groups(spark, samples, tmp_path):
+    options = SinkOptions(f"{tmp_path}/t", row_group_size=300)
+    write_samples(samples.where("run_id = 'A'").coalesce(1), options)
+    groups = provenance.read_row_groups(spark, options.path).orderBy("row_group").collect()
+    assert sum(g.n_rows for g in groups) == samples.where("run_id = 'A'").count()
+    assert max(g.n_rows for g in groups) <= 300 and len({g.file for g in groups}) == 1
+    assert [g.first_metric for g in groups] == sorted(g.first_metric for g in groups)
+    pq.write_table(pa.table({"x": [1]}), tmp_path / "plain.parquet")
+    (plain,) = provenance.read_row_groups(spark, f"{tmp_path}/plain.parquet").collect()
+    assert (plain.row_group, plain.n_rows, plain.first_metric) == (0, 1, None)
+
+
+def _older_file(spark, path):
+    footers.register(spark)
+    rows = spark.createDataFrame([(1, "x", "2.5"), (2, None, "n/a")], "at_ms long, metric string, amount string")
+    pairs = '{"loadgrain.schema_version": "0"}'
+    rows.coalesce(1).write.format("run_file").mode("overwrite").option("footer", pairs).save(str(path))
+
+
+def test_files_of_several_versions_are_read_as_one(spark, portable, tmp_path):
+    older = versions.Layout(
+        "at_ms BIGINT, metric STRING, amount STRING",
+        lambda rows: rows.select(
+            "source_file", (F.col("at_ms") * 1_000_000).alias("ts_unix_nano"),
+            F.col("metric").alias("metric_name"), F.col("amount").try_cast("double").alias("value"),
+        ),
+    )
+    _older_file(spark, tmp_path / "old")
+    (file,) = portable.glob("*.parquet")
+    (tmp_path / "old" / "new.parquet").write_bytes(file.read_bytes())
+    with pytest.raises(ValueError, match="no layout for schema version '0', as of .*/old/"):
+        read_samples(spark, str(tmp_path / "old"))
+    versions.register_layout("0", older)
+    try:
+        both = read_samples(spark, str(tmp_path / "old"), source_file=True)
+        assert both.count() == 4 and both.columns[-1] == "source_file"
+        rows = {(r.metric_name, r.ts_unix_nano, r.value) for r in both.collect()}
+        assert {("x", 1_000_000, 2.5), (None, 2_000_000, None)} <= rows
+        assert len({r.source_file for r in both.collect()}) == 2
+    finally:
+        del versions.LAYOUTS["0"]
+
+
+def test_files_without_footers_are_of_today(spark, tmp_path):
+    pq.write_table(pa.table({"ts_unix_nano": [7], "metric_name": ["m"], "value": [1.0]}), tmp_path / "p.parquet")
+    (row,) = read_samples(spark, str(tmp_path)).collect()
+    assert (row.ts_unix_nano, row.metric_name, row.value, row.status) == (7, "m", 1.0, None)
+
+
 def test_runs_from_footers(spark, portable):
     (run,) = provenance.runs_from_footers(provenance.read_footers(spark, str(portable))).collect()
     assert (run.run_id, run.sample_count, run.tool_version) == ("r1", 2, "unknown")
