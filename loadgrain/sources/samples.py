@@ -266,11 +266,20 @@ def compact_run(spark: SparkSession, options: SinkOptions, run_id: str | None) -
         compaction.clear()
 
 
+# Columns that are looked up by value and not sorted by: a row group says of each, in a
+# bloom filter, which values it may hold. Pages have their own index anyway.
+LOOKED_UP = ("name", "group", "check", "url", "error", "extra_tags.key_value.value")
+
+
 def parquet_options(options: SinkOptions) -> dict[str, str]:
+    skipping = {"parquet.bloom.filter.adaptive.enabled": "true"}
+    for column in LOOKED_UP:
+        skipping[f"parquet.bloom.filter.enabled#{column}"] = "true"
     return {
         "compression": options.compression,
         "parquet.block.row.count.limit": str(options.row_group_size),
         "parquet.page.size": str(options.page_size),
+        **skipping,
     }
 
 

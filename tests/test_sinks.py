@@ -180,6 +180,37 @@ def test_rows_are_clustered_by_metric(samples, tmp_path):
         assert all(a.max <= b.min for a, b in zip(bounds, bounds[1:], strict=False))
 
 
+def rows_scanned(df) -> int:
+    """Rows that the scan of ``df`` handed on."""
+    df.collect()
+    todo, found = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        if node.nodeName().startswith("Scan parquet"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    assert len(found) == 1
+    return found[0]
+
+
+def test_row_groups_without_a_section_are_not_read(spark, samples, tmp_path):
+    """A name between those there are: statistics let it pass, bloom filters don't."""
+    options = SinkOptions(f"{tmp_path}/t", row_group_size=2000)
+    write_samples(samples, options)
+    written = read_samples(spark, options.path)
+    of = lambda section: written.where((F.col("name") == section) & (F.col("metric_name") == "http_reqs"))
+    there, absent = of("section-05").select("value"), of("section-05x").select("value")
+    assert rows_scanned(there) > 0 and there.count() > 0
+    assert rows_scanned(absent) == 0
+    assert rows_scanned(written.where("`check` = 'has a pagf'").select("value")) == 0
+    (file, *_) = (tmp_path / "t").rglob("*.parquet")
+    column = pq.read_metadata(file).row_group(0).column(4)
+    assert column.has_offset_index and column.has_column_index
+
+
 def test_run_record_counts_what_was_written(spark, samples, tmp_path):
     options = SinkOptions(str(tmp_path / "t"))
     run = RunInfo(run_id="r1", start_time=START, script_options='{"vus": 1, "cloud": {}}')
