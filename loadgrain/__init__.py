@@ -2,12 +2,18 @@
 
 from loadgrain.functions.percentiles import grouped_percentiles
 from loadgrain.functions.sql import register_sql
-from loadgrain.operators.comparison import compare_runs, metric_history, regressions
+from loadgrain.operators.comparison import (
+    compare_runs,
+    metric_history,
+    regression_bounds,
+    regressions,
+)
 from loadgrain.operators.flatten import explode_containers, flatten_samples, unknown_labels
 from loadgrain.operators.latency import (
     latency_percentiles,
     p95_by,
     slowest_requests,
+    status_association,
     status_correlation,
     status_timing,
     tag_percentiles,
@@ -33,11 +39,12 @@ from loadgrain.operators.runs import (
     summarise_runs,
 )
 from loadgrain.operators.sketches import latency_sketches, merged_percentiles
-from loadgrain.operators.timeline import first_breach, throughput_over_time
+from loadgrain.operators.timeline import breach_spans, first_breach, throughput_over_time
 from loadgrain.session import configure
 from loadgrain.sources.provenance import (
     footer_value,
     read_footers,
+    read_row_groups,
     require_schema_version,
     run_metadata,
     runs_from_footers,
@@ -46,6 +53,7 @@ from loadgrain.sources.provenance import (
 from loadgrain.sources.raw import read_raw, stream_raw
 from loadgrain.sources.samples import (
     SinkOptions,
+    compact_run,
     concatenate,
     label_by_source,
     read_runs,
@@ -54,6 +62,7 @@ from loadgrain.sources.samples import (
     write_runs,
     write_samples,
 )
+from loadgrain.sources.versions import Layout, register_layout
 from loadgrain.streaming.ingest import finalise_run, start_ingest
 from loadgrain.streaming.live import (
     read_bucket_sketches,

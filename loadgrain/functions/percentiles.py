@@ -16,6 +16,7 @@ The method ``sketch`` is approximate: a KLL sketch per group, one pass.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +48,26 @@ _KINDS = ("count", "sum", "max", "min", "avg")
 _PARTS = {"rows": F.sum, "count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 
+@dataclass(frozen=True)
+class Bound:
+    """The value that lies ``z`` standard errors of its rank off a percentile.
+
+    The number of values below the true percentile is binomial, whatever their
+    distribution; the rank is that number's mean plus ``z`` deviations, rounded down.
+    NULL where a group is too small to have that rank.
+    """
+
+    fraction: float
+    z: float
+
+    def spread(self) -> float:
+        return self.z * (self.fraction * (1 - self.fraction)) ** 0.5
+
+
 def grouped_percentiles(
     df: DataFrame,
     by: Sequence[str],
-    percentiles: Mapping[str, float],
+    percentiles: Mapping[str, float | Bound],
     value: str = "value",
     weight: str | None = None,
     aggs: Mapping[str, tuple[str, str]] | None = None,
@@ -59,7 +76,8 @@ def grouped_percentiles(
 ) -> DataFrame:
     """One row per group of ``by``: the keys, ``aggs``, and each percentile.
 
-    ``percentiles`` maps output names to fractions. NULL values do not count.
+    ``percentiles`` maps output names to fractions, or to bounds of such percentiles.
+    NULL values do not count.
     ``weight`` names a column saying how many times a row's value occurred; it
     must not be negative. ``aggs`` maps output names to a kind (count, sum, max,
     min or avg) and the value's column, or ``*`` to count all rows; they count
@@ -125,7 +143,22 @@ def _sketch(df, by, percentiles, value, aggs) -> DataFrame:
     return grouped.select(*[c for c in grouped.columns if c not in ("__s", "__c")], *picked)
 
 
-def _picked(rows: DataFrame, fractions: list[float], most: int) -> DataFrame:
+def _position(p: float | Bound, n: Column) -> Column:
+    """Where a percentile lies among ``n`` values in order, from 0; may be between two."""
+    if isinstance(p, Bound):
+        return F.floor(n * F.lit(p.fraction) + F.sqrt(n.cast("double")) * F.lit(p.spread()))
+    return F.lit(float(p)) * (n - 1)
+
+
+def _positions(p: float | Bound, n: np.ndarray) -> np.ndarray:
+    """The same in a task; kept inside where there is no such rank."""
+    if isinstance(p, Bound):
+        at = np.floor(n * p.fraction + np.sqrt(n.astype(np.float64)) * p.spread())
+        return np.clip(at, 0, np.maximum(n - 1, 0))
+    return p * (n - 1)
+
+
+def _picked(rows: DataFrame, fractions: list[float | Bound], most: int) -> DataFrame:
     """The sorted rows, gone through once.
 
     One row per ``whole`` group with ``lows`` and ``highs``, the values at the ranks on
@@ -183,7 +216,7 @@ def _changes(keys: pa.StructArray) -> np.ndarray:
 class _Stretches:
     """Goes through one task's rows, which are in order of group and value."""
 
-    def __init__(self, fractions: list[float], most: int):
+    def __init__(self, fractions: list[float | Bound], most: int):
         self.fractions, self.most = fractions, most
         self.seq = 0
         self.open_piece = True  # the first group may have begun in another task
@@ -248,7 +281,7 @@ class _Stretches:
         n = upto[ends - 1] - below
         sides = []
         for turn in (np.floor, np.ceil):
-            ranks = np.column_stack([turn(p * (n - 1)) for p in self.fractions] or [n[:0]])
+            ranks = np.column_stack([turn(_positions(p, n)) for p in self.fractions] or [n[:0]])
             places = np.searchsorted(upto, (below[:, None] + ranks).ravel(), side="right")
             width = len(self.fractions)
             offsets = pa.array(np.arange(len(n) + 1, dtype=np.int32) * width)
@@ -293,8 +326,8 @@ def _from_pieces(picked: DataFrame, percentiles: Mapping[str, float]) -> DataFra
     group = Window.partitionBy(_KEY)
     ordered = group.orderBy("part", "seq")
     total = F.sum("n").over(group)
-    positions = [F.lit(float(p)) * (F.col("total") - 1) for p in percentiles.values()]
-    lows, highs = ([turn(at) for at in positions] for turn in (F.floor, F.ceil))
+    positions = [_position(p, F.col("total")) for p in percentiles.values()]
+    lows, highs = ([turn(at).cast("bigint") for at in positions] for turn in (F.floor, F.ceil))
     ranks = F.array_distinct(F.array(*lows, *highs)) if positions else F.array().cast("array<bigint>")
     below = F.sum("n").over(ordered) - F.col("n")
     inside = lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("n"))
@@ -328,9 +361,12 @@ def _blended(percentiles: Mapping[str, float]) -> list[Column]:
     """Blend the values at the ranks on both sides of each percentile."""
     columns = []
     for i, (name, p) in enumerate(percentiles.items()):
-        position = F.lit(float(p)) * (F.col("n") - 1)
+        position = _position(p, F.col("n"))
         low, high = F.floor(position), F.ceil(position)
         x, y = F.col("lows")[i], F.col("highs")[i]
         blend = (high - position) * x + (position - low) * y
-        columns.append(F.when((low == high) | (x == y), x).otherwise(blend).alias(name))
+        value = F.when((low == high) | (x == y), x).otherwise(blend)
+        if isinstance(p, Bound):
+            value = F.when((position >= 0) & (position < F.col("n")), x)
+        columns.append(value.alias(name))
     return columns

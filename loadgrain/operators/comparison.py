@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadgrain.functions.numbers import round_half_up
-from loadgrain.functions.percentiles import grouped_percentiles
+from loadgrain.functions.percentiles import Bound, grouped_percentiles
 from loadgrain.operators.latency import BY_NAME, durations
 from loadgrain.operators.runs import attach_runs
 from loadgrain.session import settle
@@ -60,6 +60,38 @@ def regressions(
     )
 
 
+def regression_bounds(
+    samples: DataFrame,
+    run_a: str,
+    run_b: str,
+    by: Mapping[str, str | Column] = BY_NAME,
+    run: str | Column = "run_id",
+    fraction: float = 0.95,
+    z: float = 1.96,
+) -> DataFrame:
+    """p95 of two runs with bounds, and whether the second is ``significant``ly slower.
+
+    Bounds come from order statistics, so they hold for any distribution of durations.
+    A slowdown is significant if the second run's lower bound lies above the first's
+    upper one: noise of few requests is none, nor is any where a bound needs more.
+    """
+    keys = {**by, "__run": run}
+    rows = durations(samples, keys, "http_req_duration").where(F.col("__run").isin(run_a, run_b))
+    wanted = {"p": fraction, "lower": Bound(fraction, -z), "upper": Bound(fraction, z)}
+    per_run = grouped_percentiles(rows, list(keys), wanted)
+    of = lambda label, column: F.max(F.when(F.col("__run") == label, F.col(column)))
+    table = per_run.groupBy(*by).agg(
+        of(run_a, "p").alias("a"), of(run_a, "upper").alias("a_upper"),
+        of(run_b, "p").alias("b"), of(run_b, "lower").alias("b_lower"),
+    )
+    significant = F.coalesce(F.col("b_lower") > F.col("a_upper"), F.lit(False))
+    return table.select(
+        *by,
+        *[round_half_up(F.col(c), 1).alias(f"{c}_ms") for c in ("a", "a_upper", "b_lower", "b")],
+        significant.alias("significant"),
+    ).orderBy(F.desc("significant"), *[F.asc_nulls_last(k) for k in by])
+
+
 def metric_history(
     samples: DataFrame,
     runs: DataFrame,

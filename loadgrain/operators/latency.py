@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loadgrain.functions.numbers import round_half_up
 from loadgrain.functions.percentiles import grouped_percentiles
+from loadgrain.functions.ranks import average_ranks
 from loadgrain.functions.timebuckets import sample_time
 from loadgrain.session import settle
 
@@ -129,6 +130,44 @@ def status_correlation(samples: DataFrame, by: str = "name") -> DataFrame:
     )
 
 
+def status_association(samples: DataFrame, by: str = "name") -> DataFrame:
+    """How much of a section's request durations goes with the response status.
+
+    Statuses are names, not sizes, and durations are skewed, so this goes by ranks: the
+    Kruskal-Wallis H over the statuses (corrected for ties), and eta squared, the share
+    of the ranks' variance between them. NULL where a section has one status only, as
+    many statuses as requests, or equal durations throughout.
+    """
+    timed = samples.where(
+        (F.col("metric_name") == "http_req_duration") & F.col("value").isNotNull()
+    )
+    counts = timed.groupBy(F.col(by).alias("section"), "status", "value").agg(F.count("*").alias("n"))
+    ranked = average_ranks(counts, ["section"], "value", "n")
+    # Once per value of a section, however many statuses share it: by its share in the ties.
+    tied = F.col("n") * (F.col("ties") * F.col("ties") - 1.0)
+    per_status = ranked.groupBy("section", "status").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.col("rank") * F.col("n")).alias("ranks"),
+        F.sum(tied).alias("tied"),
+    )
+    n, k = F.col("requests"), F.col("statuses")
+    between = 12 * F.col("squares") / (n * (n + 1.0)) - 3 * (n + 1.0)
+    correction = 1 - F.col("tied") / (n * (n * n - 1.0))
+    table = per_status.groupBy("section").agg(
+        F.sum("n").alias("requests"),
+        F.count("*").alias("statuses"),
+        F.sum(F.col("ranks") * F.col("ranks") / F.col("n")).alias("squares"),
+        F.sum("tied").alias("tied"),
+    )
+    enough = (k > 1) & (n > k) & (F.col("tied") < n * (n * n - 1.0))
+    h = F.when(enough, between / correction)
+    return (
+        table.select("section", "requests", "statuses", h.alias("h"))
+        .select("*", ((F.col("h") - k + 1) / (n - k)).alias("eta_squared"))
+        .orderBy(F.asc_nulls_last("section"))
+    )
+
+
 def tag_percentiles(samples: DataFrame, tag: str, method: str = "exact") -> DataFrame:
     """Requests and p95 per value of a custom tag; NULL for requests without it."""
     return p95_by(samples, {"tag": F.col("extra_tags")[tag]}, count_as="samples", method=method)

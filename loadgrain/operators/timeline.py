@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadgrain.functions.numbers import int_half_even, round_half_up
 from loadgrain.functions.percentiles import grouped_percentiles
-from loadgrain.functions.timebuckets import time_bucket
+from loadgrain.functions.timebuckets import seconds, time_bucket
+from loadgrain.session import settle
 
 
 def value_of(metric: str) -> Column:
@@ -58,3 +59,50 @@ def first_breach(
         .limit(1)
         .select("bucket", "reqs", round_half_up(F.col("p95_ms"), 1).alias("p95_ms"))
     )
+
+
+def breach_spans(
+    samples: DataFrame,
+    limit_ms: float,
+    width: str | int = "5 seconds",
+    buckets: int = 12,
+    fraction: float = 0.95,
+    run: str = "run_id",
+) -> DataFrame:
+    """When a run's p95 lay above ``limit_ms``, and for how long.
+
+    p95 is that of a window of so many buckets, which slides on by one; there is a window
+    for every bucket with requests, and it ends with it. Windows over the limit that
+    follow each other make a span: the first and the last of these buckets, their number
+    and the worst p95. Each bucket's durations are counted by value once, and the counts
+    are what windows are put together from.
+    """
+    step = int(round(seconds(width)))
+    at = F.unix_micros(time_bucket(width).cast("timestamp"))
+    counts = (
+        samples.where(F.col("metric_name") == "http_req_duration")
+        .groupBy(F.col(run).alias("run"), (at / 1_000_000).cast("bigint").alias("at"), "value")
+        .agg(F.count("*").alias("n"))
+    )
+    counts = settle(counts, "value-counts")
+    ends = counts.select(F.col("run").alias("of"), F.col("at").alias("end")).distinct()
+    within = F.explode(F.sequence(F.col("at"), F.col("at") + F.lit((buckets - 1) * step), F.lit(step)))
+    slid = counts.select("run", "value", "n", within.alias("end"))
+    slid = slid.join(ends.withColumnRenamed("end", "to"), (F.col("end") == F.col("to")) & F.col("run").eqNullSafe(F.col("of")))
+    p95 = grouped_percentiles(slid, ["run", "end"], {"p95": fraction}, weight="n")
+    breaches = p95.where(F.col("p95") > limit_ms)
+    # The windows of one run are in one task; a run has no more than it has buckets.
+    in_run = Window.partitionBy("run").orderBy("end")
+    place = F.row_number().over(in_run)
+    spans = breaches.withColumn("island", F.col("end") - place * step).groupBy("run", "island")
+    return (
+        spans.agg(
+            F.timestamp_seconds(F.min("end")).alias("started"),
+            F.timestamp_seconds(F.max("end")).alias("ended"),
+            F.count("*").alias("windows"),
+            round_half_up(F.max("p95"), 1).alias("worst_p95_ms"),
+        )
+        .drop("island")
+        .withColumnRenamed("run", "run_id")
+        .orderBy(F.asc_nulls_last("run_id"), "started")
+    )

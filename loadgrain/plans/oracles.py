@@ -71,6 +71,10 @@ FROM (SELECT section, quantile_cont(ms, 0.95) FILTER (run = 'A') AS a,
              quantile_cont(ms, 0.95) FILTER (run = 'B' AND section <> 'section-12') AS b
       FROM req GROUP BY section)"""
 
+# p95, and 1.96 deviations of the number of values below it, per square root of n.
+_P = 0.95
+_SPREAD = 1.96 * (_P * (1 - _P)) ** 0.5
+
 _TOTALS = """count(*) AS n, round(sum(v), 4) AS total, min(ts) AS first, max(ts) AS last
 FROM smp"""
 
@@ -228,6 +232,53 @@ FROM req GROUP BY status""",
     "status_correlation": f"""{REQUESTS}
 SELECT section, count(*) AS requests, round(corr(status, ms), 6) AS status_corr
 FROM req GROUP BY section""",
+    "status_association": f"""{REQUESTS}
+, ranked AS (
+  SELECT section, status, rank() OVER w + (count(*) OVER (PARTITION BY section, ms) - 1) / 2.0::DOUBLE AS rank,
+    count(*) OVER (PARTITION BY section, ms) AS ties
+  FROM req WINDOW w AS (PARTITION BY section ORDER BY ms)
+), per_status AS (
+  SELECT section, status, count(*) AS m, sum(rank) AS ranks, sum(ties * ties - 1.0::DOUBLE) AS tied
+  FROM ranked GROUP BY section, status
+), put AS (
+  SELECT section, CAST(sum(m) AS BIGINT) AS requests, count(*) AS statuses,
+    sum(ranks * ranks / m) AS squares, sum(tied) AS tied, sum(m)::DOUBLE AS n
+  FROM per_status GROUP BY section
+), tested AS (
+  SELECT *, CASE WHEN statuses > 1 AND n > statuses AND tied < n * (n * n - 1)
+    THEN (12 * squares / (n * (n + 1)) - 3 * (n + 1)) / (1 - tied / (n * (n * n - 1))) END AS h FROM put
+)
+SELECT section, requests, statuses, round(h, 6) AS h, round((h - statuses + 1) / (n - statuses), 6) AS eta_squared
+FROM tested""",
+    "regressions_significant": f"""{REQUESTS}
+, timed AS (
+  SELECT section, run, ms * CASE WHEN run = 'B' AND section IN ('section-01', 'section-07')
+    THEN 1.5 ELSE 1.0 END AS ms FROM req
+), per AS (
+  SELECT section, run, quantile_cont(ms, {_P}) AS p, list_sort(list(ms)) AS v,
+    CAST(floor(count(*) * {_P}::DOUBLE - sqrt(count(*)::DOUBLE) * {_SPREAD!r}::DOUBLE) AS BIGINT) AS lo,
+    CAST(floor(count(*) * {_P}::DOUBLE + sqrt(count(*)::DOUBLE) * {_SPREAD!r}::DOUBLE) AS BIGINT) AS hi
+  FROM timed GROUP BY section, run
+), held AS (
+  SELECT section, run, p, CASE WHEN lo >= 0 THEN v[lo + 1] END AS lower,
+    CASE WHEN hi < len(v) THEN v[hi + 1] END AS upper FROM per
+)
+SELECT section, round(a.p, 1) AS a_ms, round(a.upper, 1) AS a_upper_ms, round(b.lower, 1) AS b_lower_ms,
+  round(b.p, 1) AS b_ms, coalesce(b.lower > a.upper, false) AS significant
+FROM (FROM held WHERE run = 'A') a FULL JOIN (FROM held WHERE run = 'B') b USING (section)""",
+    "breach_spans": f"""{REQUESTS}
+, per AS (SELECT run, time_bucket(INTERVAL 1 HOUR, ts) AS b, ms FROM req),
+ends AS (SELECT DISTINCT run, b FROM per),
+slid AS (
+  SELECT e.run, e.b, quantile_cont(p.ms, 0.95) AS q FROM ends e JOIN per p
+  ON p.run = e.run AND p.b <= e.b AND p.b > e.b - INTERVAL 3 HOUR GROUP BY e.run, e.b
+), over_limit AS (
+  SELECT *, b - INTERVAL 1 HOUR * row_number() OVER (PARTITION BY run ORDER BY b) AS island
+  FROM slid WHERE q > 140
+)
+SELECT run AS run_id, min(b) AS started, max(b) AS ended, count(*) AS windows,
+  round(max(q), 1) AS worst_p95_ms
+FROM over_limit GROUP BY run, island""",
     "first_breach": f"""{REQUESTS}
 SELECT bucket, reqs, round(p95, 1) AS p95_ms FROM (
   SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket, count(*) AS reqs,

@@ -310,6 +310,25 @@ def status_correlation(spark, sf_dir):
     return rounded(latency.status_correlation(samples_of(spark, sf_dir)), "status_corr")
 
 
+@query
+def status_association(spark, sf_dir):
+    return rounded(latency.status_association(samples_of(spark, sf_dir)), "h", "eta_squared")
+
+
+@query
+def regressions_significant(spark, sf_dir):
+    """p95 of both runs with bounds; two sections of run B are made half as slow again."""
+    slower = (F.col("run_id") == "B") & F.col("name").isin("section-01", "section-07")
+    samples = samples_of(spark, sf_dir).withColumn("value", F.col("value") * F.when(slower, 1.5).otherwise(1.0))
+    return comparison.regression_bounds(samples, "A", "B")
+
+
+@query
+def breach_spans(spark, sf_dir):
+    """Hours in which the p95 of the last three stayed over a limit, per run."""
+    return timeline.breach_spans(samples_of(spark, sf_dir), 140.0, "1 hour", buckets=3)
+
+
 @query
 def first_breach(spark, sf_dir):
     return timeline.first_breach(samples_of(spark, sf_dir), limit_ms=200.0, width="1 hour")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from loadgrain.functions import percentiles as module
 from loadgrain.functions.percentiles import grouped_percentiles
+from loadgrain.functions.ranks import average_ranks
 
 WANTED = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
 
@@ -177,6 +178,42 @@ def test_infinite_and_nan(spark):
     assert found.lo == float("-inf") and found.mid == 2.0 and math.isnan(found.hi)
 
 
+def test_bounds_are_order_statistics(spark):
+    rng = np.random.default_rng(5)
+    sizes = {"few": 30, "some": 200, "many": 3000}
+    rows = [(k, float(v)) for k, n in sizes.items() for v in rng.exponential(50, size=n)]
+    frame = spark.createDataFrame(rows, "k string, value double").repartition(5)
+    wanted = {"lo": module.Bound(0.95, -1.96), "p": 0.95, "hi": module.Bound(0.95, 1.96)}
+    for most in (100_000, 150):
+        found = {r.k: r for r in grouped_percentiles(frame, ["k"], wanted, range_values=most).collect()}
+        for k, n in sizes.items():
+            values = sorted(v for key, v in rows if key == k)
+            off = 1.96 * (0.95 * 0.05 * n) ** 0.5
+            low, high = math.floor(0.95 * n - off), math.floor(0.95 * n + off)
+            assert found[k].lo == values[low]
+            assert found[k].hi == (values[high] if high < n else None)
+            assert found[k].p == pytest.approx(np.quantile(values, 0.95), rel=1e-12)
+    # Nineteen of twenty such intervals hold the true value.
+    rows = [(str(i), float(v)) for i in range(300) for v in rng.uniform(0, 100, size=400)]
+    frame = spark.createDataFrame(rows, "k string, value double")
+    held = grouped_percentiles(frame, ["k"], wanted).where("lo <= 95 AND hi >= 95").count()
+    assert 270 <= held
+
+
+def test_ranks_with_ties(spark):
+    rng = np.random.default_rng(6)
+    rows = [("ab"[i % 2], float(v)) for i, v in enumerate(rng.integers(-40, 40, size=400))]
+    rows += [("a", v) for v in (1e-9, 2e-9, 0.0, 1e300, -1e300, float("inf"), float("nan"))] + [(None, 1.0)]
+    frame = spark.createDataFrame(rows, "k string, value double")
+    counts = frame.groupBy("k", "value").agg(F.count("*").alias("n"))
+    got = {(r.k, str(r.value)): (r["rank"], r.ties) for r in average_ranks(counts, ["k"], "value", "n").collect()}
+    for key in ("a", "b", None):
+        own = sorted((v for k, v in rows if k == key), key=lambda v: (math.isnan(v), v))
+        for v in own:
+            places = [i + 1 for i, x in enumerate(own) if x == v or (math.isnan(x) and math.isnan(v))]
+            assert got[key, str(v)] == (sum(places) / len(places), len(places))
+
+
 def test_no_keys(spark):
     frame = spark.createDataFrame([(float(i),) for i in range(101)], "value double")
     assert grouped_percentiles(frame, [], {"p": 0.95}).collect() == [(95.0,)]
