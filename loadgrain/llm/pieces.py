@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 #: Words a Python worker remembers, in each of two generations.
 REMEMBERED = 300_000
+#: Longer words (texts without spaces are one) are not remembered, so memory has a bound in bytes.
+LONGEST = 64
 
 
 class Pieces:
@@ -118,10 +120,12 @@ class Pieces:
                 known = self.old.get(word)
                 if known is None:
                     known = self._word(SPACE + word)
-                young[word] = known
+                if len(word) <= LONGEST:
+                    young[word] = known
+                    if len(young) > REMEMBERED:
+                        self.young, self.old = {}, young
+                        young = self.young
             found.append(known)
-        if len(young) > REMEMBERED:
-            self.young, self.old = {}, young
         return np.frombuffer(b"".join(found), dtype="<u4")
 
     def decode(self, ids: np.ndarray) -> str:

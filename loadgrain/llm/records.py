@@ -36,6 +36,8 @@ END_ID = 2
 SHARD_TEXT_BYTES = 32 << 20
 #: Encoded pieces a Python worker remembers, in each of two generations.
 REMEMBERED = 300_000
+#: Longer pieces are not remembered, so memory has a bound in bytes.
+LONGEST = 64
 _HEAD = struct.Struct("<II")
 _OWNER = struct.Struct("<BqB")
 
@@ -134,9 +136,13 @@ class Encoder:
         if self.other(text):
             return self._whole(text)
         pieces, young = self.pieces(text), self.young
-        for piece in [p for p in pieces if p not in young]:
+        new = [p for p in pieces if p not in young]
+        for piece in new:
             young[piece] = self._piece(piece)
         found = b"".join([young[p] for p in pieces])
+        for piece in new:
+            if len(piece) > LONGEST:
+                young.pop(piece, None)
         if len(young) > REMEMBERED:
             self.young, self.old = {}, young
         return found

@@ -154,3 +154,13 @@ def test_query_of_whole_table(spark, sf_dir):
     assert queries.op8_token_records(spark, sf_dir).count() == docs.count()
     got = queries.op4_sentencepiece(spark, sf_dir)
     assert got.where(~F.col("round_trip")).count() == 0 and got.count() == docs.count()
+
+
+def test_long_words_are_not_remembered():
+    own = pieces.Pieces(MODEL)
+    text = "short " + "x" * 5000 + " 日本語" * 40 + " short " + "x" * 5000
+    assert own.decode(own.encode(text)) == text
+    assert own.young and max(map(len, own.young)) <= pieces.LONGEST
+    other = records.Encoder(TOKENIZER)
+    assert other.encode("a" * 900 + " b " + "a" * 900) == other._whole("a" * 900 + " b " + "a" * 900)
+    assert max(map(len, other.young)) <= records.LONGEST
