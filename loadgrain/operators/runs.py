@@ -116,6 +116,10 @@ def attach_runs(samples: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def join_external(runs: DataFrame, external: DataFrame, run_key: str = "run_id") -> DataFrame:
-    """Runs with an outside table (build records, annotations) on the run id."""
+    """Runs with an outside table (build records, annotations) on the run id.
+
+    Runs that the outside table does not know stay, with NULLs; a key that it repeats
+    gives its run as many rows.
+    """
     renamed = external.withColumnRenamed(run_key, "run_id") if run_key != "run_id" else external
     return runs.join(renamed, "run_id", "left")
