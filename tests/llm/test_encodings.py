@@ -161,6 +161,6 @@ def test_long_words_are_not_remembered():
     text = "short " + "x" * 5000 + " 日本語" * 40 + " short " + "x" * 5000
     assert own.decode(own.encode(text)) == text
     assert own.young and max(map(len, own.young)) <= pieces.LONGEST
-    other = records.Encoder(TOKENIZER)
+    other = records.Encoder(BPE)
     assert other.encode("a" * 900 + " b " + "a" * 900) == other._whole("a" * 900 + " b " + "a" * 900)
     assert max(map(len, other.young)) <= records.LONGEST
