@@ -188,6 +188,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     # The smallest id of a fingerprint first, so that copies never meet in a join.
     own = F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("bigint"), F.col(row))
     classes = settle(tagged.groupBy(F.col(fp).alias("fp")).agg(F.min(own).alias("own")), "classes")
-    kept = _roots(classes).groupBy("root").agg(F.min("own").alias("own"))
-    kept = settle(kept.select(F.col("own")[row].alias(row)), "kept")
-    return tagged.join(kept, row, "left_semi").drop(row, fp)
+    roots = settle(_roots(classes), "roots")
+    kept = roots.groupBy("root").agg(F.min("own").alias("kept"))
+    kept = roots.select(F.col("fp").alias(fp), "root").join(kept, "root").select(fp, "kept")
+    # Those that go are fewer than those that stay: whole rows are joined with them.
+    gone = tagged.select(row, fp).join(kept, fp).where(F.col(row) != F.col("kept")[row])
+    return tagged.join(settle(gone.select(row), "gone"), row, "left_anti").drop(row, fp)
