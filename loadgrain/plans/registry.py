@@ -22,7 +22,7 @@ from loadgrain.functions.sql import register_sql
 from loadgrain.functions.timebuckets import month_bucket, sample_time, time_bucket
 from loadgrain.operators import comparison, flatten, latency, requests, runs, sketches, timeline
 from loadgrain.plans.events import raw_from_events, runs_from_events, samples_from_events
-from loadgrain.session import configure, qualified, scratch_path, settle
+from loadgrain.session import configure, qualified, scratch_path, settle, ship_code
 from loadgrain.sources import footers, provenance
 from loadgrain.sources.raw import read_raw, stream_raw
 from loadgrain.sources.samples import (
@@ -743,6 +743,8 @@ def option_checks(spark, sf_dir):
     }
     given = events_of(spark, sf_dir).select(*[c.alias(name) for name, c in options.items()])
 
+    ship_code(__name__, SinkOptions.__module__, time_bucket.__module__)
+
     def said(batches):
         for frame in batches:
             answers = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
@@ -48,6 +49,17 @@ def qualified(spark: SparkSession, path: str) -> str:
     return plain.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(plain).toString()
 
 
+def ship_code(*modules: str) -> None:
+    """Send the code of these modules along with what tasks are to run.
+
+    Workers then need not have the package installed.
+    """
+    from pyspark import cloudpickle
+
+    for module in modules:
+        cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 

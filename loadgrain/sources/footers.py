@@ -32,6 +32,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
+from loadgrain.session import ship_code
+
 FOOTER_SCHEMA = "file STRING, key STRING, value STRING"
 ROW_GROUP_SCHEMA = (
     "file STRING, row_group INT, n_rows BIGINT, first_metric STRING, last_metric STRING"
@@ -43,12 +45,7 @@ FILES_PER_TASK = 64
 
 def register(spark: SparkSession) -> None:
     """Make both formats known to the session."""
-    import sys
-
-    from pyspark import cloudpickle
-
-    # Workers need not have the package installed.
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    ship_code(__name__)
     # Off by default, and then a source that takes filters is refused.
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(RunFooterSource)
