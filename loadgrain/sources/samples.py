@@ -96,13 +96,14 @@ def read_samples(
             visible = Ledger(spark, root).visible()
             if visible is not None:
                 files = files.where(visible)
-        files = files.withColumn("source_file", F.col("_metadata.file_path"))
+        source = F.col("_metadata.file_path")
     else:
         files = read_run_files(spark, *paths).withColumn("run_id", F.lit(None).cast("string"))
+        source = F.col("source_file")
     extra = [sample_time().alias("ts")]
     extra.append(F.col("run_id") if run_id is None else F.lit(run_id).alias("run_id"))
     if source_file:
-        extra.append(plain_path(F.col("source_file")).alias("source_file"))
+        extra.append(plain_path(source).alias("source_file"))
     return files.select(*[F.col(f"`{c}`") for c in SAMPLE_COLUMNS], *extra)
 
 
