@@ -15,28 +15,45 @@ from loadgrain.session import settle
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told, which ``lang`` then says; others go."""
+    """Documents whose language can be told, which ``lang`` then says; others go.
+
+    NULL texts and texts without a letter go. Rows that repeat an id are judged each by
+    its own text.
+    """
     return langid.keep_identified(docs, langid.fit(docs.where(~held_out())))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality model takes for good text."""
+    """Documents that the quality model takes for good text.
+
+    NULL texts count as empty. Rows that repeat an id are judged each by its own text; of
+    labels that contradict each other the good one counts.
+    """
     labels = table(spark, sf_dir, "labels").where(~held_out())
     return quality.keep_good(docs, quality.fit(docs.where(~held_out()), labels))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies."""
+    """One document of each group of exact and near copies: the one of the smallest id.
+
+    NULL texts count as empty, which is one text; NULL ids come last.
+    """
     return simhash.keep_one(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample on the target weights of sources, languages and topics."""
+    """A sample on the target weights of sources, languages and topics.
+
+    NULL sources and languages are values of their own. Rows that repeat an id draw alike.
+    """
     return mixing.sample(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with proof that they decode to its text."""
+    """Token ids of each document, with proof that they decode to its text.
+
+    A NULL text has none. Every row is encoded, whether or not it repeats an id.
+    """
     return pieces.encode_documents(docs, tokenizer_path("piece_bpe_32k.model"))
 
 
