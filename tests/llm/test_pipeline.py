@@ -32,6 +32,8 @@ def folder(spark, sf_dir, tmp_path_factory):
         (900_004, good, None, None),
         (900_005, good.replace(" the ", " a ", 1), "en", "src1"),
         (900_006, good.upper(), "en", "src1"),
+        (900_004, good, None, None),
+        (900_008, " ".join(f"{w}{i}" for i, w in enumerate((good + " ").split() * 60)), "en", "src2"),
         *((900_010 + i, t, None, "s") for i, t in enumerate(("A.", "Q!!", "Жщъ ыэю", "汉字 汉", "zZ!! xQ"))),
         (None, good, "en", "src1"),
     ]
