@@ -34,7 +34,6 @@ from loadgrain.sources.samples import (
     read_runs,
     read_samples,
     write_run,
-    write_runs,
     write_samples,
 )
 from loadgrain.sources.versions import Layout, register_layout
