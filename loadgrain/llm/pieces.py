@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Words a Python worker remembers, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Longer words (texts without spaces are one) are not remembered, so memory has a bound in bytes.
 LONGEST = 64
 
@@ -152,9 +152,8 @@ def encode_documents(docs: DataFrame, model: str, with_ids: bool = True) -> Data
     def run(batches):
         own = pieces(model)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), 256):
-                part = [t or "" for t in texts[at : at + 256]]
+            for at in range(0, batch.num_rows, 256):
+                part = [t or "" for t in batch.column(1).slice(at, 256).to_pylist()]
                 ids = [own.encode(t) for t in part]
                 columns = [
                     batch.column(0).slice(at, 256),
