@@ -14,12 +14,21 @@ from loadgrain.llm.queries import tokenizer_path
 from loadgrain.session import settle
 
 
+#: Texts are long rows: so many go to a Python worker at a time, in place of 10 000.
+BATCH_ROWS = 1000
+
+
+def _long_rows(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told, which ``lang`` then says; others go.
 
     NULL texts and texts without a letter go. Rows that repeat an id are judged each by
     its own text.
     """
+    _long_rows(spark)
     return langid.keep_identified(docs, langid.fit(docs.where(~held_out())))
 
 
@@ -29,6 +38,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     NULL texts count as empty. Rows that repeat an id are judged each by its own text; of
     labels that contradict each other the good one counts.
     """
+    _long_rows(spark)
     labels = table(spark, sf_dir, "labels").where(~held_out())
     return quality.keep_good(docs, quality.fit(docs.where(~held_out()), labels))
 
@@ -38,6 +48,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     NULL texts count as empty, which is one text; NULL ids come last.
     """
+    _long_rows(spark)
     return simhash.keep_one(docs)
 
 
@@ -54,6 +65,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A NULL text has none. Every row is encoded, whether or not it repeats an id.
     """
+    _long_rows(spark)
     return pieces.encode_documents(docs, tokenizer_path("piece_bpe_32k.model"))
 
 
