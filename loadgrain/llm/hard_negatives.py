@@ -415,7 +415,7 @@ def mine(
     ``vectors`` has ``vec_id``, ``embedding`` and ``label`` (or the column given).
     Rows with a NULL id, label or vector, or a NULL or non-finite component take no
     part; an empty vector is a vector. Components become ``floor(scale * x)``, cut
-    at the ends of BIGINT, as scores are. Vectors of different lengths are never
+    at the ends of BIGINT; scores beyond 2**62 either way are not found. Vectors of different lengths are never
     compared. Rows that repeat an id are rows of their own: each may be an anchor, a
     positive and a negative, and ties between them have no order. An anchor without
     positives, or a positive without negatives in its window, has no rows.
