@@ -270,16 +270,24 @@ def compact_run(spark: SparkSession, options: SinkOptions, run_id: str | None) -
 # Columns that are looked up by value and not sorted by: a row group says of each, in a
 # bloom filter, which values it may hold. Pages have their own index anyway.
 LOOKED_UP = ("name", "group", "check", "url", "error", "extra_tags.key_value.value")
+# A writer holds the filters and the footer of a file until it closes it, so filters are no
+# larger than the rows of a group can need (some values of a map each), nor files longer.
+FILTER_BYTES_PER_ROW, MAX_FILTER_BYTES, GROUPS_PER_FILE = 10, 1 << 20, 200
 
 
 def parquet_options(options: SinkOptions) -> dict[str, str]:
-    skipping = {"parquet.bloom.filter.adaptive.enabled": "true"}
+    filter_bytes = min(MAX_FILTER_BYTES, max(512, options.row_group_size * FILTER_BYTES_PER_ROW))
+    skipping = {
+        "parquet.bloom.filter.adaptive.enabled": "true",
+        "parquet.bloom.filter.max.bytes": str(filter_bytes),
+    }
     for column in LOOKED_UP:
         skipping[f"parquet.bloom.filter.enabled#{column}"] = "true"
     return {
         "compression": options.compression,
         "parquet.block.row.count.limit": str(options.row_group_size),
         "parquet.page.size": str(options.page_size),
+        "maxRecordsPerFile": str(options.row_group_size * GROUPS_PER_FILE),
         **skipping,
     }
 
