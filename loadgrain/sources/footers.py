@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
@@ -41,6 +42,8 @@ ROW_GROUP_SCHEMA = (
 # Small enough to spread a long history over a cluster, large enough that a
 # task is worth its start.
 FILES_PER_TASK = 64
+# Samples go to a writer in batches of so many.
+BATCH_ROWS = 2000
 
 
 def register(spark: SparkSession) -> None:
@@ -53,6 +56,27 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(RunFileSource)
 
 
+@contextmanager
+def batches_by_rows(spark: SparkSession) -> Iterator[None]:
+    """Inside, Arrow batches end after a number of rows and not of bytes.
+
+    Spark adds up the sizes of all columns after every row to keep to a number of bytes,
+    which for rows of many columns takes ten times as long as writing them.
+    """
+    by_rows = {
+        "spark.sql.execution.arrow.maxBytesPerBatch": str((1 << 31) - 1),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+    }
+    before = {key: spark.conf.get(key) for key in by_rows}
+    try:
+        for key, value in by_rows.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def _filesystem(path: str):
     from pyarrow import fs
 

@@ -102,18 +102,19 @@ def write_portable_run(
     if single_file:
         rows = rows.coalesce(1)
     pairs = footer_pairs(spark, run, options, namespace, generator)
-    (
-        rows.sortWithinPartitions("metric_name", "ts_unix_nano")
-        .write.format("run_file")
-        .mode("overwrite")
-        .option("footer", json.dumps(pairs))
-        .option("count_key", f"{namespace}.sample_count")
-        .option("compression", options.compression)
-        .option("row_group_size", str(options.row_group_size))
-        .option("page_size", str(options.page_size))
-        .option("closing", json.dumps(_closing(run, pairs, namespace)))
-        .save(qualified(spark, options.path))
-    )
+    with footers.batches_by_rows(spark):
+        (
+            rows.sortWithinPartitions("metric_name", "ts_unix_nano")
+            .write.format("run_file")
+            .mode("overwrite")
+            .option("footer", json.dumps(pairs))
+            .option("count_key", f"{namespace}.sample_count")
+            .option("compression", options.compression)
+            .option("row_group_size", str(options.row_group_size))
+            .option("page_size", str(options.page_size))
+            .option("closing", json.dumps(_closing(run, pairs, namespace)))
+            .save(qualified(spark, options.path))
+        )
 
 
 def read_footers(spark: SparkSession, *paths: str) -> DataFrame:

@@ -4,6 +4,7 @@ import pyarrow.parquet as pq
 
 from loadgrain.operators.runs import RunInfo
 from loadgrain.plans import registry
+from loadgrain.sources import footers, provenance
 from loadgrain.sources.samples import SinkOptions, read_samples, write_run
 
 
@@ -16,3 +17,22 @@ def test_small_row_groups_make_small_files_of_bounded_footers(spark, sf_dir, tmp
     # Each of six filters took 64 kB or more of a group.
     assert sum(f.stat().st_size for f in files) < 20_000 * sum(groups)
     assert read_samples(spark, str(tmp_path)).count() == mine.count()
+
+
+def test_portable_runs_are_batched_by_rows_and_settings_come_back(spark, sf_dir, tmp_path, monkeypatch):
+    keys = [f"spark.sql.execution.arrow.max{what}PerBatch" for what in ("Bytes", "Records")]
+    before, seen = [spark.conf.get(k) for k in keys], []
+    scoped = footers.batches_by_rows
+
+    def watched(session):
+        seen.append(session)
+        return scoped(session)
+
+    monkeypatch.setattr(footers, "batches_by_rows", watched)
+    samples = registry.samples_of(spark, sf_dir)
+    provenance.write_portable_run(samples, RunInfo(run_id="A"), SinkOptions(str(tmp_path / "run")))
+    assert len(seen) == 1
+    assert [spark.conf.get(k) for k in keys] == before
+    with scoped(spark):
+        assert [spark.conf.get(k) for k in keys] == [str(2**31 - 1), str(footers.BATCH_ROWS)]
+    assert read_samples(spark, str(tmp_path / "run")).count() == samples.count()
