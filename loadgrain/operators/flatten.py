@@ -37,7 +37,7 @@ def _spill(entries: Column, texts: dict[str, Column], parsed: dict[str, Column])
     """The entries that got no column of their own; NULL when there are none.
 
     Most samples have none, which their number of entries tells; only the others
-    go through the map entry by entry.
+    go through the map entry by entry, once.
     """
     taken = F.lit(0)
     for value in (*texts.values(), *parsed.values()):
@@ -49,8 +49,9 @@ def _spill(entries: Column, texts: dict[str, Column], parsed: dict[str, Column])
             keep = keep | ((key == name) & value.isNull())
         return keep
 
-    rest = F.map_filter(entries, left_over)
-    return F.when((F.size(entries) > taken) & (F.size(rest) > 0), rest)
+    # Through a one-element array, so that the map is filtered once and not per use.
+    rest = F.array(F.map_filter(entries, left_over))
+    return F.when(F.size(entries) > taken, F.get(F.filter(rest, lambda r: F.size(r) > 0), 0))
 
 
 def flatten_samples(raw: DataFrame) -> DataFrame:
@@ -64,6 +65,12 @@ def flatten_samples(raw: DataFrame) -> DataFrame:
     typed_tags = {name: parse_integer(tags[name], "int") for name in INT_TAGS}
     typed_tags |= {name: parse_boolean(tags[name]) for name in BOOL_TAGS}
     typed_metadata = {name: parse_integer(metadata[name], "bigint") for name in LONG_METADATA}
+    # Texts are parsed in a step of their own: what spills looks at the results again.
+    parsed = {f"__{name}": value for name, value in (typed_tags | typed_metadata).items()}
+    columns = raw.columns
+    raw = raw.select("*", *[value.alias(name) for name, value in parsed.items()])
+    typed_tags = {name: F.col(f"__{name}") for name in typed_tags}
+    typed_metadata = {name: F.col(f"__{name}") for name in typed_metadata}
     parent = F.col("metric.sub.parent")
 
     wide = {
@@ -81,7 +88,7 @@ def flatten_samples(raw: DataFrame) -> DataFrame:
         "extra_metadata": _spill(metadata, {}, typed_metadata),
     }
     consumed = {"ts_unix_nano", "value", "metric", "tags", "metadata"}
-    passing = [c for c in raw.columns if c not in consumed]
+    passing = [c for c in columns if c not in consumed]
     return raw.select(*[wide[name].alias(name) for name in SAMPLE_COLUMNS], *passing)
 
 

@@ -1,9 +1,12 @@
 """What keeps tasks, files and shuffles bounded."""
 
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
+from loadgrain.operators.flatten import flatten_samples
 from loadgrain.operators.runs import RunInfo
 from loadgrain.plans import registry
+from loadgrain.schema import RAW
 from loadgrain.sources import footers, provenance
 from loadgrain.sources.samples import SinkOptions, read_samples, write_run
 
@@ -36,3 +39,12 @@ def test_portable_runs_are_batched_by_rows_and_settings_come_back(spark, sf_dir,
     with scoped(spark):
         assert [spark.conf.get(k) for k in keys] == [str(2**31 - 1), str(footers.BATCH_ROWS)]
     assert read_samples(spark, str(tmp_path / "run")).count() == samples.count()
+
+
+def test_texts_are_parsed_once(spark):
+    wide = flatten_samples(spark.createDataFrame([], RAW))
+    wide = wide.select("status", "vu", F.col("extra_tags")["status"], F.col("extra_metadata")["vu"])
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    # Of the columns asked for: two parsed for themselves, and those that what spills depends on.
+    assert plan.count("RLIKE") == 4
+    assert plan.count("map_filter") == 2
