@@ -128,15 +128,18 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
     ).withColumn("t", F.xxhash64("text"))
     # Rows that repeat id and text: one is followed by the next document, the others by
     # their like.
-    texts = rows.groupBy("id", "t").agg(F.first("text").alias("text"), F.count("*").alias("times"))
-    sized = texts.select("id", "t", "text", "times", F.char_length("text").cast("bigint").alias("n_chars"))
+    texts = rows.groupBy("id", "t").agg(F.first("text").alias("text"))
+    sized = texts.select("id", "t", "text", F.char_length("text").cast("bigint").alias("n_chars"))
     third = F.floor(F.col("n_chars") / 3).cast("int")
+    # Apart from the texts, which would be shuffled once more to be counted.
+    lengths = rows.select("id", "t", F.char_length("text").cast("bigint").alias("n_chars"))
+    counted = lengths.groupBy("id", "t").agg(F.first("n_chars").alias("n_chars"), F.count("*").alias("times"))
     one = F.lit(1).cast("bigint")
     link = lambda i, t, n: F.struct(F.col(i).alias("next_id"), F.col(t).alias("next_t"), n.alias("n"))
     both = F.array(link("next_id", "next_t", one), link("id", "t", F.col("times") - 1))
     # How much each document wants goes to the next one, and only that much comes back.
     wanted = (
-        sized.select("id", "t", "times", third.alias("third"))
+        counted.select("id", "t", "times", third.alias("third"))
         .join(following(rows.select("id", "t")), ["id", "t"])
         .select("id", "t", "third", F.inline(F.filter(both, lambda x: x["n"] > 0)))
     )
