@@ -44,6 +44,8 @@ QUERIES: dict[str, Query] = {}
 
 # A small limit, so that groups come in pieces also on small test data.
 SMALL_LIMITS = {"range_values": 20}
+# Where samples are written, a task makes those of so many events.
+EVENTS_PER_TASK = 25_000
 START = datetime(2024, 1, 1, tzinfo=UTC)
 END = datetime(2024, 1, 31, 1, 2, 3, 500000, tzinfo=UTC)
 
@@ -64,12 +66,22 @@ def events_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def samples_of(spark: SparkSession, sf_dir: str, run_by: str = "parity") -> DataFrame:
-    return samples_from_events(events_of(spark, sf_dir), run_by)
+def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in tasks of a bounded number.
 
+    A small file with few row groups is read in as few tasks; each event yields some 13
+    samples, and a task that writes them holds or sorts them all.
+    """
+    events = events_of(spark, sf_dir)
+    return events.repartition(max(1, -(-events.count() // EVENTS_PER_TASK)))
+
+
+def samples_of(spark: SparkSession, sf_dir: str, run_by: str = "parity", spread: bool = False) -> DataFrame:
+    return samples_from_events((spread_events if spread else events_of)(spark, sf_dir), run_by)
 
-def raw_of(spark: SparkSession, sf_dir: str, **kwargs) -> DataFrame:
-    return raw_from_events(events_of(spark, sf_dir), **kwargs)
+
+def raw_of(spark: SparkSession, sf_dir: str, spread: bool = False, **kwargs) -> DataFrame:
+    return raw_from_events((spread_events if spread else events_of)(spark, sf_dir), **kwargs)
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -393,7 +405,7 @@ def flatten_edge_texts(spark, sf_dir):
         "too_large": F.concat(F.lit("2147483648"), n),
         "empty": F.lit(""),
     }
-    rows = events_of(spark, sf_dir).select("event_id", "event_type", F.explode(
+    rows = spread_events(spark, sf_dir).select("event_id", "event_type", F.explode(
         F.array(*[F.struct(F.lit(k).alias("form"), v.alias("text")) for k, v in texts.items()])
     ).alias("t"))
     word = F.element_at(
@@ -509,7 +521,7 @@ def _table_totals(samples: DataFrame, *keys: str) -> DataFrame:
 def sample_table_scan(spark, sf_dir):
     """Raw samples flattened, written as a run table, and read back."""
     path = scratch_path(spark, "table")
-    write_samples(flatten.flatten_samples(raw_of(spark, sf_dir)), SinkOptions(path))
+    write_samples(flatten.flatten_samples(raw_of(spark, sf_dir, spread=True)), SinkOptions(path))
     return _table_totals(read_samples(spark, path), "run_id", "metric_name")
 
 
@@ -517,7 +529,7 @@ def sample_table_scan(spark, sf_dir):
 def sample_table_rebalanced(spark, sf_dir):
     """The same by run and metric, from tasks that each hold rows of all runs."""
     path = scratch_path(spark, "table")
-    samples = samples_of(spark, sf_dir, run_by="day")
+    samples = samples_of(spark, sf_dir, spread=True, run_by="day")
     write_samples(samples, SinkOptions(path, compression="snappy"), rebalance=True, by_metric=True)
     kept = read_samples(spark, path).where(requests.like_request_metric())
     return _table_totals(kept, "run_id", "metric_name")
@@ -527,7 +539,7 @@ def sample_table_rebalanced(spark, sf_dir):
 def run_replaced(spark, sf_dir):
     """Writing run B again replaces it and leaves run A alone."""
     options = SinkOptions(scratch_path(spark, "table"), compression="gzip")
-    samples = samples_of(spark, sf_dir)
+    samples = samples_of(spark, sf_dir, spread=True)
     write_samples(samples, options)
     write_samples(samples.where("run_id = 'B' AND metric_name = 'http_reqs'"), options)
     return _table_totals(read_samples(spark, options.path), "run_id", "metric_name")
@@ -537,7 +549,7 @@ def run_replaced(spark, sf_dir):
 def run_replaced_by_metric(spark, sf_dir):
     """Rewriting both runs with one metric leaves nothing of the others, nor of an empty name."""
     options = SinkOptions(scratch_path(spark, "table"))
-    samples = samples_of(spark, sf_dir)
+    samples = samples_of(spark, sf_dir, spread=True)
     unnamed = F.when(F.col("metric_name") != "vus", F.col("metric_name")).otherwise("")
     write_samples(samples.withColumn("metric_name", unnamed), options, by_metric=True)
     before = read_samples(spark, options.path).where("metric_name = ''")
@@ -551,7 +563,7 @@ def run_replaced_by_metric(spark, sf_dir):
 def run_replaced_empty(spark, sf_dir):
     """A run written again without samples is empty; its record agrees, the other run stays."""
     options, runs_path = SinkOptions(scratch_path(spark, "table")), scratch_path(spark, "runs")
-    samples = samples_of(spark, sf_dir)
+    samples = samples_of(spark, sf_dir, spread=True)
     write_samples(samples, options)
     for label in ("A", "B"):
         mine = samples.where(F.col("run_id") == label)
@@ -568,7 +580,7 @@ def run_replaced_empty(spark, sf_dir):
 @query
 def run_files_compared(spark, sf_dir):
     """Two portable runs read in one go and told apart by their files."""
-    samples = samples_of(spark, sf_dir)
+    samples = samples_of(spark, sf_dir, spread=True)
     paths = {}
     for label in ("A", "B"):
         paths[label] = scratch_path(spark, f"run-{label}")
@@ -609,7 +621,7 @@ def _portable(spark, sf_dir) -> str:
         script_options=f'{{"vus": 12, "tlsAuth": [{{"key": "secret"}}], "iterations": {iterations}}}',
     )
     provenance.write_portable_run(
-        samples_of(spark, sf_dir), run, SinkOptions(path, row_group_size=1000), single_file=False
+        samples_of(spark, sf_dir, spread=True), run, SinkOptions(path, row_group_size=1000), single_file=False
     )
     return path
 
@@ -675,7 +687,7 @@ OLDER = Layout(
 @query
 def mixed_versions_read(spark, sf_dir):
     """Run A in files of an older schema version, run B in today's: read as one."""
-    samples, folder = samples_of(spark, sf_dir), scratch_path(spark, "versions")
+    samples, folder = samples_of(spark, sf_dir, spread=True), scratch_path(spark, "versions")
     # Whole milliseconds, as the older layout has them.
     samples = samples.withColumn("ts_unix_nano", F.expr("ts_unix_nano div 1000000 * 1000000"))
     provenance.write_portable_run(
@@ -706,7 +718,7 @@ def mixed_versions_read(spark, sf_dir):
 def row_groups_per_file(spark, sf_dir):
     """What footers say of the row groups of two run tables: none is over its cap."""
     path = scratch_path(spark, "table")
-    samples = samples_of(spark, sf_dir)
+    samples = samples_of(spark, sf_dir, spread=True)
     for label, cap in (("A", 500), ("B", 2000)):
         mine = samples.where(F.col("run_id") == label)
         write_run(mine, runs.RunInfo(run_id=label), SinkOptions(path, row_group_size=cap))
@@ -766,7 +778,7 @@ def nanosecond_files(spark, sf_dir):
     """Portable files hold nanosecond times; reading keeps every digit."""
     path = scratch_path(spark, "nanos")
     shifted = F.col("ts_unix_nano") + F.col("event_id") % 1000
-    samples = samples_of(spark, sf_dir).withColumn("ts_unix_nano", shifted)
+    samples = samples_of(spark, sf_dir, spread=True).withColumn("ts_unix_nano", shifted)
     provenance.write_portable_run(samples, runs.RunInfo(), SinkOptions(path))
     return (
         read_samples(spark, path)
@@ -780,7 +792,7 @@ def run_records(spark, sf_dir):
     runs_path = scratch_path(spark, "runs")
     options = SinkOptions(scratch_path(spark, "table"))
     secret = '{"vus": 3, "ext": {"apiKey": "secret"}}'
-    samples = samples_of(spark, sf_dir)
+    samples = samples_of(spark, sf_dir, spread=True)
     for label in ("A", "B"):
         run = runs.RunInfo(run_id=label, start_time=START, script_options=secret)
         write_run(samples.where(F.col("run_id") == label), run, options, runs_path)
@@ -842,7 +854,7 @@ def runs_joined_external(spark, sf_dir):
 def _ingested(spark, sf_dir) -> SinkOptions:
     """The raw samples of all events, taken in as a stream of files."""
     options = SinkOptions(scratch_path(spark, "streamed"))
-    _stream_into(spark, raw_of(spark, sf_dir), options, "live")
+    _stream_into(spark, raw_of(spark, sf_dir, spread=True), options, "live")
     return options
 
 
@@ -869,7 +881,7 @@ def _drained(spark, landing: str, options: SinkOptions, checkpoint: str, run_id:
 @query
 def raw_json_source(spark, sf_dir):
     landing = scratch_path(spark, "landing")
-    raw_of(spark, sf_dir, dirty=True).drop("run_id", "event_id").write.json(landing)
+    raw_of(spark, sf_dir, spread=True, dirty=True).drop("run_id", "event_id").write.json(landing)
     wide = flatten.flatten_samples(read_raw(spark, landing))
     return wide.groupBy("metric_name", "status").agg(F.count("*").alias("n"))
 
@@ -892,7 +904,7 @@ def stream_finalised(spark, sf_dir):
 def stream_two_runs(spark, sf_dir):
     """Two streams, each with its own checkpoint, fill one table."""
     options = SinkOptions(scratch_path(spark, "streamed"))
-    raw = raw_of(spark, sf_dir)
+    raw = raw_of(spark, sf_dir, spread=True)
     for label in ("A", "B"):
         _stream_into(spark, raw.where(F.col("run_id") == label), options, label)
     return _table_totals(read_samples(spark, options.path), "run_id", "metric_name")
@@ -902,9 +914,9 @@ def stream_two_runs(spark, sf_dir):
 def stream_then_batch(spark, sf_dir):
     """A streamed run, a second one written as a batch, and the first one compacted."""
     options = SinkOptions(scratch_path(spark, "streamed"))
-    _stream_into(spark, raw_of(spark, sf_dir).where("run_id = 'A'"), options, "A")
+    _stream_into(spark, raw_of(spark, sf_dir, spread=True).where("run_id = 'A'"), options, "A")
     write_run(
-        samples_of(spark, sf_dir).where("run_id = 'B'"), runs.RunInfo(run_id="B"), options
+        samples_of(spark, sf_dir, spread=True).where("run_id = 'B'"), runs.RunInfo(run_id="B"), options
     )
     compact_run(spark, options, "A")
     return _table_totals(read_samples(spark, options.path), "run_id", "metric_name")
@@ -924,7 +936,7 @@ def _crash_before_commit(spark, checkpoint: str) -> None:
 def stream_replayed_after_compaction(spark, sf_dir):
     """A run is compacted; then its stream, restarted, repeats a batch that is part of it."""
     options, checkpoint = SinkOptions(scratch_path(spark, "streamed")), scratch_path(spark, "checkpoint")
-    landing = _arriving(spark, raw_of(spark, sf_dir), options, checkpoint, "live")
+    landing = _arriving(spark, raw_of(spark, sf_dir, spread=True), options, checkpoint, "live")
     compact_run(spark, options, "live")
     _crash_before_commit(spark, checkpoint)
     # The same checkpoint, spelt differently.
@@ -936,7 +948,7 @@ def stream_replayed_after_compaction(spark, sf_dir):
 def stream_during_compaction(spark, sf_dir):
     """A stream adds to a run between each two steps of its compaction."""
     options, checkpoint = SinkOptions(scratch_path(spark, "streamed")), scratch_path(spark, "checkpoint")
-    raw = raw_of(spark, sf_dir).withColumn("part", F.col("event_id") % 5)
+    raw = raw_of(spark, sf_dir, spread=True).withColumn("part", F.col("event_id") % 5)
     landing = scratch_path(spark, "landing")
 
     def arrive(part: int) -> None:

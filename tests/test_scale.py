@@ -48,3 +48,13 @@ def test_texts_are_parsed_once(spark):
     # Of the columns asked for: two parsed for themselves, and those that what spills depends on.
     assert plan.count("RLIKE") == 4
     assert plan.count("map_filter") == 2
+
+
+def test_events_are_spread_over_tasks_by_their_number(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(registry, "EVENTS_PER_TASK", 300)
+    n = registry.events_of(spark, sf_dir).count()
+    spread = registry.samples_of(spark, sf_dir, spread=True)
+    assert spread.rdd.getNumPartitions() == -(-n // 300)
+    maps = "extra_tags", "extra_metadata"
+    rows = [df.drop(*maps) for df in (spread, registry.samples_of(spark, sf_dir))]
+    assert rows[0].exceptAll(rows[1]).count() == rows[1].exceptAll(rows[0]).count() == 0
