@@ -46,6 +46,8 @@ QUERIES: dict[str, Query] = {}
 SMALL_LIMITS = {"range_values": 20}
 # Where samples are written, a task makes those of so many events.
 EVENTS_PER_TASK = 25_000
+# Raw samples land in files of so many.
+LANDING_ROWS = 40_000
 START = datetime(2024, 1, 1, tzinfo=UTC)
 END = datetime(2024, 1, 31, 1, 2, 3, 500000, tzinfo=UTC)
 
@@ -867,11 +869,20 @@ def _arriving(spark, raw: DataFrame, options: SinkOptions, checkpoint: str, run_
     landing = scratch_path(spark, "landing")
     for odd in (0, 1):
         part = raw.where(F.shiftright("event_id", 1) % 2 == odd).drop("run_id", "event_id")
-        part.write.mode("append").json(landing)
+        _land(part, landing)
         _drained(spark, landing, options, checkpoint, run_id)
     return landing
 
 
+def _land(raw: DataFrame, landing: str) -> None:
+    """Add raw samples to a folder as JSON lines, in many small compressed files.
+
+    A compressed file is read by one task, so files have to be many.
+    """
+    writer = raw.write.mode("append").option("maxRecordsPerFile", str(LANDING_ROWS))
+    writer.option("compression", "gzip").json(landing)
+
+
 def _drained(spark, landing: str, options: SinkOptions, checkpoint: str, run_id: str) -> None:
     """Take in what has landed and not been taken in yet."""
     stream = stream_raw(spark, landing)
@@ -881,7 +892,7 @@ def _drained(spark, landing: str, options: SinkOptions, checkpoint: str, run_id:
 @query
 def raw_json_source(spark, sf_dir):
     landing = scratch_path(spark, "landing")
-    raw_of(spark, sf_dir, spread=True, dirty=True).drop("run_id", "event_id").write.json(landing)
+    _land(raw_of(spark, sf_dir, spread=True, dirty=True).drop("run_id", "event_id"), landing)
     wide = flatten.flatten_samples(read_raw(spark, landing))
     return wide.groupBy("metric_name", "status").agg(F.count("*").alias("n"))
 
@@ -953,7 +964,7 @@ def stream_during_compaction(spark, sf_dir):
 
     def arrive(part: int) -> None:
         rows = raw.where(F.col("part") == part).drop("run_id", "event_id", "part")
-        rows.write.mode("append").json(landing)
+        _land(rows, landing)
         _drained(spark, landing, options, checkpoint, "live")
 
     arrive(0)

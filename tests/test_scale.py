@@ -1,5 +1,7 @@
 """What keeps tasks, files and shuffles bounded."""
 
+import gzip
+
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
@@ -58,3 +60,11 @@ def test_events_are_spread_over_tasks_by_their_number(spark, sf_dir, monkeypatch
     maps = "extra_tags", "extra_metadata"
     rows = [df.drop(*maps) for df in (spread, registry.samples_of(spark, sf_dir))]
     assert rows[0].exceptAll(rows[1]).count() == rows[1].exceptAll(rows[0]).count() == 0
+
+
+def test_raw_samples_land_in_small_compressed_files(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "LANDING_ROWS", 500)
+    raw = registry.raw_of(spark, sf_dir).drop("run_id", "event_id")
+    registry._land(raw, str(tmp_path / "landing"))
+    lines = [len(gzip.decompress(f.read_bytes()).splitlines()) for f in (tmp_path / "landing").glob("*.json.gz")]
+    assert max(lines) <= 500 and sum(lines) == raw.count()
